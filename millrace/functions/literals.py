@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import ast
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 _JSON_OPTIONS = {"allowUnquotedControlChars": "true"}
 
+# Workers get the reader below with the task and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def parse_list(text: Column, exact: bool = False) -> Column:
     """Array of strings from list text; NULL where the text is no list.

@@ -15,10 +15,7 @@ MISSING_TOKENS = (
 
 # Patterns of pipeline source text.
 DATETIME_CALL = r"(datetime\([^)]+\))"
-DATETIME_PARTS = (
-    r"datetime\(\s*(\d+)\s*,\s*(\d+)\s*,\s*(\d+)\s*"
-    r"(?:,\s*(\d+)\s*)?(?:,\s*(\d+)\s*)?(?:,\s*(\d+)\s*)?\)"
-)
+DATETIME_ARGUMENTS = r"datetime\(([\d\s,]+)\)"
 
 
 def first_group(text: Column, pattern: str, default: str) -> Column:
@@ -40,10 +37,17 @@ def quote_datetimes(text: Column) -> Column:
 
 
 def datetime_value(text: Column) -> Column:
-    """The timestamp that a ``datetime(y, m, d[, h[, min[, s]]])`` text stands for, else NULL."""
-    part = [F.regexp_extract(text, DATETIME_PARTS, i).try_cast("int") for i in range(1, 7)]
-    clock = [F.coalesce(p, F.lit(0)) for p in part[3:]]
-    return F.try_make_timestamp_ntz(part[0], part[1], part[2], clock[0], clock[1], clock[2])
+    """The timestamp of the first ``datetime(y, m, d, ...)`` call in a text, else NULL."""
+    parts = F.split(F.regexp_extract(text, DATETIME_ARGUMENTS, 1), ",")
+
+    def part(i: int) -> Column:
+        return F.trim(F.get(parts, F.lit(i))).try_cast("int")
+
+    def clock(i: int) -> Column:
+        return F.coalesce(part(i), F.lit(0))
+
+    seconds = clock(5) + clock(6).cast("decimal(16,6)") / 1_000_000
+    return F.try_make_timestamp_ntz(part(0), part(1), part(2), clock(3), clock(4), seconds)
 
 
 def base64_text(text: Column) -> Column:

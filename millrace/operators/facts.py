@@ -17,12 +17,14 @@ from __future__ import annotations
 import ast
 import json
 import math
+import sys
 import warnings
 from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FACT_SCHEMA = (
@@ -43,10 +45,14 @@ _ARROW = pa.schema(
     ]
 )
 _BATCH_ROWS, _BATCH_CHARS = 4096, 8 << 20
+_BLOCKS = ("body", "handlers", "orelse", "finalbody", "cases")
 _UNREADABLE = (SyntaxError, ValueError, RecursionError, MemoryError)
 
 MODULE = "<module>"
 
+# Workers get the parse functions with the task and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def facts(
     sources: DataFrame, with_bodies: bool = True, partitions: int | None = None
@@ -113,7 +119,7 @@ def edges(facts: DataFrame) -> DataFrame:
     )
 
 
-def stage_pairs(stages: F.Column) -> F.Column:
+def stage_pairs(stages: Column) -> Column:
     """Each stage of a chain with the one after it."""
     return F.transform(
         F.slice(stages, 1, F.size(stages) - 1),
@@ -141,30 +147,35 @@ def _file_facts(source: str, with_bodies: bool) -> list[dict]:
         return [{"kind": "error", "value": _text(f"{type(problem).__name__}: {problem}")}]
 
 
+def _inner_statements(node: ast.AST) -> list[ast.AST]:
+    """Statements right below a node, in source order; expressions hold none."""
+    return [inner for part in _BLOCKS for inner in getattr(node, part, ())]
+
+
 def _function_facts(tree: ast.Module) -> Iterator[dict]:
-    waiting = tree.body[::-1]
+    waiting = _inner_statements(tree)[::-1]
     pos = 0
     while waiting:
         node = waiting.pop()
         if isinstance(node, ast.FunctionDef):
             yield {"kind": "function", "pos": pos, "name": node.name, "value": _text(ast.unparse(node))}
             pos += 1
-        waiting.extend([*ast.iter_child_nodes(node)][::-1])
+        waiting.extend(_inner_statements(node)[::-1])
 
 
 def _assignment_facts(tree: ast.Module) -> Iterator[dict]:
     """Assignments in breadth-first order, each with the scope that holds it."""
-    level = deque([(tree, MODULE)])
+    waiting = deque([(tree, MODULE)])
     pos = 0
-    while level:
-        node, scope = level.popleft()
+    while waiting:
+        node, scope = waiting.popleft()
         if isinstance(node, ast.Assign):
             for fact in _one_assignment(node):
                 yield {"pos": pos, "scope": scope, **fact}
                 pos += 1
-        if isinstance(node, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)):
+        elif isinstance(node, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)):
             scope = node.name
-        level.extend((child, scope) for child in ast.iter_child_nodes(node))
+        waiting.extend((inner, scope) for inner in _inner_statements(node))
 
 
 def _one_assignment(node: ast.Assign) -> Iterator[dict]:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.keyed import upsert
+from millrace.operators.keyed import keep_one, upsert
 from millrace.operators.reshape import column
 from millrace.sources.sinks import overwrite_partitions
 
@@ -27,14 +28,20 @@ def upsert_partitions(
     A staged row can then only meet target rows of its own partition, so the scan, the join
     and the write are cut to the partitions the batch has. Their values are read to the driver:
     they are directory names, which the driver lists anyway. Files of those partitions are
-    replaced when the job commits.
+    replaced when the job commits. A path that is not there yet is created.
     """
     if not set(partitions) <= set(keys):
         raise ValueError("partition columns must be key columns")
     rows = staging.select(*map(column, partitions)).distinct().collect()
     if not rows:
         return
-    target = spark.read.schema(staging.schema).parquet(path)
+    try:
+        target = spark.read.schema(staging.schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        overwrite_partitions(keep_one(staging, keys, tiebreak), path, partitions)
+        return
     touched = target.where(reduce(Column.__or__, [_equals(row.asDict()) for row in rows]))
     merged = upsert(touched, staging, keys, tiebreak, null_safe)
     overwrite_partitions(merged, path, partitions)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, StructType
+
+from millrace.operators.reshape import column
 
 CORRUPT = "_corrupt_record"
 
@@ -35,10 +37,21 @@ def scan_json_gated(
         .option("multiLine", multi_line)
         .json(path)
     )
-    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = rows.where(F.col(CORRUPT).isNotNull()).select(
+    read = _always_read(schema)
+    good = rows.where(F.col(CORRUPT).isNull() & read).drop(CORRUPT)
+    bad = rows.where(F.col(CORRUPT).isNotNull() & read).select(
         F.col("_metadata.file_path").alias("path"),
         F.col(CORRUPT).alias("raw"),
-        F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields])).alias("salvaged"),
+        F.to_json(F.struct(*[column(f.name) for f in schema.fields])).alias("salvaged"),
     )
     return good, bad
+
+
+def _always_read(schema: StructType) -> Column:
+    """True for every row, and keeps one data column in the scan.
+
+    Spark refuses a scan that is cut down to the corrupt-record column, as a mere count of the
+    good or the bad rows would do.
+    """
+    simple = [f for f in schema.fields if isinstance(f.dataType, AtomicType)]
+    return F.xxhash64(column((simple or schema.fields)[0].name)) >= F.lit(-(2**63))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from millrace.operators.keyed import keep_one, upsert
 from millrace.operators.reshape import align
+from millrace.plans.partitions import upsert_partitions
 from millrace.plans.steps import Step, run_steps
 from millrace.sources.sinks import publish
 
@@ -57,11 +58,8 @@ def upsert_landed(
     batches disagree, the last one wins.
     """
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = run_steps(batch, *steps)
-        if rows.isEmpty():
-            return
+    def load(rows: DataFrame) -> None:
+        spark = rows.sparkSession
         if spark.catalog.tableExists(table):
             target = spark.table(table)
             merged = upsert(target, align(rows, target.schema), keys, tiebreak, null_safe)
@@ -69,8 +67,41 @@ def upsert_landed(
             merged = keep_one(rows, keys, tiebreak)
         publish(merged, table, folder=folder)
 
+    _run_available(stream, load, checkpoint, steps)
+
+
+def upsert_landed_partitions(
+    stream: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partitions: Sequence[str],
+    checkpoint: str,
+    tiebreak: Sequence[Column] = (),
+    null_safe: bool = False,
+    steps: Sequence[Step] = (),
+) -> None:
+    """As `upsert_landed`, into a folder partitioned by key columns.
+
+    A batch rewrites the partitions it has rows for, not the whole table: the form for small
+    batches and a large target.
+    """
+
+    def load(rows: DataFrame) -> None:
+        upsert_partitions(rows.sparkSession, path, rows, keys, partitions, tiebreak, null_safe)
+
+    _run_available(stream, load, checkpoint, steps)
+
+
+def _run_available(
+    stream: DataFrame, load: Callable[[DataFrame], None], checkpoint: str, steps: Sequence[Step]
+) -> None:
+    def take(batch: DataFrame, _batch_id: int) -> None:
+        rows = run_steps(batch, *steps)
+        if not rows.isEmpty():
+            load(rows)
+
     query = (
-        stream.writeStream.foreachBatch(load)
+        stream.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

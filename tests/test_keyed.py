@@ -1,0 +1,131 @@
+"""Keyed operators against an imperative UPDATE and INSERT, and their properties."""
+
+from collections import Counter
+
+import duckdb
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from millrace.operators import keyed as k
+
+SCHEMA = "a string, b int, v string, n int"
+KEYS = ["a", "b"]
+
+TARGET = [
+    ("x", 1, "old", 1), ("x", 1, "old too", 2), ("y", 2, "keep", 3), (None, 3, "null key", 4),
+    ("z", None, None, 5),
+]
+STAGED = [
+    ("x", 1, None, 10), ("x", 1, "loser", 9), ("w", 7, "fresh", 11), ("w", 7, "fresh loser", 8),
+    (None, 3, "null again", 12), ("z", None, "null b", 13),
+]
+
+
+def rows(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def imperative(target, staged, null_safe):
+    """What an UPDATE and then an INSERT statement make of the target."""
+    db = duckdb.connect()
+    for name, data in (("target", target), ("staged", staged)):
+        db.execute(f"CREATE TABLE {name} (a VARCHAR, b INTEGER, v VARCHAR, n INTEGER)")
+        if data:
+            db.executemany(f"INSERT INTO {name} VALUES (?, ?, ?, ?)", data)
+    same = "IS NOT DISTINCT FROM" if null_safe else "="
+    on = f"t.a {same} s.a AND t.b {same} s.b"
+    db.execute(
+        "CREATE TABLE one AS SELECT a, b, v, n FROM (SELECT *, row_number() OVER (PARTITION BY a, b "
+        "ORDER BY n DESC NULLS FIRST, v DESC NULLS FIRST) AS rn FROM staged) WHERE rn = 1"
+    )
+    db.execute(f"UPDATE target AS t SET a = s.a, b = s.b, v = s.v, n = s.n FROM one AS s WHERE {on}")
+    db.execute(
+        "INSERT INTO target SELECT s.* FROM one AS s "
+        f"WHERE NOT EXISTS (SELECT 1 FROM target t WHERE {on})"
+    )
+    return Counter(db.execute("SELECT a, b, v, n FROM target").fetchall())
+
+
+def frames(spark, target=TARGET, staged=STAGED):
+    return spark.createDataFrame(target, SCHEMA), spark.createDataFrame(staged, SCHEMA)
+
+
+def newest():
+    return [F.desc_nulls_first("n"), F.desc_nulls_first("v")]
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("unique_target", [False, True])
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_upsert_equals_statements(spark, conf, null_safe, unique_target, broadcast):
+    conf("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    target, staged = frames(spark)
+    merged = k.upsert(target, staged, KEYS, newest(), null_safe, unique_target)
+    assert rows(merged) == imperative(TARGET, STAGED, null_safe)
+
+
+CELL = st.tuples(
+    st.sampled_from(["x", "y", None]), st.sampled_from([1, 2, None]),
+    st.sampled_from(["p", "q", None]), st.integers(0, 3),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(CELL, max_size=12), st.lists(CELL, max_size=12), st.booleans(), st.booleans())
+def test_upsert_equals_statements_on_any_rows(spark, target, staged, null_safe, unique_target):
+    left, right = frames(spark, target, staged)
+    merged = k.upsert(left, right, KEYS, newest(), null_safe, unique_target)
+    assert rows(merged) == imperative(target, staged, null_safe)
+
+
+@pytest.mark.parametrize("target, staged", [([], STAGED), (TARGET, []), ([], [])])
+def test_upsert_with_an_empty_side(spark, target, staged):
+    merged = k.upsert(*frames(spark, target, staged), KEYS, newest())
+    assert rows(merged) == imperative(target, staged, False)
+
+
+def test_upsert_again_changes_nothing(spark):
+    target, staged = frames(spark)
+    once = k.upsert(target, staged, KEYS, newest(), null_safe=True)
+    assert rows(k.upsert(once, staged, KEYS, newest(), null_safe=True)) == rows(once)
+    whole = staged.dropna(subset=KEYS)
+    once = k.upsert(target, whole, KEYS, newest())
+    assert rows(k.upsert(once, whole, KEYS, newest())) == rows(once)
+
+
+def test_null_key_is_inserted_again(spark):
+    target, staged = frames(spark)
+    twice = k.upsert(k.upsert(target, staged, KEYS, newest()), staged, KEYS, newest())
+    assert twice.where("a is null and v = 'null again'").count() == 2
+
+
+def test_staging_columns_are_aligned(spark):
+    target, _ = frames(spark)
+    staged = spark.createDataFrame([(7, "w", "x")], "B int, A string, extra string")
+    assert ("w", 7, None, None) in rows(k.upsert(target, staged, KEYS))
+
+
+def test_keep_one_is_the_same_for_any_row_order(spark):
+    data = [("x", 1, v, n) for v in "abcdef" for n in (1, 2)] * 3
+    first = k.keep_one(spark.createDataFrame(data, SCHEMA).repartition(5), KEYS)
+    again = k.keep_one(spark.createDataFrame(data[::-1], SCHEMA).repartition(3), KEYS)
+    assert rows(first) == rows(again)
+    assert first.count() == 1
+
+
+def test_matched_and_new_rows_split_the_batch(spark):
+    target, staged = frames(spark)
+    matched, new = k.matched_rows(staged, target, KEYS), k.new_rows(staged, target, KEYS)
+    assert rows(matched) + rows(new) == rows(staged)
+    assert {r.a for r in matched.collect()} == {"x"}
+    safe = k.new_rows(staged, target, KEYS, null_safe=True)
+    assert {r.a for r in safe.collect()} == {"w"}
+
+
+def test_insert_new_keeps_the_target(spark):
+    target, staged = frames(spark)
+    result = k.insert_new(target, k.keep_one(staged, KEYS, newest()), KEYS)
+    assert not rows(target) - rows(result)
+    assert result.where("v = 'fresh'").count() == 1

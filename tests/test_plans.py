@@ -1,0 +1,105 @@
+"""Shape of the plans: what is shuffled, split, pushed down, and where Python runs."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import facts as f
+from millrace.operators import keyed as k
+from millrace.operators import workflow as w
+from millrace.queries import QUERIES
+from millrace.queries.corpus import corpus_facts
+
+SF = "/root/testdata/sf0.01"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def wide_rows(spark, n, key):
+    return spark.range(n).select(
+        key.alias("a"), (F.col("id") % 5).alias("b"), "id",
+        F.sha2(F.col("id").cast("string"), 512).alias("v"),
+    )
+
+
+def test_hot_target_key_is_split(spark, conf):
+    """A third of the target rows have one key: the update join divides that partition."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "200KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "32")
+    hot = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    target = wide_rows(spark, 60_000, hot).withColumn("b", F.lit(0))
+    staged = wide_rows(spark, 3_000, F.col("id")).withColumn("b", F.lit(0))
+    merged = k.upsert(target, staged, ["a", "b"], [F.desc("id")])
+    shown = final_plan(merged)
+    assert re.search(r"SortMergeJoin\(skew=true\).*LeftOuter", shown)
+    assert merged.count() == 60_000 + staged.join(target.select("a").distinct(), "a", "left_anti").count()
+
+
+def test_hot_staged_key_is_cut_before_the_shuffle(spark):
+    shown = plan(k.keep_one(wide_rows(spark, 100, F.floor(F.col("id") / 1000)), ["a"], [F.desc("id")]))
+    before_shuffle = shown[shown.index("Exchange hashpartitioning"):]
+    assert "WindowGroupLimit" in before_shuffle
+
+
+def test_upsert_shuffles_the_target_rows_once(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    shown = final_plan(QUERIES["upsert"].run(spark, SF))
+    wide = re.findall(r"Exchange hashpartitioning\(_left_key_hash", shown)
+    assert len(wide) == 1
+    assert "ReusedExchange" in shown  # the de-duplicated batch serves update and insert
+
+
+def test_small_batch_moves_no_target_rows(spark):
+    shown = final_plan(QUERIES["upsert"].run(spark, SF))
+    assert "_left_key_hash" not in "".join(re.findall(r"Exchange hashpartitioning\([^)]*\)", shown))
+    # The batch's keys cut the target's keys below the aggregation.
+    assert re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*HashAggregate[^\n]*\n[^\n]*BroadcastHashJoin[^\n]*LeftSemi", shown)
+
+
+def test_one_join_reads_the_target_once_for_the_join(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    shown = plan(QUERIES["upsert_one_join"].run(spark, SF))
+    assert shown.count("FullOuter") == 1
+    assert "LeftAnti" not in shown
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    shown = plan(QUERIES["new_rows"].run(spark, SF).select("o_custkey"))
+    assert "PushedFilters: [IsNotNull(o_orderdate)" in shown
+    narrow = plan(QUERIES["scalars"].run(spark, SF).select("p_partkey", "file"))
+    assert "ReadSchema: struct<p_partkey:bigint,p_brand:string,p_type:string>" in narrow
+
+
+def test_edges_need_no_shuffle(spark):
+    sources = spark.createDataFrame([("p", "a >> b")], "path string, source string")
+    assert "Exchange" not in plan(f.edges(f.facts(sources)))
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_python_only_where_text_is_parsed(spark, name):
+    """Python nodes: the source parse, once per plan, and the exact literal reader."""
+    if name.startswith("landing") or name in {"convert_sources", "publish_swap", "staging_replace"}:
+        pytest.skip("reads a table written by the query")
+    shown = plan(QUERIES[name].run(spark, "/root/testdata/sf0.001"))
+    parses, udfs = shown.count("MapInArrow"), shown.count("ArrowEvalPython")
+    assert "BatchEvalPython" not in shown
+    assert parses <= (2 if name == "sql_sources" else 1)  # two tables of sources there
+    assert udfs == (1 if name == "parse_list_exact" else 0)
+    assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
+
+
+def test_graph_and_specs_parse_once(spark):
+    graph = w.task_graph(corpus_facts(spark, "/root/testdata/sf0.001"))
+    for df in (w.workflow_spec(w.task_records(graph)), w.dangling_tasks(graph)):
+        assert plan(df).count("MapInArrow") == 1
