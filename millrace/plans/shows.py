@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from millrace.operators.keyed import upsert
 from millrace.operators.reshape import align, all_strings, cast_strings, explode_lists, flatten
@@ -38,7 +37,7 @@ _STATION = (
     "struct<id:bigint,name:string,"
     "country:struct<name:string,code:string,timezone:string>,officialSite:string>"
 )
-RECORD = StructType.fromDDL(
+RECORD = (
     "score double, show struct<id:bigint,url:string,name:string,type:string,language:string,"
     "genres:array<string>,status:string,runtime:bigint,averageRuntime:bigint,premiered:string,"
     "ended:string,officialSite:string,schedule:struct<time:string,days:array<string>>,"

@@ -23,13 +23,15 @@ def scan_json(
 
 
 def scan_json_gated(
-    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Good records, and the records that do not fit the schema with their raw text and file.
 
     The quarantined rows keep what could be read of them next to the text.
     """
-    gated = StructType(schema.fields).add(CORRUPT, "string")
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    gated = StructType([*schema.fields]).add(CORRUPT, "string")
     rows = (
         spark.read.schema(gated)
         .option("mode", "PERMISSIVE")
