@@ -20,13 +20,14 @@ import math
 import sys
 import warnings
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+KINDS = ("function", "assign", "task", "chain")
 FACT_SCHEMA = (
     "path string, kind string, pos int, name string, value string, form string, scope string, "
     "args map<string,string>, stages array<array<string>>"
@@ -46,6 +47,7 @@ _ARROW = pa.schema(
 )
 _BATCH_ROWS, _BATCH_CHARS = 4096, 8 << 20
 _BLOCKS = ("body", "handlers", "orelse", "finalbody", "cases")
+_encode = json.JSONEncoder(ensure_ascii=False).encode
 _UNREADABLE = (SyntaxError, ValueError, RecursionError, MemoryError)
 
 MODULE = "<module>"
@@ -55,23 +57,24 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def facts(
-    sources: DataFrame, with_bodies: bool = True, partitions: int | None = None
+    sources: DataFrame,
+    kinds: Collection[str] = KINDS,
+    with_bodies: bool = True,
 ) -> DataFrame:
     """One fact row per function, assignment, task, chain and error of every file.
 
-    ``with_bodies`` also reads chains inside ``with`` blocks. ``partitions`` spreads the files
-    first; needed only where a scan packs many of them into few partitions.
+    Only the ``kinds`` asked for are made, and errors. ``with_bodies`` also reads chains inside
+    ``with`` blocks. Files are parsed where the scan puts them: see `fill_cores` for a source
+    table that has few partitions.
     """
-    if partitions is not None:
-        sources = sources.repartition(partitions, "path")
-
+    wanted = frozenset(kinds)
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
         chars = 0
         for batch in batches:
             for path, source in zip(batch.column(0), batch.column(1), strict=True):
                 file = path.as_py()
-                for fact in _file_facts(source.as_py() or "", with_bodies):
+                for fact in _file_facts(source.as_py() or "", wanted, with_bodies):
                     rows.append({"path": file, **fact})
                     chars += len(fact.get("value") or "") + 64
                     if len(rows) >= _BATCH_ROWS or chars >= _BATCH_CHARS:
@@ -133,18 +136,21 @@ def errors(facts: DataFrame) -> DataFrame:
     return facts.where("kind = 'error'").select("path", "pos", F.col("value").alias("error"))
 
 
-def _file_facts(source: str, with_bodies: bool) -> list[dict]:
+def _file_facts(source: str, kinds: frozenset[str], with_bodies: bool) -> list[dict]:
+    found: list[dict] = []
     try:
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")
             tree = ast.parse(source)
-        return [
-            *_function_facts(tree),
-            *_assignment_facts(tree),
-            *_chain_facts(tree.body, with_bodies),
-        ]
+        if "function" in kinds:
+            found.extend(_function_facts(tree))
+        if "assign" in kinds or "task" in kinds:
+            found.extend(fact for fact in _assignment_facts(tree) if fact["kind"] in kinds)
+        if "chain" in kinds:
+            found.extend(_chain_facts(tree.body, with_bodies))
     except _UNREADABLE as problem:
         return [{"kind": "error", "value": _text(f"{type(problem).__name__}: {problem}")}]
+    return found
 
 
 def _inner_statements(node: ast.AST) -> list[ast.AST]:
@@ -269,9 +275,9 @@ def _key(value: object) -> str:
 
 
 def _json(value: object) -> str | None:
-    return None if value is None else _text(json.dumps(value, ensure_ascii=False))
+    return None if value is None else _text(_encode(value))
 
 
 def _text(text: str) -> str:
     """Text that UTF-8 can hold: lone surrogates as escapes."""
-    return text.encode("utf-8", "backslashreplace").decode("utf-8")
+    return text if text.isascii() else text.encode("utf-8", "backslashreplace").decode("utf-8")

@@ -16,7 +16,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import (
+    ArrayType,
+    AtomicType,
+    DataType,
+    NullType,
+    StructType,
+    VariantType,
+)
 
 from millrace.operators.reshape import align, column
 
@@ -34,13 +41,21 @@ def keep_one(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[Column] = ()
     rest = [
         column(f.name).desc_nulls_first()
         for f in df.schema.fields
-        if f.name not in keys and not isinstance(f.dataType, (MapType, VariantType))
+        if f.name not in keys and _orderable(f.dataType)
     ]
     order = [*tiebreak, *rest] or [F.lit(1)]
     ranked = F.row_number().over(Window.partitionBy(*map(column, keys)).orderBy(*order))
     return df.withColumn("_rn", ranked).where("_rn = 1").drop("_rn")
 
 
+def _orderable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_orderable(field.dataType) for field in kind.fields)
+    return isinstance(kind, (AtomicType, NullType)) and not isinstance(kind, VariantType)
+
+
 def matched_rows(
     staging: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:

@@ -25,9 +25,7 @@ class Converted:
     errors: DataFrame
 
 
-def convert(
-    sources: DataFrame, base: str = "", partitions: int | None = None, path: str | None = None
-) -> Converted:
+def convert(sources: DataFrame, base: str = "", path: str | None = None) -> Converted:
     """All results from one parse of ``(path, source)``.
 
     The facts are written once, to ``path`` or below the shared folder, split by kind: every
@@ -35,7 +33,7 @@ def convert(
     """
     spark = sources.sparkSession
     place = path or work_path(spark, "facts")
-    f.facts(sources, partitions=partitions).write.mode("overwrite").partitionBy("kind").parquet(place)
+    f.facts(sources).write.mode("overwrite").partitionBy("kind").parquet(place)
     rows = spark.read.schema(f.FACT_SCHEMA).parquet(place)
     graph = w.task_graph(rows)
     records = w.task_records(graph)

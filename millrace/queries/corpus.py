@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from millrace.operators import facts as f
 from millrace.operators import groups as g
 from millrace.operators import workflow as w
-from millrace.queries.registry import query, spread, table
+from millrace.queries.registry import query, table
+from millrace.session import fill_cores
 
 _HEAD = """from datetime import datetime
 owner = '%1$s'
@@ -68,11 +69,11 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(path, source)``. The narrow part rows are spread, not the texts made from them."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     path = F.format_string("parts/%d.py", "p_partkey")
-    return spread(spark, parts, "p_partkey").select(path.alias("path"), _source().alias("source"))
+    return fill_cores(parts, "p_partkey").select(path.alias("path"), _source().alias("source"))
 
 
-def corpus_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return f.facts(sources(spark, sf_dir))
+def corpus_facts(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    return f.facts(sources(spark, sf_dir), kinds or f.KINDS)
 
 
 _FILES = f"""
@@ -123,7 +124,7 @@ UNION ALL
 SELECT path, 1, 'load_data', 'def load_data(self):' || chr(10) || '    return ''' || p_brand || ''''
 FROM files""")
 def corpus_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return f.functions(corpus_facts(spark, sf_dir))
+    return f.functions(corpus_facts(spark, sf_dir, "function"))
 
 
 _DEFAULTS = """'{"owner": "owner", "start_date": "datetime(2024, 1, 1)", "retries": ' || p_size || ', "late": null}'"""
@@ -137,12 +138,12 @@ UNION ALL SELECT path, 'note', 'local', 'str', 'call_api', 7 + p_size, 1 FROM fi
 UNION ALL SELECT path, 'default_args', {_DEFAULTS}, 'dict', '<module>', 2, 2 FROM files""")
 def corpus_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last assignment of each name counts: here one inside a function."""
-    return g.last_value(f.assignments(corpus_facts(spark, sf_dir)), ["path", "name"], "pos")
+    return g.last_value(f.assignments(corpus_facts(spark, sf_dir, "assign")), ["path", "name"], "pos")
 
 
 @query(f"WITH {_FILES}, {_TASKS} SELECT path, pos, task, operator FROM tasks")
 def corpus_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return f.tasks(corpus_facts(spark, sf_dir)).select("path", "pos", "task", "operator")
+    return f.tasks(corpus_facts(spark, sf_dir, "task")).select("path", "pos", "task", "operator")
 
 
 @query(f"""
@@ -158,13 +159,13 @@ UNION ALL SELECT path, 'alone', unnest(['task_id', 'params', 'key']),
 UNION ALL SELECT path, 'end', unnest(['task_id', 'flag']), unnest(['"end"', NULL]) FROM files""")
 def corpus_args(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resolved arguments as JSON text; NULL for expressions that are no literal."""
-    rows = f.tasks(corpus_facts(spark, sf_dir))
+    rows = f.tasks(corpus_facts(spark, sf_dir, "task"))
     return rows.select("path", "task", F.explode("args").alias("name", "value"))
 
 
 @query(f"WITH {_FILES}, {_EDGES} SELECT * FROM edges")
 def corpus_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return f.edges(corpus_facts(spark, sf_dir))
+    return f.edges(corpus_facts(spark, sf_dir, "chain"))
 
 
 @query(f"""
@@ -176,12 +177,12 @@ WHERE p_type = 'MEDIUM'""")
 def corpus_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that do not parse, and chains that cannot be read, as rows."""
     problem = F.split_part("error", F.lit(":"), F.lit(1)).alias("problem")
-    return f.errors(corpus_facts(spark, sf_dir)).select("path", "pos", problem)
+    return f.errors(corpus_facts(spark, sf_dir, "chain")).select("path", "pos", problem)
 
 
 @query(f"WITH {_FILES}, {_EDGES}, {_DEPS} SELECT * FROM deps")
 def depends_on(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deps = g.depends_on(f.edges(corpus_facts(spark, sf_dir)))
+    deps = g.depends_on(f.edges(corpus_facts(spark, sf_dir, "chain")))
     return deps.withColumn("depends_on", F.array_join("depends_on", ","))
 
 
@@ -191,7 +192,7 @@ FROM tasks t {how} JOIN deps d ON d.path = t.path AND d.task = t.task"""
 
 
 def _records(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
-    rows = w.task_records(w.task_graph(corpus_facts(spark, sf_dir)), how)
+    rows = w.task_records(w.task_graph(corpus_facts(spark, sf_dir, "task", "chain")), how)
     return rows.drop("args").withColumn("depends_on", F.array_join("depends_on", ","))
 
 
@@ -207,7 +208,7 @@ def task_records_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_FILES} SELECT path, 'ghost' AS task FROM files WHERE p_type = 'MEDIUM'")
 def dangling_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return w.dangling_tasks(w.task_graph(corpus_facts(spark, sf_dir)))
+    return w.dangling_tasks(w.task_graph(corpus_facts(spark, sf_dir, "task", "chain")))
 
 
 _TARGET = """CASE t.operator WHEN 'PythonOperator' THEN ',"target":"jobs/call_api"'
@@ -229,7 +230,7 @@ SELECT path, '{{"name":"' || replace(replace(path, 'parts/', ''), '.py', '')
        || string_agg(js, ',' ORDER BY pos) || ']}}' AS spec_json
 FROM parts GROUP BY path""")
 def workflow_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    graph = w.task_graph(corpus_facts(spark, sf_dir))
+    graph = w.task_graph(corpus_facts(spark, sf_dir, "task", "chain"))
     return w.workflow_spec(w.task_records(graph), base="jobs/")
 
 
@@ -250,7 +251,7 @@ SELECT path, 1, 'load_data', {_text(w.IMPORTS)} || {_ASSIGNED}
        || 'def load_data(self):' || chr(10) || '    return ''' || p_brand || '''' || chr(10) || 'load_data()'
 FROM files""")
 def rendered_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return w.rendered_sources(corpus_facts(spark, sf_dir))
+    return w.rendered_sources(corpus_facts(spark, sf_dir, "function", "assign"))
 
 
 @query(f"""
@@ -259,7 +260,7 @@ SELECT path, 'owner = ''' || p_brand || '''' || chr(10) || 'note = ''' || p_name
 FROM files""")
 def assignment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Module-level texts of a file as lines."""
-    rows = f.assignments(corpus_facts(spark, sf_dir), module_only=True).where("kind = 'str'")
+    rows = f.assignments(corpus_facts(spark, sf_dir, "assign"), module_only=True).where("kind = 'str'")
     line = w.assignment_line(F.col("name"), F.col("value"), F.col("kind"))
     return g.join_lines(rows, ["path"], "pos", line, "lines")
 
@@ -271,7 +272,7 @@ def sql_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL of SQL tasks; whole documents and web pages stand in for it."""
 
     def files(name: str, key: str, text: str) -> DataFrame:
-        rows = spread(spark, table(spark, sf_dir, name).select(key, text), key)
+        rows = fill_cores(table(spark, sf_dir, name).select(key, text), key)
         code = w.assignment_line(F.lit("sql"), F.col(text), F.lit("str"))
         return rows.select(
             F.concat(F.lit(f"{name}/"), F.col(key).cast("string")).alias("path"),
@@ -279,4 +280,4 @@ def sql_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     both = files("documents", "doc_id", "text").unionByName(files("pages", "page_id", "html"))
-    return w.sql_sources(w.task_records(w.task_graph(f.facts(both))))
+    return w.sql_sources(w.task_records(w.task_graph(f.facts(both, ["task"]))))

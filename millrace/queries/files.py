@@ -67,8 +67,7 @@ def csv_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT DISTINCT 'lang=' || lang AS folder, true AS has_bytes FROM documents")
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "listing")
-    by_lang = table(spark, sf_dir, "documents").select("lang", "text")
-    by_lang.hint("rebalance", "lang").write.partitionBy("lang").text(path)
+    sinks.write_text_by(table(spark, sf_dir, "documents"), "text", ["lang"], path)
     listed = files.file_listing(spark, f"{path}/lang=*", "*.txt")
     return listed.groupBy(F.regexp_extract("path", "(lang=[^/]+)/", 1).alias("folder")).agg(
         (F.min("length") > 0).alias("has_bytes")
@@ -87,8 +86,7 @@ def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
     nations = table(spark, sf_dir, "nation").join(counts, F.col("n_nationkey") == F.col("c_nationkey"))
     code = F.format_string("def load_%s():\n  return %d  # rows", F.lower("n_name"), "n")
-    texts = nations.select("n_name", code.alias("value"))
-    texts.repartition("n_name").write.partitionBy("n_name").text(path)
+    sinks.write_text_by(nations.select("n_name", code.alias("code")), "code", ["n_name"], path)
     found = f.functions(f.facts(files.source_files(spark, f"{path}/n_name=*", "*.txt")))
     return found.select(F.regexp_extract("path", "n_name=([^/]+)/", 1).alias("name"), "source")
 

@@ -30,11 +30,3 @@ def query(sql: str | None) -> Callable:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-
-def spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
-    """Rows spread by ``key`` over the session's shuffle partitions.
-
-    For narrow rows that are about to become costly ones; the number is the one the cluster
-    sizes all its shuffles by.
-    """
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)

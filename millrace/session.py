@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str | int = "*", name: str = "millrace", **conf: str) -> SparkSession:
@@ -44,3 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
+
+
+def fill_cores(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread rows ahead of costly per-row work where a scan yields fewer partitions than cores.
+
+    A table of some size has more partitions than that and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

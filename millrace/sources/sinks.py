@@ -25,6 +25,17 @@ def write_text(df: DataFrame, value: str, path: str) -> None:
     df.select(column(value).cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
+def write_text_by(df: DataFrame, value: str, by: Sequence[str], path: str) -> None:
+    """One text column to a folder per ``by`` value, ``path/name=value``; a large one is spread."""
+    (
+        df.select(column(value).cast("string").alias("value"), *map(column, by))
+        .hint("rebalance", *by)
+        .write.mode("overwrite")
+        .partitionBy(*by)
+        .text(path)
+    )
+
+
 def replace_stage(df: DataFrame, table: str, path: str | None = None) -> None:
     """Replace a staging table in one step: there is no moment with an emptied table.
 

@@ -96,9 +96,12 @@ def _run_available(
     stream: DataFrame, load: Callable[[DataFrame], None], checkpoint: str, steps: Sequence[Step]
 ) -> None:
     def take(batch: DataFrame, _batch_id: int) -> None:
-        rows = run_steps(batch, *steps)
-        if not rows.isEmpty():
-            load(rows)
+        rows = run_steps(batch, *steps).persist()  # read several times by a load
+        try:
+            if not rows.isEmpty():
+                load(rows)
+        finally:
+            rows.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(take)
