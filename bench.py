@@ -15,7 +15,7 @@ from millrace.queries import QUERIES
 from millrace.session import local_session
 
 HEADLINE = (
-    "upsert,upsert_one_join,upsert_null_safe,upsert_lineitem,dedup_keyed,update_from,insert_new,"
+    "upsert,replace_by_key,upsert_null_safe,upsert_lineitem,dedup_keyed,update_from,insert_new,"
     "explode_lists,parse_list_text,json_flatten,json_scan,json_gate,csv_folder,publish_swap,"
     "stage_edges,stage_depends_on,scalars,base64_text,corpus_edges,depends_on,workflow_specs,"
     "rendered_sources,sql_sources,landing_upsert"

@@ -81,9 +81,9 @@ def update_from(
     ``staged`` holds one row per key and the target's columns. A staged NULL overwrites.
     """
     if null_safe:
-        return _take_staged(target, staged, keys, "left", True)
+        return _take_staged(target, staged, keys, True)
     keyed, keyless = _split_null_keys(target, keys)
-    updated = _take_staged(keyed, _split_null_keys(staged, keys)[0], keys, "left", False)
+    updated = _take_staged(keyed, _split_null_keys(staged, keys)[0], keys, False)
     return _union(updated, keyless)
 
 
@@ -100,34 +100,50 @@ def upsert(
     keys: Sequence[str],
     tiebreak: Sequence[Column] = (),
     null_safe: bool = False,
-    unique_target: bool = False,
 ) -> DataFrame:
     """Next version of ``target``: matched rows updated, new keys inserted once.
 
-    ``unique_target`` states that the target has at most one row per (non-NULL) key. Then one
-    full outer join does both steps, with a single scan and shuffle of the target. The result
-    is right either way; a hot target key would only make that join slow.
+    A full outer join would do both in one step, but cannot be split at a hot target key, nor
+    broadcast. See `replace_by_key` for a target with one row per key.
     """
     staging = align(staging, target.schema)
     staged = keep_one(staging, keys, tiebreak)
-    if null_safe and unique_target:
-        return _take_staged(target, staged, keys, "full_outer", True)
     if null_safe:
-        updated = _take_staged(target, staged, keys, "left", True)
+        updated = _take_staged(target, staged, keys, True)
         present = _present_keys(target, staging, keys, True)
         return _union(updated, _hash_join(staged, present, keys, "left_anti", True))
     # The same filter on both uses of the staged rows lets Spark reuse their exchange.
     staged, fresh_keyless = _split_null_keys(staged, keys)
     keyed, keyless = _split_null_keys(target, keys)
-    if unique_target:
-        merged = _take_staged(keyed, staged, keys, "full_outer", False)
-        return _union(merged, keyless, fresh_keyless)
-    updated = _take_staged(keyed, staged, keys, "left", False)
+    updated = _take_staged(keyed, staged, keys, False)
     present = _present_keys(keyed, staging, keys, False)
     fresh = staged.join(present, list(keys), "left_anti")
     return _union(updated, keyless, fresh, fresh_keyless)
 
 
+def replace_by_key(
+    target: DataFrame,
+    staging: DataFrame,
+    keys: Sequence[str],
+    tiebreak: Sequence[Column] = (),
+    null_safe: bool = False,
+) -> DataFrame:
+    """Upsert for a target with one row per key, such as a table that upserts built up.
+
+    An update sets every column, so the result is the target rows whose key is not staged, plus
+    the staged rows. The target is read once and meets the batch's keys only: batches of some
+    million rows leave it unshuffled where Spark may broadcast that much key data. If the target
+    has a key twice, a staged row replaces all its rows by one.
+    """
+    staging = align(staging, target.schema)
+    staged = keep_one(staging, keys, tiebreak)
+    wanted = _key_set(staging, keys)
+    if null_safe:
+        return _union(_hash_join(target, wanted, keys, "left_anti", True), staged)
+    keyed, keyless = _split_null_keys(target, keys)
+    return _union(_hash_join(keyed, wanted, keys, "left_anti", False), keyless, staged)
+
+
 def _key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*map(column, keys)).distinct()
 
@@ -162,12 +178,12 @@ def _union(first: DataFrame, *others: DataFrame | None) -> DataFrame:
 
 
 def _take_staged(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], how: str, null_safe: bool
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], null_safe: bool
 ) -> DataFrame:
     side = staged.select(
         *[column(c).alias(_STAGED + c) for c in target.columns], F.lit(True).alias(_HIT)
     )
-    joined = _hash_join(target, side, keys, how, null_safe, prefix=_STAGED)
+    joined = _hash_join(target, side, keys, "left", null_safe, prefix=_STAGED)
     return joined.select(
         *[
             F.when(column(_HIT), column(_STAGED + c)).otherwise(column(c)).alias(c)

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.keyed import keep_one, upsert
+from millrace.operators.keyed import keep_one, replace_by_key, upsert
 from millrace.operators.reshape import column
 from millrace.sources.sinks import overwrite_partitions
 
@@ -22,6 +22,7 @@ def upsert_partitions(
     partitions: Sequence[str],
     tiebreak: Sequence[Column] = (),
     null_safe: bool = False,
+    unique_target: bool = False,
 ) -> None:
     """Keyed upsert where the partition columns are part of the key.
 
@@ -29,6 +30,7 @@ def upsert_partitions(
     and the write are cut to the partitions the batch has. Their values are read to the driver:
     they are directory names, which the driver lists anyway. Files of those partitions are
     replaced when the job commits. A path that is not there yet is created.
+    ``unique_target`` states that the folder has one row per key.
     """
     if not set(partitions) <= set(keys):
         raise ValueError("partition columns must be key columns")
@@ -43,7 +45,8 @@ def upsert_partitions(
         overwrite_partitions(keep_one(staging, keys, tiebreak), path, partitions)
         return
     touched = target.where(reduce(Column.__or__, [_equals(row.asDict()) for row in rows]))
-    merged = upsert(touched, staging, keys, tiebreak, null_safe)
+    merge = replace_by_key if unique_target else upsert
+    merged = merge(touched, staging, keys, tiebreak, null_safe)
     overwrite_partitions(merged, path, partitions)
 
 

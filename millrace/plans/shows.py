@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from millrace.operators.keyed import upsert
+from millrace.operators.keyed import replace_by_key, upsert
 from millrace.operators.reshape import align, all_strings, cast_strings, explode_lists, flatten
 from millrace.plans.steps import run_steps
 from millrace.sources.records import scan_json_gated
@@ -66,13 +66,15 @@ def load_shows(
     table: str,
     tiebreak: Sequence[Column] = (),
     null_safe: bool = False,
+    unique_target: bool = False,
     quarantine: str | None = None,
     folder: str | None = None,
 ) -> str | None:
     """Read landed records, stage them, upsert and publish ``table``.
 
     Returns the version published. None if no record could be read: then neither the stage
-    nor the table changes. Unreadable records are appended to ``quarantine``.
+    nor the table changes. Unreadable records are appended to ``quarantine``. ``unique_target``
+    states that the table has one row per key, which holds if only this load writes it.
     """
     good, bad = scan_json_gated(spark, landing, RECORD)
     if quarantine is not None:
@@ -83,5 +85,6 @@ def load_shows(
         return None
     if not spark.catalog.tableExists(table):
         publish(spark.createDataFrame([], all_strings(COLUMNS)), table, folder=folder)
-    merged = upsert(spark.table(table), spark.table(stage), KEYS, tiebreak, null_safe)
+    merge = replace_by_key if unique_target else upsert
+    merged = merge(spark.table(table), spark.table(stage), KEYS, tiebreak, null_safe)
     return publish(merged, table, folder=folder)

@@ -101,11 +101,6 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return k.upsert(*split_orders(spark, sf_dir), KEYS, tiebreak())
 
 
-@query(UPSERT_SQL)
-def upsert_one_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return k.upsert(*split_orders(spark, sf_dir), KEYS, tiebreak(), unique_target=True)
-
-
 @query(_sql(f"{_UPDATED} UNION ALL {_FRESH}", priority=_MISSING))
 def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One key column is NULL in a fifth of the rows: those never match and are inserted."""
@@ -119,6 +114,21 @@ def upsert_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return k.upsert(_keyless(target), _keyless(batch), KEYS, tiebreak(), null_safe=True)
 
 
+_ONE_EACH = """
+SELECT * FROM staged UNION ALL
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY o_totalprice DESC, o_orderkey) AS rn
+  FROM target) AS t
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM staged s WHERE {{same}})"""
+
+
+@query(_sql(_ONE_EACH.format(keys=_KEYS)))
+def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert into a target with one row per key."""
+    target, batch = split_orders(spark, sf_dir)
+    return k.replace_by_key(k.keep_one(target, KEYS, tiebreak()), batch, KEYS, tiebreak())
+
+
 _LINE_SAME = " AND ".join(f"s.{c} = t.{c}" for c in LINE_KEYS)
 
 

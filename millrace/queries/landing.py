@@ -58,7 +58,7 @@ def landing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.write.mode("append").option("header", True).csv(f"{base}/in")
         upsert_landed_partitions(
             landed_files(spark, f"{base}/in", rows.schema), f"{base}/table", KEYS,
-            ["o_orderpriority"], f"{base}/checkpoint", tiebreak(),
+            ["o_orderpriority"], f"{base}/checkpoint", tiebreak(), unique_target=True,
         )
     return spark.read.schema(rows.schema).parquet(f"{base}/table").select(*rows.columns)
 

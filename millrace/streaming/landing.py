@@ -7,8 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from millrace.operators.keyed import keep_one, upsert
-from millrace.operators.reshape import align
+from millrace.operators.keyed import keep_one, replace_by_key, upsert
 from millrace.plans.partitions import upsert_partitions
 from millrace.plans.steps import Step, run_steps
 from millrace.sources.sinks import publish
@@ -48,6 +47,7 @@ def upsert_landed(
     checkpoint: str,
     tiebreak: Sequence[Column] = (),
     null_safe: bool = False,
+    unique_target: bool = False,
     steps: Sequence[Step] = (),
     folder: str | None = None,
 ) -> None:
@@ -55,14 +55,16 @@ def upsert_landed(
 
     The checkpoint remembers consumed files. A batch that is run again after a failure changes
     nothing: its rows are already in the table (NULL keys need ``null_safe`` for that). Where
-    batches disagree, the last one wins.
+    batches disagree, the last one wins. ``unique_target`` states that the table has one row per
+    key, which holds if only these runs write it.
     """
 
     def load(rows: DataFrame) -> None:
         spark = rows.sparkSession
         if spark.catalog.tableExists(table):
             target = spark.table(table)
-            merged = upsert(target, align(rows, target.schema), keys, tiebreak, null_safe)
+            merge = replace_by_key if unique_target else upsert
+            merged = merge(target, rows, keys, tiebreak, null_safe)
         else:
             merged = keep_one(rows, keys, tiebreak)
         publish(merged, table, folder=folder)
@@ -78,6 +80,7 @@ def upsert_landed_partitions(
     checkpoint: str,
     tiebreak: Sequence[Column] = (),
     null_safe: bool = False,
+    unique_target: bool = False,
     steps: Sequence[Step] = (),
 ) -> None:
     """As `upsert_landed`, into a folder partitioned by key columns.
@@ -87,7 +90,9 @@ def upsert_landed_partitions(
     """
 
     def load(rows: DataFrame) -> None:
-        upsert_partitions(rows.sparkSession, path, rows, keys, partitions, tiebreak, null_safe)
+        upsert_partitions(
+            rows.sparkSession, path, rows, keys, partitions, tiebreak, null_safe, unique_target
+        )
 
     _run_available(stream, load, checkpoint, steps)
 

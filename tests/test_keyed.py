@@ -57,12 +57,11 @@ def newest():
 
 
 @pytest.mark.parametrize("null_safe", [False, True])
-@pytest.mark.parametrize("unique_target", [False, True])
 @pytest.mark.parametrize("broadcast", ["-1", "10MB"])
-def test_upsert_equals_statements(spark, conf, null_safe, unique_target, broadcast):
+def test_upsert_equals_statements(spark, conf, null_safe, broadcast):
     conf("spark.sql.autoBroadcastJoinThreshold", broadcast)
     target, staged = frames(spark)
-    merged = k.upsert(target, staged, KEYS, newest(), null_safe, unique_target)
+    merged = k.upsert(target, staged, KEYS, newest(), null_safe)
     assert rows(merged) == imperative(TARGET, STAGED, null_safe)
 
 
@@ -73,10 +72,19 @@ CELL = st.tuples(
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(CELL, max_size=12), st.lists(CELL, max_size=12), st.booleans(), st.booleans())
-def test_upsert_equals_statements_on_any_rows(spark, target, staged, null_safe, unique_target):
+@given(st.lists(CELL, max_size=12), st.lists(CELL, max_size=12), st.booleans())
+def test_upsert_equals_statements_on_any_rows(spark, target, staged, null_safe):
     left, right = frames(spark, target, staged)
-    merged = k.upsert(left, right, KEYS, newest(), null_safe, unique_target)
+    merged = k.upsert(left, right, KEYS, newest(), null_safe)
+    assert rows(merged) == imperative(target, staged, null_safe)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(CELL, max_size=12), st.lists(CELL, max_size=12), st.booleans())
+def test_replace_by_key_equals_statements_on_unique_keys(spark, target, staged, null_safe):
+    target = list({row[:2]: row for row in target}.values())
+    left, right = frames(spark, target, staged)
+    merged = k.replace_by_key(left, right, KEYS, newest(), null_safe)
     assert rows(merged) == imperative(target, staged, null_safe)
 
 

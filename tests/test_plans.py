@@ -67,11 +67,28 @@ def test_small_batch_moves_no_target_rows(spark):
     assert re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*HashAggregate[^\n]*\n[^\n]*BroadcastHashJoin[^\n]*LeftSemi", shown)
 
 
-def test_one_join_reads_the_target_once_for_the_join(spark, conf):
+def test_replace_by_key_moves_no_target_rows_if_the_keys_fit(spark, conf):
+    """The batch's rows are too large to broadcast, its keys are not."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "600KB")
+    target = wide_rows(spark, 50_000, F.col("id")).select("a", "b", "id", "v")
+    staged = wide_rows(spark, 5_000, F.col("id") * 3).select("a", "b", "id", "v")
+    shown = final_plan(k.replace_by_key(target, staged, ["a", "b"], [F.desc("id")]))
+    assert re.search(r"BroadcastHashJoin[^\n]*LeftAnti", shown)
+    assert "_left_key_hash" not in "".join(re.findall(r"Exchange hashpartitioning\([^)]*\)", shown))
+
+
+def test_hot_staged_key_is_split_when_matched(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    shown = plan(QUERIES["upsert_one_join"].run(spark, SF))
-    assert shown.count("FullOuter") == 1
-    assert "LeftAnti" not in shown
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "200KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "32")
+    hot = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    staged = wide_rows(spark, 60_000, hot).withColumn("b", F.lit(0))
+    target = wide_rows(spark, 3_000, F.col("id")).withColumn("b", F.lit(0))
+    matched = k.matched_rows(staged, target, ["a", "b"])
+    assert re.search(r"SortMergeJoin\(skew=true\).*LeftSemi", final_plan(matched))
+    assert matched.count() == 20_000 + 2_000
 
 
 def test_filters_and_columns_reach_the_scan(spark):
