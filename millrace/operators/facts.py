@@ -242,19 +242,17 @@ def _chain_stages(node: ast.expr) -> list[list[str]] | None:
 def _literal(node: ast.expr | None, otherwise: Callable[[ast.expr | None], object]) -> object:
     """JSON value of a literal; ``otherwise`` decides on every other expression."""
     match node:
+        case ast.Constant(value=value):
+            plain = isinstance(value, (str, int)) and not isinstance(value, bool)
+            finite = isinstance(value, float) and math.isfinite(value)
+            return value if plain or finite else otherwise(node)
+        case ast.Name(id=name):
+            return name
         case ast.Dict(keys=keys, values=values):
             pairs = zip(keys, values, strict=True)
             return {_key(_literal(k, otherwise)): _literal(v, otherwise) for k, v in pairs}
         case ast.List(elts=items) | ast.Tuple(elts=items):
             return [_literal(item, otherwise) for item in items]
-        case ast.Constant(value=bool()):
-            return otherwise(node)
-        case ast.Constant(value=str() | int() as value):
-            return value
-        case ast.Constant(value=float() as value) if math.isfinite(value):
-            return value
-        case ast.Name(id=name):
-            return name
         case ast.Subscript(value=ast.Name(id="DATA_SETS"), slice=ast.Constant(value=str() as key)):
             return f"{{DATA_SETS['{key}']}}"
         case _:
