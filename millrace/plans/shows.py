@@ -80,8 +80,7 @@ def load_shows(
     if quarantine is not None:
         bad.write.mode("append").parquet(quarantine)
     stage = f"{table}_stage"
-    place = None if folder is None else f"{folder}/{stage}"
-    if not replace_stage_if_any(stage_shows(good), stage, place):
+    if not replace_stage_if_any(stage_shows(good), stage, folder):
         return None
     if not spark.catalog.tableExists(table):
         publish(spark.createDataFrame([], all_strings(COLUMNS)), table, folder=folder)

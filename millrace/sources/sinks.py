@@ -1,4 +1,8 @@
-"""Sinks. None of them empties a target before the new data is written."""
+"""Sinks.
+
+The file sinks replace their folder the way Spark does: old files go when the write starts. Tables
+that readers depend on, the stage among them, are published as versions instead.
+"""
 
 from __future__ import annotations
 
@@ -36,22 +40,19 @@ def write_text_by(df: DataFrame, value: str, by: Sequence[str], path: str) -> No
     )
 
 
-def replace_stage(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Replace a staging table in one step: there is no moment with an emptied table.
+def replace_stage(df: DataFrame, table: str, folder: str | None = None) -> None:
+    """Replace a staging table: published like any table, without keeping the version before.
 
-    ``path`` makes it a table over that folder instead of one in the warehouse.
+    Overwriting a table in place would drop it first, and a failed write would leave nothing.
     """
-    writer = df.write.mode("overwrite").format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    publish(df, table, keep=1, folder=folder)
 
 
-def replace_stage_if_any(df: DataFrame, table: str, path: str | None = None) -> bool:
+def replace_stage_if_any(df: DataFrame, table: str, folder: str | None = None) -> bool:
     """Replace the staging table only if there is a row; else leave it untouched."""
     if df.isEmpty():
         return False
-    replace_stage(df, table, path)
+    replace_stage(df, table, folder)
     return True
 
 

@@ -89,6 +89,17 @@ def test_empty_load_leaves_the_stage(spark):
     assert rows(spark.table("stage_t")) == Counter([(1,)])
 
 
+def test_failed_load_leaves_the_stage(spark):
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    sinks.replace_stage(df, "stage_f")
+    broken = df.select(F.when(F.col("id") == 2, F.raise_error(F.lit("stop")).cast("int")).otherwise(7).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_stage(broken, "stage_f")
+    assert rows(spark.table("stage_f")) == Counter([(1,), (2,)])
+    sinks.replace_stage(df.where("id = 2"), "stage_f")
+    assert rows(spark.table("stage_f")) == Counter([(2,)])
+
+
 def test_upsert_partitions_rewrites_only_what_it_touches(spark, tmp_path):
     path = str(tmp_path / "t")
     target = spark.createDataFrame([("d1", 1, "a"), ("d2", 1, "b"), (None, 1, "n")], "day string, id int, v string")
