@@ -65,6 +65,37 @@ def node_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.node_set(_day_edges(spark, sf_dir), by=["user_id"])
 
 
+_KNOWN = "known AS (SELECT DISTINCT user_id, event_type AS task FROM events WHERE event_type <> 'error')"
+
+
+def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task rows: the event types of a user, without errors."""
+    events = table(spark, sf_dir, "events").where("event_type <> 'error'")
+    return events.select("user_id", F.col("event_type").alias("task")).distinct()
+
+
+@query(f"""
+WITH {_STAGES}, {_KNOWN}
+SELECT k.user_id, k.task, coalesce(d.ups, '') AS depends_on FROM known k LEFT JOIN (
+  SELECT user_id, downstream AS task, string_agg(DISTINCT upstream, ',' ORDER BY upstream) AS ups
+  FROM edges GROUP BY user_id, downstream) AS d ON d.user_id = k.user_id AND d.task = k.task""")
+def joined_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task rows joined with their dependencies, roots with an empty list."""
+    deps = g.depends_on(_day_edges(spark, sf_dir), by=["user_id"], distinct=True)
+    joined = g.with_dependencies(_known(spark, sf_dir), deps, by=["user_id"])
+    return joined.withColumn("depends_on", F.array_join("depends_on", ","))
+
+
+@query(f"""
+WITH {_STAGES}, {_KNOWN},
+nodes AS (SELECT user_id, upstream AS task FROM edges UNION SELECT user_id, downstream FROM edges)
+SELECT * FROM nodes n WHERE NOT EXISTS (
+  SELECT 1 FROM known k WHERE k.user_id = n.user_id AND k.task = n.task)""")
+def dangling_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ends of edges without a task row."""
+    return g.dangling(_day_edges(spark, sf_dir), _known(spark, sf_dir), by=["user_id"])
+
+
 @query("""
 SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(props, event_id) AS props,
        max(event_id) AS event_id, min(event_id) AS first_pos

@@ -5,10 +5,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.plans.shows import load_shows
 from millrace.queries.keyed import KEYS, split_orders, tiebreak
-from millrace.queries.registry import query
+from millrace.queries.registry import query, table
 from millrace.session import work_path
+from millrace.sources.sinks import write_text
 from millrace.streaming.landing import landed_files, upsert_landed, upsert_landed_partitions
 
 _ROWS = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"
@@ -17,7 +20,7 @@ _ROWS = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FRO
 def _land(spark: SparkSession, sf_dir: str, after: str) -> tuple[str, str]:
     """Table loaded by two runs, and the archive folder."""
     base = work_path(spark, "landing")
-    table = f"millrace_landed_{uuid.uuid4().hex[:8]}"
+    name = f"millrace_landed_{uuid.uuid4().hex[:8]}"
     for rows in split_orders(spark, sf_dir):
         rows.write.mode("append").option("header", True).csv(f"{base}/in")
         stream = landed_files(
@@ -25,9 +28,9 @@ def _land(spark: SparkSession, sf_dir: str, after: str) -> tuple[str, str]:
             archive=f"{base}/done" if after == "archive" else None,
         )
         upsert_landed(
-            stream, table, KEYS, f"{base}/checkpoint", tiebreak(), folder=f"{base}/versions"
+            stream, name, KEYS, f"{base}/checkpoint", tiebreak(), folder=f"{base}/versions"
         )
-    return table, f"{base}/done"
+    return name, f"{base}/done"
 
 
 LANDED_SQL = f"""
@@ -70,3 +73,51 @@ def landing_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, done = _land(spark, sf_dir, "archive")
     archived = spark.read.option("recursiveFileLookup", True).option("header", True)
     return archived.schema(target.schema).csv(done)
+
+
+@query(f"SELECT * FROM ({_ROWS}) AS t WHERE o_orderdate >= '1998-01-01'")
+def landing_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a finished batch are deleted, one batch later: the second batch is still there."""
+    target, _ = split_orders(spark, sf_dir)
+    _, done = _land(spark, sf_dir, "delete")
+    landed = spark.read.option("header", True).schema(target.schema)
+    return landed.csv(f"{done.removesuffix('/done')}/in")
+
+
+_SHOW = """
+SELECT CAST(p_size AS VARCHAR) || '.5' AS score, CAST(p_partkey AS VARCHAR) AS show_id,
+       unnest(string_split(p_name, ' ')) AS show_genres, {name} AS show_name,
+       p_brand AS show_network_officialsite, 'parts/' || p_partkey AS show__links_self_href,
+       CAST(NULL AS VARCHAR) AS show_web_channel, p_type AS day, p_size
+FROM part"""
+
+
+@query(f"""
+WITH shows AS ({_SHOW.format(name="CASE WHEN p_type = 'LARGE' THEN 'renamed' ELSE p_name END")})
+SELECT * EXCLUDE (day, p_size), unnest([day, 'any']) AS show_schedule_days FROM shows WHERE p_size > 5
+UNION ALL SELECT * EXCLUDE (day, p_size), NULL FROM shows WHERE p_size <= 5""")
+def show_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested records landed as JSON, staged, upserted; a second load renames some of them."""
+    base, name = work_path(spark, "shows"), f"millrace_shows_{uuid.uuid4().hex[:8]}"
+    parts = table(spark, sf_dir, "part")
+    text = F.lit(None).cast("string")
+    days = F.when(F.col("p_size") > 5, F.array("p_type", F.lit("any"))).otherwise(F.array().cast("array<string>"))
+    for nth, rows, title in (
+        (1, parts, F.col("p_name")),
+        (2, parts.where("p_type = 'LARGE'"), F.lit("renamed")),
+    ):
+        show = F.struct(
+            F.col("p_partkey").alias("id"),
+            title.alias("name"),
+            F.split("p_name", " ").alias("genres"),
+            F.struct(text.alias("time"), days.alias("days")).alias("schedule"),
+            F.struct(F.col("p_brand").alias("officialSite")).alias("network"),
+            F.struct(F.struct(F.format_string("parts/%d", "p_partkey").alias("href")).alias("self")).alias("_links"),
+        )
+        record = F.struct((F.col("p_size") + F.lit(0.5)).alias("score"), show.alias("show"))
+        write_text(rows.select(F.to_json(record).alias("line")), "line", f"{base}/in{nth}")
+        load_shows(spark, f"{base}/in{nth}", name, null_safe=True, folder=f"{base}/tables")
+    return spark.table(name).select(
+        "score", "show_id", "show_genres", "show_name", "show_network_officialsite",
+        "show__links_self_href", "show_web_channel", "show_schedule_days",
+    )
