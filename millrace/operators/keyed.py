@@ -70,7 +70,8 @@ def new_rows(
     present = _present_keys(target, staging, keys, null_safe)
     if null_safe:
         return _hash_join(staging, present, keys, "left_anti", True)
-    return staging.join(present, list(keys), "left_anti")
+    keyed, keyless = _split_null_keys(staging, keys)
+    return _union(_hash_join(keyed, present, keys, "left_anti", False), keyless)
 
 
 def update_from(

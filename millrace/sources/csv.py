@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from csv import reader
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions.text import MISSING_TOKENS, null_tokens
-from millrace.operators.reshape import column, union_by_name
+from millrace.operators.reshape import all_strings, column, union_by_name
+from millrace.sources.files import file_path
 
+_GLOB_SIGNS = r"[\[\]{}*?\\]"
 _QUOTING = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
@@ -25,10 +30,10 @@ def scan_csv(
     the input once more. With ``multi_line`` a value may hold line breaks, at the price of one
     task per file; switch it off to split large files.
     """
-    reader = spark.read.options(**_QUOTING).option("multiLine", multi_line)
+    scan = spark.read.options(**_QUOTING).option("multiLine", multi_line)
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+        return scan.schema(schema).csv(path)
+    return scan.option("inferSchema", infer).csv(path)
 
 
 def scan_csv_folder(
@@ -45,12 +50,11 @@ def scan_csv_folder(
     """
     parts = []
     for header, paths in _files_by_header(spark, folder, glob).items():
-        part = scan_csv(spark, paths, infer=False, multi_line=multi_line)
-        if len(set(part.columns)) < len(part.columns):
+        names = [name or f"_c{i}" for i, name in enumerate(next(reader([header])))]
+        if len({name.lower() for name in names}) < len(names):
             raise ValueError(f"a header names a column twice: {header}")
-        parts.append(
-            part.select(*[null_tokens(column(c), tokens).alias(c) for c in part.columns])
-        )
+        part = scan_csv(spark, paths, schema=all_strings(names), multi_line=multi_line)
+        parts.append(part.select(*[null_tokens(column(c), tokens).alias(c) for c in names]))
     if not parts:
         return spark.createDataFrame([], StructType())
     return union_by_name(*parts)
@@ -66,7 +70,7 @@ def _files_by_header(spark: SparkSession, folder: str, glob: str) -> dict[str, l
         spark.read.option("pathGlobFilter", glob)
         .text(folder)
         .select(
-            F.col("_metadata.file_path").alias("path"),
+            file_path(),
             F.col("_metadata.file_block_start").alias("start"),
             F.monotonically_increasing_id().alias("nth"),
             "value",
@@ -76,5 +80,6 @@ def _files_by_header(spark: SparkSession, folder: str, glob: str) -> dict[str, l
     first = lines.groupBy("path").agg(F.min_by("value", "nth").alias("header"))
     found: dict[str, list[str]] = {}
     for row in first.orderBy("header", "path").toLocalIterator():
-        found.setdefault(row.header.lstrip("﻿"), []).append(row.path)
+        header = row.header.removeprefix("\ufeff")
+        found.setdefault(header, []).append(re.sub(_GLOB_SIGNS, r"\\\g<0>", row.path))
     return found

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,10 +16,16 @@ def file_listing(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame
     )
 
 
+def file_path() -> Column:
+    """Path of the file a scanned row comes from, as the file system spells it."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded).alias("path")
+
+
 def source_files(spark: SparkSession, folder: str, glob: str = "*.py") -> DataFrame:
     """Whole files as rows ``(path, source)``."""
     return (
         spark.read.option("pathGlobFilter", glob)
         .text(folder, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("source"))
+        .select(file_path(), F.col("value").alias("source"))
     )

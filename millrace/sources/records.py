@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, StructType
 
 from millrace.operators.reshape import column
+from millrace.sources.files import file_path
 
 CORRUPT = "_corrupt_record"
 
@@ -42,7 +43,7 @@ def scan_json_gated(
     read = _always_read(schema)
     good = rows.where(F.col(CORRUPT).isNull() & read).drop(CORRUPT)
     bad = rows.where(F.col(CORRUPT).isNotNull() & read).select(
-        F.col("_metadata.file_path").alias("path"),
+        file_path(),
         F.col(CORRUPT).alias("raw"),
         F.to_json(F.struct(*[column(f.name) for f in schema.fields])).alias("salvaged"),
     )

@@ -22,7 +22,7 @@ def rows(df):
 def test_csv_folder_of_mixed_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,name,note\n1,x,"say ""hi"", you\nthere"\n2,nan,\n')
     (tmp_path / "b.csv").write_text("\ufeffname,extra,id\ny,None,3\n")
-    (tmp_path / "c.csv").write_text("id,name,note\n4,z,n\n")
+    (tmp_path / "c d+[1]%20é.csv").write_text("id,name,note\n4,z,n\n")
     (tmp_path / "empty.csv").write_text("")
     (tmp_path / "skip.txt").write_text("id,name,note\n9,no,no\n")
     (tmp_path / "transformed").mkdir()
@@ -31,6 +31,9 @@ def test_csv_folder_of_mixed_headers(spark, tmp_path):
     assert rows(df.select("id", "name", "note", "extra")) == Counter(
         [("1", "x", 'say "hi", you\nthere', None), ("2", None, None, None), ("3", "y", None, None), ("4", "z", "n", None)]
     )
+    (tmp_path / "twice.csv").write_text("id,name,ID\n")
+    with pytest.raises(ValueError, match="twice"):
+        csv.scan_csv_folder(spark, str(tmp_path))
     assert rows(csv.scan_csv_folder(spark, str(tmp_path), glob="none*.csv")) == Counter()
 
 
@@ -43,14 +46,14 @@ def test_csv_scan_infers_or_takes_a_schema(spark, tmp_path):
 
 
 def test_listing_and_whole_files(spark, tmp_path):
-    (tmp_path / "one.py").write_text("a = 'x'\n\nb = 'y'\n")
+    (tmp_path / "one é+%20.py").write_text("a = 'x'\n\nb = 'y'\n")
     (tmp_path / "two.txt").write_text("12345")
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "three.py").write_text("no")
     listed = {Path(r.path).name: r.length for r in files.file_listing(spark, str(tmp_path)).collect()}
-    assert listed == {"one.py": 17, "two.txt": 5}
+    assert listed == {"one é+%20.py": 17, "two.txt": 5}
     found = files.source_files(spark, str(tmp_path)).collect()
-    assert [(Path(r.path).name, r.source) for r in found] == [("one.py", "a = 'x'\n\nb = 'y'\n")]
+    assert [(Path(r.path).name, r.source) for r in found] == [("one é+%20.py", "a = 'x'\n\nb = 'y'\n")]
 
 
 def test_gate_counts_and_pruned_reads(spark, tmp_path):
