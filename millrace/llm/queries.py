@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.packing import Packing, pack
 from millrace.llm.quality_rules import quality_rules
+from millrace.llm.token_store import Store, read_store, write_store
 from millrace.queries.registry import Query, table
+from millrace.session import work_path
 
 QUERIES: dict[str, Query] = {}
 
@@ -25,3 +29,15 @@ def query(sql: str | None = None) -> Callable:
 @query()
 def op8_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_elias_fano_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "token-store")
+    write_store(table(spark, sf_dir, "documents"), folder, Store(public_tokenizers.path("word_bpe_49k.json")))
+    return read_store(spark, folder)
+
+
+@query()
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), Packing(public_tokenizers.path("byte_bpe_50k.json")))
