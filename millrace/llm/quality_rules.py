@@ -20,17 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import count_chars, words
-
-#: Character classes of the histogram, as regular expressions; the rest is one class more.
-CLASSES = {
-    "lower": r"[a-z]",
-    "upper": r"[A-Z]",
-    "digit": r"[0-9]",
-    "blank": r"[\x20\x09-\x0D]",
-    "stop": r"[.,;:'\"()?-]",
-    "symbol": r"[!#*$%&|<>=+@/\\^~_{}\[\]`]",
-}
+from millrace.llm.text import CLASSES, count_chars, with_class_counts, words
+
 SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -54,20 +45,6 @@ class Rules:
     slack: float = 1.6
 
 
-def with_class_counts(docs: DataFrame) -> DataFrame:
-    """Adds ``classes``: the counts of each character class in order, then of all other characters.
-
-    Each class is cut out of what the ones before it have left, so later ones read little.
-    """
-    left = [f"_left{i}" for i in range(len(CLASSES))]
-    cut = docs
-    for before, after, chars in zip(["text", *left], left, CLASSES.values()):
-        cut = cut.withColumn(after, F.regexp_replace(before, chars + "+", ""))
-    lengths = [F.length(name).cast("bigint") for name in ["text", *left]]
-    counts = [a - b for a, b in zip(lengths, lengths[1:])] + [lengths[-1]]
-    return cut.withColumn("classes", F.array(*counts)).drop(*left)
-
-
 def references(docs: DataFrame, rules: Rules = Rules()) -> list[dict]:
     """Per language its shares of character classes and its commonest words with their shares.
 

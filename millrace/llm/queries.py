@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.packing import Packing, pack
 from millrace.llm.quality_rules import quality_rules
+from millrace.llm.rule_ensemble import fit, held_out, score
 from millrace.llm.token_store import Store, read_store, write_store
 from millrace.queries.registry import Query, table
 from millrace.session import work_path
@@ -26,6 +28,18 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
+def fitted_on_labels(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality scores of ``docs``, learned from the labels that may be learned from."""
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    return score(docs, fit(docs, labels.select("doc_id", F.col("quality").alias("label"))))
+
+
+@query()
+def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = fitted_on_labels(spark, table(spark, sf_dir, "documents"), sf_dir)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query()
 def op8_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))

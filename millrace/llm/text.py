@@ -11,6 +11,16 @@ BLANK = r"[\x20\x09-\x0D]+"
 #: Runs of these separate words where only ASCII letters, ASCII digits and all beyond ASCII count.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: Character classes of the histogram, as regular expressions; the rest is one class more.
+CLASSES = {
+    "lower": r"[a-z]",
+    "upper": r"[A-Z]",
+    "digit": r"[0-9]",
+    "blank": r"[\x20\x09-\x0D]",
+    "stop": r"[.,;:'\"()?-]",
+    "symbol": r"[!#*$%&|<>=+@/\\^~_{}\[\]`]",
+}
+
 
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z; all other characters, also other upper-case letters, stay."""
@@ -53,3 +63,17 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def with_class_counts(docs: DataFrame) -> DataFrame:
+    """Adds ``classes``: the counts of each character class in order, then of all other characters.
+
+    Each class is cut out of what the ones before it have left, so later ones read little.
+    """
+    left = [f"_left{i}" for i in range(len(CLASSES))]
+    cut = docs
+    for before, after, chars in zip(["text", *left], left, CLASSES.values()):
+        cut = cut.withColumn(after, F.regexp_replace(before, chars + "+", ""))
+    lengths = [F.length(name).cast("bigint") for name in ["text", *left]]
+    counts = [a - b for a, b in zip(lengths, lengths[1:])] + [lengths[-1]]
+    return cut.withColumn("classes", F.array(*counts)).drop(*left)
