@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.ship import ship_package
+
 SCHEMA = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 )
@@ -104,4 +106,5 @@ def pack(docs: DataFrame, how: Packing) -> DataFrame:
                 rows.append((*row, base + number, offset))
             yield batch_of(rows, SCHEMA)
 
+    ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, SCHEMA)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.packing import Packing, pack
+from millrace.llm.part_enum import Join, grouped
 from millrace.llm.quality_rules import quality_rules
 from millrace.llm.rule_ensemble import fit, held_out, score
 from millrace.llm.token_store import Store, read_store, write_store
@@ -55,3 +56,8 @@ def op2_elias_fano_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), Packing(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query()
+def op9_part_enum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped(table(spark, sf_dir, "documents"), Join(shingle=3, percent=90))

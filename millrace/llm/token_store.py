@@ -29,6 +29,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.ship import ship_package
+
 BLOCKS = (
     "part int, block int, base bigint, n_tokens bigint, width int, doc_ids array<bigint>, "
     "boundaries binary, ids binary"
@@ -157,6 +159,7 @@ def write_store(docs: DataFrame, folder: str, how: Store) -> None:
         if docs:
             yield batch_of([_block(part, block, base, docs, texts)], BLOCKS)
 
+    ship_package(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     keys = [F.col("doc_id"), F.xxhash64("text")]
     ordered = ordered.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -180,6 +183,7 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
                 ]
                 yield batch_of(found, DOCUMENTS)
 
+    ship_package(spark)
     blocks = spark.read.schema(BLOCKS).parquet(folder)
     # One row per part, and parts are the tasks that wrote: their number is a setting, not the data's.
     sums = blocks.groupBy("part").agg(F.sum("n_tokens").alias("in_part"))

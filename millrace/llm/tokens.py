@@ -18,8 +18,11 @@ import numpy as np
 UNUSUAL = re.compile(
     r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u0300-\u036f\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]|<\|"
 )
-#: Words a worker remembers; past that it starts anew. Only speed depends on it.
+#: Words a worker remembers, of those it met twice; past that it starts anew. Only speed depends on it.
 CACHED_WORDS = 800_000
+#: Bits that mark words met once, by hash, and pre-tokens the library itself remembers.
+MET_BITS = 1 << 25
+LIBRARY_CACHE = 300_000
 #: Words that go to the library in one call, and what sets them apart there.
 JOINED_WORDS = 2000
 MARK = "\x01"
@@ -38,8 +41,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.library.model._resize_cache(LIBRARY_CACHE)
         self.spaced = spaced
         self.known: dict[str, bytes] = {}
+        self.met = bytearray(MET_BITS // 8)
         alone = self._whole([f" {MARK}" if spaced else MARK])[0]
         self.mark = np.frombuffer(alone, dtype="<u4").tolist()
 
@@ -47,11 +52,10 @@ class Encoder:
         encoded = self.library.encode_batch(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def _learn(self, words: list[str]) -> None:
-        """Looks many words up in few calls: set apart by a character that no such word has."""
+    def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of many words in few calls: set apart by a character that no such word has."""
         apart = [w for w in words if self.spaced and w[:1] != " "]
-        if apart:
-            self.known.update(zip(apart, self._whole(apart)))
+        found = dict(zip(apart, self._whole(apart))) if apart else {}
         joined = [w for w in words if not self.spaced or w[:1] == " "]
         between = f" {MARK}" if self.spaced else f" {MARK} "
         for start in range(0, len(joined), JOINED_WORDS):
@@ -61,13 +65,28 @@ class Encoder:
             begins = [0, *(places + 1).tolist()]
             ends = [*(places + 1 - len(self.mark)).tolist(), len(ids)]
             raw = ids.tobytes()
-            self.known.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, begins, ends, strict=True))
+            found.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, begins, ends, strict=True))
+        return found
+
+    def _remember(self, found: dict[str, bytes]) -> None:
+        """Keeps the words that an earlier call has met too."""
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+            self.met = bytearray(MET_BITS // 8)
+        met, known = self.met, self.known
+        for word, ids in found.items():
+            place = hash(word) % MET_BITS
+            if met[place >> 3] >> (place & 7) & 1:
+                known[word] = ids
+            else:
+                met[place >> 3] |= 1 << (place & 7)
 
     def _words(self, text: str) -> list[str] | None:
         if UNUSUAL.search(text):
             return None
         if not self.spaced:
-            return text.split()
+            # The vocabulary ignores case, character by character: not so for a capital sigma.
+            return (text if "\u03a3" in text else text.lower()).split()
         if "  " in text or text[-1:] == " ":
             return None
         first, *rest = text.split(" ")
@@ -80,15 +99,13 @@ class Encoder:
         if whole:
             for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
                 found[i] = ids
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
         known = self.known
         new = {word for parts in split if parts is not None for word in parts if word not in known}
-        if new:
-            self._learn(sorted(new))
+        fresh = self._encoded(sorted(new))
         for i, parts in enumerate(split):
             if parts is not None:
-                found[i] = b"".join([known[word] for word in parts])
+                found[i] = b"".join([known[word] if word in known else fresh[word] for word in parts])
+        self._remember(fresh)
         return found
 
 
