@@ -66,7 +66,8 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> list[dict]:
     top = F.expr(f"approx_top_k(word, {rules.common}, {rules.tracked})")
     common = (
         tagged.where(F.col("lang").isin([r["lang"] for r in by_class]))
-        .select("lang", F.explode(words(F.col("text"))).alias("word"))
+        .select("lang", F.explode_outer(words(F.col("text"))).alias("word"))
+        .where("word is not null")
         .groupBy("lang")
         .agg(F.count("*").alias("n_words"), top.alias("top"))
         .collect()

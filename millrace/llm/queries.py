@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.decontamination import contaminations
+from millrace.llm.license_scan import scan
 from millrace.llm.packing import Packing, pack
 from millrace.llm.part_enum import Join, grouped
 from millrace.llm.quality_rules import quality_rules
@@ -61,3 +63,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_part_enum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped(table(spark, sf_dir, "documents"), Join(shingle=3, percent=90))
+
+
+@query()
+def op6_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op7_rare_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))

@@ -37,32 +37,22 @@ def count_chars(text: Column, chars: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, chars + "+", ""))).cast("bigint")
 
 
-def hashed_shingles(word_list: Column, size: int) -> Column:
-    """Distinct 64-bit hashes of ``size`` consecutive words.
+def hashed_shingles(word_list: Column, size: int, distinct: bool = True) -> Column:
+    """The (distinct) 64-bit hashes of ``size`` consecutive words.
 
     A text with fewer words has its whole sequence as one shingle, one without words has none.
     The hash is over the words and their number, so shingles of other sizes do not meet.
-    ``word_list`` must be a column of its own, not an expression: the lambda reads it at each place.
+    ``word_list`` must be a column of its own, and no filter on the result may stand in the same plan:
+    Spark would move the expression behind ``word_list`` into the lambda, which runs at each place.
     """
     whole = F.array(F.xxhash64(word_list, F.lit(-1)))
+    hashes = F.transform(
+        F.sequence(F.lit(0), F.size(word_list) - size),
+        lambda i: F.xxhash64(*[F.get(word_list, i + k) for k in range(size)], F.lit(size)),
+    )
     return F.when(F.size(word_list) == 0, F.array().cast("array<bigint>")).when(
         F.size(word_list) < size, whole
-    ).otherwise(
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(0), F.size(word_list) - size),
-                lambda i: F.xxhash64(*[F.get(word_list, i + k) for k in range(size)], F.lit(size)),
-            )
-        )
-    )
-
-
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, lengthened until no column of ``df`` has it in any case."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+    ).otherwise(F.array_distinct(hashes) if distinct else hashes)
 
 
 def with_class_counts(docs: DataFrame) -> DataFrame:
