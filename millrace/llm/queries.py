@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.decontamination import contaminations
+from millrace.llm.html_text import extract
 from millrace.llm.license_scan import scan
 from millrace.llm.packing import Packing, pack
 from millrace.llm.part_enum import Join, grouped
@@ -73,3 +74,8 @@ def op6_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_rare_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
