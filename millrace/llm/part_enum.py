@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
@@ -267,3 +267,15 @@ def _labelled(sets: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
     same = ["key1", "key2"]
     labelled = sets.select("doc_id", "n", *same).join(by_class, same, "left").where("_n is null or n = _n")
     return labelled.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, how: Join = Join()) -> DataFrame:
+    """The rows of ``docs`` that have the smallest ``doc_id`` of their group, with all their columns. Of
+    rows that repeat a ``doc_id`` with the same text one stays; empty texts stay."""
+    found = grouped(docs, how).where("not (doc_id <=> component_id)")
+    others = found.select(F.col("doc_id").alias("_other")).distinct()
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    rows = docs.select(row.alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_text"))
+    rows = rows.join(others, F.col("_id").eqNullSafe(F.col("_other")), "left_anti")
+    nth = F.row_number().over(Window.partitionBy("_id", "_text").orderBy("_id"))
+    return rows.withColumn("_nth", nth).where("_nth = 1").select("_row.*")

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import CLASSES, count_chars, with_class_counts, words
+from millrace.llm.text import CLASSES, count_chars, kept_rows, with_class_counts, with_row, words
 
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -168,15 +168,15 @@ def with_repeat_words(df: DataFrame) -> DataFrame:
     return df.drop("_windows", "_placed")
 
 
-def quality_rules(docs: DataFrame, found: list[dict] | None = None, rules: Rules = Rules()) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, the counts, ``base_failed``, both distances and ``kept``.
+def judged(docs: DataFrame, found: list[dict] | None = None, rules: Rules = Rules()) -> DataFrame:
+    """``_row`` and ``doc_id`` of each row of ``docs`` with its counts, ``base_failed``, distances and ``kept``.
 
     ``found`` is the result of ``references``; it is taken over ``docs`` itself where not given.
     A distance is null where a text is too short for it or there is no reference.
     """
     if found is None:
         found = references(docs, rules)
-    df = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    df = with_row(docs)
     df = df.withColumn("words", words(F.col("text")))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumn("_lines", lines).withColumns(
@@ -210,15 +210,16 @@ def quality_rules(docs: DataFrame, found: list[dict] | None = None, rules: Rules
     fits = (F.coalesce("char_distance", F.lit(0.0)) <= rules.char_limit + slack) & (
         F.coalesce("word_distance", F.lit(0.0)) <= rules.word_limit + slack
     )
-    return df.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        (~F.col("base_failed") & fits).alias("kept"),
-        "char_distance",
-        "word_distance",
-    )
+    return df.withColumn("kept", ~F.col("base_failed") & fits)
+
+
+def quality_rules(docs: DataFrame, found: list[dict] | None = None, rules: Rules = Rules()) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, the counts, ``base_failed``, ``kept`` and both distances."""
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    verdict = ["base_failed", "kept", "char_distance", "word_distance"]
+    return judged(docs, found, rules).select("doc_id", *counts, *verdict)
+
+
+def good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    return kept_rows(judged(docs, None, rules), F.col("kept"))

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm import language_id
 from millrace.llm.decontamination import contaminations
+from millrace.llm.fixity import audited, warc_record
 from millrace.llm.html_text import extract
 from millrace.llm.license_scan import scan
 from millrace.llm.packing import Packing, pack
@@ -79,3 +81,42 @@ def op7_rare_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+FIXITY_SQL = """
+WITH records AS (
+  SELECT page_id, page_id // 2000 AS file,
+    strlen('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+      || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+      || 'Content-Type: text/html' || chr(13) || chr(10)
+      || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10))
+      + strlen(coalesce(html, '')) + 4 AS n_bytes
+  FROM pages),
+placed AS (
+  SELECT *, coalesce(sum(n_bytes) OVER (PARTITION BY file ORDER BY page_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+  FROM records)
+SELECT page_id AS record_id, file, "offset", n_bytes,
+  CASE WHEN page_id % 89 = 3 THEN 'missing' ELSE 'corrupt' END AS status
+FROM placed WHERE page_id % 89 = 3 OR page_id % 53 = 7
+"""
+
+
+@query(FIXITY_SQL)
+def op4_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as archive records against a replica that lacks some and has others with a byte changed."""
+    pages = table(spark, sf_dir, "pages")
+    records = pages.select(F.col("page_id").alias("record_id"), warc_record(F.col("url"), F.col("html")).alias("record"))
+    damaged = F.concat(F.expr("left(record, octet_length('WARC/1.') )"), F.lit("0"), F.expr("substr(record, 9)"))
+    replica = records.where("record_id % 89 <> 3").withColumn(
+        "record", F.when(F.col("record_id") % 53 == 7, damaged).otherwise(F.col("record"))
+    )
+    return audited(records, replica)
+
+
+@query()
+def op3_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.held_out()
+    predicted = language_id.predict(docs, language_id.fit(docs.where(~held_out)))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

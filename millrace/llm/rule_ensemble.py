@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.text import CLASSES, with_class_counts, words
+from millrace.llm.text import CLASSES, kept_rows, with_class_counts, with_row, words
 
 STATISTICS = [*[f"share_{name}" for name in CLASSES], "share_other", "word_length", "n_words", "distinct", "line_repeats"]
 
@@ -62,8 +62,8 @@ def _holds(conditions: tuple[Condition, ...]) -> Column:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the statistics of its whole text, all finite."""
-    df = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    """``_row`` and ``doc_id`` of each row with the statistics of its whole text, all finite."""
+    df = with_row(docs)
     df = with_class_counts(df.withColumn("words", words(F.col("text"))))
     lines = F.filter(F.split("text", "\n"), lambda x: x != "")
     df = df.withColumn("_lines", lines).withColumn("_n", F.size("words").cast("double"))
@@ -73,6 +73,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     blank = F.get("classes", F.lit(list(CLASSES).index("blank")))
     shares = [(F.get("classes", F.lit(i)) / F.col("_chars")).alias(n) for i, n in enumerate(STATISTICS[: len(CLASSES) + 1])]
     return df.select(
+        "_row",
         "doc_id",
         *shares,
         ((F.col("_chars") - blank) / some).alias("word_length"),
@@ -114,7 +115,8 @@ def fit(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Ensemble:
     few = F.broadcast(_sampled(known, how).withColumnRenamed("doc_id", "_labelled"))
     texts = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("_labelled"))
     # At most about max_rows rows of a dozen numbers.
-    rows = with_statistics(texts).join(few, F.col("doc_id") == F.col("_labelled")).drop("_labelled").toPandas()
+    stats = with_statistics(texts).select("doc_id", *STATISTICS)
+    rows = stats.join(few, F.col("doc_id") == F.col("_labelled")).drop("_labelled").toPandas()
     rows = rows.sort_values(["doc_id", *STATISTICS], kind="stable")
     y = rows["label"].to_numpy(dtype=float)
     if not len(y) or y.min() == y.max():
@@ -148,6 +150,11 @@ def score(docs: DataFrame, ensemble: Ensemble) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def good(docs: DataFrame, ensemble: Ensemble) -> DataFrame:
+    """The rows of ``docs`` with a score from 0.5 up, with all their columns."""
+    return kept_rows(with_statistics(docs), ensemble.score() >= 0.5)
+
+
 def held_out() -> Column:
     """Rows a fit on labels may not learn from: crc32 of the id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))

@@ -67,3 +67,22 @@ def with_class_counts(docs: DataFrame) -> DataFrame:
     lengths = [F.length(name).cast("bigint") for name in ["text", *left]]
     counts = [a - b for a, b in zip(lengths, lengths[1:])] + [lengths[-1]]
     return cut.withColumn("classes", F.array(*counts)).drop(*left)
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """``_row``, the whole row as a struct, with ``doc_id`` and ``text`` beside it (null text: empty).
+
+    Columns that an operator adds then clash with none of the input's.
+    """
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    return docs.select(row.alias("_row"), "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+def kept_rows(judged: DataFrame, kept: Column) -> DataFrame:
+    """The rows of ``with_row`` for which ``kept`` holds, as they were.
+
+    The row number keeps Spark from moving the filter below the expressions it tests, where it would
+    evaluate them again for each mention, lambdas included.
+    """
+    marked = judged.select("_row", kept.alias("_kept"), F.monotonically_increasing_id().alias("_number"))
+    return marked.where("_kept and _number >= 0").select("_row.*")

@@ -13,11 +13,13 @@ import re
 
 import numpy as np
 
-#: White space and invisible characters other than space, tab, line feed and carriage return, and
-#: the opening of a special token. A text with any of them is encoded whole.
+#: White space and invisible characters other than space, tab, line feed and carriage return. A text with
+#: any of them, or with the opening of a special token, is encoded whole.
 UNUSUAL = re.compile(
-    r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u0300-\u036f\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]|<\|"
+    r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u0300-\u036f\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
 )
+UNUSUAL_ASCII = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+SPECIAL = "<|"
 #: Words a worker remembers, of those it met twice; past that it starts anew. Only speed depends on it.
 CACHED_WORDS = 800_000
 #: Bits that mark words met once, by hash, and pre-tokens the library itself remembers.
@@ -82,7 +84,7 @@ class Encoder:
                 met[place >> 3] |= 1 << (place & 7)
 
     def _words(self, text: str) -> list[str] | None:
-        if UNUSUAL.search(text):
+        if SPECIAL in text or (UNUSUAL_ASCII if text.isascii() else UNUSUAL).search(text):
             return None
         if not self.spaced:
             # The vocabulary ignores case, character by character: not so for a capital sigma.
@@ -99,12 +101,12 @@ class Encoder:
         if whole:
             for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
                 found[i] = ids
-        known = self.known
-        new = {word for parts in split if parts is not None for word in parts if word not in known}
+        looked_up = [None if parts is None else list(map(self.known.get, parts)) for parts in split]
+        new = {w for parts, ids in zip(split, looked_up) if ids and None in ids for w, x in zip(parts, ids) if x is None}
         fresh = self._encoded(sorted(new))
-        for i, parts in enumerate(split):
-            if parts is not None:
-                found[i] = b"".join([known[word] if word in known else fresh[word] for word in parts])
+        for i, (parts, ids) in enumerate(zip(split, looked_up)):
+            if ids is not None:
+                found[i] = b"".join([fresh[w] if x is None else x for w, x in zip(parts, ids)])
         self._remember(fresh)
         return found
 
