@@ -8,10 +8,10 @@ those some n2 - 1 agree whole. Sets project on every such choice; one projection
 A projection without any feature says nothing, so it is replaced by its pair with every signature of
 a second, independent cut, of which similar sets share one too.
 
-A signature's sets are not compared pair by pair. Each is compared with the signature's pivot, the set
-with most copies; that gives d, its difference from the pivot. Two sets that both link to the pivot are
-one group. If x does not link to it, then x and y can only link when their differences overlap by more
-than a known number, and a prefix of each difference, features that the pivot lacks first, must meet.
+A signature's sets are not compared pair by pair: each is compared with the signature's pivot, the set with
+most copies. That joins most groups. Around pivots some set does not link to, a second cut into many parts
+follows: sets that link differ in at most k features and so in k parts, so of the parts in order of rarity
+the first k + 1 of both must meet. Sets that differ more from a common text have more rare parts than that.
 Pairs that meet and lie in different groups so far are compared exactly. No link between groups is lost.
 
 Equal sets are one class from the start, by a 128-bit hash of the sorted set, and only classes are joined.
@@ -39,7 +39,9 @@ from millrace.llm.text import hashed_shingles, lower_ascii, words
 from millrace.session import work_path
 
 #: Seeds of the hashes that cut the feature domain.
-FIRST, SECOND, OTHER = 11, 12, 13
+FIRST, SECOND, OTHER, THIRD = 11, 21, 31, 41
+#: Fine parts for each part of a band.
+FINE = 16
 
 
 @dataclass(frozen=True)
@@ -104,17 +106,21 @@ def _projections(features: np.ndarray, parts: int, cuts: int, seed: int) -> tupl
     return _mix(rest.ravel() ^ tags, seed + 3), empty.ravel()
 
 
-def signatures(features: np.ndarray, how: Join) -> np.ndarray:
-    """The signatures of a set; none if only an equal set can link with it."""
-    n, starts, found = len(features), how.starts(), []
+def _bands(n: int, how: Join) -> list[int]:
+    """The band of a set of n features, and the one above if it may hold partners."""
+    starts = how.starts()
     own = max((i for i, start in enumerate(starts) if start <= n), default=None)
     if own is None:
-        return np.zeros(0, np.int64)
-    bands = [own]
-    if own + 1 < len(starts) and starts[own + 1] <= n * 100 // how.percent:
-        bands.append(own + 1)
+        return []
+    above = own + 1 < len(starts) and starts[own + 1] <= n * 100 // how.percent
+    return [own, own + 1] if above else [own]
+
+
+def signatures(features: np.ndarray, how: Join) -> np.ndarray:
+    """The signatures of a set; none if only an equal set can link with it."""
+    found = []
     features = features.astype(np.uint64)
-    for band in bands:
+    for band in _bands(len(features), how):
         parts = how.parts()[band]
         if not parts:
             continue
@@ -185,48 +191,59 @@ def _linked(distance: Column, sizes: Column, how: Join) -> Column:
     return distance * (100 + how.percent) <= sizes * (100 - how.percent)
 
 
-def _compared(edges: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
-    """Each ``x`` and ``p`` with ``d``, what x has and p lacks, then what p has and x lacks, each in
-    order of hash, with both sizes and ``linked``."""
+def _links(edges: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
+    """Each ``x`` and ``p`` of ``edges`` and whether they link, by the exact size of their overlap."""
     x = sets.select(F.col("cid").alias("x"), F.col("features").alias("fx"))
     p = sets.select(F.col("cid").alias("p"), F.col("features").alias("fp"))
-    joined = edges.join(x, "x").join(p, "p")
-    more, less = F.array_except("fx", "fp"), F.array_except("fp", "fx")
-    both = joined.select(
-        "x",
-        "p",
-        F.size("fx").cast("bigint").alias("nx"),
-        F.size("fp").cast("bigint").alias("np"),
-        F.concat(F.sort_array(more), F.sort_array(less)).alias("d"),
-    )
-    distance = F.size("d").cast("bigint")
-    return both.withColumn("linked", _linked(distance, F.col("nx") + F.col("np"), how))
+    both = edges.join(x, "x").join(p, "p")
+    sizes = (F.size("fx") + F.size("fp")).cast("bigint")
+    distance = sizes - 2 * F.size(F.array_intersect("fx", "fp"))
+    linked = distance * (100 + how.percent) <= sizes * (100 - how.percent)
+    return both.select("x", "p", linked.alias("linked"))
 
 
-def _meetings(compared: DataFrame, groups: DataFrame, how: Join) -> DataFrame:
-    """Distinct pairs ``x`` and ``y`` of different groups that may link though x does not link to a
-    pivot of both.
+def fine_parts(features: np.ndarray, how: Join) -> list[tuple[int, int, int]]:
+    """Band, hash of each part and the longest prefix for a set, under a cut into many parts.
 
-    With c = (100 - percent) / (100 + percent), a link means ``|x ^ y| <= c (|x| + |y|)``. As x is more
-    than c (|x| + |p|) from p, and |y| is at most |p| + |dy|, dx and dy share more than
-    ``(|dx| + |dy| (1 - c) - c (|x| + |p|)) / 2`` features, at least one. So a prefix of each meets.
+    Sets that link differ in at most k features, so in at most k parts: of their parts in any one order,
+    the first k + 1 of each have one in common.
     """
-    c = (100 - how.percent) / (100 + how.percent)
-    size = F.size("d")
-    near = c * (F.col("nx") + F.col("np"))
-    # Shared at least: by x with the smallest y there can be; by y with the nearest x, or of like size.
-    of_x = F.greatest(F.lit(1), F.ceil((size - near) / (1 + c) - 1e-6))
-    widest = c * (F.col("nx") + F.col("nx") * 100 / how.percent)
-    of_y = F.greatest(F.lit(1), F.ceil(size * (1 - c) / 2 - 1e-6), F.ceil(size - widest - 1e-6))
-    known = compared.join(groups, "x")
+    n, found = len(features), []
+    most = (n + n * 100 // how.percent) * (100 - how.percent) // (100 + how.percent)
+    for band in _bands(n, how):
+        parts = FINE * how.parts()[band]
+        if not parts:
+            continue
+        values = features.astype(np.uint64)
+        place = (_mix(values, THIRD) % np.uint64(parts)).astype(np.int64)
+        sums = np.zeros(parts, dtype=np.uint64)
+        np.add.at(sums, place, _mix(values, THIRD + 1))
+        hashes = _mix(_mix(sums, THIRD + 2) ^ _mix(np.arange(parts), THIRD + 3), 200 + band).astype(np.int64)
+        found += [(band, h, most + 1) for h in hashes.tolist()]
+    return found
+
+
+def _meetings(sets: DataFrame, how: Join) -> DataFrame:
+    """Distinct pairs ``x`` and ``p`` of ``sets`` (``cid``, ``features``, ``root``) with different roots that
+    may link: their rarest fine parts have one in common. A part that only one root has needs no partner."""
+    schema = "cid bigint, root bigint, band int, part bigint, prefix bigint"
 
-    def prefix(rows: DataFrame, shared: Column, name: str) -> DataFrame:
-        part = F.slice("d", 1, F.greatest(size - shared + 1, F.lit(0)).cast("int"))
-        return rows.select("p", F.col("x").alias(name), F.col("root").alias(f"root_{name}"), F.explode(part).alias("f"))
+    def run(batches: Iterator) -> Iterator:
+        from millrace.llm.arrow import batch_of
+
+        for batch in batches:
+            for cid, root, features in zip(*(batch.column(c) for c in ("cid", "root", "features"))):
+                rows = fine_parts(features.values.to_numpy(zero_copy_only=False), how)
+                yield batch_of([(cid.as_py(), root.as_py(), *row) for row in rows], schema)
 
-    left = prefix(known.where("not linked"), of_x, "x")
-    right = prefix(known, of_y, "y")
-    return left.join(right, ["p", "f"]).where("root_x <> root_y").select("x", "y").distinct()
+    parts = _stored(sets.select("cid", "root", "features").mapInArrow(run, schema), "part-enum-parts")
+    sizes = parts.groupBy("part").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+    placed = parts.join(sizes, "part")
+    order = Window.partitionBy("cid", "band").orderBy("size", "part")
+    first = placed.withColumn("place", F.row_number().over(order)).where("place <= prefix and low < high")
+    first = first.select("part", F.col("cid").alias("x"), F.col("root").alias("root_x"))
+    others = first.select("part", F.col("x").alias("p"), F.col("root_x").alias("root_p"))
+    return first.join(others, "part").where("x < p and root_x <> root_p").select("x", "p").distinct()
 
 
 def grouped(docs: DataFrame, how: Join = Join()) -> DataFrame:
@@ -244,22 +261,23 @@ def grouped(docs: DataFrame, how: Join = Join()) -> DataFrame:
     same = (F.xxhash64(ordered) == F.col("key1")) & (F.xxhash64(F.lit(1), ordered) == F.col("key2"))
     # A filter on what the lambdas make would be evaluated inside them, so the mark is stored first.
     features = _stored(features.select("cid", "features", same.alias("same")), "part-enum-features").where("same")
-    compared = _stored(_compared(edges, features, how), "part-enum-compared")
+    compared = _stored(_links(edges, features, how), "part-enum-links")
     links = compared.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
-    groups = components(links).withColumnsRenamed({"node": "x"})
-    of_met = met.select(F.col("cid").alias("x")).join(groups, "x", "left")
-    of_met = of_met.select("x", F.coalesce("root", "x").alias("root"))
-    meetings = _meetings(compared, of_met, how).select("x", F.col("y").alias("p"))
-    late = _compared(meetings, features, how).where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
-    late = _stored(late, "part-enum-late")
+    groups = components(links)
+    # Only around a pivot that some set does not link to can there be links not found yet.
+    unsure = compared.where("not linked").select("p").distinct()
+    among = compared.join(unsure, "p").select(F.col("x").alias("cid")).distinct()
+    among = among.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    meetings = _meetings(features.join(among, "cid"), how)
+    late = _stored(_links(meetings, features, how).where("linked"), "part-enum-late")
     if not late.isEmpty():
-        groups = components(links.union(late)).withColumnsRenamed({"node": "x"})
+        groups = components(links.union(late.select(F.col("x").alias("a"), F.col("p").alias("b"))))
     return _labelled(sets, classes, groups)
 
 
 def _labelled(sets: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
     found = classes.select("cid", "rep", "key1", "key2", "n").join(
-        groups.select(F.col("x").alias("cid"), "root"), "cid", "left"
+        groups.withColumnRenamed("node", "cid"), "cid", "left"
     )
     found = found.withColumn("root", F.coalesce("root", "cid"))
     smallest = found.groupBy("root").agg(F.min("rep").alias("component_id"))

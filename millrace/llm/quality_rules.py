@@ -119,7 +119,7 @@ def _class_distance(reference: dict) -> Column:
 def _word_distance(reference: dict) -> Column:
     """Over the language's common words and one bin for all others; ``_counts`` maps words to counts."""
     bins = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(q).alias("q")) for w, q in reference["words"].items()])
-    n = F.col("n_words").cast("double")
+    n = F.greatest("n_words", F.lit(1)).cast("double")
     shares = F.transform(
         bins, lambda x: F.struct((F.coalesce(F.col("_counts")[x["word"]], F.lit(0)) / n).alias("p"), x["q"].alias("q"))
     )
@@ -196,7 +196,7 @@ def judged(docs: DataFrame, found: list[dict] | None = None, rules: Rules = Rule
     judged = F.col("n_words") >= rules.min_words
     if found:
         df = with_class_counts(df)
-        chars = F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, b: a + b)
+        chars = F.greatest(F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, b: a + b), F.lit(1))
         df = df.withColumn("_chars", chars).withColumn("_shares", F.transform("classes", lambda n: n / F.col("_chars")))
         df = _with_common_counts(df.drop("text"), found)
         char_distance = F.array_min(F.array(*[_class_distance(r) for r in found]))

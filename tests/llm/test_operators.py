@@ -1,0 +1,344 @@
+"""Each corpus operator on hard rows: against brute force, an exact round trip or held-out accuracy."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import decontamination, fixity, html_text, language_id, license_scan, packing
+from millrace.llm import part_enum, quality_rules, rule_ensemble, token_store
+from millrace.llm.components import components
+from millrace.session import work_path
+
+SF = "/root/testdata/sf0.001"
+
+
+def ids_of(file, text):
+    from tokenizers import Tokenizer
+
+    encoded = Tokenizer.from_file(public_tokenizers.path(file)).encode(text or "", add_special_tokens=False)
+    return np.array([*encoded.ids, 2], dtype="<u4")
+
+
+def test_quality_rules_counts_are_exact(hard_docs, hard_rows, no_docs):
+    rows = quality_rules.quality_rules(hard_docs).collect()
+    counted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    found = Counter((r.doc_id, *[r[c] for c in counted]) for r in rows)
+    assert found == Counter((i, *brute.base_rules(t)) for i, t in hard_rows)
+    assert not any(r.kept and r.base_failed for r in rows)
+    assert {r.doc_id for r in rows if r.kept} >= {1, 2, 3, 16}
+    assert 12 not in {r.doc_id for r in rows if r.kept}
+    assert quality_rules.quality_rules(no_docs).count() == 0
+    kept = quality_rules.good(hard_docs)
+    assert kept.columns == hard_docs.columns and kept.count() == sum(r.kept for r in rows)
+
+
+def test_divergence_rejects_another_distribution(spark):
+    from conftest import prose
+
+    plain = [(i, prose(i, 200), "en") for i in range(60)]
+    strange = [(1000 + i, prose(i, 200).upper().replace(" ", "!! "), None) for i in range(5)]
+    docs = spark.createDataFrame(plain + strange, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality_rules.quality_rules(docs).where("kept").collect()}
+    assert kept == set(range(60))
+
+
+def test_quality_rules_without_languages(hard_docs):
+    rows = quality_rules.quality_rules(hard_docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert all(r.kept != r.base_failed and r.char_distance is None for r in rows)
+
+
+def test_rule_ensemble_learns_and_scores_all(spark):
+    docs, labels = (spark.read.parquet(f"{SF.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    learned = labels.where(~rule_ensemble.held_out()).select("doc_id", F.col("quality").alias("label"))
+    ensemble = rule_ensemble.fit(docs, learned)
+    assert ensemble.rules
+    scored = rule_ensemble.score(docs, ensemble)
+    held = scored.join(labels.where(rule_ensemble.held_out()), "doc_id").collect()
+    assert np.mean([r.predicted == r.quality for r in held]) > 0.95
+    assert scored.count() == docs.count()
+
+
+def test_rule_ensemble_edges(spark, hard_docs, hard_rows, no_docs):
+    none = spark.createDataFrame([], "doc_id long, label int")
+    empty = rule_ensemble.fit(hard_docs, none)
+    assert {r.score for r in rule_ensemble.score(hard_docs, empty).collect()} == {0.5}
+    one = rule_ensemble.fit(hard_docs, spark.createDataFrame([(1, 1), (2, 1), (2, None)], "doc_id long, label int"))
+    assert {r.predicted for r in rule_ensemble.score(hard_docs, one).collect()} == {1}
+    rows = rule_ensemble.score(hard_docs, rule_ensemble.Ensemble(0.1, [(-1.0, (("n_words", False, 0.0),))])).collect()
+    assert len(rows) == len(hard_rows) and all(0 <= r.score <= 1 for r in rows)
+    assert {r.doc_id for r in rows if not r.predicted} == {4, 5, 6}
+    assert rule_ensemble.score(no_docs, empty).count() == 0
+    assert rule_ensemble.good(hard_docs, empty).columns == hard_docs.columns
+
+
+def test_rules_come_from_tree_paths():
+    text = "x\n  If (feature 0 <= 0.5)\n   If (feature 1 <= 2.0)\n    Predict: 0.0\n   Else (feature 1 > 2.0)\n    Predict: 1.0\n  Else (feature 0 > 0.5)\n   Predict: 1.0\n"
+    left = ("a", False, 0.5)
+    assert rule_ensemble.rules_of(text, ["a", "b"]) == [
+        (left,),
+        (left, ("b", False, 2.0)),
+        (left, ("b", True, 2.0)),
+        (("a", True, 0.5),),
+    ]
+
+
+def test_token_store_round_trip(spark, hard_docs, hard_rows, no_docs):
+    how = token_store.Store(public_tokenizers.path("word_bpe_49k.json"), block_tokens=500)
+    folder = work_path(spark, "store")
+    token_store.write_store(hard_docs, folder, how)
+    rows = sorted(token_store.read_store(spark, folder).collect(), key=lambda r: r.start)
+    at = 0
+    for row in rows:
+        assert row.start == at
+        at += row.n_tokens
+    ordered = [-1 if r.doc_id is None else r.doc_id for r in rows]
+    assert ordered == sorted(ordered)
+    expected = Counter()
+    for doc, text in hard_rows:
+        ids = ids_of("word_bpe_49k.json", text)
+        expected[doc, len(ids), zlib.crc32(ids.tobytes())] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == expected
+    folder = work_path(spark, "store")
+    token_store.write_store(no_docs, folder, how)
+    assert token_store.read_store(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("n, top", [(0, 0), (1, 0), (1, 7), (63, 5), (64, 10**9), (65, 65), (5000, 10**6)])
+def test_elias_fano(n, top):
+    values = np.sort(np.random.default_rng(n).integers(0, top + 1, n))
+    coded = token_store.EliasFano.from_bytes(token_store.EliasFano.of(values).to_bytes())
+    assert coded.values().tolist() == values.tolist() == [coded.select(i) for i in range(n)]
+
+
+def test_packing_is_whole_and_gapless(hard_docs, hard_rows, no_docs):
+    how = packing.Packing(public_tokenizers.path("byte_bpe_50k.json"), length=128, open_bins=8)
+    rows = packing.pack(hard_docs, how).collect()
+    sequences, crcs = defaultdict(list), defaultdict(Counter)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        crcs[r.doc_id][r.piece, r.start, r.length, r.ids_crc32] += 1
+    for placed in sequences.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= 128
+    expected = defaultdict(Counter)
+    for doc, text in hard_rows:
+        ids = ids_of("byte_bpe_50k.json", text)
+        first = len(ids) % 128 or 128
+        edges = [0, *range(min(first, len(ids)), len(ids), 128), len(ids)]
+        for k, (a, b) in enumerate(zip(edges, edges[1:])):
+            expected[doc][k, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
+    assert crcs == expected
+    assert packing.pack(no_docs, how).count() == 0
+
+
+def test_bins_take_the_tightest_and_close_the_fullest():
+    bins = packing.Bins(10, 2)
+    assert [bins.place(n) for n in (6, 7)] == [(0, 0), (1, 0)]
+    assert bins.place(3) == (1, 7)  # fits both, fills the second
+    assert bins.place(8) == (2, 0)
+    assert bins.place(9) == (3, 0)  # two open: the one with 2 left closes
+    assert bins.place(4) == (0, 6)
+    assert bins.place(2) == (4, 0)  # the other one is closed for good
+
+
+@pytest.mark.parametrize("shingle, percent", [(3, 90), (5, 80)])
+def test_part_enum_equals_all_pairs(spark, shingle, percent):
+    """Copies, a star of near copies around one text, chains, unrelated and tiny texts."""
+    import random
+
+    from conftest import prose
+
+    rng = random.Random(5)
+    texts = {}
+    for family in range(6):
+        base = prose(family, [40, 60, 120, 150, 300, 12][family]).split()
+        for k in range(25):
+            words = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 4])):
+                words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+            if k % 7 == 0:
+                words = words[: len(words) - rng.randrange(6)]
+            texts[len(texts)] = " ".join(words)
+    chain = prose(50, 200).split()
+    for k in range(12):
+        chain = list(chain)
+        chain[k * 15] = f"step{k}"
+        texts[len(texts)] = " ".join(chain)
+    texts |= {500: None, 501: "", 502: "a", 503: "A", 504: "a b", 505: "a b c", 506: " "}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = part_enum.grouped(docs, part_enum.Join(shingle=shingle, percent=percent)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.groups(texts, shingle, percent)
+
+
+def test_part_enum_edges(hard_docs, hard_rows, no_docs):
+    how = part_enum.Join(shingle=3, percent=90)
+    rows = part_enum.grouped(hard_docs, how).collect()
+    assert len(rows) == len(hard_rows)
+    found = {r.doc_id: r.component_id for r in rows}
+    assert (found[2], found[3], found[9], found[6], found[None]) == (1, 1, 8, 6, None)
+    assert part_enum.grouped(no_docs, how).count() == 0
+    kept = part_enum.one_of_each(hard_docs, how)
+    assert kept.columns == hard_docs.columns
+    ids = Counter(r.doc_id for r in kept.select("doc_id").collect())
+    assert {2, 3, 9}.isdisjoint(ids) and ids[16] == 1 and ids[None] == 1 and {4, 5, 6} <= set(ids)
+
+
+def test_components_of_a_long_path(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
+    found = {r.node: r.root for r in components(links).collect()}
+    assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_containment_equals_brute_force(spark, hard_docs, hard_rows, no_docs):
+    from conftest import prose
+
+    long = dict(hard_rows)[10].split(" ")
+    items = {1: " ".join(long[5000:5040]), 2: prose(999, 40), 3: None, 4: "", 5: "one two", 6: "one"}
+    items[7] = " ".join([*long[100:130], "other", "words", "here"])
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string").withColumn("doc_id", F.lit(1))
+    wanted = {}
+    for doc, text in hard_rows:
+        held = brute.shingles(text, 5, brute.PLAIN_WORD)
+        for item, words in items.items():
+            parts = brute.shingles(words, 5, brute.PLAIN_WORD)
+            if parts and 100 * len(parts & held) >= 80 * len(parts):
+                wanted[doc, item] = len(parts & held)
+    for rows in (10**6, 0):  # broadcast, and Spark's own choice
+        how = decontamination.Containment(broadcast_rows=rows)
+        found = decontamination.contaminations(hard_docs, table, how).collect()
+        assert {(r.doc_id, r.item_id): r.n_found for r in found} == wanted
+    assert (10, 1) in wanted and (7, 6) in wanted
+    kept = decontamination.clean(hard_docs, table)
+    dirty = {doc for doc, _ in wanted}
+    assert kept.columns == hard_docs.columns
+    assert kept.count() == sum(doc not in dirty for doc, _ in hard_rows)
+    assert decontamination.contaminations(no_docs, table).count() == 0
+    assert decontamination.contaminations(hard_docs, table.limit(0)).count() == 0
+
+
+def test_licence_places_equal_brute_force(spark, hard_docs, hard_rows, no_docs):
+    rows = license_scan.scan(hard_docs).collect()
+    found = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows)
+    assert found == Counter((i, *brute.licence_places(t)) for i, t in hard_rows)
+    assert {r.doc_id: r.labels for r in rows}[14] == "apache,mit"
+    assert license_scan.scan(no_docs).count() == 0
+
+
+def test_licence_templates(spark):
+    texts = {
+        1: "Licensed under CC BY-NC 4.0.",
+        2: "this is not licensed under anything by anyone",
+        3: "License\nThis Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        4: "mit license license mit license",
+        5: "cc by nc",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r.doc_id: r for r in license_scan.scan(docs).collect()}
+    assert [rows[i].labels for i in range(1, 6)][:4] == ["cc-by-nc", "", "mpl", "mit"]
+    assert rows[4].n_base == 2 and (rows[4].first_word, rows[4].last_word) == (0, 3)
+    assert rows[1].score == pytest.approx(1.0) and rows[2].score == 0.0
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    rows = language_id.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where(language_id.held_out()).collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
+
+
+def test_language_spans_and_edges(spark, hard_docs, hard_rows, no_docs):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.fit(docs)
+    texts = {lang: " ".join(r.text.replace("\n", " ").split()[:60]) for lang in ("en", "de") for r in docs.where(f"lang = '{lang}' and n_chars > 1500").orderBy("doc_id").limit(1).collect()}
+    mixed = spark.createDataFrame([(1, texts["en"] + " " + texts["de"])], "doc_id long, text string")
+    spans = language_id.predict(mixed, model).first().spans
+    assert [s["lang"] for s in spans] == ["en", "de"] and spans[0]["start"] == 0
+    rows = language_id.predict(hard_docs, model).collect()
+    assert len(rows) == len(hard_rows)
+    by_id = {r.doc_id: r for r in rows}
+    assert all(by_id[i].lang_pred == "und" and by_id[i].score == 0 and not by_id[i].spans for i in (4, 5, 6, 12))
+    assert all(r.lang_pred in (*model.languages, "und") and 0 <= r.score <= 1 for r in rows)
+    assert language_id.predict(no_docs, model).count() == 0
+    nothing = language_id.fit(hard_docs.where("lang = 'xx'"))
+    assert {r.lang_pred for r in language_id.predict(hard_docs, nothing).collect()} == {"und"}
+
+
+def test_viterbi_equals_all_paths():
+    import itertools
+
+    model = language_id.Model(["a", "b", "c"], np.zeros((language_id.BUCKETS, 3), np.float32), np.ones((15, 3), bool), 2.0)
+    labeller = language_id.Labeller(model)
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(6)]
+    labeller.place = {w: i for i, w in enumerate(words)}
+    labeller.rows = rng.normal(0, 2, (6, 3)).astype(np.float32)
+
+    def value(text, path):
+        return sum(labeller.rows[labeller.place[w], k] for w, k in zip(text, path)) - 2.0 * sum(a != b for a, b in zip(path, path[1:]))
+
+    texts = [list(rng.choice(words, n)) for n in (1, 5, 3, 0, 6)]
+    for text, path in zip(texts, labeller.label(texts)):
+        if text:
+            best = max(value(text, p) for p in itertools.product(range(3), repeat=len(text)))
+            assert value(text, path.tolist()) == pytest.approx(best, abs=1e-4)
+
+
+PAGE = (
+    "<html><head><title>t</title><style>p{}</style></head><body><header><h1>Site</h1></header><nav><a href=1>Menu</a></nav>"
+    "<div class=ad>Buy this, now, please, it is a long advert text.</div><article><h1>Title &amp; more</h1>"
+    "<p>First paragraph,   with\ncommas, and <b>bold</b> words that go on.<p>Second <a href=x>linked</a> paragraph, which is long enough.<br>"
+    "<ul><li>one<li>two</ul><script>var x = '<p>no</p>';</script></article>"
+    "<div id=comments><p>A reader wrote a comment, a long one, with commas, too.</p></div><footer>&copy; site</footer></body></html>"
+)
+
+
+def test_main_text():
+    assert html_text.main_text(PAGE) == (
+        "Title & more\nFirst paragraph, with commas, and bold words that go on.\n"
+        "Second linked paragraph, which is long enough.\none\ntwo"
+    )
+    plain = "<body><div class=menu><a href=1>x</a></div><div><p>Some text, long enough to count here.</p><p>More text, long enough to count here.</p></div>"
+    assert html_text.main_text(plain) == "Some text, long enough to count here.\nMore text, long enough to count here."
+    for broken in ("", "<", "<p", "<p class='x", "</div></div>", "<!-- open", "<script>", "a < b", "<div>" * 5000):
+        assert isinstance(html_text.main_text(broken), str)
+    assert html_text.main_text("a < b &lt; c") == "a < b < c"
+
+
+def test_extract_edges(spark):
+    rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (3, "u", ""), (None, "u", "<p>x" + "y" * 10**6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
+    found = html_text.extract(pages).collect()
+    assert Counter(r.page_id for r in found) == Counter(r[0] for r in rows)
+    assert all(r.n_chars == len(r.text) for r in found)
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_audit_finds_each_damage(spark):
+    rows = [(i, f"record {i} " + "x" * (i % 50)) for i in range(5000)] + [(7, "record 7 again"), (None, "a"), (None, "b"), (8, None)]
+    original = spark.createDataFrame(rows, "record_id long, record string")
+    how = fixity.Tree(leaf_bytes=512, fanout=4, levels=6, file_records=1000)
+    assert fixity.audited(original, original, how).count() == 0
+    damaged = [(i, (r + "!") if i == 123 else r) for i, r in rows if i != 4500 and r != "b"] + [(9000, "new")]
+    replica = spark.createDataFrame(damaged, "record_id long, record string")
+    found = {(r.record_id, r.status) for r in fixity.audited(original, replica, how).collect()}
+    assert found == {(123, "corrupt"), (4500, "missing"), (None, "missing"), (None, "extra")}
+    none = original.limit(0)
+    assert fixity.audited(none, none, how).count() == 0
+    assert fixity.audited(original.limit(3), none, how).count() == 3
+
+
+def test_audit_descends_only_where_hashes_differ(spark):
+    """With one file damaged, the nodes compared below the roots are that file's."""
+    rows = spark.range(4000).selectExpr("id as record_id", "concat('r', id) as record")
+    how = fixity.Tree(leaf_bytes=256, fanout=4, levels=5, file_records=1000)
+    other = rows.withColumn("record", F.when(F.col("record_id") == 2500, "bad").otherwise(F.col("record")))
+    found = fixity.audited(rows, other, how).collect()
+    assert [(r.record_id, r.file, r.status) for r in found] == [(2500, 2, "corrupt")]
