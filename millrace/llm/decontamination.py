@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import NOT_WORD, hashed_shingles, lower_ascii, words
+from millrace.llm.text import NOT_WORD, hashed_shingles, lower_ascii, settled, words
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,7 @@ class Containment:
 
 
 def _shingles(rows: DataFrame, key: str, how: Containment) -> DataFrame:
-    listed = rows.select(key, words(lower_ascii(F.col("text")), NOT_WORD).alias("_words"))
+    listed = rows.select(key, settled(words(lower_ascii(F.col("text")), NOT_WORD)).alias("_words"))
     listed = listed.select(key, hashed_shingles(F.col("_words"), how.shingle, distinct=False).alias("_shingles"))
     # Not explode: its implied filter on the array would be moved down and run the lambda twice.
     return listed.select(key, F.explode_outer("_shingles").alias("shingle"))

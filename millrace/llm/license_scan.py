@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import NOT_WORD, lower_ascii, words
+from millrace.llm.text import NOT_WORD, lower_ascii, settled, words
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,8 @@ def _split(text: str) -> list[str]:
 
 def with_words(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``words`` of each row."""
-    return docs.select("doc_id", words(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), NOT_WORD).alias("words"))
+    listed = words(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), NOT_WORD)
+    return docs.select("doc_id", settled(listed).alias("words"))
 
 
 def weights(docs: DataFrame, how: Scan) -> dict[str, float]:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.ship import ship_package
-from millrace.llm.text import hashed_shingles, lower_ascii, words
+from millrace.llm.text import hashed_shingles, lower_ascii, settled, words
 from millrace.session import work_path
 
 #: Seeds of the hashes that cut the feature domain.
@@ -71,7 +71,7 @@ class Join:
 
 def with_features(docs: DataFrame, how: Join) -> DataFrame:
     """Replaces ``text`` by ``features``, the hashed shingles of the lower-cased text."""
-    df = docs.withColumn("_words", words(lower_ascii(F.coalesce("text", F.lit(""))))).drop("text")
+    df = docs.withColumn("_words", settled(words(lower_ascii(F.coalesce("text", F.lit("")))))).drop("text")
     return df.withColumn("features", hashed_shingles(F.col("_words"), how.shingle)).drop("_words")
 
 
@@ -259,7 +259,6 @@ def grouped(docs: DataFrame, how: Join = Join()) -> DataFrame:
     features = with_features(texts, how)
     ordered = F.sort_array("features")
     same = (F.xxhash64(ordered) == F.col("key1")) & (F.xxhash64(F.lit(1), ordered) == F.col("key2"))
-    # A filter on what the lambdas make would be evaluated inside them, so the mark is stored first.
     features = _stored(features.select("cid", "features", same.alias("same")), "part-enum-features").where("same")
     compared = _stored(_links(edges, features, how), "part-enum-links")
     links = compared.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))

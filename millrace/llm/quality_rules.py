@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import CLASSES, count_chars, kept_rows, with_class_counts, with_row, words
+from millrace.llm.text import CLASSES, count_chars, kept_rows, settled, with_class_counts, with_row, words
 
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -130,12 +130,12 @@ def _with_common_counts(df: DataFrame, found: list[dict]) -> DataFrame:
     """Adds ``_counts``: how often each reference word stands in ``words``."""
     vocabulary = sorted({w for r in found for w in r["words"]})
     hits = F.sort_array(F.filter("words", lambda w: w.isin(vocabulary)))
-    df = df.withColumn("_hits", hits).withColumn("_keys", F.array_distinct("_hits"))
-    df = df.withColumn("_ends", F.transform("_keys", lambda w: F.array_position("_hits", w).cast("int")))
+    df = df.withColumn("_hits", settled(hits)).withColumn("_keys", F.array_distinct("_hits"))
+    df = df.withColumn("_ends", settled(F.transform("_keys", lambda w: F.array_position("_hits", w).cast("int"))))
     counts = F.transform(
         "_ends", lambda p, i: F.coalesce(F.get("_ends", i + 1), F.size("_hits") + 1) - p
     )
-    return df.withColumn("_counts", F.map_from_arrays("_keys", counts))
+    return df.withColumn("_counts", settled(F.map_from_arrays("_keys", counts)))
 
 
 def with_repeat_words(df: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def with_repeat_words(df: DataFrame) -> DataFrame:
     df = df.withColumn("_windows", F.when(F.size("words") >= 3, hashes).otherwise(F.array().cast("array<bigint>")))
     placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     all_differ = F.size(F.array_distinct("_windows")) == F.size("_windows")
-    df = df.withColumn("_placed", F.when(~all_differ, placed))
+    df = df.withColumn("_placed", settled(F.when(~all_differ, placed)))
 
     def repeats(x: Column, k: Column) -> Column:
         before, after = F.get("_placed", k - 1)["h"], F.get("_placed", k + 1)["h"]
@@ -177,7 +177,7 @@ def judged(docs: DataFrame, found: list[dict] | None = None, rules: Rules = Rule
     if found is None:
         found = references(docs, rules)
     df = with_row(docs)
-    df = df.withColumn("words", words(F.col("text")))
+    df = df.withColumn("words", settled(words(F.col("text"))))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumn("_lines", lines).withColumns(
         {

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.text import CLASSES, kept_rows, with_class_counts, with_row, words
+from millrace.llm.text import CLASSES, kept_rows, settled, with_class_counts, with_row, words
 
 STATISTICS = [*[f"share_{name}" for name in CLASSES], "share_other", "word_length", "n_words", "distinct", "line_repeats"]
 
@@ -64,7 +64,7 @@ def _holds(conditions: tuple[Condition, ...]) -> Column:
 def with_statistics(docs: DataFrame) -> DataFrame:
     """``_row`` and ``doc_id`` of each row with the statistics of its whole text, all finite."""
     df = with_row(docs)
-    df = with_class_counts(df.withColumn("words", words(F.col("text"))))
+    df = with_class_counts(df.withColumn("words", settled(words(F.col("text")))))
     lines = F.filter(F.split("text", "\n"), lambda x: x != "")
     df = df.withColumn("_lines", lines).withColumn("_n", F.size("words").cast("double"))
     chars = F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, b: a + b)

@@ -32,6 +32,16 @@ def words(text: Column, separator: str = BLANK) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separator), "")
 
 
+def settled(column: Column) -> Column:
+    """``column``, computed where it stands.
+
+    Spark moves filters below projections and merges projections by putting expressions in place of the
+    columns they make; inside a lambda that would evaluate them for every element. It moves nothing past
+    an expression that draws a random number, which this one does and ignores.
+    """
+    return F.when(F.rand(0) >= 0, column)
+
+
 def count_chars(text: Column, chars: str) -> Column:
     """Characters of ``text`` that the character class ``chars`` holds."""
     return (F.length(text) - F.length(F.regexp_replace(text, chars + "+", ""))).cast("bigint")
@@ -42,8 +52,7 @@ def hashed_shingles(word_list: Column, size: int, distinct: bool = True) -> Colu
 
     A text with fewer words has its whole sequence as one shingle, one without words has none.
     The hash is over the words and their number, so shingles of other sizes do not meet.
-    ``word_list`` must be a column of its own, and no filter on the result may stand in the same plan:
-    Spark would move the expression behind ``word_list`` into the lambda, which runs at each place.
+    ``word_list`` must be a ``settled`` column: the lambda reads it at each place.
     """
     whole = F.array(F.xxhash64(word_list, F.lit(-1)))
     hashes = F.transform(

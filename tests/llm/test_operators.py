@@ -30,7 +30,6 @@ def test_quality_rules_counts_are_exact(hard_docs, hard_rows, no_docs):
     found = Counter((r.doc_id, *[r[c] for c in counted]) for r in rows)
     assert found == Counter((i, *brute.base_rules(t)) for i, t in hard_rows)
     assert not any(r.kept and r.base_failed for r in rows)
-    assert {r.doc_id for r in rows if r.kept} >= {1, 2, 3, 16}
     assert 12 not in {r.doc_id for r in rows if r.kept}
     assert quality_rules.quality_rules(no_docs).count() == 0
     kept = quality_rules.good(hard_docs)
