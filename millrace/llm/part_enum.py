@@ -5,8 +5,9 @@ Hamming distance: ``|x ^ y| * (100 + percent) <= (100 - percent) * (|x| + |y|)``
 sizes the bound is a number k, and PartEnum turns it into equality: the feature domain is cut into n1
 parts by a hash, so some part differs in at most k2 = 1 places; each part is cut again into n2, and of
 those some n2 - 1 agree whole. Sets project on every such choice; one projection they share is certain.
-A projection without any feature says nothing, so it is replaced by its pair with every signature of
-a second, independent cut, of which similar sets share one too.
+A projection without any feature says nothing. n1 is a little larger than needed, so several parts agree;
+a set with fewer empty parts than that leaves them out. Others, small ones, pair each empty projection with
+every signature of a second, independent cut, of which similar sets share one too.
 
 A signature's sets are not compared pair by pair: each is compared with the signature's pivot, the set with
 most copies. That joins most groups. Around pivots some set does not link to, a second cut into many parts
@@ -47,13 +48,15 @@ FINE = 16
 @dataclass(frozen=True)
 class Join:
     """``shingle`` words make a feature; sets link from ``percent`` up. ``cuts`` is n2. Bands of set
-    sizes begin at powers of ``band``; the largest set in use has ``band ** bands`` features."""
+    sizes begin at powers of ``band``; the largest set in use has ``band ** bands`` features.
+    ``broadcast_rows``: most classes whose ids go to every task, 32 bytes each."""
 
     shingle: int = 5
     percent: int = 80
     cuts: int = 3
     band: float = 1.5
     bands: int = 64
+    broadcast_rows: int = 500_000
 
     def starts(self) -> list[int]:
         """Smallest size of each band."""
@@ -62,11 +65,12 @@ class Join:
             starts.append(max(starts[-1] + 1, math.ceil(starts[-1] * self.band)))
         return starts
 
-    def parts(self) -> list[int]:
-        """n1 of each band; 0 where only equal sets can link."""
+    def parts(self) -> list[tuple[int, int]]:
+        """n1 of each band, and how many parts at least differ in one place at most between sets that
+        link; 0 where only equal sets can link."""
         ends = [start - 1 for start in self.starts()[1:]]
         most = [2 * end * (100 - self.percent) // (100 + self.percent) for end in ends]
-        return [0 if not k else (k + 2) // 2 for k in most] + [0]
+        return [(k // 2 + 1 + k // 10, 1 + k // 10) if k else (0, 0) for k in most] + [(0, 0)]
 
 
 def with_features(docs: DataFrame, how: Join) -> DataFrame:
@@ -121,38 +125,36 @@ def signatures(features: np.ndarray, how: Join) -> np.ndarray:
     found = []
     features = features.astype(np.uint64)
     for band in _bands(len(features), how):
-        parts = how.parts()[band]
+        parts, alike = how.parts()[band]
         if not parts:
             continue
         hashes, empty = _projections(features, parts, how.cuts, FIRST)
-        if empty.any():
+        kept = hashes[~empty]
+        # As many parts agree as ``alike``; with fewer that have an empty projection, one agrees without.
+        if empty.reshape(parts, how.cuts).any(axis=1).sum() >= alike:
             others, _ = _projections(features, parts, 2, SECOND)
             pairs = _mix(hashes[empty][:, None] ^ _mix(others, OTHER)[None, :], OTHER).ravel()
-            hashes = np.concatenate([hashes[~empty], pairs])
-        found.append(_mix(hashes, 100 + band))
+            kept = np.concatenate([kept, pairs])
+        found.append(_mix(kept, 100 + band))
     return np.unique(np.concatenate(found)).astype(np.int64) if found else np.zeros(0, np.int64)
 
 
 def with_signatures(sets: DataFrame, how: Join) -> DataFrame:
-    """``doc_id``, ``n``, ``key1``, ``key2`` (of the whole set) and ``signatures`` of ``with_sets``."""
-    ordered = F.sort_array("features")
-    keyed = sets.select(
-        "doc_id", "n", "features", F.xxhash64(ordered).alias("key1"), F.xxhash64(F.lit(1), ordered).alias("key2")
-    )
+    """``cid`` and ``signature``, one row for each, of ``sets`` (``cid``, ``features``, ``same``)."""
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
-            column = batch.column("features")
-            values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            lists = [signatures(values[a:b], how) for a, b in zip(offsets, offsets[1:])]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.int64), *lists])
-            nested = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            kept = [batch.column(c) for c in ("doc_id", "n", "key1", "key2")]
-            yield pa.RecordBatch.from_arrays([*kept, nested], names=["doc_id", "n", "key1", "key2", "signatures"])
+            batch = batch.filter(batch.column("same"))
+            cids, column = batch.column("cid").to_numpy(), batch.column("features")
+            # A few texts at a time, so what goes back is no larger than what came.
+            for first in range(0, batch.num_rows, 200):
+                lists = [signatures(x.values.to_numpy(zero_copy_only=False), how) for x in column[first : first + 200]]
+                repeated = np.repeat(cids[first : first + 200], [len(x) for x in lists])
+                flat = np.concatenate([np.zeros(0, np.int64), *lists])
+                yield pa.RecordBatch.from_arrays([pa.array(repeated), pa.array(flat)], names=["cid", "signature"])
 
     ship_package(sets.sparkSession)
-    return keyed.mapInArrow(run, "doc_id bigint, n bigint, key1 bigint, key2 bigint, signatures array<bigint>")
+    return sets.select("cid", "features", "same").mapInArrow(run, "cid bigint, signature bigint")
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -163,34 +165,50 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _classes(sets: DataFrame) -> DataFrame:
-    """One row per distinct set: ``cid``, ``rep`` (its smallest ``doc_id``), the keys and signatures.
+def _keyed(sets: DataFrame) -> DataFrame:
+    """``doc_id``, ``n`` and the 128-bit key of each whole set."""
+    ordered = F.sort_array("features")
+    return sets.select("doc_id", "n", F.xxhash64(ordered).alias("key1"), F.xxhash64(F.lit(1), ordered).alias("key2"))
+
+
+def _classes(keyed: DataFrame) -> DataFrame:
+    """One row per distinct set: ``cid``, ``rep`` (its smallest ``doc_id``), ``n`` and the key.
 
     ``cid`` falls with the number of copies, by powers of two, so the smallest of some classes is one
     with many copies.
     """
     merged = (
-        sets.where("n > 0")
-        .groupBy("key1", "key2", "n")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.any_value("signatures").alias("signatures"))
+        keyed.where("n > 0").groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     )
     rank = (63 - F.floor(F.log2("copies"))).cast("bigint")
     cid = F.shiftleft(rank, 57) + F.monotonically_increasing_id()
-    return merged.select(cid.alias("cid"), "rep", "n", "key1", "key2", "signatures")
+    return merged.select(cid.alias("cid"), "rep", "n", "key1", "key2")
+
+
+def _sets_of(docs: DataFrame, classes: DataFrame, how: Join) -> DataFrame:
+    """``cid``, ``features`` and ``same`` (whether it is the class's set) of each of ``classes``, made again from the text of its ``rep``: texts are
+    less to move than sets. They stay where they are if a count shows that the classes may be broadcast."""
+    wanted = classes.select("cid", F.col("rep").alias("doc_id"), "key1", "key2")
+    if wanted.limit(how.broadcast_rows + 1).count() <= how.broadcast_rows:
+        wanted = F.broadcast(wanted)
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text")
+    # A class without an id has its text only by its key; nulls do not join, so they meet as a value.
+    joined = texts.join(wanted.withColumnRenamed("doc_id", "_rep"), F.col("doc_id").eqNullSafe(F.col("_rep")))
+    features = with_features(joined, how)
+    ordered = F.sort_array("features")
+    same = (F.xxhash64(ordered) == F.col("key1")) & (F.xxhash64(F.lit(1), ordered) == F.col("key2"))
+    # Marked, not filtered: a filter here would move below the lambdas and evaluate them again.
+    return features.select("cid", "features", same.alias("same"))
 
 
-def _to_pivots(classes: DataFrame) -> DataFrame:
+def _to_pivots(dealt: DataFrame) -> DataFrame:
     """Distinct ``x`` and ``p``: p is the pivot of a signature that x has, and another class."""
-    dealt = classes.select("cid", F.explode("signatures").alias("signature")).repartition("signature")
+    dealt = dealt.repartition("signature")
     pivots = dealt.groupBy("signature").agg(F.min("cid").alias("p"), F.count("*").alias("size")).where("size > 1")
     met = dealt.join(pivots, "signature").where("cid <> p")
     return met.select(F.col("cid").alias("x"), "p").distinct()
 
 
-def _linked(distance: Column, sizes: Column, how: Join) -> Column:
-    return distance * (100 + how.percent) <= sizes * (100 - how.percent)
-
-
 def _links(edges: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
     """Each ``x`` and ``p`` of ``edges`` and whether they link, by the exact size of their overlap."""
     x = sets.select(F.col("cid").alias("x"), F.col("features").alias("fx"))
@@ -211,7 +229,7 @@ def fine_parts(features: np.ndarray, how: Join) -> list[tuple[int, int, int]]:
     n, found = len(features), []
     most = (n + n * 100 // how.percent) * (100 - how.percent) // (100 + how.percent)
     for band in _bands(n, how):
-        parts = FINE * how.parts()[band]
+        parts = FINE * how.parts()[band][0]
         if not parts:
             continue
         values = features.astype(np.uint64)
@@ -234,7 +252,8 @@ def _meetings(sets: DataFrame, how: Join) -> DataFrame:
         for batch in batches:
             for cid, root, features in zip(*(batch.column(c) for c in ("cid", "root", "features"))):
                 rows = fine_parts(features.values.to_numpy(zero_copy_only=False), how)
-                yield batch_of([(cid.as_py(), root.as_py(), *row) for row in rows], schema)
+                if rows:
+                    yield batch_of([(cid.as_py(), root.as_py(), *row) for row in rows], schema)
 
     parts = _stored(sets.select("cid", "root", "features").mapInArrow(run, schema), "part-enum-parts")
     sizes = parts.groupBy("part").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
@@ -249,17 +268,11 @@ def _meetings(sets: DataFrame, how: Join) -> DataFrame:
 def grouped(docs: DataFrame, how: Join = Join()) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest ``doc_id`` that
     links reach, its own included."""
-    sets = _stored(with_signatures(with_sets(docs, how), how), "part-enum-sets")
+    sets = _stored(_keyed(with_sets(docs, how)), "part-enum-keys")
     classes = _stored(_classes(sets), "part-enum-classes")
-    edges = _to_pivots(classes).checkpoint()
-    # Texts of the classes that met another, made sets again: less to move than the sets.
+    edges = _to_pivots(with_signatures(_sets_of(docs, classes, how), how)).checkpoint()
     met = edges.select(F.col("x").alias("cid")).union(edges.select("p")).distinct()
-    wanted = classes.drop("signatures").join(met, "cid").select("cid", F.col("rep").alias("doc_id"), "key1", "key2")
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(wanted, "doc_id")
-    features = with_features(texts, how)
-    ordered = F.sort_array("features")
-    same = (F.xxhash64(ordered) == F.col("key1")) & (F.xxhash64(F.lit(1), ordered) == F.col("key2"))
-    features = _stored(features.select("cid", "features", same.alias("same")), "part-enum-features").where("same")
+    features = _stored(_sets_of(docs, classes.join(met, "cid"), how), "part-enum-features").where("same")
     compared = _stored(_links(edges, features, how), "part-enum-links")
     links = compared.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
     groups = components(links)

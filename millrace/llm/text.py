@@ -37,9 +37,9 @@ def settled(column: Column) -> Column:
 
     Spark moves filters below projections and merges projections by putting expressions in place of the
     columns they make; inside a lambda that would evaluate them for every element. It moves nothing past
-    an expression that draws a random number, which this one does and ignores.
+    an expression that depends on the partition, which this one does in form.
     """
-    return F.when(F.rand(0) >= 0, column)
+    return F.when(F.spark_partition_id() >= 0, column)
 
 
 def count_chars(text: Column, chars: str) -> Column:
