@@ -11,6 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+#: One list of quoted strings, numbers or names, and nothing after it.
+_WHOLE_LIST = (
+    r"""(?s)^\s*\[\s*(?:(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[-+\w]+)"""
+    r"""(?:\s*,\s*(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[-+\w]+))*+\s*)?\]\s*$"""
+)
 _JSON_OPTIONS = {"allowUnquotedControlChars": "true"}
 
 # Workers get the reader below with the task and need no copy of this package.
@@ -24,7 +29,9 @@ def parse_list(text: Column, exact: bool = False) -> Column:
     refuses (``None`` elements, ``\\x`` escapes, tuples) are read as Python literals in Arrow
     batches; texts it accepted reach the Python worker as NULL.
     """
-    parsed = F.from_json(text, "array<string>", _JSON_OPTIONS)
+    # The JSON reader stops at the end of the list and would ignore what follows it.
+    whole = text.rlike(_WHOLE_LIST)
+    parsed = F.when(whole, F.from_json(text, "array<string>", _JSON_OPTIONS))
     if not exact:
         return parsed
     return F.coalesce(parsed, _literal_udf()(F.when(parsed.isNull(), text)))

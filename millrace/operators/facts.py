@@ -64,10 +64,10 @@ def facts(
     """One fact row per function, assignment, task, chain and error of every file.
 
     Only the ``kinds`` asked for are made, and errors. ``with_bodies`` also reads chains inside
-    ``with`` blocks. Files are parsed where the scan puts them: see `fill_cores` for a source
-    table that has few partitions.
+    ``with`` blocks. Files are parsed where the scan puts them.
     """
     wanted = frozenset(kinds)
+
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
         chars = 0
@@ -76,7 +76,7 @@ def facts(
                 file = path.as_py()
                 for fact in _file_facts(source.as_py() or "", wanted, with_bodies):
                     rows.append({"path": file, **fact})
-                    chars += len(fact.get("value") or "") + 64
+                    chars += _chars(fact)
                     if len(rows) >= _BATCH_ROWS or chars >= _BATCH_CHARS:
                         yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
                         rows, chars = [], 0
@@ -136,6 +136,13 @@ def errors(facts: DataFrame) -> DataFrame:
     return facts.where("kind = 'error'").select("path", "pos", F.col("value").alias("error"))
 
 
+def _chars(fact: dict) -> int:
+    """About as many characters as the fact's texts have, those of its arguments and stages too."""
+    texts = [fact.get("value"), fact.get("name"), *[t for pair in fact.get("args") or () for t in pair]]
+    texts += [name for stage in fact.get("stages") or () for name in stage]
+    return 64 + sum(8 + len(text) for text in texts if text)
+
+
 def _file_facts(source: str, kinds: frozenset[str], with_bodies: bool) -> list[dict]:
     found: list[dict] = []
     try:

@@ -21,16 +21,13 @@ from pyspark.sql.types import (
     AtomicType,
     DataType,
     NullType,
+    StringType,
     StructType,
     VariantType,
 )
 
 from millrace.operators.reshape import align, column
 
-_HASH = "_key_hash"
-_HIT = "_hit"
-_STAGED = "_staged_"
-
 
 def keep_one(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[Column] = ()) -> DataFrame:
     """One row per key (NULLs form a key too): the first in ``tiebreak`` order.
@@ -45,7 +42,16 @@ def keep_one(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[Column] = ()
     ]
     order = [*tiebreak, *rest] or [F.lit(1)]
     ranked = F.row_number().over(Window.partitionBy(*map(column, keys)).orderBy(*order))
-    return df.withColumn("_rn", ranked).where("_rn = 1").drop("_rn")
+    rank = _free("_rn", df)
+    return df.withColumn(rank, ranked).where(column(rank) == 1).drop(rank)
+
+
+def _free(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of ``frames`` begins with it in any case."""
+    taken = [c.lower() for frame in frames for c in frame.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name = f"_{name}"
+    return name
 
 
 def _orderable(kind: DataType) -> bool:
@@ -79,8 +85,9 @@ def update_from(
 ) -> DataFrame:
     """Target rows, each one whose key is staged taking all columns of the staged row.
 
-    ``staged`` holds one row per key and the target's columns. A staged NULL overwrites.
+    ``staged`` holds one row per key; it is aligned to the target. A staged NULL overwrites.
     """
+    staged = align(staged, target.schema)
     if null_safe:
         return _take_staged(target, staged, keys, True)
     keyed, keyless = _split_null_keys(target, keys)
@@ -91,8 +98,8 @@ def update_from(
 def insert_new(
     target: DataFrame, staged: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
-    """Target plus the staged rows whose key it lacks."""
-    return target.unionByName(new_rows(staged, target, keys, null_safe))
+    """Target plus the staged rows, aligned to it, whose key it lacks."""
+    return target.unionByName(new_rows(align(staged, target.schema), target, keys, null_safe))
 
 
 def upsert(
@@ -181,13 +188,14 @@ def _union(first: DataFrame, *others: DataFrame | None) -> DataFrame:
 def _take_staged(
     target: DataFrame, staged: DataFrame, keys: Sequence[str], null_safe: bool
 ) -> DataFrame:
+    hit, prefix = _free("_hit", target), _free("_staged_", target)
     side = staged.select(
-        *[column(c).alias(_STAGED + c) for c in target.columns], F.lit(True).alias(_HIT)
+        *[column(c).alias(prefix + c) for c in target.columns], F.lit(True).alias(hit)
     )
-    joined = _hash_join(target, side, keys, "left", null_safe, prefix=_STAGED)
+    joined = _hash_join(target, side, keys, "left", null_safe, prefix=prefix)
     return joined.select(
         *[
-            F.when(column(_HIT), column(_STAGED + c)).otherwise(column(c)).alias(c)
+            F.when(column(hit), column(prefix + c)).otherwise(column(c)).alias(c)
             for c in target.columns
         ]
     )
@@ -205,18 +213,44 @@ def _hash_join(
 
     The hash makes Spark shuffle the right side for this join even if it is already
     partitioned by the keys: both inputs are then plain sorted exchanges, which adaptive
-    execution needs to split skewed partitions. It also makes the sort cheap.
+    execution needs to split skewed partitions. It also makes the sort cheap. Keys of different
+    types are hashed in the type Spark compares them in. Text under a collation, where equal
+    values can have different hashes, is joined by the keys alone.
     """
     if prefix is None:
-        prefix = _STAGED
+        prefix = _free("_staged_", left)
         right = right.select(*[column(c).alias(prefix + c) for c in right.columns])
-    lhash, rhash = f"_left{_HASH}", f"_right{_HASH}"
-    left = left.withColumn(lhash, F.xxhash64(*map(column, keys)))
-    right = right.withColumn(rhash, F.xxhash64(*[column(prefix + k) for k in keys]))
-    condition = column(lhash) == column(rhash)
+    types = [_compared_in(left, k, right, prefix + k) for k in keys]
+    hashes = []
+    condition = F.lit(True)
+    if all(map(_hash_follows_equality, types)):
+        hashes = [_free("_left_key_hash", left, right), _free("_right_key_hash", left, right)]
+        names = (keys, [prefix + k for k in keys])
+        left, right = (
+            frame.withColumn(h, F.xxhash64(*[column(n).cast(t) for n, t in zip(listed, types)]))
+            for frame, h, listed in zip((left, right), hashes, names)
+        )
+        condition = column(hashes[0]) == column(hashes[1])
     for k in keys:
         same = left[f"`{k}`"].eqNullSafe(right[f"`{prefix}{k}`"]) if null_safe else (
             left[f"`{k}`"] == right[f"`{prefix}{k}`"]
         )
         condition = condition & same
-    return left.join(right, condition, how).drop(lhash, rhash)
+    return left.join(right, condition, how).drop(*hashes)
+
+
+def _compared_in(left: DataFrame, lname: str, right: DataFrame, rname: str) -> DataType:
+    """The common type of two columns, as Spark finds it; no job runs."""
+    kinds = [left.select(column(lname)).schema[0].dataType, right.select(column(rname)).schema[0].dataType]
+    if kinds[0] == kinds[1]:
+        return kinds[0]
+    both = F.coalesce(*[F.lit(None).cast(kind) for kind in kinds])
+    return left.sparkSession.range(0).select(both.alias("k")).schema[0].dataType
+
+
+def _hash_follows_equality(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _hash_follows_equality(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_hash_follows_equality(field.dataType) for field in kind.fields)
+    return not isinstance(kind, StringType) or kind.collation == "UTF8_BINARY"

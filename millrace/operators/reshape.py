@@ -109,17 +109,30 @@ def explode_lists(df: DataFrame, *names: str) -> DataFrame:
     """One row per list element, the other columns repeated.
 
     Several lists give their cross product within the row. A row whose list is empty or NULL
-    stays, with NULL.
+    stays, with NULL. Names are resolved as Spark does; an unknown one raises.
     """
-    for name in names:
+    for name in _resolved(df, names):
         df = df.select(
             *[F.explode_outer(column(c)).alias(c) if c == name else column(c) for c in df.columns]
         )
     return df
 
 
+def _resolved(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """The columns' names as ``df`` spells them."""
+    return [name if name in df.columns else _spelled(df, name) for name in names]
+
+
+def _spelled(df: DataFrame, name: str) -> str:
+    same = [c for c in df.columns if c.lower() == name.lower()]
+    if len(same) != 1 or df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        raise ValueError(f"column {name!r} is not one of {df.columns}")
+    return same[0]
+
+
 def parse_lists(df: DataFrame, *names: str, exact: bool = False) -> DataFrame:
-    """List text to arrays in the named columns."""
+    """List text to arrays in the named columns; an unknown name raises."""
+    names = tuple(_resolved(df, names))
     return df.select(
         *[
             parse_list(column(c), exact).alias(c) if c in names else column(c)

@@ -14,7 +14,6 @@ from millrace.operators import facts as f
 from millrace.operators import groups as g
 from millrace.operators import workflow as w
 from millrace.queries.registry import query, table
-from millrace.session import fill_cores
 
 _HEAD = """from datetime import datetime
 owner = '%1$s'
@@ -69,7 +68,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(path, source)``. The narrow part rows are spread, not the texts made from them."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     path = F.format_string("parts/%d.py", "p_partkey")
-    return fill_cores(parts, "p_partkey").select(path.alias("path"), _source().alias("source"))
+    return parts.repartition("p_partkey").select(path.alias("path"), _source().alias("source"))
 
 
 def corpus_facts(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
@@ -272,7 +271,7 @@ def sql_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL of SQL tasks; whole documents and web pages stand in for it."""
 
     def files(name: str, key: str, text: str) -> DataFrame:
-        rows = fill_cores(table(spark, sf_dir, name).select(key, text), key)
+        rows = table(spark, sf_dir, name).select(key, text).repartition(key)
         code = w.assignment_line(F.lit("sql"), F.col(text), F.lit("str"))
         return rows.select(
             F.concat(F.lit(f"{name}/"), F.col(key).cast("string")).alias("path"),

@@ -67,9 +67,17 @@ def _keyless(rows: DataFrame) -> DataFrame:
     return rows.withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW")))
 
 
-@query(_sql("SELECT * FROM staged"))
+@query(
+    f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+    strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority,
+    row_number() OVER (PARTITION BY {_KEYS} ORDER BY o_totalprice DESC, o_orderkey) AS rn
+  FROM orders) AS r
+WHERE rn = 1"""
+)
 def dedup_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return k.keep_one(split_orders(spark, sf_dir)[1], KEYS, tiebreak())
+    return k.keep_one(_dated(table(spark, sf_dir, "orders")), KEYS, tiebreak())
 
 
 @query(_sql("SELECT s.* FROM batch s WHERE EXISTS (SELECT 1 FROM target t WHERE {same})"))
@@ -154,3 +162,40 @@ def upsert_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = rows.where(F.col("l_shipdate") < cut).withColumn("l_shipdate", text)
     batch = rows.where(F.col("l_shipdate") >= cut).withColumn("l_shipdate", text)
     return k.upsert(target, batch, LINE_KEYS, order)
+
+
+def _mixed_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Target keyed by bigint and timestamp, batch by int and date."""
+    rows = table(spark, sf_dir, "orders")
+    day = F.date_trunc("day", F.col("o_orderdate").cast("timestamp"))
+    target = rows.where("o_orderkey % 3 <> 1").select(
+        "o_orderkey", day.alias("o_day"), F.col("o_totalprice").alias("price")
+    )
+    batch = rows.where("o_orderkey % 3 <> 0").select(
+        F.col("o_orderkey").cast("int").alias("o_orderkey"),
+        F.col("o_orderdate").cast("date").alias("o_day"),
+        (F.col("o_totalprice") + 1).alias("price"),
+    )
+    return target, batch
+
+
+def _with_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("o_day", F.date_format("o_day", "yyyy-MM-dd"))
+
+
+_MIXED = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_day,
+  CASE WHEN o_orderkey % 3 {staged} THEN o_totalprice + 1 ELSE o_totalprice END AS price
+FROM orders"""
+
+
+@query(_MIXED.format(staged="<> 0"))
+def upsert_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch = _mixed_orders(spark, sf_dir)
+    return _with_day(k.upsert(target, batch, ["o_orderkey", "o_day"]))
+
+
+@query(_MIXED.format(staged="= 1"))
+def insert_new_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch = _mixed_orders(spark, sf_dir)
+    return _with_day(k.insert_new(target, batch, ["o_orderkey", "o_day"]))

@@ -9,7 +9,6 @@ from millrace.functions.literals import list_literal
 from millrace.operators import reshape as r
 from millrace.plans.steps import run_steps
 from millrace.queries.registry import query, table
-from millrace.session import fill_cores
 
 
 @query("""
@@ -97,7 +96,7 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with two list columns held as text: their lines, and language and source."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    documents = fill_cores(documents, "doc_id")
+    documents = documents.repartition("doc_id")
     tags = F.when(F.col("source") != "src7", F.array("lang", "source")).when(
         F.col("lang") != "en", F.array().cast("array<string>")
     )
@@ -142,7 +141,7 @@ SELECT page_id, CAST(len(string_split(html, chr(10))) AS INTEGER) AS n_lines,
 FROM pages""")
 def parse_list_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List text with quotes and backslashes inside its elements: whole web pages."""
-    pages = fill_cores(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    pages = table(spark, sf_dir, "pages").select("page_id", "html").repartition("page_id")
     texts = pages.select("page_id", list_literal(F.split("html", "\n")).alias("lines"))
     return r.parse_lists(texts, "lines").select(
         "page_id",
@@ -159,7 +158,7 @@ UNION ALL
 SELECT p_partkey, 'caf' || chr(233), p_name, 2 FROM part WHERE p_size <= 25""")
 def parse_list_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List text only a Python literal reader takes: ``None`` elements, ``\\x`` escapes, tuples."""
-    parts = fill_cores(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"), "p_partkey")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size").repartition("p_partkey")
     holed = F.format_string("['%s', None]", F.split_part("p_name", F.lit(" "), F.lit(1)))
     escaped = F.format_string("('caf\\xe9', '%s')", "p_name")
     text = F.when(F.col("p_size") > 25, holed).otherwise(escaped)

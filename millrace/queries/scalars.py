@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as t
 from millrace.queries.registry import query, table
-from millrace.session import fill_cores
 
 # Replacements that build on each other, so their order shows.
 _SWAPS = [("ring", "cog"), ("cog", "wheel"), ("red ", "dark red "), ("blue", "navy")]
@@ -47,7 +46,7 @@ def scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, base64(encode(text)) AS encoded FROM documents")
 def base64_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = fill_cores(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
     return documents.select("doc_id", t.base64_text(F.col("text")).alias("encoded"))
 
 
@@ -57,7 +56,7 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS day,
        CAST(NULL AS VARCHAR) AS none
 FROM orders""")
 def datetime_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = fill_cores(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").repartition("o_orderkey")
     date = F.col("o_orderdate")
     parts = [F.year(date), F.month(date), F.dayofmonth(date)]
 

@@ -137,3 +137,34 @@ def test_insert_new_keeps_the_target(spark):
     result = k.insert_new(target, k.keep_one(staged, KEYS, newest()), KEYS)
     assert not rows(target) - rows(result)
     assert result.where("v = 'fresh'").count() == 1
+
+
+def test_keys_of_other_types_match(spark):
+    target = spark.sql(
+        "select bigint(1) k, cast('1.50' as decimal(10,2)) d, timestamp '2024-01-01 00:00:00' t, 'old' v"
+    )
+    staged = spark.sql("select 1 k, cast('1.5000' as decimal(12,4)) d, date '2024-01-01' t, 'new' v")
+    keys = ["k", "d", "t"]
+    assert k.matched_rows(staged, target, keys).count() == 1
+    assert k.new_rows(staged, target, keys).count() == 0
+    assert [r.v for r in k.insert_new(target, staged, keys).collect()] == ["old"]
+    assert [r.v for r in k.update_from(target, staged, keys).collect()] == ["new"]
+    assert [r.v for r in k.upsert(target, staged, keys).collect()] == ["new"]
+    assert [r.v for r in k.replace_by_key(target, staged, keys, null_safe=True).collect()] == ["new"]
+
+
+def test_collated_keys_match(spark):
+    target = spark.sql("select 'ABC' collate utf8_lcase k, 'old' v")
+    staged = spark.sql("select 'abc' collate utf8_lcase k, 'new' v")
+    assert [r.v for r in k.upsert(target, staged, ["k"]).collect()] == ["new"]
+    assert [r.v for r in k.update_from(target, staged, ["k"]).collect()] == ["new"]
+    assert k.new_rows(staged, target, ["k"]).count() == 0
+
+
+def test_user_columns_keep_their_names(spark):
+    rows = [(1, 7, True, 3, "a"), (2, 8, False, 4, "b")]
+    names = "k int, _rn int, _hit boolean, _staged_k int, _left_key_hash string"
+    target = spark.createDataFrame(rows, names)
+    staged = spark.createDataFrame([(2, 9, True, 5, "c")], names)
+    assert sorted(map(tuple, k.upsert(target, staged, ["k"]).collect())) == [rows[0], (2, 9, True, 5, "c")]
+    assert k.keep_one(target, ["k"]).columns == target.columns

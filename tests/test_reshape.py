@@ -60,6 +60,22 @@ def test_explode_keeps_rows_without_elements(spark):
     assert found == [(1, "a", "x"), (1, "a", "y"), (1, "b", "x"), (1, "b", "y"), (2, None, "x"), (3, None, None)]
 
 
+def test_names_are_resolved_and_unknown_ones_refused(spark):
+    df = spark.sql("select 1 k, array('a', 'b') L, \"['x']\" t")
+    assert r.explode_lists(df, "l").count() == 2
+    assert r.parse_lists(df, "T").first().t == ["x"]
+    for call in (r.explode_lists, r.parse_lists):
+        with pytest.raises(ValueError):
+            call(df, "nope")
+
+
+@pytest.mark.parametrize("text", ["['a'] junk", "[]x", "['A'];DROP", "['a'", "x['a']", "['a']['b']"])
+def test_text_after_a_list_makes_it_none(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(literals.parse_list(F.col("t"), exact=True).alias("l")).first().l is None
+    assert df.select(literals.parse_list(F.col("t")).alias("l")).first().l is None
+
+
 def test_union_by_name(spark):
     left = spark.createDataFrame([(1, "a")], "id int, x string")
     right = spark.createDataFrame([("b", 2)], "y string, id int")

@@ -137,6 +137,27 @@ def land(folder, name, items, extra=""):
     (folder / name).write_text("\n".join(map(json.dumps, items)) + "\n" + extra)
 
 
+def test_upsert_partitions_keeps_columns_and_null_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    have = [(1, "a", 10, "x"), (2, None, 20, "y"), (3, "b", 30, "z")]
+    spark.createDataFrame(have, "k int, p string, v int, e string").write.partitionBy("p").parquet(path)
+    batch = spark.createDataFrame([(1, "a", 11), (4, "", 40), (5, "a", 50)], "k int, p string, v int")
+    upsert_partitions(spark, path, batch, ["k", "p"], ["p"], null_safe=True)
+    found = {(r.k, r.p, r.v, r.e) for r in spark.read.parquet(path).collect()}
+    assert found == {(1, "a", 11, None), (5, "a", 50, None), (2, None, 20, "y"), (4, None, 40, None), (3, "b", 30, "z")}
+
+
+def test_touched_partitions_are_a_join_not_a_list(spark, tmp_path):
+    """Thousands of partition values make no larger plan."""
+    from millrace.plans.partitions import _touched
+
+    path = str(tmp_path / "t")
+    spark.range(20).selectExpr("id k", "cast(id as string) p").write.partitionBy("p").parquet(path)
+    target = spark.read.schema("k long, p string").parquet(path)
+    batch = spark.range(5000).selectExpr("id k", "cast(id + 5 as string) p")
+    assert _touched(target, batch, ["p"]).count() == 15
+
+
 def test_show_load(spark, tmp_path):
     landing = tmp_path / "in"
     land(landing, "a.json", SHOWS, "not json at all")
