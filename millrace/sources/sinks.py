@@ -20,8 +20,12 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, without an index. Lists need `sanitize` or `cast_strings` first."""
-    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    """CSV with a header, without an index. Lists need `sanitize` or `cast_strings` first.
+
+    Spaces and tabs at the ends of a value stay.
+    """
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"', **kept).csv(path)
 
 
 def write_text(df: DataFrame, value: str, path: str) -> None:

@@ -45,6 +45,12 @@ def test_csv_scan_infers_or_takes_a_schema(spark, tmp_path):
     assert dict(csv.scan_csv(spark, path, schema="id bigint, when string").dtypes)["id"] == "bigint"
 
 
+def test_csv_keeps_spaces_at_the_ends(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_csv(spark.createDataFrame([("  a ", "\ttab")], "v string, w string"), path)
+    assert tuple(csv.scan_csv(spark, path).first()) == ("  a ", "\ttab")
+
+
 def test_listing_and_whole_files(spark, tmp_path):
     (tmp_path / "one é+%20.py").write_text("a = 'x'\n\nb = 'y'\n")
     (tmp_path / "two.txt").write_text("12345")
