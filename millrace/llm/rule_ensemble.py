@@ -132,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Ensemble:
     marked = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="features").transform(
         marks.coalesce(1)
     )
-    lasso = LogisticRegression(elasticNetParam=1.0, regParam=how.penalty, maxIter=100, standardization=False)
+    lasso = LogisticRegression(elasticNetParam=1.0, regParam=how.penalty, maxIter=40, tol=1e-4, standardization=False)
     model = lasso.fit(marked.select("label", "features"))
     weighted = zip(model.coefficients.toArray().tolist(), rules)
     return Ensemble(float(model.intercept), [(w, r) for w, r in weighted if w])

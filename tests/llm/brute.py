@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
@@ -63,3 +64,17 @@ def licence_places(text: str | None) -> tuple:
     starts = [i for i, _ in found]
     labels = ",".join(sorted({label for _, label in found}))
     return len(words), len(found), min(starts, default=None), max(starts, default=None), labels
+
+
+SYLLABLES = "an be co da el fi go ha in jo ka lo mu ne or pa qui ra su ti un vo wa xe yo zu".split()
+
+
+def prose(seed: int, n: int) -> str:
+    rng = random.Random(seed)
+    common = ["the", "of", "and", "to", "in"]
+    words = []
+    for _ in range(n):
+        words.append(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choices(SYLLABLES, k=rng.randint(1, 4))))
+        if rng.random() < 0.08:
+            words[-1] += rng.choice([".", ",", ".\n"]) if rng.random() < 0.9 else "."
+    return " ".join(words)

@@ -1,4 +1,3 @@
-import random
 import sys
 from pathlib import Path
 
@@ -6,19 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-SYLLABLES = "an be co da el fi go ha in jo ka lo mu ne or pa qui ra su ti un vo wa xe yo zu".split()
-
-
-def prose(seed: int, n: int) -> str:
-    rng = random.Random(seed)
-    common = ["the", "of", "and", "to", "in"]
-    words = []
-    for _ in range(n):
-        words.append(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choices(SYLLABLES, k=rng.randint(1, 4))))
-        if rng.random() < 0.08:
-            words[-1] += rng.choice([".", ",", ".\n"]) if rng.random() < 0.9 else "."
-    return " ".join(words)
-
+from brute import prose  # noqa: E402
 
 #: Names that operators might use for columns of their own.
 CLASHES = ("words", "n_words", "score", "part", "shingle", "features", "n", "item_id", "key1", "_row", "kept", "_hits")

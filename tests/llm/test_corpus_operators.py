@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from brute import prose
 from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, fixity, html_text, language_id, license_scan, packing
@@ -37,7 +38,6 @@ def test_quality_rules_counts_are_exact(hard_docs, hard_rows, no_docs):
 
 
 def test_divergence_rejects_another_distribution(spark):
-    from conftest import prose
 
     plain = [(i, prose(i, 200), "en") for i in range(60)]
     strange = [(1000 + i, prose(i, 200).upper().replace(" ", "!! "), None) for i in range(5)]
@@ -153,8 +153,6 @@ def test_part_enum_equals_all_pairs(spark, shingle, percent):
     """Copies, a star of near copies around one text, chains, unrelated and tiny texts."""
     import random
 
-    from conftest import prose
-
     rng = random.Random(5)
     texts = {}
     for family in range(6):
@@ -197,7 +195,6 @@ def test_components_of_a_long_path(spark):
 
 
 def test_containment_equals_brute_force(spark, hard_docs, hard_rows, no_docs):
-    from conftest import prose
 
     long = dict(hard_rows)[10].split(" ")
     items = {1: " ".join(long[5000:5040]), 2: prose(999, 40), 3: None, 4: "", 5: "one two", 6: "one"}
