@@ -206,5 +206,5 @@ def scan(docs: DataFrame, how: Scan = Scan()) -> DataFrame:
         F.array_max(F.transform("_base", lambda b: b["start"])).cast("bigint").alias("last_word"),
         listed(base_labels).alias("base_labels"),
         listed(F.array_distinct(F.concat(base_labels, own))).alias("labels"),
-        F.coalesce(F.least(F.array_max(F.transform("_found", lambda s: s["share"])), F.lit(1.0)), F.lit(0.0)).alias("score"),
+        F.least(F.coalesce(F.array_max(F.transform("_found", lambda s: s["share"])), F.lit(0.0)), F.lit(1.0)).alias("score"),
     )
