@@ -70,7 +70,7 @@ class Join:
         link; 0 where only equal sets can link."""
         ends = [start - 1 for start in self.starts()[1:]]
         most = [2 * end * (100 - self.percent) // (100 + self.percent) for end in ends]
-        return [(k // 2 + 1 + k // 10, 1 + k // 10) if k else (0, 0) for k in most] + [(0, 0)]
+        return [(k // 2 + 1 + k // 5, 1 + k // 5) if k else (0, 0) for k in most] + [(0, 0)]
 
 
 def with_features(docs: DataFrame, how: Join) -> DataFrame:
@@ -203,7 +203,8 @@ def _sets_of(docs: DataFrame, classes: DataFrame, how: Join) -> DataFrame:
 
 def _to_pivots(dealt: DataFrame) -> DataFrame:
     """Distinct ``x`` and ``p``: p is the pivot of a signature that x has, and another class."""
-    dealt = dealt.repartition("signature")
+    # The filters that the join implies, so that both uses read one exchange.
+    dealt = dealt.where("signature is not null and cid is not null").repartition("signature")
     pivots = dealt.groupBy("signature").agg(F.min("cid").alias("p"), F.count("*").alias("size")).where("size > 1")
     met = dealt.join(pivots, "signature").where("cid <> p")
     return met.select(F.col("cid").alias("x"), "p").distinct()
