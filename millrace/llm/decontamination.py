@@ -17,7 +17,7 @@ Shingles are of lower-cased words and compared by a 64-bit hash. A text with few
 is one shingle of its whole sequence, so an item that short is found in documents of the same few words
 only. Nulls, empty and blank texts and items have no shingles and meet nothing. Rows that share a
 ``doc_id`` (or an ``item_id``) count as one with the shingles of all. A null ``doc_id`` or ``item_id`` is
-a value like any other. Empty tables give no rows. Other columns are not read.
+a value like any other. Where rows are taken out, each text of a ``doc_id`` is searched by itself. Empty tables give no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import NOT_WORD, hashed_shingles, lower_ascii, settled, words
+from millrace.llm.text import NOT_WORD, hashed_shingles, lower_ascii, settled, text_key, without_texts, words
 
 
 @dataclass(frozen=True)
@@ -40,17 +40,17 @@ class Containment:
     broadcast_rows: int = 1_000_000
 
 
-def _shingles(rows: DataFrame, key: str, how: Containment) -> DataFrame:
-    listed = rows.select(key, settled(words(lower_ascii(F.col("text")), NOT_WORD)).alias("_words"))
-    listed = listed.select(key, hashed_shingles(F.col("_words"), how.shingle, distinct=False).alias("_shingles"))
+def _shingles(rows: DataFrame, key: list[str], how: Containment) -> DataFrame:
+    listed = rows.select(*key, settled(words(lower_ascii(F.col("text")), NOT_WORD)).alias("_words"))
+    listed = listed.select(*key, hashed_shingles(F.col("_words"), how.shingle, distinct=False).alias("_shingles"))
     # Not explode: its implied filter on the array would be moved down and run the lambda twice.
-    return listed.select(key, F.explode_outer("_shingles").alias("shingle"))
+    return listed.select(*key, F.explode_outer("_shingles").alias("shingle"))
 
 
 def index(items: DataFrame, how: Containment = Containment()) -> DataFrame:
     """Each shingle of each item: ``item_id``, ``shingle``, ``n_item`` (the item's shingles), ``need`` (as
     many a document must hold) and ``sketched``, whether the sketch of its size partition holds it."""
-    distinct = _shingles(items, "item_id", how).where("shingle is not null").distinct()
+    distinct = _shingles(items, ["item_id"], how).where("shingle is not null").distinct()
     gathered = distinct.groupBy("item_id").agg(F.sort_array(F.collect_list("shingle")).alias("all"))
     n = F.size("all")
     need = F.ceil(n * how.percent / F.lit(100) - F.lit(1e-9)).cast("int")
@@ -64,21 +64,25 @@ def index(items: DataFrame, how: Containment = Containment()) -> DataFrame:
 def contaminations(docs: DataFrame, items: DataFrame, how: Containment = Containment()) -> DataFrame:
     """``doc_id``, ``item_id``, ``n_item``, ``n_found`` and ``containment`` of each item in each document
     that holds enough of it."""
+    return _found(docs, ["doc_id"], items, how).select(
+        "doc_id", "item_id", "n_item", "n_found", (F.col("n_found") / F.col("n_item")).alias("containment")
+    )
+
+
+def _found(docs: DataFrame, key: list[str], items: DataFrame, how: Containment) -> DataFrame:
+    """``key``, ``item_id``, ``n_item`` and ``n_found`` of each item that the texts of a ``key`` hold enough of."""
     wanted = index(items, how)
     if wanted.limit(how.broadcast_rows + 1).count() <= how.broadcast_rows:
         wanted = F.broadcast(wanted)
-    met = _shingles(docs, "doc_id", how).join(wanted, "shingle")
-    counted = met.groupBy("doc_id", "item_id", "n_item", "need", "shingle").agg(F.max("sketched").alias("sketched"))
-    found = counted.groupBy("doc_id", "item_id", "n_item", "need").agg(
+    met = _shingles(docs, key, how).join(wanted, "shingle")
+    counted = met.groupBy(*key, "item_id", "n_item", "need", "shingle").agg(F.max("sketched").alias("sketched"))
+    found = counted.groupBy(*key, "item_id", "n_item", "need").agg(
         F.max("sketched").alias("candidate"), F.count("*").cast("int").alias("n_found")
     )
-    verified = found.where("candidate and n_found >= need")
-    return verified.select(
-        "doc_id", "item_id", "n_item", "n_found", (F.col("n_found") / F.col("n_item")).alias("containment")
-    )
+    return found.where("candidate and n_found >= need").select(*key, "item_id", "n_item", "n_found")
 
 
 def clean(docs: DataFrame, items: DataFrame, how: Containment = Containment()) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with all their columns."""
-    found = contaminations(docs, items, how).select(F.col("doc_id").alias("_contaminated")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_contaminated")), "left_anti")
+    """The rows of ``docs`` whose text holds no item, with all their columns."""
+    texts = docs.select(F.col("doc_id").cast("bigint"), *text_key(), "text")
+    return without_texts(docs, _found(texts, ["doc_id", "text1", "text2"], items, how)).select("_row.*")

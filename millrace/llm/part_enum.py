@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.ship import ship_package
-from millrace.llm.text import hashed_shingles, lower_ascii, settled, words
+from millrace.llm.text import hashed_shingles, lower_ascii, settled, text_key, without_texts, words
 from millrace.session import work_path
 
 #: Seeds of the hashes that cut the feature domain.
@@ -80,8 +80,8 @@ def with_features(docs: DataFrame, how: Join) -> DataFrame:
 
 
 def with_sets(docs: DataFrame, how: Join) -> DataFrame:
-    """``doc_id``, ``n`` and ``features`` of each row."""
-    df = with_features(docs.select(F.col("doc_id").cast("bigint"), "text"), how)
+    """``doc_id``, ``n``, ``features`` and the key of the text of each row."""
+    df = with_features(docs.select(F.col("doc_id").cast("bigint"), *text_key(), "text"), how)
     return df.withColumn("n", F.size("features").cast("bigint"))
 
 
@@ -166,23 +166,25 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def _keyed(sets: DataFrame) -> DataFrame:
-    """``doc_id``, ``n`` and the 128-bit key of each whole set."""
+    """``doc_id``, ``n``, the key of the text and the 128-bit key of each whole set."""
     ordered = F.sort_array("features")
-    return sets.select("doc_id", "n", F.xxhash64(ordered).alias("key1"), F.xxhash64(F.lit(1), ordered).alias("key2"))
+    keys = [F.xxhash64(ordered).alias("key1"), F.xxhash64(F.lit(1), ordered).alias("key2")]
+    return sets.select("doc_id", "n", "text1", "text2", *keys)
 
 
 def _classes(keyed: DataFrame) -> DataFrame:
-    """One row per distinct set: ``cid``, ``rep`` (its smallest ``doc_id``), ``n`` and the key.
+    """One row per distinct set: ``cid``, ``rep`` (its smallest ``doc_id``), ``first`` (the text it has there),
+    ``n`` and the key.
 
     ``cid`` falls with the number of copies, by powers of two, so the smallest of some classes is one
     with many copies.
     """
-    merged = (
-        keyed.where("n > 0").groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    )
+    # Rows without an id come last, so a class has one of them as its first only if all are such.
+    text = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text1", "text2")
+    merged = keyed.where("n > 0").groupBy("key1", "key2", "n").agg(F.min(text).alias("first"), F.count("*").alias("copies"))
     rank = (63 - F.floor(F.log2("copies"))).cast("bigint")
     cid = F.shiftleft(rank, 57) + F.monotonically_increasing_id()
-    return merged.select(cid.alias("cid"), "rep", "n", "key1", "key2")
+    return merged.select(cid.alias("cid"), F.col("first.doc_id").alias("rep"), "first", "n", "key1", "key2")
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, how: Join) -> DataFrame:
@@ -266,9 +268,7 @@ def _meetings(sets: DataFrame, how: Join) -> DataFrame:
     return first.join(others, "part").where("x < p and root_x <> root_p").select("x", "p").distinct()
 
 
-def grouped(docs: DataFrame, how: Join = Join()) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest ``doc_id`` that
-    links reach, its own included."""
+def _grouped(docs: DataFrame, how: Join) -> DataFrame:
     sets = _stored(_keyed(with_sets(docs, how)), "part-enum-keys")
     classes = _stored(_classes(sets), "part-enum-classes")
     edges = _to_pivots(with_signatures(_sets_of(docs, classes, how), how)).checkpoint()
@@ -289,24 +289,29 @@ def grouped(docs: DataFrame, how: Join = Join()) -> DataFrame:
 
 
 def _labelled(sets: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
-    found = classes.select("cid", "rep", "key1", "key2", "n").join(
-        groups.withColumnRenamed("node", "cid"), "cid", "left"
-    )
+    """Per row of ``sets``: ``doc_id``, ``n``, the key of the text, ``component_id`` and ``chosen``, the text of
+    the group's smallest ``doc_id``; null without a set."""
+    found = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left")
     found = found.withColumn("root", F.coalesce("root", "cid"))
-    smallest = found.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_class = found.join(smallest, "root").select("key1", "key2", F.col("n").alias("_n"), "component_id")
+    smallest = found.groupBy("root").agg(F.min("first").alias("chosen"))
+    by_class = found.join(smallest, "root").select("key1", "key2", F.col("n").alias("_n"), "chosen")
     same = ["key1", "key2"]
-    labelled = sets.select("doc_id", "n", *same).join(by_class, same, "left").where("_n is null or n = _n")
-    return labelled.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    labelled = sets.join(by_class, same, "left").where("_n is null or n = _n")
+    component = F.coalesce("chosen.doc_id", "doc_id").alias("component_id")
+    return labelled.select("doc_id", "n", "text1", "text2", component, "chosen")
+
+
+def grouped(docs: DataFrame, how: Join = Join()) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest ``doc_id`` that
+    links reach, its own included."""
+    return _grouped(docs, how).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, how: Join = Join()) -> DataFrame:
-    """The rows of ``docs`` that have the smallest ``doc_id`` of their group, with all their columns. Of
-    rows that repeat a ``doc_id`` with the same text one stays; empty texts stay."""
-    found = grouped(docs, how).where("not (doc_id <=> component_id)")
-    others = found.select(F.col("doc_id").alias("_other")).distinct()
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    rows = docs.select(row.alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_text"))
-    rows = rows.join(others, F.col("_id").eqNullSafe(F.col("_other")), "left_anti")
-    nth = F.row_number().over(Window.partitionBy("_id", "_text").orderBy("_id"))
-    return rows.withColumn("_nth", nth).where("_nth = 1").select("_row.*")
+    """The rows of ``docs`` that hold the first text of their group, with all their columns: that of its
+    smallest ``doc_id``, and of texts that share it, or have none, the one of the smallest hash. Of rows that
+    repeat a ``doc_id`` with the same text one stays; empty texts stay."""
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text1", "text2")
+    others = _grouped(docs, how).where(F.col("chosen").isNotNull() & ~own.eqNullSafe(F.col("chosen")))
+    nth = F.row_number().over(Window.partitionBy("_id", "text1", "text2").orderBy("_id"))
+    return without_texts(docs, others).withColumn("_nth", nth).where("_nth = 1").select("_row.*")

@@ -32,6 +32,11 @@ def words(text: Column, separator: str = BLANK) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separator), "")
 
 
+def text_key() -> list[Column]:
+    """``text1`` and ``text2``: a 128-bit hash of ``text``; a null text has one of its own."""
+    return [F.xxhash64("text").alias("text1"), F.xxhash64(F.lit(1), "text").alias("text2")]
+
+
 def settled(column: Column) -> Column:
     """``column``, computed where it stands.
 
@@ -87,6 +92,17 @@ def with_row(docs: DataFrame) -> DataFrame:
     return docs.select(row.alias("_row"), "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def without_texts(docs: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but those whose ``doc_id`` and text (``text1``, ``text2``)
+    stand in ``others``. A null ``doc_id`` is a value like any other."""
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    rows = docs.select(row.alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), *text_key())
+    others = others.select(*[F.col(name).alias(f"_{name}") for name in ("doc_id", "text1", "text2")]).distinct()
+    same = F.col("_id").eqNullSafe(F.col("_doc_id"))
+    same = same & (F.col("text1") == F.col("_text1")) & (F.col("text2") == F.col("_text2"))
+    return rows.join(others, same, "left_anti")
+
+
 def kept_rows(judged: DataFrame, kept: Column) -> DataFrame:
     """The rows of ``with_row`` for which ``kept`` holds, as they were.
 

@@ -188,6 +188,21 @@ def test_part_enum_edges(hard_docs, hard_rows, no_docs):
     assert {2, 3, 9}.isdisjoint(ids) and ids[16] == 1 and ids[None] == 1 and {4, 5, 6} <= set(ids)
 
 
+def test_rows_go_by_their_own_text(spark):
+    """A null or shared ``doc_id`` does not take other texts along."""
+    a, b, c, d, e = (prose(s, 120) for s in (70, 71, 72, 73, 74))
+    near = lambda text: text + " more"
+    rows = [(1, a), (None, near(a)), (None, b), (5, c), (5, near(near(a))), (None, d), (None, near(d)), (7, e), (7, near(e))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in part_enum.one_of_each(docs).collect()]
+    assert len(kept) == 5 and {(1, a), (None, b), (5, c)} <= set(kept)
+    assert len({(None, d), (None, near(d))} & set(kept)) == len({(7, e), (7, near(e))} & set(kept)) == 1
+    item = " ".join(d.split()[20:40])
+    items = spark.createDataFrame([(1, item), (2, " ".join(c.split()[20:40]))], "item_id long, text string")
+    clean = {tuple(r) for r in decontamination.clean(docs, items).collect()}
+    assert clean == set(rows) - {(None, d), (None, near(d)), (5, c)}
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     found = {r.node: r.root for r in components(links).collect()}
