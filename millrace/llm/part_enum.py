@@ -274,6 +274,8 @@ def _grouped(docs: DataFrame, how: Join) -> DataFrame:
     edges = _to_pivots(with_signatures(_sets_of(docs, classes, how), how)).checkpoint()
     met = edges.select(F.col("x").alias("cid")).union(edges.select("p")).distinct()
     features = _stored(_sets_of(docs, classes.join(met, "cid"), how), "part-enum-features").where("same")
+    # Rows that repeat a class's first row give its set again, and its parts would count as many times.
+    features = features.select("cid", "features").dropDuplicates(["cid"])
     compared = _stored(_links(edges, features, how), "part-enum-links")
     links = compared.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
     groups = components(links)

@@ -175,6 +175,28 @@ def test_part_enum_equals_all_pairs(spark, shingle, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.groups(texts, shingle, percent)
 
 
+def test_repeated_rows_lose_no_late_link(spark):
+    """Texts around pivots that they do not link to, each row twelve times over."""
+    import random
+
+    rng = random.Random(9)
+    texts = {}
+    for family in range(8):
+        base = prose(200 + family, 90).split()
+        for _ in range(20):
+            words = list(base)
+            for _ in range(rng.choice([1, 1, 2, 2, 3])):
+                words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+            texts[len(texts)] = " ".join(words)
+            if rng.random() < 0.5:
+                words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+                texts[len(texts)] = " ".join(words)
+    docs = spark.createDataFrame([row for row in texts.items() for _ in range(12)], "doc_id long, text string")
+    rows = part_enum.grouped(docs, part_enum.Join(shingle=3, percent=90)).collect()
+    assert len(rows) == 12 * len(texts)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.groups(texts, 3, 90)
+
+
 def test_part_enum_edges(hard_docs, hard_rows, no_docs):
     how = part_enum.Join(shingle=3, percent=90)
     rows = part_enum.grouped(hard_docs, how).collect()
