@@ -11,11 +11,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-#: One list of quoted strings, numbers or names, and nothing after it.
+#: One list of quoted strings, numbers or names, and nothing after it. Most texts are such.
 _WHOLE_LIST = (
-    r"""(?s)^\s*\[\s*(?:(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[-+\w]+)"""
-    r"""(?:\s*,\s*(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[-+\w]+))*+\s*)?\]\s*$"""
+    r"""(?s)^\s*\[\s*(?:(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[-+.\w]+)"""
+    r"""(?:\s*,\s*(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[-+.\w]+))*+\s*)?\]\s*$"""
 )
+#: Stands after a text that is put into a list with it, where nothing of the text is left to read.
+_END = "\ue000end of the list\ue000"
 _JSON_OPTIONS = {"allowUnquotedControlChars": "true"}
 
 # Workers get the reader below with the task and need no copy of this package.
@@ -30,13 +32,20 @@ def parse_list(text: Column, exact: bool = False) -> Column:
     batches; texts it accepted reach the Python worker as NULL.
     """
     # The JSON reader stops at the end of the list and would ignore what follows it.
-    whole = text.rlike(_WHOLE_LIST)
+    whole = F.when(text.rlike(_WHOLE_LIST), True).when(text.rlike(r"^\s*\["), _is_one_value(text))
     parsed = F.when(whole, F.from_json(text, "array<string>", _JSON_OPTIONS))
     if not exact:
         return parsed
     return F.coalesce(parsed, _literal_udf()(F.when(parsed.isNull(), text)))
 
 
+def _is_one_value(text: Column) -> Column:
+    """Whether the JSON reader finds one value in ``text``, nested ones included, and nothing after it."""
+    around = F.concat(F.lit("["), text, F.lit(f', "{_END}"]'))
+    found = F.from_json(around, "array<string>", _JSON_OPTIONS)
+    return (F.size(found) == 2) & (F.get(found, F.lit(1)) == _END)
+
+
 def list_literal(items: Column) -> Column:
     """Inverse of `parse_list`: list text of an array of strings."""
     items_text = F.array_join(_escaped(items), "', '")

@@ -76,6 +76,15 @@ def test_text_after_a_list_makes_it_none(spark, text):
     assert df.select(literals.parse_list(F.col("t")).alias("l")).first().l is None
 
 
+def test_decimals_and_nested_lists_are_lists(spark):
+    texts = {"[1.5, 2]": ["1.5", "2"], "[[1, 2], [3]]": ["[1,2]", "[3]"], '[{"a": [1]}, "x]"]': ['{"a":[1]}', "x]"]}
+    texts |= {"[[1], [2]] junk": None, "[1.5] x": None, "[[1]": None, "[[1]], [2]": None, '[[1]], "x"]': None, "[[1]]]": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {x.t: x.l for x in df.select("t", literals.parse_list(F.col("t")).alias("l")).collect()} == texts
+    found = r.explode_lists(r.parse_lists(df.where("t = '[1.5, 2]'"), "t"), "t").collect()
+    assert [x.t for x in found] == ["1.5", "2"]
+
+
 def test_union_by_name(spark):
     left = spark.createDataFrame([(1, "a")], "id int, x string")
     right = spark.createDataFrame([("b", 2)], "y string, id int")
