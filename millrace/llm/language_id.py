@@ -4,8 +4,8 @@ Each word has a score per language, the sum of its n-grams' log probabilities; l
 word's script are no candidates. The best path over a text's words pays a penalty for each change of
 language; runs of one language on it are the text's spans. A text's language is that of most letters.
 
-N-gram counts are learned from a bounded sample of labelled rows: ``max_rows`` of them, chosen by a hash of
-their id. Prediction covers all rows and whole texts.
+N-gram counts are learned from a bounded sample of labelled rows, drawn per language by a hash of the id, so
+that every language that has a row is learned, at every size of the table. Prediction covers all rows and whole texts.
 
 A null text, or one without a letter, is ``und`` with score 0 and no spans; so is every text where nothing
 could be learned. Repeated rows get a row each. Other columns are not read, an empty table gives no rows.
@@ -39,12 +39,12 @@ CACHED_WORDS = 400_000
 
 @dataclass(frozen=True)
 class Fit:
-    """``max_rows``: labelled rows to learn from, about. ``languages``: most that are learned, those with
-    most rows first. ``switch``: penalty of a change in nats. ``script_share``: share of a language's
+    """``max_rows``: labelled rows to learn from, about, shared evenly among the languages; what one has less
+    goes to the others. ``min_rows``: rows of each language at least, if it has them. ``switch``: penalty of a change in nats. ``script_share``: share of a language's
     letters below which a script is not its own."""
 
     max_rows: int = 12_000
-    languages: int = 64
+    min_rows: int = 200
     switch: float = 8.0
     script_share: float = 0.001
 
@@ -89,15 +89,32 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
+def _quota(totals: list[int], how: Fit) -> int:
+    """The most rows of a language, such that all languages together have about ``max_rows``."""
+    left = how.max_rows
+    for place, total in enumerate(sorted(totals)):
+        share = left // (len(totals) - place)
+        if total > share:
+            return max(share, how.min_rows)
+        left -= total
+    return max([how.min_rows, *totals])
+
+
 def fit(labelled: DataFrame, how: Fit = Fit()) -> Model:
     """Learns from ``labelled`` (``doc_id``, ``text``, ``lang``)."""
     ship_package(labelled.sparkSession)
     known = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
-    by_lang = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(how.languages).collect()
-    total = sum(r["count"] for r in by_lang)
-    sample = known.where(F.col("lang").isin([r["lang"] for r in by_lang]))
-    if total > how.max_rows:
-        sample = sample.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(total)) < how.max_rows)
+    # Rows without an id go by their text.
+    hashed = F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit(3))).otherwise(F.xxhash64("doc_id", F.lit(3)))
+    known = known.withColumn("hash", hashed)
+    by_lang = known.groupBy("lang").agg(F.count("*").alias("total"), F.min("hash").alias("least")).collect()
+    quota = _quota([r["total"] for r in by_lang], how)
+    totals = labelled.sparkSession.createDataFrame(
+        [(r["lang"], r["total"], r["least"]) for r in by_lang], "lang string, total bigint, least bigint"
+    )
+    # The least hash is always in, so a language of few different ids is not missed.
+    drawn = (F.pmod("hash", "total") < quota) | (F.col("hash") == F.col("least"))
+    sample = known.join(F.broadcast(totals), "lang").where(drawn).select("doc_id", "text", "lang")
 
     def count(batches: Iterator) -> Iterator:
         from millrace.llm.arrow import batch_of
@@ -116,7 +133,7 @@ def fit(labelled: DataFrame, how: Fit = Fit()) -> Model:
             yield batch_of([(lang, int(b), int(counts[b])) for b in np.flatnonzero(counts)], COUNTS)
 
     counted = sample.mapInArrow(count, COUNTS).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    # At most ``languages`` times the buckets, whatever the corpus holds.
+    # At most the number of languages times the buckets, whatever rows the corpus holds.
     rows = counted.toPandas()
     languages = sorted(rows["lang"].unique().tolist())
     table = np.zeros((len(languages), BUCKETS + len(RANGES)))
@@ -161,16 +178,18 @@ class Labeller:
         for start in range(0, len(ordered), 50_000):
             self._learn(ordered[start : start + 50_000])
         order = sorted((i for i, words in enumerate(texts) if words), key=lambda i: -len(texts[i]))
-        found = [np.zeros(0, np.int8) for _ in texts]
+        size = self.rows.shape[1]
+        # Numbers of languages; more than 128 do not go into a byte.
+        number = np.min_scalar_type(size)
+        found = [np.zeros(0, number) for _ in texts]
         if not order:
             return found
         lengths = np.array([len(texts[i]) for i in order])
         place = self.place
         ids = np.fromiter((place[w] for i in order for w in texts[i]), dtype=np.int64, count=int(lengths.sum()))
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        size = self.rows.shape[1]
-        own = np.arange(size, dtype=np.int8)
-        back = np.zeros((len(ids), size), dtype=np.int8)
+        own = np.arange(size, dtype=number)
+        back = np.zeros((len(ids), size), dtype=number)
         value = self.rows[ids[starts]].astype(np.float64)
         # ``alive`` texts, the longest first, have a word at step t.
         alive = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
@@ -181,10 +200,10 @@ class Labeller:
             best = now.argmax(axis=1)
             switched = now[np.arange(n), best][:, None] - self.model.switch
             stay = now >= switched
-            back[at] = np.where(stay, own, best[:, None].astype(np.int8))
+            back[at] = np.where(stay, own, best[:, None].astype(number))
             value[:n] = np.where(stay, now, switched) + self.rows[ids[at]]
-        state = value.argmax(axis=1).astype(np.int8)
-        path = np.zeros(len(ids), dtype=np.int8)
+        state = value.argmax(axis=1).astype(number)
+        path = np.zeros(len(ids), dtype=number)
         for t in range(int(lengths[0]) - 1, -1, -1):
             n = int(alive[t])
             at = starts[:n] + t

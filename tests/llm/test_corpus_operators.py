@@ -304,6 +304,28 @@ def test_language_spans_and_edges(spark, hard_docs, hard_rows, no_docs):
     assert {r.lang_pred for r in language_id.predict(hard_docs, nothing).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    """More languages than fit a byte, one of them with most rows, at a small bound of rows."""
+    import random
+
+    def text(lang, i):
+        rng = random.Random(lang)
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)]
+        return " ".join(random.Random(i).choices(words, k=20))
+
+    rows = [(i, text(0, i), "l0") for i in range(3000)]
+    rows += [(10_000 + 10 * k + i, text(k, i), f"l{k}") for k in range(1, 140) for i in range(4)]
+    rows += [(None, text(140, i), "l140") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, language_id.Fit(max_rows=200, min_rows=3))
+    assert set(model.languages) == {f"l{k}" for k in range(141)}
+    few = docs.where("doc_id >= 10000 or doc_id < 50 or doc_id is null")
+    counted = Counter((r.lang, r.lang_pred) for r in language_id.predict(few, model).join(few.select("doc_id", "lang"), "doc_id").collect())
+    assert sum(n for (a, b), n in counted.items() if a == b) >= 0.97 * sum(counted.values())
+    assert language_id._quota([10, 100, 1000], language_id.Fit(max_rows=300, min_rows=5)) == 190
+    assert language_id._quota([10, 100], language_id.Fit(max_rows=300, min_rows=5)) == 100
+
+
 def test_viterbi_equals_all_paths():
     import itertools
 
