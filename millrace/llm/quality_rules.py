@@ -5,8 +5,8 @@ language by Jensen-Shannon distance; the nearest language counts. Histograms of
 noise, so texts below a minimum length are not judged by them, and the limits widen by a share of
 ``1 / sqrt(words)``.
 
-The references are counts over all rows that carry a language. They are a few hundred numbers
-whatever the corpus holds, so they become literals of the second pass.
+The references are exact counts over all rows that carry a language, one reference for every language.
+They are some twenty numbers each whatever the corpus holds, and meet the second pass as one broadcast row.
 
 Nulls, empty and blank texts have no words: counts 0, ``base_failed``. Repeated rows each get a row
 of their own with the same verdict. A corpus without any language has no references: the base rules
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.text import CLASSES, count_chars, kept_rows, settled, with_class_counts, with_row, words
@@ -29,15 +29,13 @@ SYMBOLS = r"[#*$%&|<>]"
 class Rules:
     """Limits of the verdict.
 
-    ``common``: words of a language's histogram, found by a frequent-items sketch of ``tracked``
-    words over all rows. ``languages``: references, those with most documents first. ``min_words``: below it a text fails, and no histogram is compared.
+    ``common``: words of a language's histogram, those that stand most often in all its rows. ``min_words``:
+    below it a text fails, and no histogram is compared.
     ``max_repeat_percent``: words in repeated windows. ``char_limit`` and ``word_limit``: largest
     distance to the nearest language, each plus ``slack / sqrt(words)``.
     """
 
     common: int = 12
-    tracked: int = 4000
-    languages: int = 32
     min_words: int = 50
     max_repeat_percent: int = 50
     char_limit: float = 0.15
@@ -48,8 +46,8 @@ class Rules:
 def references(docs: DataFrame, rules: Rules = Rules()) -> list[dict]:
     """Per language its shares of character classes and its commonest words with their shares.
 
-    ``docs`` has ``text`` and ``lang``. Counts cover all rows with a language. At most ``languages``
-    entries of ``common`` words each reach the driver.
+    ``docs`` has ``text`` and ``lang``. Counts cover all rows with a language. One entry of ``common`` words
+    for each language reaches the driver; of words as common as each other the first in order are taken.
     """
     tagged = docs.where("lang is not null and text is not null").select("lang", "text")
     places = range(len(CLASSES) + 1)
@@ -58,21 +56,25 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> list[dict]:
         .groupBy("lang")
         .agg(F.count("*").alias("docs"), *[F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in places])
         .orderBy(F.desc("docs"), "lang")
-        .limit(rules.languages)
         .collect()
     )
     if not by_class:
         return []
-    top = F.expr(f"approx_top_k(word, {rules.common}, {rules.tracked})")
-    common = (
-        tagged.where(F.col("lang").isin([r["lang"] for r in by_class]))
-        .select("lang", F.explode_outer(words(F.col("text"))).alias("word"))
+    counted = (
+        tagged.select("lang", F.explode_outer(words(F.col("text"))).alias("word"))
         .where("word is not null")
-        .groupBy("lang")
-        .agg(F.count("*").alias("n_words"), top.alias("top"))
-        .collect()
+        .groupBy("lang", "word")
+        .agg(F.count("*").alias("n"))
     )
-    by_word = {r["lang"]: {x["item"]: x["count"] / r["n_words"] for x in r["top"]} for r in common}
+    # Spark takes the first of each task before it deals the rows by language.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    top = counted.withColumn("place", place).where(F.col("place") <= rules.common).select("lang", "word", "n")
+    totals = counted.groupBy("lang").agg(F.lit(None).cast("string").alias("word"), F.sum("n").alias("n"))
+    rows = top.union(totals).collect()
+    total = {r["lang"]: r["n"] for r in rows if r["word"] is None}
+    by_word: dict[str, dict[str, float]] = {lang: {} for lang in total}
+    for row in sorted((r for r in rows if r["word"] is not None), key=lambda r: (-r["n"], r["word"])):
+        by_word[row["lang"]][row["word"]] = row["n"] / total[row["lang"]]
     found = []
     for row in by_class:
         counts = [row[f"c{i}"] for i in places]
@@ -91,7 +93,7 @@ def _part(p: Column, q: Column) -> Column:
     return (left + right) / 2
 
 
-def _distance(shares: Column, rest: float | None = None) -> Column:
+def _distance(shares: Column, rest: Column | None = None) -> Column:
     """Jensen-Shannon distance over ``shares``, an array of pairs ``p`` and ``q``.
 
     ``rest`` is the reference's share of all else, which is one bin more.
@@ -105,25 +107,33 @@ def _distance(shares: Column, rest: float | None = None) -> Column:
     def end(state: Column) -> Column:
         divergence = state["divergence"]
         if rest is not None:
-            divergence = divergence + _part(F.greatest(1.0 - state["share"], F.lit(0.0)), F.lit(rest))
+            divergence = divergence + _part(F.greatest(1.0 - state["share"], F.lit(0.0)), rest)
         return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
     return F.aggregate(shares, start, add, end)
 
 
-def _class_distance(reference: dict) -> Column:
-    bins = F.array(*[F.lit(q) for q in reference["classes"]])
-    return _distance(F.zip_with("_shares", bins, lambda p, q: F.struct(p.alias("p"), q.alias("q"))))
+def _class_distance(reference: Column) -> Column:
+    return _distance(F.zip_with("_shares", reference["classes"], lambda p, q: F.struct(p.alias("p"), q.alias("q"))))
 
 
-def _word_distance(reference: dict) -> Column:
+def _word_distance(reference: Column) -> Column:
     """Over the language's common words and one bin for all others; ``_counts`` maps words to counts."""
-    bins = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(q).alias("q")) for w, q in reference["words"].items()])
     n = F.greatest("n_words", F.lit(1)).cast("double")
     shares = F.transform(
-        bins, lambda x: F.struct((F.coalesce(F.col("_counts")[x["word"]], F.lit(0)) / n).alias("p"), x["q"].alias("q"))
+        reference["words"],
+        lambda x: F.struct((F.coalesce(F.col("_counts")[x["word"]], F.lit(0)) / n).alias("p"), x["q"].alias("q")),
     )
-    return _distance(shares, max(0.0, 1.0 - sum(reference["words"].values())))
+    return _distance(shares, reference["rest"])
+
+
+def _reference_row(spark: SparkSession, found: list[dict]) -> DataFrame:
+    """One row with ``_references``: the classes, words and rest of each of ``found``."""
+    listed = [
+        (r["classes"], list(r["words"].items()), max(0.0, 1.0 - sum(r["words"].values()))) for r in found
+    ]
+    kind = "array<struct<classes:array<double>,words:array<struct<word:string,q:double>>,rest:double>>"
+    return spark.createDataFrame([(listed,)], f"_references {kind}")
 
 
 def _with_common_counts(df: DataFrame, found: list[dict]) -> DataFrame:
@@ -197,10 +207,12 @@ def judged(docs: DataFrame, found: list[dict] | None = None, rules: Rules = Rule
     if found:
         df = with_class_counts(df)
         chars = F.greatest(F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, b: a + b), F.lit(1))
-        df = df.withColumn("_chars", chars).withColumn("_shares", F.transform("classes", lambda n: n / F.col("_chars")))
+        df = df.withColumn("_chars", settled(chars))
+        df = df.withColumn("_shares", settled(F.transform("classes", lambda n: n / F.col("_chars"))))
         df = _with_common_counts(df.drop("text"), found)
-        char_distance = F.array_min(F.array(*[_class_distance(r) for r in found]))
-        word_distance = F.array_min(F.array(*[_word_distance(r) for r in found]))
+        df = df.crossJoin(F.broadcast(_reference_row(docs.sparkSession, found)))
+        char_distance = F.array_min(F.transform("_references", _class_distance))
+        word_distance = F.array_min(F.transform("_references", _word_distance))
     else:
         char_distance = word_distance = F.lit(None).cast("double")
     df = df.withColumns(

@@ -46,6 +46,26 @@ def test_divergence_rejects_another_distribution(spark):
     assert kept == set(range(60))
 
 
+def test_every_language_has_a_reference(spark):
+    """Forty languages of other words each, the last ones with fewest documents."""
+    import random
+
+    def text(lang, i):
+        common = ["".join(random.Random(f"{lang} {k}").choices("abcdefghijklmnop", k=4)) for k in range(12)]
+        rng = random.Random(i)
+        return " ".join(rng.choice(common) if rng.random() < 0.7 else f"{rng.choice(common)}{rng.randrange(900)}" for _ in range(1500))
+
+    rows = [(100 * k + i, text(k, 100 * k + i), f"l{k:02}") for k in range(40) for i in range(8 if k < 32 else 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["lang"]: r for r in quality_rules.references(docs)}
+    assert len(found) == 40
+    for lang in ("l00", "l39"):
+        counts = Counter(w for _, t, own in rows if own == lang for w in t.split())
+        top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:12]
+        assert found[lang]["words"] == {w: n / counts.total() for w, n in top}
+    assert quality_rules.good(docs).count() == len(rows)
+
+
 def test_quality_rules_without_languages(hard_docs):
     rows = quality_rules.quality_rules(hard_docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert all(r.kept != r.base_failed and r.char_distance is None for r in rows)
