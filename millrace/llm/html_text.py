@@ -3,9 +3,9 @@
 A page becomes a tree of elements. Each block of text gives points for its length and commas to its parent
 and, less, to its grandparent; an element's points are cut by its link density, the share of its text that
 stands in links. The best element is the main container; siblings of it that score near it, or are plain
-paragraphs of prose, are kept beside it. Elements that never hold the article (menus, headers and footers of
-the page, sidebars, forms, scripts, and whatever class or id calls an advert, a notice or comments) are not
-read at all.
+paragraphs of prose, are kept beside it. Elements that seldom hold the article (menus, headers and footers of
+the page, sidebars, forms, and whatever class, id or role is a word for an advert, a notice or comments) are
+read only if most of the page's prose, the text outside links, stands in them; scripts and the like never.
 
 Text of one block has its white space, also that of line breaks, turned into single spaces, and blocks stand
 one to a line in page order. Character references are decoded. Nothing is shortened or left out beyond that.
@@ -42,7 +42,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Their content is no markup.
 RAW = frozenset("script style textarea title noscript iframe xmp template svg math".split())
 #: Never part of the article.
-DROPPED = RAW | frozenset("head nav footer aside form button select option dialog menu object canvas audio video".split())
+NEVER = RAW | frozenset("head button select option object canvas audio video".split())
+#: Part of it only where they hold most of the page's prose.
+DROPPED = NEVER | frozenset("nav footer aside form dialog menu".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -85,16 +87,22 @@ class Node:
     points: float = 0.0
     chars: int = 0
     linked: int = 0
+    #: Whether most of the page's prose stands in it.
+    most: bool = False
 
 
 def _marks(attributes: str) -> frozenset[str]:
     if "=" not in attributes:
         return frozenset()
     found = MARKS.findall(attributes)
-    return frozenset(w for groups in found for w in re.split(r"[^a-z0-9]+", "".join(groups).lower()) if w)
+    return frozenset(w for groups in found for w in "".join(groups).lower().split())
 
 
 def _unlikely(node: Node) -> bool:
+    if node.tag in NEVER:
+        return True
+    if node.most:
+        return False
     if node.tag in DROPPED:
         return True
     if node.tag == "header":
@@ -108,6 +116,29 @@ def _ancestors(node: Node) -> Iterator[Node]:
         yield node
 
 
+def _mark_most(root: Node) -> None:
+    """Sets ``most`` of the elements that hold over half of the prose: text outside links and ``NEVER``."""
+    prose: dict[int, int] = {}
+    stack: list[tuple[Node, Iterator]] = [(root, iter(root.children))]
+    nodes: list[Node] = [root]
+    prose[id(root)] = 0
+    while stack:
+        node, rest = stack[-1]
+        child = next(rest, None)
+        if child is None:
+            stack.pop()
+            if stack:
+                prose[id(stack[-1][0])] += prose[id(node)]
+        elif isinstance(child, str):
+            prose[id(node)] += len(child.strip())
+        elif child.tag not in NEVER and child.tag != "a":
+            prose[id(child)] = 0
+            nodes.append(child)
+            stack.append((child, iter(child.children)))
+    for node in nodes:
+        node.most = 2 * prose[id(node)] > prose[id(root)]
+
+
 def tree(source: str) -> Node:
     """The elements of a page; text nodes are decoded strings."""
     root = here = Node("", None)
@@ -230,6 +261,7 @@ def _block_parent(node: Node) -> Node | None:
 def main_text(source: str, how: Scoring = Scoring()) -> str:
     """The main text of one page."""
     root = tree(source)
+    _mark_most(root)
     blocks = _blocks(root)
     scored: dict[int, Node] = {}
     for owner, text, linked in blocks:
@@ -257,7 +289,7 @@ def main_text(source: str, how: Scoring = Scoring()) -> str:
             best = node
             break
     kept = {id(best)}
-    limit = max(10.0, value(best) * how.sibling)
+    limit = value(best) * how.sibling
     texts: dict[int, list[tuple[str, int]]] = {}
     around = best.parent
     if around is not None:
@@ -272,7 +304,7 @@ def main_text(source: str, how: Scoring = Scoring()) -> str:
                 continue
             own = texts.get(id(node), [])
             prose = node.tag == "p" and any(len(t) >= how.min_chars and linked * 4 < len(t) for t, linked in own)
-            near = id(node) in scored and value(node) >= limit and bool(best.marks) and node.marks == best.marks
+            near = id(node) in scored and value(node) >= limit
             if prose or near or (node.tag == "article" and best.tag == "article" and not _unlikely(node)):
                 kept.add(id(node))
     lines = []

@@ -387,6 +387,26 @@ def test_main_text():
     assert html_text.main_text("a < b &lt; c") == "a < b < c"
 
 
+LONG = "<p>A paragraph of prose that is long enough to count, with commas, and with a number {}.</p>"
+
+
+@pytest.mark.parametrize("marks", [("", ""), (" id=one", " id=two"), (" class=x", "")])
+def test_siblings_are_kept_whatever_their_marks(marks):
+    first, second = ("".join(LONG.format(i) for i in ids) for ids in (range(3), range(3, 5)))
+    page = f"<body><div class=ad>Buy this, now.</div><div{marks[0]}>{first}</div><div{marks[1]}>{second}</div></body>"
+    lines = html_text.main_text(page).split("\n")
+    assert lines == [LONG.format(i)[3:-4] for i in range(5)]
+
+
+@pytest.mark.parametrize("opened", ["div class='has-sidebar'", "div class='page no-comments with-nav'", "form", "div class=sidebar", "aside"])
+def test_wrappers_of_the_page_are_read(opened):
+    page = (
+        f"<body><{opened}><nav><a href=1>Menu</a></nav><div class=text>{''.join(LONG.format(i) for i in range(4))}</div>"
+        f"<div class=comments>{LONG.format(9)}</div></{opened.split()[0]}></body>"
+    )
+    assert html_text.main_text(page).split("\n") == [LONG.format(i)[3:-4] for i in range(4)]
+
+
 def test_extract_edges(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (3, "u", ""), (None, "u", "<p>x" + "y" * 10**6)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
