@@ -49,7 +49,7 @@ FINE = 16
 class Join:
     """``shingle`` words make a feature; sets link from ``percent`` up. ``cuts`` is n2. Bands of set
     sizes begin at powers of ``band``; the largest set in use has ``band ** bands`` features.
-    ``broadcast_rows``: most classes whose ids go to every task, 32 bytes each."""
+    ``broadcast_rows``: most classes whose ids go to every task, 48 bytes each."""
 
     shingle: int = 5
     percent: int = 80
@@ -188,14 +188,16 @@ def _classes(keyed: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, how: Join) -> DataFrame:
-    """``cid``, ``features`` and ``same`` (whether it is the class's set) of each of ``classes``, made again from the text of its ``rep``: texts are
+    """``cid``, ``features`` and ``same`` (whether it is the class's set) of each of ``classes``, made again from its ``first`` text: texts are
     less to move than sets. They stay where they are if a count shows that the classes may be broadcast."""
-    wanted = classes.select("cid", F.col("rep").alias("doc_id"), "key1", "key2")
+    first = [F.col(f"first.{name}").alias(f"_{name}") for name in ("doc_id", "text1", "text2")]
+    wanted = classes.select("cid", *first, "key1", "key2")
     if wanted.limit(how.broadcast_rows + 1).count() <= how.broadcast_rows:
         wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    # A class without an id has its text only by its key; nulls do not join, so they meet as a value.
-    joined = texts.join(wanted.withColumnRenamed("doc_id", "_rep"), F.col("doc_id").eqNullSafe(F.col("_rep")))
+    texts = docs.select(F.col("doc_id").cast("bigint"), *text_key(), "text")
+    # By the text as well: texts without an id, or that share one, do not meet the classes of each other.
+    own = F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+    joined = texts.join(wanted, own & (F.col("text1") == F.col("_text1")) & (F.col("text2") == F.col("_text2")))
     features = with_features(joined, how)
     ordered = F.sort_array("features")
     same = (F.xxhash64(ordered) == F.col("key1")) & (F.xxhash64(F.lit(1), ordered) == F.col("key2"))

@@ -217,6 +217,14 @@ def test_repeated_rows_lose_no_late_link(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.groups(texts, 3, 90)
 
 
+def test_texts_without_id_meet_their_own_class_only(spark):
+    rows = [(None, prose(400 + i, 30)) for i in range(50)] + [(1, prose(500 + i, 30)) for i in range(50)]
+    docs, how = spark.createDataFrame(rows, "doc_id long, text string"), part_enum.Join()
+    classes = part_enum._classes(part_enum._keyed(part_enum.with_sets(docs, how))).checkpoint()
+    found = part_enum._sets_of(docs, classes, how).collect()
+    assert len(found) == 100 and all(r.same for r in found)
+
+
 def test_part_enum_edges(hard_docs, hard_rows, no_docs):
     how = part_enum.Join(shingle=3, percent=90)
     rows = part_enum.grouped(hard_docs, how).collect()
