@@ -17,6 +17,7 @@ from millrace.llm.packing import Packing, pack
 from millrace.llm.part_enum import Join, grouped
 from millrace.llm.quality_rules import quality_rules
 from millrace.llm.rule_ensemble import fit, held_out, score
+from millrace.llm.secret_scan import digest, find_secrets
 from millrace.llm.token_store import Store, read_store, write_store
 from millrace.queries.registry import Query, table
 from millrace.session import work_path
@@ -120,3 +121,8 @@ def op3_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language_id.held_out()
     predicted = language_id.predict(docs, language_id.fit(docs.where(~held_out)))
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_secrets(table(spark, sf_dir, "documents")))
