@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import language_id
+from millrace.llm.centroids import Clustering, clustered
 from millrace.llm.decontamination import contaminations
 from millrace.llm.fixity import audited, warc_record
 from millrace.llm.html_text import extract
@@ -126,3 +127,46 @@ def op3_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(table(spark, sf_dir, "documents")))
+
+
+def clusters_sql(how: Clustering = Clustering()) -> str:
+    """All rounds written out: distances to every centroid, then floors of the means."""
+
+    def assigned(number: int) -> str:
+        return f"""
+a{number} AS (
+  SELECT vec_id, vec, list_position(ds, list_min(ds))::INTEGER - 1 AS cluster, list_min(ds)::BIGINT AS distance
+  FROM (SELECT vec_id, vec, list_transform(cs, lambda c: list_sum(list_transform(list_zip(vec, c),
+      lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS ds
+    FROM kept, (SELECT list(c ORDER BY j) AS cs FROM c{number})))"""
+
+    def moved(number: int) -> str:
+        return f"""
+s{number} AS (
+  SELECT cluster, i, sum(v)::BIGINT AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(range(1, {how.dims + 1})) AS i, unnest(vec) AS v FROM a{number}) GROUP BY cluster, i),
+c{number + 1} AS (
+  SELECT j, coalesce(m, c) AS c FROM c{number} LEFT JOIN (
+    SELECT cluster, list((s - (s % n + n) % n) // n ORDER BY i) AS m FROM s{number} GROUP BY cluster) ON cluster = j)"""
+
+    steps = [assigned(0)]
+    for number in range(how.rounds):
+        steps += [moved(number), assigned(number + 1)]
+    last = how.rounds
+    return f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({how.scale} * x::DOUBLE)::BIGINT) AS vec FROM embeddings
+  WHERE len(embedding) = {how.dims} AND len(list_filter(embedding, lambda x: isfinite(x))) = {how.dims}),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('{how.seed}:' || coalesce(vec_id::VARCHAR, '')), vec) - 1 AS j, vec AS c
+  FROM kept QUALIFY j < {how.k}),{",".join(steps)}
+SELECT vec_id, cluster, distance,
+  (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{last} JOIN c{last} ON cluster = j
+"""
+
+
+@query(clusters_sql())
+def op13_heap_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(table(spark, sf_dir, "embeddings"))
