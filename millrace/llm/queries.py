@@ -16,6 +16,7 @@ from millrace.llm.html_text import extract
 from millrace.llm.license_scan import scan
 from millrace.llm.packing import Packing, pack
 from millrace.llm.part_enum import Join, grouped
+from millrace.llm.prefix_trie import ordered_turns, prefix_trie
 from millrace.llm.quality_rules import quality_rules
 from millrace.llm.rule_ensemble import fit, held_out, score
 from millrace.llm.secret_scan import digest, find_secrets
@@ -170,3 +171,69 @@ FROM a{last} JOIN c{last} ON cluster = j
 @query(clusters_sql())
 def op13_heap_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(table(spark, sf_dir, "embeddings"))
+
+
+def rebuilt_turns(turns: DataFrame, conversations: DataFrame) -> DataFrame:
+    """The first ``crc32(conv_id) % 6`` turns of the conversation at the hundred below, then a conversation's own
+    turns after as many of its own."""
+    head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("bigint")
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    sizes = turns.where("conv_id % 100 = 0 and place <= 5").groupBy(F.col("conv_id").alias("base")).agg(F.count("*").alias("size"))
+    own = turns.withColumns({"base": base, "head": head}).where("place > head").join(sizes, "base", "left")
+    place = F.col("place") - F.col("head") + F.least("head", F.coalesce("size", F.lit(0)))
+    own = own.select("conv_id", place.alias("place"), "key1", "key2", "chars")
+    first = turns.where("conv_id % 100 = 0 and place <= 5").withColumnRenamed("conv_id", "base")
+    lent = conversations.withColumns({"base": base, "head": head}).join(first, "base").where("place <= head")
+    return own.unionByName(lent.select("conv_id", "place", "key1", "key2", "chars"))
+
+
+TRIE_SQL = """
+WITH ordered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base FROM ordered),
+crc AS (SELECT i AS b, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y:
+    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END) AS v FROM range(256) t(i)),
+crcs AS (SELECT list(v ORDER BY b) AS vs FROM crc),
+convs AS (
+  SELECT conv_id, base, (xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda x, y: xor(vs[(xor(x, y) & 255) + 1], x >> 8)), 4294967295::BIGINT) % 6)::BIGINT AS h
+  FROM ids, crcs),
+turns AS (
+  SELECT c.conv_id, o.i AS k, role, text FROM convs c JOIN ordered o ON o.conv_id = c.base AND o.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1000000 + o.i, role, text FROM convs c JOIN ordered o ON o.conv_id = c.conv_id AND o.i > c.h),
+placed AS (
+  SELECT conv_id, length(text) AS chars, row_number() OVER w AS depth,
+    md5(string_agg(md5(role || '|' || length(role) || '|' || text), '') OVER w) AS p
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+rows_ AS (
+  SELECT conv_id, depth, chars, p, coalesce(lag(p) OVER (PARTITION BY conv_id ORDER BY depth), '') AS q FROM placed
+  UNION ALL SELECT conv_id, 0, 0, '', NULL FROM convs),
+lasts AS (SELECT conv_id, max(depth) AS depth, max_by(p, depth) AS p FROM rows_ GROUP BY conv_id),
+ends AS (SELECT depth, p, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM lasts GROUP BY ALL),
+nodes AS (SELECT depth, p, max(q) AS q, min(conv_id) AS conv_id, count(*) AS n, max(chars) AS chars FROM rows_ GROUP BY depth, p),
+kids AS (SELECT depth - 1 AS depth, q AS p, count(*) AS kids FROM nodes WHERE depth > 0 GROUP BY ALL),
+-- Each node with all that lies on the path of its own smallest member.
+under AS (
+  SELECT r.depth, r.p, x.n, x.chars, x.depth AS x_depth, x.p AS x_p
+  FROM nodes x JOIN rows_ r ON r.conv_id = x.conv_id AND r.depth <= x.depth),
+sums AS (
+  SELECT u.depth, u.p, sum((u.n - 1) * u.chars) AS saved, count(*) FILTER (k.kids IS NULL) AS leaves
+  FROM under u LEFT JOIN kids k ON k.depth = u.x_depth AND k.p = u.x_p GROUP BY ALL)
+SELECT n.conv_id, n.depth, parent.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(k.kids, 0) AS n_children,
+  s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.depth = n.depth AND s.p = n.p
+LEFT JOIN kids k ON k.depth = n.depth AND k.p = n.p
+LEFT JOIN ends e ON e.depth = n.depth AND e.p = n.p
+LEFT JOIN nodes parent ON parent.depth = n.depth - 1 AND parent.p = n.q
+"""
+
+
+@query(TRIE_SQL)
+def op12_truncation_peeling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = ordered_turns(table(spark, sf_dir, "conversations"))
+    conversations = turns.select("conv_id").distinct()
+    return prefix_trie(rebuilt_turns(turns, conversations), conversations).drop("p1", "p2")
