@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.operators import facts as f
 from millrace.operators import workflow as w
+from millrace.plans.placement import dealt
 from millrace.session import work_path
 
 
@@ -26,14 +28,14 @@ class Converted:
 
 
 def convert(sources: DataFrame, base: str = "", path: str | None = None) -> Converted:
-    """All results from one parse of ``(path, source)``.
+    """All results from one parse of ``(path, source)``, dealt to tasks by the length of the files.
 
     The facts are written once, to ``path`` or below the shared folder, split by kind: every
     result then reads only the kinds it needs, and a lost executor does not repeat the parse.
     """
     spark = sources.sparkSession
     place = path or work_path(spark, "facts")
-    f.facts(sources).write.mode("overwrite").partitionBy("kind").parquet(place)
+    f.facts(dealt(sources, "path", F.octet_length("source"))).write.mode("overwrite").partitionBy("kind").parquet(place)
     rows = spark.read.schema(f.FACT_SCHEMA).parquet(place)
     graph = w.task_graph(rows)
     records = w.task_records(graph)

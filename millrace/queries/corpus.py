@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from millrace.operators import facts as f
 from millrace.operators import groups as g
 from millrace.operators import workflow as w
+from millrace.plans.placement import dealt
 from millrace.queries.registry import query, table
 
 _HEAD = """from datetime import datetime
@@ -64,11 +65,16 @@ def _source() -> Column:
     )
 
 
+def _length() -> Column:
+    """About how long a source is, from its row alone."""
+    return F.lit(len(_HEAD) + len(_TAIL) + 60) + F.col("p_size") * (len(_LOAD) + 20)
+
+
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(path, source)``. The narrow part rows are spread, not the texts made from them."""
+    """``(path, source)``. The narrow part rows are dealt out by the length of the texts made from them."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     path = F.format_string("parts/%d.py", "p_partkey")
-    return parts.repartition("p_partkey").select(path.alias("path"), _source().alias("source"))
+    return dealt(parts, "p_partkey", _length()).select(path.alias("path"), _source().alias("source"))
 
 
 def corpus_facts(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
@@ -271,7 +277,7 @@ def sql_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL of SQL tasks; whole documents and web pages stand in for it."""
 
     def files(name: str, key: str, text: str) -> DataFrame:
-        rows = table(spark, sf_dir, name).select(key, text).repartition(key)
+        rows = dealt(table(spark, sf_dir, name).select(key, text), key, F.octet_length(text))
         code = w.assignment_line(F.lit("sql"), F.col(text), F.lit("str"))
         return rows.select(
             F.concat(F.lit(f"{name}/"), F.col(key).cast("string")).alias("path"),
