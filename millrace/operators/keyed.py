@@ -248,6 +248,11 @@ def _compared_in(left: DataFrame, lname: str, right: DataFrame, rname: str) -> D
     return left.sparkSession.range(0).select(both.alias("k")).schema[0].dataType
 
 
+def compared_by_hash(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether equal keys always have equal hashes, which text under a collation need not have."""
+    return all(_hash_follows_equality(df.select(column(k)).schema[0].dataType) for k in keys)
+
+
 def _hash_follows_equality(kind: DataType) -> bool:
     if isinstance(kind, ArrayType):
         return _hash_follows_equality(kind.elementType)

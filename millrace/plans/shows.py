@@ -10,7 +10,7 @@ from millrace.operators.keyed import replace_by_key, upsert
 from millrace.operators.reshape import align, all_strings, cast_strings, explode_lists, flatten
 from millrace.plans.steps import run_steps
 from millrace.sources.records import scan_json_gated
-from millrace.sources.sinks import publish, replace_stage_if_any
+from millrace.sources.sinks import current, publish, replace_stage_if_any
 
 # The table's columns and its key.
 COLUMNS = (
@@ -82,8 +82,9 @@ def load_shows(
     stage = f"{table}_stage"
     if not replace_stage_if_any(stage_shows(good), stage, folder):
         return None
-    if not spark.catalog.tableExists(table):
-        publish(spark.createDataFrame([], all_strings(COLUMNS)), table, folder=folder)
+    base = current(spark, table)
+    if base is None:
+        base = publish(spark.createDataFrame([], all_strings(COLUMNS)), table, folder=folder, base=None)
     merge = replace_by_key if unique_target else upsert
-    merged = merge(spark.table(table), spark.table(stage), KEYS, tiebreak, null_safe)
-    return publish(merged, table, folder=folder)
+    merged = merge(spark.table(base), spark.table(stage), KEYS, tiebreak, null_safe)
+    return publish(merged, table, folder=folder, base=base)

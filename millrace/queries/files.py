@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from millrace.operators import facts as f
 from millrace.operators import keyed as k
 from millrace.operators import reshape as r
-from millrace.plans import partitions
+from millrace.plans import buckets, partitions
 from millrace.plans.convert import convert
 from millrace.queries.corpus import sources
 from millrace.queries.keyed import KEYS, UPSERT_SQL, split_orders, tiebreak
@@ -184,6 +184,19 @@ def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(target.schema).parquet(path).select(*target.columns)
 
 
+@query(UPSERT_SQL)
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert into a table in buckets of its keys: the others keep their files."""
+    name, folder = _table_name("buckets"), work_path(spark, "buckets")
+    target, batch = split_orders(spark, sf_dir)
+    buckets.create_buckets(target, name, KEYS, folder, buckets=32)
+    # The batch in two parts that share no key, each of which leaves buckets as they are.
+    for half in (0, 1):
+        part = F.pmod(F.xxhash64(*KEYS), F.lit(32)) % 2 == half
+        buckets.upsert_buckets(batch.where(part), name, KEYS, folder, tiebreak())
+    return spark.table(name)
+
+
 @query("""
 SELECT 'parts/' || p_partkey || '.py' AS path, CAST(p_size + 4 AS BIGINT) AS n_tasks, p_brand = 'Brand#13' AS is_broken
 FROM part WHERE p_brand <> 'Brand#13'

@@ -12,7 +12,7 @@ from millrace.queries.keyed import KEYS, split_orders, tiebreak
 from millrace.queries.registry import query, table
 from millrace.session import work_path
 from millrace.sources.sinks import write_text
-from millrace.streaming.landing import landed_files, upsert_landed, upsert_landed_partitions
+from millrace.streaming.landing import landed_files, upsert_landed, upsert_landed_buckets, upsert_landed_partitions
 
 _ROWS = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"
 
@@ -66,6 +66,19 @@ def landing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{base}/table").select(*rows.columns)
 
 
+@query(LANDED_SQL)
+def landing_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same load into a table in buckets of its keys."""
+    base, name = work_path(spark, "landing"), f"millrace_landed_{uuid.uuid4().hex[:8]}"
+    for rows in split_orders(spark, sf_dir):
+        rows.write.mode("append").option("header", True).csv(f"{base}/in")
+        upsert_landed_buckets(
+            landed_files(spark, f"{base}/in", rows.schema), name, KEYS, f"{base}/table",
+            f"{base}/checkpoint", tiebreak(), unique_target=True, buckets=16,
+        )
+    return spark.table(name)
+
+
 @query(f"SELECT * FROM ({_ROWS}) AS t WHERE o_orderdate < '1998-01-01'")
 def landing_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of a finished batch are moved, one batch later: the first batch is in the archive."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,30 +60,99 @@ def replace_stage_if_any(df: DataFrame, table: str, folder: str | None = None) -
     return True
 
 
-def publish(df: DataFrame, name: str, keep: int = 2, folder: str | None = None) -> str:
+class Conflict(RuntimeError):
+    """Another writer has published since the version that a new one was made from."""
+
+
+#: For `publish`: the new version replaces whatever is current.
+ANY = object()
+#: Table properties that every version takes over from the one before.
+KEPT = "millrace."
+
+
+def publish(
+    df: DataFrame,
+    name: str,
+    keep: int = 2,
+    folder: str | None = None,
+    base: object = ANY,
+    properties: Mapping[str, str] | None = None,
+) -> str:
     """Make ``df`` the next version of ``name`` and return the table that holds it.
 
     Every version is a table of its own; readers use the view ``name``, which is pointed to the
     new table after it is complete. ``df`` may read the view. A failed write leaves the view as it
     was. The last ``keep`` versions stay, for readers that still use them. With ``folder`` the
     versions are tables over sub-folders of it, whose files stay when a version is dropped.
+
+    ``base`` is the version that ``df`` was made from, as `current` gave it (None: there was none). If another
+    is current when the new one is complete, `Conflict` is raised and the new one is dropped: start again from
+    `current`. ``properties`` become properties of the table, and stay with later versions where their names
+    begin with ``KEPT``.
     """
-    spark = df.sparkSession
-    before = _versions(spark, name)
-    version = max(before.values(), default=0) + 1
-    table = f"{name}__v{version}_{uuid.uuid4().hex[:8]}"
+    table = new_version(df.sparkSession, name)
     writer = df.write.mode("errorifexists").format("parquet")
     if folder is not None:
         writer = writer.option("path", f"{folder}/{table}")
     writer.saveAsTable(table)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
-    for old, number in before.items():
-        if number <= version - keep:
-            spark.sql(f"DROP TABLE IF EXISTS {old}")
+    swap(df.sparkSession, name, table, df.columns, base, properties)
+    for old in old_versions(df.sparkSession, name, table, keep):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {old}")
     return table
 
 
-def _versions(spark: SparkSession, name: str) -> dict[str, int]:
+def current(spark: SparkSession, name: str) -> str | None:
+    """The version that ``name`` is now; None if nothing was published under it."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    found = re.search(r" FROM (\S+__v\d+_[0-9a-f]{8})$", rows.get("View Text") or "")
+    if not found:
+        raise ValueError(f"{name} is not a published table")
+    return found.group(1)
+
+
+def properties_of(spark: SparkSession, table: str | None) -> dict[str, str]:
+    """The properties of a version that later ones take over."""
+    if table is None:
+        return {}
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {r["key"]: r["value"] for r in rows if r["key"].startswith(KEPT)}
+
+
+def new_version(spark: SparkSession, name: str) -> str:
+    """A free table name for the next version."""
+    return f"{name}__v{max(versions(spark, name).values(), default=0) + 1}_{uuid.uuid4().hex[:8]}"
+
+
+def swap(
+    spark: SparkSession,
+    name: str,
+    table: str,
+    columns: Sequence[str],
+    base: object = ANY,
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Point ``name`` to ``table``, a complete version, unless another than ``base`` is current."""
+    now = current(spark, name)
+    if base is not ANY and now != base:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise Conflict(f"{name} is {now} and no longer {base}")
+    given = {**properties_of(spark, now), **(properties or {})}
+    if given:
+        listed = ", ".join(f"'{k}' = '{v}'" for k, v in given.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+    names = ", ".join("`" + c.replace("`", "``") + "`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {names} FROM {table}")
+
+
+def old_versions(spark: SparkSession, name: str, table: str, keep: int) -> list[str]:
+    """All but the last ``keep`` versions up to ``table``."""
+    last = int(re.search(r"__v(\d+)_[0-9a-f]{8}$", table).group(1))
+    return [t for t, number in versions(spark, name).items() if number <= last - keep]
+
+
+def versions(spark: SparkSession, name: str) -> dict[str, int]:
     """Version tables of ``name`` with their numbers."""
     *database, short = name.split(".")
     scope = f" IN {'.'.join(database)}" if database else ""

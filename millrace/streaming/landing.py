@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from millrace.operators.keyed import keep_one, replace_by_key, upsert
+from millrace.plans.buckets import upsert_buckets
 from millrace.plans.partitions import upsert_partitions
 from millrace.plans.steps import Step, run_steps
-from millrace.sources.sinks import publish
+from millrace.sources.sinks import KEPT, current, properties_of, publish
 
 
 def landed_files(
@@ -53,21 +55,47 @@ def upsert_landed(
 ) -> None:
     """Upsert all files that are there now into ``table``, then stop.
 
-    The checkpoint remembers consumed files. A batch that is run again after a failure changes
-    nothing: its rows are already in the table (NULL keys need ``null_safe`` for that). Where
-    batches disagree, the last one wins. ``unique_target`` states that the table has one row per
-    key, which holds if only these runs write it.
+    The checkpoint remembers consumed files. The published version remembers the last batch of each stream
+    that went into it, so a batch that is run again after a failure is left out if it was published: also rows
+    with a NULL key are inserted once. Where batches disagree, the last one wins. ``unique_target`` states that
+    the table has one row per key, which holds if only these runs write it. Another writer's version in between
+    raises `sinks.Conflict`; the next run takes the batch again.
     """
 
-    def load(rows: DataFrame) -> None:
+    def load(rows: DataFrame, batch: Batch) -> None:
         spark = rows.sparkSession
-        if spark.catalog.tableExists(table):
-            target = spark.table(table)
+        base = current(spark, table)
+        if batch.published(spark, base):
+            return
+        if base is not None:
             merge = replace_by_key if unique_target else upsert
-            merged = merge(target, rows, keys, tiebreak, null_safe)
+            merged = merge(spark.table(base), rows, keys, tiebreak, null_safe)
         else:
             merged = keep_one(rows, keys, tiebreak)
-        publish(merged, table, folder=folder)
+        publish(merged, table, folder=folder, base=base, properties=batch.properties())
+
+    _run_available(stream, load, checkpoint, steps)
+
+
+def upsert_landed_buckets(
+    stream: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    folder: str,
+    checkpoint: str,
+    tiebreak: Sequence[Column] = (),
+    null_safe: bool = False,
+    unique_target: bool = False,
+    buckets: int = 256,
+    steps: Sequence[Step] = (),
+) -> None:
+    """As `upsert_landed`, into a table of `buckets.upsert_buckets`: a batch rewrites the buckets it has rows for."""
+
+    def load(rows: DataFrame, batch: Batch) -> None:
+        if not batch.published(rows.sparkSession, current(rows.sparkSession, table)):
+            upsert_buckets(
+                rows, table, keys, folder, tiebreak, null_safe, unique_target, buckets, properties=batch.properties()
+            )
 
     _run_available(stream, load, checkpoint, steps)
 
@@ -86,10 +114,11 @@ def upsert_landed_partitions(
     """As `upsert_landed`, into a folder partitioned by key columns.
 
     A batch rewrites the partitions it has rows for, not the whole table: the form for small
-    batches and a large target.
+    batches and a large target. Partitions are replaced one by one and remember no batch, so one that is run
+    again inserts rows with a NULL key once more, unless ``null_safe``.
     """
 
-    def load(rows: DataFrame) -> None:
+    def load(rows: DataFrame, _batch: Batch) -> None:
         upsert_partitions(
             rows.sparkSession, path, rows, keys, partitions, tiebreak, null_safe, unique_target
         )
@@ -97,14 +126,36 @@ def upsert_landed_partitions(
     _run_available(stream, load, checkpoint, steps)
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A batch of a stream; both are the same when it is run again from its checkpoint."""
+
+    stream: str
+    number: int
+
+    def _property(self) -> str:
+        return f"{KEPT}batch.{self.stream}"
+
+    def properties(self) -> dict[str, str]:
+        """What a version says that has this batch in it."""
+        return {self._property(): str(self.number)}
+
+    def published(self, spark: SparkSession, version: str | None) -> bool:
+        """Whether ``version`` has this batch, or a later one of its stream, in it."""
+        last = properties_of(spark, version).get(self._property())
+        return last is not None and int(last) >= self.number
+
+
 def _run_available(
-    stream: DataFrame, load: Callable[[DataFrame], None], checkpoint: str, steps: Sequence[Step]
+    stream: DataFrame, load: Callable[[DataFrame, Batch], None], checkpoint: str, steps: Sequence[Step]
 ) -> None:
-    def take(batch: DataFrame, _batch_id: int) -> None:
+    def take(batch: DataFrame, batch_id: int) -> None:
+        # The id that the checkpoint holds, not that of the run.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         rows = run_steps(batch, *steps).persist()  # read several times by a load
         try:
             if not rows.isEmpty():
-                load(rows)
+                load(rows, Batch(query, batch_id))
         finally:
             rows.unpersist()
 
