@@ -10,13 +10,16 @@ a set with fewer empty parts than that leaves them out. Others, small ones, pair
 every signature of a second, independent cut, of which similar sets share one too.
 
 A signature's sets are not compared pair by pair: each is compared with the signature's pivot, the set with
-most copies. That joins most groups. Around pivots some set does not link to, a second cut into many parts
-follows: sets that link differ in at most k features and so in k parts, so of the parts in order of rarity
-the first k + 1 of both must meet. Sets that differ more from a common text have more rare parts than that.
-Pairs that meet and lie in different groups so far are compared exactly. No link between groups is lost.
+most copies. Most of those comparisons end early: by the two sizes, or by a parity sketch of 1024 bits, which
+differs in no more bits than the sets do in features. The rest is exact. That joins most groups. A pair can be
+missing only if it shares a signature, and so a pivot, with a third set, and the sets that share that pivot are
+not one group yet. Those go by the least parts there are, single features: of sets that link, the first few in
+any one order have one in common (`prefixes`). The order is by how often a feature occurs among them, counted in a
+table of fixed size, so sets of one template that differ too much have features of their own first and do not
+meet. Pairs that meet and lie in different groups so far are compared as above. No link between groups is lost.
 
-Equal sets are one class from the start, by a 128-bit hash of the sorted set, and only classes are joined.
-Shingles are compared by a 64-bit hash.
+Equal sets are one class from the start, by a 128-bit sum of hashes of the set, and only classes are joined.
+Shingles are compared by a 64-bit hash. Sets are made once and stored.
 
 Null, empty and blank texts have no set and link with nothing. Rows that share a ``doc_id`` and differ in
 text are a document each, linked by its own text, and named by the same id. Repeated rows are kept.
@@ -36,24 +39,27 @@ from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.ship import ship_package
-from millrace.llm.text import hashed_shingles, lower_ascii, settled, text_key, without_texts, words
+from millrace.llm.text import lower_ascii, settled, text_key, without_texts, words
 from millrace.session import work_path
 
-#: Seeds of the hashes that cut the feature domain.
-FIRST, SECOND, OTHER, THIRD = 11, 21, 31, 41
-#: Fine parts for each part of a band.
-FINE = 16
+#: Seeds of the hashes that cut the feature domain, and of those of shingles, sets and sketches.
+FIRST, SECOND, OTHER, SHINGLE, SET, SKETCH = 11, 21, 31, 51, 61, 71
+#: Bits of a parity sketch; buckets in which features are counted.
+BITS, BUCKETS = 1024, 1 << 20
+SETS = (
+    "doc_id bigint, text1 bigint, text2 bigint, n bigint, key1 bigint, key2 bigint, features array<bigint>, sketch array<bigint>"
+)
 
 
 @dataclass(frozen=True)
 class Join:
     """``shingle`` words make a feature; sets link from ``percent`` up. ``cuts`` is n2. Bands of set
     sizes begin at powers of ``band``; the largest set in use has ``band ** bands`` features.
-    ``broadcast_rows``: most classes whose ids go to every task, 48 bytes each."""
+    ``broadcast_rows``: most rows of ids that go to every task, up to 32 bytes each."""
 
     shingle: int = 5
     percent: int = 80
-    cuts: int = 3
+    cuts: int = 2
     band: float = 1.5
     bands: int = 64
     broadcast_rows: int = 500_000
@@ -65,24 +71,73 @@ class Join:
             starts.append(max(starts[-1] + 1, math.ceil(starts[-1] * self.band)))
         return starts
 
+    def distance(self, sizes: int) -> int:
+        """How many features sets that link may differ in, for the sum of their sizes."""
+        return sizes * (100 - self.percent) // (100 + self.percent)
+
     def parts(self) -> list[tuple[int, int]]:
         """n1 of each band, and how many parts at least differ in one place at most between sets that
         link; 0 where only equal sets can link."""
         ends = [start - 1 for start in self.starts()[1:]]
-        most = [2 * end * (100 - self.percent) // (100 + self.percent) for end in ends]
-        return [(k // 2 + 1 + k // 5, 1 + k // 5) if k else (0, 0) for k in most] + [(0, 0)]
+        most = [self.distance(2 * end) for end in ends]
+        return [(k // 2 + 1 + k // 16, 1 + k // 16) if k else (0, 0) for k in most] + [(0, 0)]
+
+
+def shingle_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """A hash of each ``size`` consecutive values, in order."""
+    n = len(hashes) - size + 1
+    found = np.full(max(n, 0), SHINGLE + seed, dtype=np.uint64)
+    for k in range(size if n > 0 else 0):
+        found = _mix(found ^ hashes[k : k + n], SHINGLE + k)
+    return found
 
 
-def with_features(docs: DataFrame, how: Join) -> DataFrame:
-    """Replaces ``text`` by ``features``, the hashed shingles of the lower-cased text."""
-    df = docs.withColumn("_words", settled(words(lower_ascii(F.coalesce("text", F.lit("")))))).drop("text")
-    return df.withColumn("features", hashed_shingles(F.col("_words"), how.shingle)).drop("_words")
+def _sets(docs: DataFrame, how: Join) -> DataFrame:
+    """Per row of ``docs`` its set, its size, key and sketch, and a ``number``; stored."""
 
+    def run(batches: Iterator) -> Iterator:
+        from millrace.llm.part_enum import BITS, SET, SKETCH, _mix, shingle_hashes
 
-def with_sets(docs: DataFrame, how: Join) -> DataFrame:
-    """``doc_id``, ``n``, ``features`` and the key of the text of each row."""
-    df = with_features(docs.select(F.col("doc_id").cast("bigint"), *text_key(), "text"), how)
-    return df.withColumn("n", F.size("features").cast("bigint"))
+        for batch in batches:
+            column = batch.column("words")
+            flat = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).tolist()
+            whole = shingle_hashes(flat, how.shingle)
+            sets, keys, sketches = [], [], []
+            for a, b in zip(ends, ends[1:]):
+                few = b - a < how.shingle
+                # A text of fewer words is one shingle, another than any of full length.
+                found = shingle_hashes(flat[a:b], b - a, b - a) if few and b > a else whole[a : max(a, b - how.shingle + 1)]
+                found = np.unique(found)
+                sets.append(found)
+                keys.append([_mix(found, SET + k).sum(dtype=np.uint64) for k in (0, 1)])
+                odd = np.bincount((_mix(found, SKETCH) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            sizes = np.array([len(x) for x in sets], dtype=np.int64)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+            words_of = BITS // 64
+            places = (np.arange(len(sets) + 1) * words_of).astype(np.int32)
+            bits = np.concatenate([np.zeros(0, np.int64), *sketches])
+            key_columns = np.array(keys, dtype=np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in ("doc_id", "text1", "text2")),
+                    pa.array(sizes),
+                    *(pa.array(np.ascontiguousarray(key_columns[:, k])) for k in (0, 1)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                    pa.ListArray.from_arrays(pa.array(places), pa.array(bits)),
+                ],
+                names=["doc_id", "text1", "text2", "n", "key1", "key2", "features", "sketch"],
+            )
+
+    ship_package(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("bigint"), *text_key(), "text")
+    split = settled(words(lower_ascii(F.coalesce("text", F.lit("")))))
+    hashed = rows.withColumn("words", split).drop("text")
+    hashed = hashed.withColumn("words", F.transform("words", lambda w: F.xxhash64(w)))
+    found = hashed.mapInArrow(run, SETS).withColumn("number", F.monotonically_increasing_id())
+    return _stored(found, "part-enum-sets")
 
 
 def _mix(x: np.ndarray | int, seed: int) -> np.ndarray:
@@ -101,7 +156,8 @@ def _projections(features: np.ndarray, parts: int, cuts: int, seed: int) -> tupl
     place = (_mix(features, seed) % np.uint64(parts * cuts)).astype(np.int64)
     counts = np.bincount(place, minlength=parts * cuts).reshape(parts, cuts)
     order = np.argsort(place, kind="stable")
-    sums = np.concatenate([[0], np.cumsum(_mix(features, seed + 1)[order])]).astype(np.uint64)
+    # All unsigned: next to signed numbers numpy would go on in floating point and round.
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(features, seed + 1)[order], dtype=np.uint64)])
     ends = np.concatenate([[0], np.cumsum(counts.ravel())])
     by_cut = (sums[ends[1:]] - sums[ends[:-1]]).reshape(parts, cuts)
     rest = by_cut.sum(axis=1, dtype=np.uint64)[:, None] - by_cut
@@ -140,21 +196,23 @@ def signatures(features: np.ndarray, how: Join) -> np.ndarray:
 
 
 def with_signatures(sets: DataFrame, how: Join) -> DataFrame:
-    """``cid`` and ``signature``, one row for each, of ``sets`` (``cid``, ``features``, ``same``)."""
+    """``cid``, ``n`` and ``signature``, one row for each, of ``sets`` (``cid``, ``n``, ``features``)."""
 
     def run(batches: Iterator) -> Iterator:
+        from millrace.llm.part_enum import signatures
+
         for batch in batches:
-            batch = batch.filter(batch.column("same"))
-            cids, column = batch.column("cid").to_numpy(), batch.column("features")
-            # A few texts at a time, so what goes back is no larger than what came.
+            cids, sizes, column = batch.column("cid").to_numpy(), batch.column("n").to_numpy(), batch.column("features")
+            # A few sets at a time, so what goes back is no larger than what came.
             for first in range(0, batch.num_rows, 200):
                 lists = [signatures(x.values.to_numpy(zero_copy_only=False), how) for x in column[first : first + 200]]
-                repeated = np.repeat(cids[first : first + 200], [len(x) for x in lists])
+                counts = [len(x) for x in lists]
                 flat = np.concatenate([np.zeros(0, np.int64), *lists])
-                yield pa.RecordBatch.from_arrays([pa.array(repeated), pa.array(flat)], names=["cid", "signature"])
+                repeated = [pa.array(np.repeat(x[first : first + 200], counts)) for x in (cids, sizes)]
+                yield pa.RecordBatch.from_arrays([*repeated, pa.array(flat)], names=["cid", "n", "signature"])
 
     ship_package(sets.sparkSession)
-    return sets.select("cid", "features", "same").mapInArrow(run, "cid bigint, signature bigint")
+    return sets.select("cid", "n", "features").mapInArrow(run, "cid bigint, n bigint, signature bigint")
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -165,133 +223,172 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _keyed(sets: DataFrame) -> DataFrame:
-    """``doc_id``, ``n``, the key of the text and the 128-bit key of each whole set."""
-    ordered = F.sort_array("features")
-    keys = [F.xxhash64(ordered).alias("key1"), F.xxhash64(F.lit(1), ordered).alias("key2")]
-    return sets.select("doc_id", "n", "text1", "text2", *keys)
+def _small(df: DataFrame, how: Join) -> DataFrame:
+    """``df``, to be sent to every task if a count shows that it may be."""
+    return F.broadcast(df) if df.limit(how.broadcast_rows + 1).count() <= how.broadcast_rows else df
 
 
-def _classes(keyed: DataFrame) -> DataFrame:
-    """One row per distinct set: ``cid``, ``rep`` (its smallest ``doc_id``), ``first`` (the text it has there),
-    ``n`` and the key.
+def _classes(sets: DataFrame) -> DataFrame:
+    """One row per distinct set: ``cid``, ``first`` (its smallest ``doc_id`` and the text it has there), ``number``
+    of a row with that text, ``n`` and the key.
 
     ``cid`` falls with the number of copies, by powers of two, so the smallest of some classes is one
     with many copies.
     """
     # Rows without an id come last, so a class has one of them as its first only if all are such.
-    text = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text1", "text2")
-    merged = keyed.where("n > 0").groupBy("key1", "key2", "n").agg(F.min(text).alias("first"), F.count("*").alias("copies"))
+    text = [F.col("doc_id").isNull().alias("none"), "doc_id", "text1", "text2"]
+    least = F.min(F.struct(*text, "number")).alias("least")
+    merged = sets.where("n > 0").groupBy("key1", "key2", "n").agg(least, F.count("*").alias("copies"))
     rank = (63 - F.floor(F.log2("copies"))).cast("bigint")
     cid = F.shiftleft(rank, 57) + F.monotonically_increasing_id()
-    return merged.select(cid.alias("cid"), F.col("first.doc_id").alias("rep"), "first", "n", "key1", "key2")
-
-
-def _sets_of(docs: DataFrame, classes: DataFrame, how: Join) -> DataFrame:
-    """``cid``, ``features`` and ``same`` (whether it is the class's set) of each of ``classes``, made again from its ``first`` text: texts are
-    less to move than sets. They stay where they are if a count shows that the classes may be broadcast."""
-    first = [F.col(f"first.{name}").alias(f"_{name}") for name in ("doc_id", "text1", "text2")]
-    wanted = classes.select("cid", *first, "key1", "key2")
-    if wanted.limit(how.broadcast_rows + 1).count() <= how.broadcast_rows:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("bigint"), *text_key(), "text")
-    # By the text as well: texts without an id, or that share one, do not meet the classes of each other.
-    own = F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-    joined = texts.join(wanted, own & (F.col("text1") == F.col("_text1")) & (F.col("text2") == F.col("_text2")))
-    features = with_features(joined, how)
-    ordered = F.sort_array("features")
-    same = (F.xxhash64(ordered) == F.col("key1")) & (F.xxhash64(F.lit(1), ordered) == F.col("key2"))
-    # Marked, not filtered: a filter here would move below the lambdas and evaluate them again.
-    return features.select("cid", "features", same.alias("same"))
-
-
-def _to_pivots(dealt: DataFrame) -> DataFrame:
-    """Distinct ``x`` and ``p``: p is the pivot of a signature that x has, and another class."""
-    # The filters that the join implies, so that both uses read one exchange.
-    dealt = dealt.where("signature is not null and cid is not null").repartition("signature")
-    pivots = dealt.groupBy("signature").agg(F.min("cid").alias("p"), F.count("*").alias("size")).where("size > 1")
+    first = F.struct(*[F.col(f"least.{c}").alias(c) for c in ("none", "doc_id", "text1", "text2")])
+    return merged.select(cid.alias("cid"), first.alias("first"), "least.number", "n", "key1", "key2")
+
+
+def _to_pivots(dealt: DataFrame, how: Join) -> DataFrame:
+    """Pairs of a class ``x`` and the pivot ``p`` of a signature that it has, with their sizes ``nx`` and ``np``, and
+    whether ``more`` classes have one such signature."""
+    groups = dealt.groupBy("signature").agg(F.min(F.struct("cid", "n")).alias("p"), F.count("*").alias("size"))
+    pivots = groups.where("size > 1").select("signature", F.col("p.cid").alias("p"), F.col("p.n").alias("np"), (F.col("size") > 2).alias("more"))
+    pivots = _small(_stored(pivots, "part-enum-pivots"), how)
     met = dealt.join(pivots, "signature").where("cid <> p")
-    return met.select(F.col("cid").alias("x"), "p").distinct()
+    return met.groupBy(F.col("cid").alias("x"), F.col("n").alias("nx"), "p", "np").agg(F.max("more").alias("more"))
+
+
+def _possible(a: str, b: str, how: Join) -> Column:
+    """Whether different sets of these sizes can link."""
+    common = F.least(a, b) - (F.col(a) == F.col(b)).cast("bigint")
+    return common * 100 >= (F.col(a) + F.col(b) - common) * how.percent
+
+
+def _near(sizes: Column, distance: Column, how: Join) -> Column:
+    return distance * (100 + how.percent) <= sizes * (100 - how.percent)
+
+
+def _close(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
+    """The ``pairs`` (``x``, ``p`` and their sizes) that sizes and sketches allow to link."""
+    sx = sets.select(F.col("cid").alias("x"), F.col("sketch").alias("sx"))
+    sp = sets.select(F.col("cid").alias("p"), F.col("sketch").alias("sp"))
+    both = pairs.where(_possible("nx", "np", how)).join(sx, "x").join(sp, "p")
+    differ = F.zip_with("sx", "sp", lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("bigint"))
+    least = F.aggregate(differ, F.lit(0).cast("bigint"), lambda total, n: total + n)
+    return both.where(_near(F.col("nx") + F.col("np"), least, how)).select("x", "p")
 
 
-def _links(edges: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
-    """Each ``x`` and ``p`` of ``edges`` and whether they link, by the exact size of their overlap."""
-    x = sets.select(F.col("cid").alias("x"), F.col("features").alias("fx"))
-    p = sets.select(F.col("cid").alias("p"), F.col("features").alias("fp"))
-    both = edges.join(x, "x").join(p, "p")
+def _links(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
+    """Those of ``pairs`` that link, by sizes, sketches and then the exact size of their overlap."""
+    close = _stored(_close(pairs, sets.select("cid", "sketch"), how), "part-enum-close")
+    met = close.select(F.col("x").alias("cid")).union(close.select("p")).distinct()
+    wanted = _stored(sets.select("cid", "features").join(_small(met, how), "cid", "left_semi"), "part-enum-features")
+    x = wanted.select(F.col("cid").alias("x"), F.col("features").alias("fx"))
+    p = wanted.select(F.col("cid").alias("p"), F.col("features").alias("fp"))
     sizes = (F.size("fx") + F.size("fp")).cast("bigint")
     distance = sizes - 2 * F.size(F.array_intersect("fx", "fp"))
-    linked = distance * (100 + how.percent) <= sizes * (100 - how.percent)
-    return both.select("x", "p", linked.alias("linked"))
+    return _stored(close.join(x, "x").join(p, "p").where(_near(sizes, distance, how)).select("x", "p"), "part-enum-links")
 
 
-def fine_parts(features: np.ndarray, how: Join) -> list[tuple[int, int, int]]:
-    """Band, hash of each part and the longest prefix for a set, under a cut into many parts.
+def prefixes(n: int, how: Join) -> tuple[int, int]:
+    """Of a set's n features in any one order, how many must have one in common with as many of a set that links:
+    if the other is no smaller, and if it is no larger.
 
-    Sets that link differ in at most k features, so in at most k parts: of their parts in any one order,
-    the first k + 1 of each have one in common.
+    Sets that link have ``percent * (n + m) / (100 + percent)`` features in common, at least as many as those of
+    a partner of its own size, or of the smallest partner there is; the set's other features are no more than the
+    rest, and so the first common one is among the first of so many and one more.
     """
-    n, found = len(features), []
-    most = (n + n * 100 // how.percent) * (100 - how.percent) // (100 + how.percent)
-    for band in _bands(n, how):
-        parts = FINE * how.parts()[band][0]
-        if not parts:
-            continue
-        values = features.astype(np.uint64)
-        place = (_mix(values, THIRD) % np.uint64(parts)).astype(np.int64)
-        sums = np.zeros(parts, dtype=np.uint64)
-        np.add.at(sums, place, _mix(values, THIRD + 1))
-        hashes = _mix(_mix(sums, THIRD + 2) ^ _mix(np.arange(parts), THIRD + 3), 200 + band).astype(np.int64)
-        found += [(band, h, most + 1) for h in hashes.tolist()]
-    return found
+    with_larger = n + (-2 * how.percent * n) // (100 + how.percent) + 1
+    with_smaller = n + (-how.percent * n) // 100 + 1
+    return with_larger, with_smaller
 
 
-def _meetings(sets: DataFrame, how: Join) -> DataFrame:
-    """Distinct pairs ``x`` and ``p`` of ``sets`` (``cid``, ``features``, ``root``) with different roots that
-    may link: their rarest fine parts have one in common. A part that only one root has needs no partner."""
-    schema = "cid bigint, root bigint, band int, part bigint, prefix bigint"
+def _feature_counts(sets: DataFrame) -> np.ndarray:
+    """How often features fall in each bucket: a table of fixed size."""
 
     def run(batches: Iterator) -> Iterator:
-        from millrace.llm.arrow import batch_of
+        from millrace.llm.part_enum import BUCKETS
 
+        counts = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            for cid, root, features in zip(*(batch.column(c) for c in ("cid", "root", "features"))):
-                rows = fine_parts(features.values.to_numpy(zero_copy_only=False), how)
-                if rows:
-                    yield batch_of([(cid.as_py(), root.as_py(), *row) for row in rows], schema)
+            flat = batch.column("features").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            counts += np.bincount((flat % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+        buckets = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(counts[buckets])], names=["bucket", "n"])
+
+    rows = sets.select("features").mapInArrow(run, "bucket bigint, n bigint")
+    table = np.zeros(BUCKETS, dtype=np.int64)
+    # At most one row for each bucket.
+    found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    table[found["bucket"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
+    return np.minimum(table, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def _meetings(sets: DataFrame, how: Join) -> DataFrame:
+    """Distinct pairs ``x`` and ``p`` of ``sets`` (``cid``, ``n``, ``features``, ``root``) with different roots that
+    may link: the first of their features, in order of rarity, have one in common. A feature that only one root
+    has needs no partner."""
+    ship_package(sets.sparkSession)
+    counts = sets.sparkSession.sparkContext.broadcast(_feature_counts(sets))
+    schema = "cid bigint, root bigint, n bigint, with_larger boolean, feature bigint"
 
-    parts = _stored(sets.select("cid", "root", "features").mapInArrow(run, schema), "part-enum-parts")
-    sizes = parts.groupBy("part").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-    placed = parts.join(sizes, "part")
-    order = Window.partitionBy("cid", "band").orderBy("size", "part")
-    first = placed.withColumn("place", F.row_number().over(order)).where("place <= prefix and low < high")
-    first = first.select("part", F.col("cid").alias("x"), F.col("root").alias("root_x"))
-    others = first.select("part", F.col("x").alias("p"), F.col("root_x").alias("root_p"))
-    return first.join(others, "part").where("x < p and root_x <> root_p").select("x", "p").distinct()
+    def run(batches: Iterator) -> Iterator:
+        from millrace.llm.part_enum import BUCKETS, prefixes
+
+        table = counts.value
+        for batch in batches:
+            ids = [batch.column(c).to_pylist() for c in ("cid", "root", "n")]
+            found = []
+            for cid, root, n, column in zip(*ids, batch.column("features")):
+                features = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                with_larger, with_smaller = prefixes(n, how)
+                order = np.lexsort((features, table[(features % np.uint64(BUCKETS)).astype(np.int64)]))
+                first = features[order[:with_smaller]].view(np.int64)
+                same = [np.full(len(first), x) for x in (cid, root, n)]
+                found.append([*same, np.arange(len(first)) < with_larger, first])
+            if found:
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
+                yield pa.RecordBatch.from_arrays(columns, names=["cid", "root", "n", "with_larger", "feature"])
+
+    firsts = _stored(sets.select("cid", "root", "n", "features").mapInArrow(run, schema), "part-enum-firsts")
+    spans = firsts.groupBy("feature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    firsts = firsts.join(_small(_stored(spans.select("feature"), "part-enum-spans"), how), "feature")
+    a = firsts.where("with_larger").select("feature", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+    b = firsts.select("feature", F.col("cid").alias("p"), F.col("n").alias("np"), F.col("root").alias("rp"))
+    # The smaller set first; of one size, each in turn.
+    pairs = a.join(b, "feature").where("nx <= np and rx <> rp and x <> p").where(_possible("nx", "np", how))
+    swap = (F.col("nx") == F.col("np")) & (F.col("x") > F.col("p"))
+    ends = [F.when(swap, F.col("p")).otherwise(F.col("x")).alias("x"), "nx", F.when(swap, F.col("x")).otherwise(F.col("p")).alias("p"), "np"]
+    return pairs.select(*ends).distinct()
 
 
 def _grouped(docs: DataFrame, how: Join) -> DataFrame:
-    sets = _stored(_keyed(with_sets(docs, how)), "part-enum-keys")
+    sets = _sets(docs, how)
     classes = _stored(_classes(sets), "part-enum-classes")
-    edges = _to_pivots(with_signatures(_sets_of(docs, classes, how), how)).checkpoint()
-    met = edges.select(F.col("x").alias("cid")).union(edges.select("p")).distinct()
-    features = _stored(_sets_of(docs, classes.join(met, "cid"), how), "part-enum-features").where("same")
-    # Rows that repeat a class's first row give its set again, and its parts would count as many times.
-    features = features.select("cid", "features").dropDuplicates(["cid"])
-    compared = _stored(_links(edges, features, how), "part-enum-links")
-    links = compared.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
-    groups = components(links)
-    # Only around a pivot that some set does not link to can there be links not found yet.
-    unsure = compared.where("not linked").select("p").distinct()
-    among = compared.join(unsure, "p").select(F.col("x").alias("cid")).distinct()
-    among = among.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    meetings = _meetings(features.join(among, "cid"), how)
-    late = _stored(_links(meetings, features, how).where("linked"), "part-enum-late")
-    if not late.isEmpty():
-        groups = components(links.union(late.select(F.col("x").alias("a"), F.col("p").alias("b"))))
+    numbers = _small(classes.select("number", "cid"), how)
+    whole = sets.select("number", "n", "features", "sketch").join(numbers, "number").drop("number")
+    dealt = _stored(with_signatures(whole, how), "part-enum-signatures")
+    edges = _stored(_to_pivots(dealt, how), "part-enum-edges")
+    links = _links(edges, whole, how)
+    named = links.select(F.col("x").alias("a"), F.col("p").alias("b"))
+    groups = components(named)
+    among = _unsure(edges, groups, how)
+    if not among.isEmpty():
+        apart = _stored(whole.join(_small(among, how), "cid"), "part-enum-unsure")
+        late = _links(_stored(_meetings(apart, how), "part-enum-meetings"), apart, how)
+        if not late.isEmpty():
+            groups = components(named.union(late.select(F.col("x").alias("a"), F.col("p").alias("b"))))
     return _labelled(sets, classes, groups)
 
 
+def _unsure(edges: DataFrame, groups: DataFrame, how: Join) -> DataFrame:
+    """``cid`` and ``root`` of the classes that share a pivot with one of another group, which only the pivot was
+    compared with."""
+    shared = edges.where("more").select(F.col("x").alias("cid"), "p")
+    shared = shared.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    shared = _stored(shared, "part-enum-shared")
+    spans = shared.groupBy("p").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    pivots = _small(_stored(spans.select("p"), "part-enum-unsure-pivots"), how)
+    return _stored(shared.join(pivots, "p", "left_semi").select("cid", "root").distinct(), "part-enum-among")
+
+
 def _labelled(sets: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
     """Per row of ``sets``: ``doc_id``, ``n``, the key of the text, ``component_id`` and ``chosen``, the text of
     the group's smallest ``doc_id``; null without a set."""

@@ -217,12 +217,52 @@ def test_repeated_rows_lose_no_late_link(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.groups(texts, 3, 90)
 
 
+@pytest.mark.parametrize("shingle, percent", [(3, 90), (5, 80), (2, 50)])
+def test_sets_that_link_share_a_signature_and_a_first_feature(shingle, percent):
+    how = part_enum.Join(shingle=shingle, percent=percent)
+    rng = np.random.default_rng(percent)
+    linked = 0
+    for _ in range(4000):
+        n = int(rng.integers(1, 60))
+        x = np.unique(rng.integers(0, 2**62, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[int(rng.integers(0, n // 3 + 1)) :], rng.integers(0, 2**62, int(rng.integers(0, 4))).astype(np.uint64)]))
+        both, either = len(np.intersect1d(x, y)), len(np.union1d(x, y))
+        if both < either and 100 * both >= percent * either:
+            linked += 1
+            assert set(part_enum.signatures(x, how).tolist()) & set(part_enum.signatures(y, how).tolist())
+            small, large = sorted((x, y), key=len)
+            first = set(np.sort(small)[: part_enum.prefixes(len(small), how)[0]].tolist())
+            assert first & set(np.sort(large)[: part_enum.prefixes(len(large), how)[1]].tolist())
+    assert linked > 500
+
+
+@pytest.mark.parametrize("size, own", [(19, 1), (60, 6)])
+def test_texts_of_one_template_are_not_compared_pair_by_pair(spark, monkeypatch, size, own):
+    """Texts that differ from each other in a little more than a link allows: what is joined grows with the rows."""
+    counts = {}
+    plain = part_enum._stored
+
+    def counted(df, name):
+        found = plain(df, name)
+        counts[name] = counts.get(name, 0) + found.count()
+        return found
+
+    monkeypatch.setattr(part_enum, "_stored", counted)
+    base = prose(77, size).split()
+    texts = {i: " ".join(base[:-own] + [f"own{i}x{k}" for k in range(own)]) for i in range(2000)}
+    texts[5000], texts[5001] = texts[7] + " more", texts[9]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in part_enum.grouped(docs, part_enum.Join(shingle=3, percent=90)).collect()}
+    assert found == {i: {5000: 7, 5001: 9}.get(i, i) for i in texts}
+    assert counts.get("part-enum-meetings", 0) < 4000 and counts["part-enum-close"] < 60_000, counts
+
+
 def test_texts_without_id_meet_their_own_class_only(spark):
     rows = [(None, prose(400 + i, 30)) for i in range(50)] + [(1, prose(500 + i, 30)) for i in range(50)]
     docs, how = spark.createDataFrame(rows, "doc_id long, text string"), part_enum.Join()
-    classes = part_enum._classes(part_enum._keyed(part_enum.with_sets(docs, how))).checkpoint()
-    found = part_enum._sets_of(docs, classes, how).collect()
-    assert len(found) == 100 and all(r.same for r in found)
+    sets = part_enum._sets(docs, how)
+    found = sets.join(part_enum._classes(sets).checkpoint().select("number", "cid"), "number").collect()
+    assert len(found) == 100 and len({(r.text1, r.text2, r.cid) for r in found}) == 100
 
 
 def test_part_enum_edges(hard_docs, hard_rows, no_docs):
