@@ -45,7 +45,7 @@ from millrace.session import work_path
 #: Seeds of the hashes that cut the feature domain, and of those of shingles, sets and sketches.
 FIRST, SECOND, OTHER, SHINGLE, SET, SKETCH = 11, 21, 31, 51, 61, 71
 #: Bits of a parity sketch; buckets in which features are counted.
-BITS, BUCKETS = 1024, 1 << 20
+BITS, BUCKETS = 1024, 1 << 18
 SETS = (
     "doc_id bigint, text1 bigint, text2 bigint, n bigint, key1 bigint, key2 bigint, features array<bigint>, sketch array<bigint>"
 )
@@ -196,23 +196,22 @@ def signatures(features: np.ndarray, how: Join) -> np.ndarray:
 
 
 def with_signatures(sets: DataFrame, how: Join) -> DataFrame:
-    """``cid``, ``n`` and ``signature``, one row for each, of ``sets`` (``cid``, ``n``, ``features``)."""
+    """``cid`` and ``signature``, one row for each, of ``sets`` (``cid``, ``features``)."""
 
     def run(batches: Iterator) -> Iterator:
         from millrace.llm.part_enum import signatures
 
         for batch in batches:
-            cids, sizes, column = batch.column("cid").to_numpy(), batch.column("n").to_numpy(), batch.column("features")
+            cids, column = batch.column("cid").to_numpy(), batch.column("features")
             # A few sets at a time, so what goes back is no larger than what came.
             for first in range(0, batch.num_rows, 200):
                 lists = [signatures(x.values.to_numpy(zero_copy_only=False), how) for x in column[first : first + 200]]
-                counts = [len(x) for x in lists]
+                repeated = np.repeat(cids[first : first + 200], [len(x) for x in lists])
                 flat = np.concatenate([np.zeros(0, np.int64), *lists])
-                repeated = [pa.array(np.repeat(x[first : first + 200], counts)) for x in (cids, sizes)]
-                yield pa.RecordBatch.from_arrays([*repeated, pa.array(flat)], names=["cid", "n", "signature"])
+                yield pa.RecordBatch.from_arrays([pa.array(repeated), pa.array(flat)], names=["cid", "signature"])
 
     ship_package(sets.sparkSession)
-    return sets.select("cid", "n", "features").mapInArrow(run, "cid bigint, n bigint, signature bigint")
+    return sets.select("cid", "features").mapInArrow(run, "cid bigint, signature bigint")
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -246,13 +245,13 @@ def _classes(sets: DataFrame) -> DataFrame:
 
 
 def _to_pivots(dealt: DataFrame, how: Join) -> DataFrame:
-    """Pairs of a class ``x`` and the pivot ``p`` of a signature that it has, with their sizes ``nx`` and ``np``, and
-    whether ``more`` classes have one such signature."""
-    groups = dealt.groupBy("signature").agg(F.min(F.struct("cid", "n")).alias("p"), F.count("*").alias("size"))
-    pivots = groups.where("size > 1").select("signature", F.col("p.cid").alias("p"), F.col("p.n").alias("np"), (F.col("size") > 2).alias("more"))
+    """Pairs of a class ``x`` and the pivot ``p`` of a signature that it has, and whether ``more`` classes have one
+    such signature."""
+    groups = dealt.groupBy("signature").agg(F.min("cid").alias("p"), F.count("*").alias("size"))
+    pivots = groups.where("size > 1").select("signature", "p", (F.col("size") > 2).alias("more"))
     pivots = _small(_stored(pivots, "part-enum-pivots"), how)
     met = dealt.join(pivots, "signature").where("cid <> p")
-    return met.groupBy(F.col("cid").alias("x"), F.col("n").alias("nx"), "p", "np").agg(F.max("more").alias("more"))
+    return met.groupBy(F.col("cid").alias("x"), "p").agg(F.max("more").alias("more"))
 
 
 def _possible(a: str, b: str, how: Join) -> Column:
@@ -266,10 +265,10 @@ def _near(sizes: Column, distance: Column, how: Join) -> Column:
 
 
 def _close(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
-    """The ``pairs`` (``x``, ``p`` and their sizes) that sizes and sketches allow to link."""
-    sx = sets.select(F.col("cid").alias("x"), F.col("sketch").alias("sx"))
-    sp = sets.select(F.col("cid").alias("p"), F.col("sketch").alias("sp"))
-    both = pairs.where(_possible("nx", "np", how)).join(sx, "x").join(sp, "p")
+    """The ``pairs`` (``x`` and ``p``) that sizes and sketches allow to link."""
+    sx = sets.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("sx"))
+    sp = sets.select(F.col("cid").alias("p"), F.col("n").alias("np"), F.col("sketch").alias("sp"))
+    both = pairs.select("x", "p").join(sx, "x").join(sp, "p").where(_possible("nx", "np", how))
     differ = F.zip_with("sx", "sp", lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("bigint"))
     least = F.aggregate(differ, F.lit(0).cast("bigint"), lambda total, n: total + n)
     return both.where(_near(F.col("nx") + F.col("np"), least, how)).select("x", "p")
@@ -277,7 +276,7 @@ def _close(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
 
 def _links(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
     """Those of ``pairs`` that link, by sizes, sketches and then the exact size of their overlap."""
-    close = _stored(_close(pairs, sets.select("cid", "sketch"), how), "part-enum-close")
+    close = _stored(_close(pairs, sets.select("cid", "n", "sketch"), how), "part-enum-close")
     met = close.select(F.col("x").alias("cid")).union(close.select("p")).distinct()
     wanted = _stored(sets.select("cid", "features").join(_small(met, how), "cid", "left_semi"), "part-enum-features")
     x = wanted.select(F.col("cid").alias("x"), F.col("features").alias("fx"))
@@ -316,14 +315,14 @@ def _feature_counts(sets: DataFrame) -> np.ndarray:
     rows = sets.select("features").mapInArrow(run, "bucket bigint, n bigint")
     table = np.zeros(BUCKETS, dtype=np.int64)
     # At most one row for each bucket.
-    found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    table[found["bucket"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
+    found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    table[found["bucket"].to_numpy()] = found["n"].to_numpy()
     return np.minimum(table, np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _meetings(sets: DataFrame, how: Join) -> DataFrame:
     """Distinct pairs ``x`` and ``p`` of ``sets`` (``cid``, ``n``, ``features``, ``root``) with different roots that
-    may link: the first of their features, in order of rarity, have one in common. A feature that only one root
+    may link by their sizes: the first of their features, in order of rarity, have one in common. A feature that only one root
     has needs no partner."""
     ship_package(sets.sparkSession)
     counts = sets.sparkSession.sparkContext.broadcast(_feature_counts(sets))
@@ -355,7 +354,7 @@ def _meetings(sets: DataFrame, how: Join) -> DataFrame:
     # The smaller set first; of one size, each in turn.
     pairs = a.join(b, "feature").where("nx <= np and rx <> rp and x <> p").where(_possible("nx", "np", how))
     swap = (F.col("nx") == F.col("np")) & (F.col("x") > F.col("p"))
-    ends = [F.when(swap, F.col("p")).otherwise(F.col("x")).alias("x"), "nx", F.when(swap, F.col("x")).otherwise(F.col("p")).alias("p"), "np"]
+    ends = [F.when(swap, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in (("p", "x"), ("x", "p"))]
     return pairs.select(*ends).distinct()
 
 
