@@ -16,7 +16,8 @@ missing only if it shares a signature, and so a pivot, with a third set, and the
 not one group yet. Those go by the least parts there are, single features: of sets that link, the first few in
 any one order have one in common (`prefixes`). The order is by how often a feature occurs among them, counted in a
 table of fixed size, so sets of one template that differ too much have features of their own first and do not
-meet. Pairs that meet and lie in different groups so far are compared as above. No link between groups is lost.
+meet. Of the sets that have a first feature in common each is compared with a pivot drawn from them, twice over
+with others drawn, and then the pairs that still lie in different groups are. No link between groups is lost.
 
 Equal sets are one class from the start, by a 128-bit sum of hashes of the set, and only classes are joined.
 Shingles are compared by a 64-bit hash. Sets are made once and stored.
@@ -55,7 +56,8 @@ SETS = (
 class Join:
     """``shingle`` words make a feature; sets link from ``percent`` up. ``cuts`` is n2. Bands of set
     sizes begin at powers of ``band``; the largest set in use has ``band ** bands`` features.
-    ``broadcast_rows``: most rows of ids that go to every task, up to 32 bytes each."""
+    ``broadcast_rows``: most rows of ids that go to every task, up to 32 bytes each. ``late_rounds``: how often
+    pivots are drawn anew for sets that may still lack a link, before those left meet pair by pair."""
 
     shingle: int = 5
     percent: int = 80
@@ -63,6 +65,7 @@ class Join:
     band: float = 1.5
     bands: int = 64
     broadcast_rows: int = 500_000
+    late_rounds: int = 2
 
     def starts(self) -> list[int]:
         """Smallest size of each band."""
@@ -244,13 +247,13 @@ def _classes(sets: DataFrame) -> DataFrame:
     return merged.select(cid.alias("cid"), first.alias("first"), "least.number", "n", "key1", "key2")
 
 
-def _to_pivots(dealt: DataFrame, how: Join) -> DataFrame:
+def _to_pivots(dealt: DataFrame) -> DataFrame:
     """Pairs of a class ``x`` and the pivot ``p`` of a signature that it has, and whether ``more`` classes have one
     such signature."""
     groups = dealt.groupBy("signature").agg(F.min("cid").alias("p"), F.count("*").alias("size"))
     pivots = groups.where("size > 1").select("signature", "p", (F.col("size") > 2).alias("more"))
-    pivots = _small(_stored(pivots, "part-enum-pivots"), how)
-    met = dealt.join(pivots, "signature").where("cid <> p")
+    # Dealt out at any size; a signature that very many have is split there.
+    met = dealt.join(pivots.hint("merge"), "signature").where("cid <> p")
     return met.groupBy(F.col("cid").alias("x"), "p").agg(F.max("more").alias("more"))
 
 
@@ -320,42 +323,54 @@ def _feature_counts(sets: DataFrame) -> np.ndarray:
     return np.minimum(table, np.iinfo(np.int32).max).astype(np.int32)
 
 
-def _meetings(sets: DataFrame, how: Join) -> DataFrame:
-    """Distinct pairs ``x`` and ``p`` of ``sets`` (``cid``, ``n``, ``features``, ``root``) with different roots that
-    may link by their sizes: the first of their features, in order of rarity, have one in common. A feature that only one root
-    has needs no partner."""
+def _firsts(sets: DataFrame, how: Join) -> DataFrame:
+    """The first features of ``sets`` (``cid``, ``n``, ``features``) in order of rarity, those of both `prefixes`."""
     ship_package(sets.sparkSession)
     counts = sets.sparkSession.sparkContext.broadcast(_feature_counts(sets))
-    schema = "cid bigint, root bigint, n bigint, with_larger boolean, feature bigint"
 
     def run(batches: Iterator) -> Iterator:
         from millrace.llm.part_enum import BUCKETS, prefixes
 
         table = counts.value
         for batch in batches:
-            ids = [batch.column(c).to_pylist() for c in ("cid", "root", "n")]
             found = []
-            for cid, root, n, column in zip(*ids, batch.column("features")):
+            for cid, n, column in zip(batch.column("cid").to_pylist(), batch.column("n").to_pylist(), batch.column("features")):
                 features = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 with_larger, with_smaller = prefixes(n, how)
                 order = np.lexsort((features, table[(features % np.uint64(BUCKETS)).astype(np.int64)]))
                 first = features[order[:with_smaller]].view(np.int64)
-                same = [np.full(len(first), x) for x in (cid, root, n)]
-                found.append([*same, np.arange(len(first)) < with_larger, first])
+                found.append([np.full(len(first), cid), np.full(len(first), n), np.arange(len(first)) < with_larger, first])
             if found:
                 columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
-                yield pa.RecordBatch.from_arrays(columns, names=["cid", "root", "n", "with_larger", "feature"])
+                yield pa.RecordBatch.from_arrays(columns, names=["cid", "n", "with_larger", "feature"])
 
-    firsts = _stored(sets.select("cid", "root", "n", "features").mapInArrow(run, schema), "part-enum-firsts")
-    spans = firsts.groupBy("feature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    firsts = firsts.join(_small(_stored(spans.select("feature"), "part-enum-spans"), how), "feature")
-    a = firsts.where("with_larger").select("feature", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    b = firsts.select("feature", F.col("cid").alias("p"), F.col("n").alias("np"), F.col("root").alias("rp"))
+    found = sets.select("cid", "n", "features").mapInArrow(run, "cid bigint, n bigint, with_larger boolean, feature bigint")
+    return _stored(found, "part-enum-firsts")
+
+
+def _apart(firsts: DataFrame, roots: DataFrame, how: Join) -> DataFrame:
+    """``firsts`` with the ``root`` of each set, where sets of several groups have the feature."""
+    rooted = firsts.join(_small(roots, how), "cid")
+    spans = rooted.groupBy("feature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return rooted.join(_small(_stored(spans.select("feature"), "part-enum-spans"), how), "feature")
+
+
+def _late_pivots(apart: DataFrame, nth: int) -> DataFrame:
+    """Distinct pairs of a set and the pivot of a first feature that it has, another one each time."""
+    drawn = F.min(F.struct(F.xxhash64("cid", "feature", F.lit(nth)).alias("draw"), F.col("cid").alias("p"), F.col("root").alias("rp")))
+    pivots = apart.groupBy("feature").agg(drawn.alias("drawn")).select("feature", "drawn.p", "drawn.rp")
+    met = apart.join(pivots, "feature").where("root <> rp")
+    return met.select(F.least("cid", "p").alias("x"), F.greatest("cid", "p").alias("p")).distinct()
+
+
+def _meetings(apart: DataFrame, how: Join) -> DataFrame:
+    """Distinct pairs ``x`` and ``p`` of sets of different groups that may link by their sizes and have one of their
+    first features in common."""
+    a = apart.where("with_larger").select("feature", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+    b = apart.select("feature", F.col("cid").alias("p"), F.col("n").alias("np"), F.col("root").alias("rp"))
     # The smaller set first; of one size, each in turn.
     pairs = a.join(b, "feature").where("nx <= np and rx <> rp and x <> p").where(_possible("nx", "np", how))
-    swap = (F.col("nx") == F.col("np")) & (F.col("x") > F.col("p"))
-    ends = [F.when(swap, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in (("p", "x"), ("x", "p"))]
-    return pairs.select(*ends).distinct()
+    return pairs.select(F.least("x", "p").alias("x"), F.greatest("x", "p").alias("p")).distinct()
 
 
 def _grouped(docs: DataFrame, how: Join) -> DataFrame:
@@ -364,28 +379,43 @@ def _grouped(docs: DataFrame, how: Join) -> DataFrame:
     numbers = _small(classes.select("number", "cid"), how)
     whole = sets.select("number", "n", "features", "sketch").join(numbers, "number").drop("number")
     dealt = _stored(with_signatures(whole, how), "part-enum-signatures")
-    edges = _stored(_to_pivots(dealt, how), "part-enum-edges")
-    links = _links(edges, whole, how)
-    named = links.select(F.col("x").alias("a"), F.col("p").alias("b"))
-    groups = components(named)
+    edges = _stored(_to_pivots(dealt), "part-enum-edges")
+    links = _named(_links(edges, whole, how))
+    groups = components(links)
     among = _unsure(edges, groups, how)
-    if not among.isEmpty():
-        apart = _stored(whole.join(_small(among, how), "cid"), "part-enum-unsure")
-        late = _links(_stored(_meetings(apart, how), "part-enum-meetings"), apart, how)
-        if not late.isEmpty():
-            groups = components(named.union(late.select(F.col("x").alias("a"), F.col("p").alias("b"))))
+    if among.isEmpty():
+        return _labelled(sets, classes, groups)
+    late = _stored(whole.join(_small(among, how), "cid", "left_semi"), "part-enum-unsure")
+    firsts = _firsts(late, how)
+    # Pivots again join most of what belongs together, and only what is still apart meets pair by pair.
+    for nth in range(how.late_rounds + 1):
+        apart = _stored(_apart(firsts, _rooted(among, groups), how), "part-enum-apart")
+        pairs = _late_pivots(apart, nth) if nth < how.late_rounds else _meetings(apart, how)
+        found = _links(_stored(pairs, "part-enum-meetings"), late, how)
+        if not found.isEmpty():
+            links = links.union(_named(found))
+            groups = components(links)
     return _labelled(sets, classes, groups)
 
 
+def _named(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("a"), F.col("p").alias("b"))
+
+
+def _rooted(classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """``cid`` and ``root`` of ``classes``; one without a link is a group of its own."""
+    joined = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left")
+    return joined.select("cid", F.coalesce("root", "cid").alias("root"))
+
+
 def _unsure(edges: DataFrame, groups: DataFrame, how: Join) -> DataFrame:
-    """``cid`` and ``root`` of the classes that share a pivot with one of another group, which only the pivot was
-    compared with."""
+    """``cid`` of the classes that share a pivot with one of another group, which only the pivot was compared with."""
     shared = edges.where("more").select(F.col("x").alias("cid"), "p")
     shared = shared.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     shared = _stored(shared, "part-enum-shared")
     spans = shared.groupBy("p").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     pivots = _small(_stored(spans.select("p"), "part-enum-unsure-pivots"), how)
-    return _stored(shared.join(pivots, "p", "left_semi").select("cid", "root").distinct(), "part-enum-among")
+    return _stored(shared.join(pivots, "p", "left_semi").select("cid").distinct(), "part-enum-among")
 
 
 def _labelled(sets: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
