@@ -14,10 +14,10 @@ most copies. Most of those comparisons end early: by the two sizes, or by a pari
 differs in no more bits than the sets do in features. The rest is exact. That joins most groups. A pair can be
 missing only if it shares a signature, and so a pivot, with a third set, and the sets that share that pivot are
 not one group yet. Those go by the least parts there are, single features: of sets that link, the first few in
-any one order have one in common (`prefixes`). The order is by how often a feature occurs among them, counted in a
+any one order have one in common (`largest_partners`). The order is by how often a feature occurs among them, counted in a
 table of fixed size, so sets of one template that differ too much have features of their own first and do not
-meet. Of the sets that have a first feature in common each is compared with a pivot drawn from them, twice over
-with others drawn, and then the pairs that still lie in different groups are. No link between groups is lost.
+meet. Of the sets that have a first feature in common each is compared with a pivot drawn from them, and then the
+pairs that still lie in different groups are, where sizes and places allow. No link between groups is lost.
 
 Equal sets are one class from the start, by a 128-bit sum of hashes of the set, and only classes are joined.
 Shingles are compared by a 64-bit hash. Sets are made once and stored.
@@ -65,7 +65,7 @@ class Join:
     band: float = 1.5
     bands: int = 64
     broadcast_rows: int = 500_000
-    late_rounds: int = 2
+    late_rounds: int = 1
 
     def starts(self) -> list[int]:
         """Smallest size of each band."""
@@ -289,17 +289,16 @@ def _links(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
     return _stored(close.join(x, "x").join(p, "p").where(_near(sizes, distance, how)).select("x", "p"), "part-enum-links")
 
 
-def prefixes(n: int, how: Join) -> tuple[int, int]:
-    """Of a set's n features in any one order, how many must have one in common with as many of a set that links:
-    if the other is no smaller, and if it is no larger.
+def largest_partners(n: int, how: Join) -> np.ndarray:
+    """Of a set's n features in any one order, for each of the first ones the largest set that it can link with if
+    this is their first feature in common; as long as that is a size it can link with at all.
 
-    Sets that link have ``percent * (n + m) / (100 + percent)`` features in common, at least as many as those of
-    a partner of its own size, or of the smallest partner there is; the set's other features are no more than the
-    rest, and so the first common one is among the first of so many and one more.
+    Sets of n and m features that link have at least ``percent * (n + m) / (100 + percent)`` in common, all from
+    the first common one on.
     """
-    with_larger = n + (-2 * how.percent * n) // (100 + how.percent) + 1
-    with_smaller = n + (-how.percent * n) // 100 + 1
-    return with_larger, with_smaller
+    left = np.arange(n, 0, -1, dtype=np.int64)
+    most = (100 + how.percent) * left // how.percent - n
+    return most[100 * most >= how.percent * n]
 
 
 def _feature_counts(sets: DataFrame) -> np.ndarray:
@@ -324,27 +323,28 @@ def _feature_counts(sets: DataFrame) -> np.ndarray:
 
 
 def _firsts(sets: DataFrame, how: Join) -> DataFrame:
-    """The first features of ``sets`` (``cid``, ``n``, ``features``) in order of rarity, those of both `prefixes`."""
+    """The first features of ``sets`` (``cid``, ``n``, ``features``) in order of rarity, with the size of partners that
+    each is good for, ``most``."""
     ship_package(sets.sparkSession)
     counts = sets.sparkSession.sparkContext.broadcast(_feature_counts(sets))
 
     def run(batches: Iterator) -> Iterator:
-        from millrace.llm.part_enum import BUCKETS, prefixes
+        from millrace.llm.part_enum import BUCKETS, largest_partners
 
         table = counts.value
         for batch in batches:
             found = []
             for cid, n, column in zip(batch.column("cid").to_pylist(), batch.column("n").to_pylist(), batch.column("features")):
                 features = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                with_larger, with_smaller = prefixes(n, how)
                 order = np.lexsort((features, table[(features % np.uint64(BUCKETS)).astype(np.int64)]))
-                first = features[order[:with_smaller]].view(np.int64)
-                found.append([np.full(len(first), cid), np.full(len(first), n), np.arange(len(first)) < with_larger, first])
+                most = largest_partners(n, how)
+                first = features[order[: len(most)]].view(np.int64)
+                found.append([np.full(len(first), cid), np.full(len(first), n), most, first])
             if found:
                 columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
-                yield pa.RecordBatch.from_arrays(columns, names=["cid", "n", "with_larger", "feature"])
+                yield pa.RecordBatch.from_arrays(columns, names=["cid", "n", "most", "feature"])
 
-    found = sets.select("cid", "n", "features").mapInArrow(run, "cid bigint, n bigint, with_larger boolean, feature bigint")
+    found = sets.select("cid", "n", "features").mapInArrow(run, "cid bigint, n bigint, most bigint, feature bigint")
     return _stored(found, "part-enum-firsts")
 
 
@@ -364,13 +364,12 @@ def _late_pivots(apart: DataFrame, nth: int) -> DataFrame:
 
 
 def _meetings(apart: DataFrame, how: Join) -> DataFrame:
-    """Distinct pairs ``x`` and ``p`` of sets of different groups that may link by their sizes and have one of their
-    first features in common."""
-    a = apart.where("with_larger").select("feature", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    b = apart.select("feature", F.col("cid").alias("p"), F.col("n").alias("np"), F.col("root").alias("rp"))
-    # The smaller set first; of one size, each in turn.
-    pairs = a.join(b, "feature").where("nx <= np and rx <> rp and x <> p").where(_possible("nx", "np", how))
-    return pairs.select(F.least("x", "p").alias("x"), F.greatest("x", "p").alias("p")).distinct()
+    """Distinct pairs ``x`` and ``p`` of sets of different groups with one of their first features in common, at
+    places in their orders after which enough can follow for their sizes to link."""
+    a = apart.select("feature", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("most").alias("mx"))
+    b = apart.select("feature", F.col("cid").alias("p"), F.col("n").alias("np"), F.col("root").alias("rp"), F.col("most").alias("mp"))
+    pairs = a.join(b, "feature").where("(nx < np or nx = np and x < p) and rx <> rp and np <= mx and nx <= mp")
+    return pairs.where(_possible("nx", "np", how)).select("x", "p").distinct()
 
 
 def _grouped(docs: DataFrame, how: Join) -> DataFrame:

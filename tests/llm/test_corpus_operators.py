@@ -230,9 +230,8 @@ def test_sets_that_link_share_a_signature_and_a_first_feature(shingle, percent):
         if both < either and 100 * both >= percent * either:
             linked += 1
             assert set(part_enum.signatures(x, how).tolist()) & set(part_enum.signatures(y, how).tolist())
-            small, large = sorted((x, y), key=len)
-            first = set(np.sort(small)[: part_enum.prefixes(len(small), how)[0]].tolist())
-            assert first & set(np.sort(large)[: part_enum.prefixes(len(large), how)[1]].tolist())
+            first, other = (dict(zip(np.sort(s).tolist(), part_enum.largest_partners(len(s), how).tolist())) for s in (x, y))
+            assert any(other.get(f, 0) >= len(x) and most >= len(y) for f, most in first.items())
     assert linked > 500
 
 
