@@ -5,15 +5,15 @@ Hamming distance: ``|x ^ y| * (100 + percent) <= (100 - percent) * (|x| + |y|)``
 sizes the bound is a number k, and PartEnum turns it into equality: the feature domain is cut into n1
 parts by a hash, so some part differs in at most k2 = 1 places; each part is cut again into n2, and of
 those some n2 - 1 agree whole. Sets project on every such choice; one projection they share is certain.
-A projection without any feature says nothing. n1 is a little larger than needed, so several parts agree;
-a set with fewer empty parts than that leaves them out. Others, small ones, pair each empty projection with
-every signature of a second, independent cut, of which similar sets share one too.
+A projection without any feature says nothing and is left out. n1 is a little larger than needed, so several
+parts agree, and one of them has a projection that both sets have, unless both are thin: have as many parts with
+an empty projection as agree.
 
 A signature's sets are not compared pair by pair: each is compared with the signature's pivot, the set with
 most copies. Most of those comparisons end early: by the two sizes, or by a parity sketch of 1024 bits, which
 differs in no more bits than the sets do in features. The rest is exact. That joins most groups. A pair can be
-missing only if it shares a signature, and so a pivot, with a third set, and the sets that share that pivot are
-not one group yet. Those go by the least parts there are, single features: of sets that link, the first few in
+missing only if both sets are thin, or if it shares a signature, and so a pivot, with a third set, and the sets
+that share that pivot are not one group yet. Those go by the least parts there are, single features: of sets that link, the first few in
 any one order have one in common (`largest_partners`). The order is by how often a feature occurs among them, counted in a
 table of fixed size, so sets of one template that differ too much have features of their own first and do not
 meet. Of the sets that have a first feature in common each is compared with a pivot drawn from them, and then the
@@ -44,11 +44,11 @@ from millrace.llm.text import lower_ascii, settled, text_key, without_texts, wor
 from millrace.session import work_path
 
 #: Seeds of the hashes that cut the feature domain, and of those of shingles, sets and sketches.
-FIRST, SECOND, OTHER, SHINGLE, SET, SKETCH = 11, 21, 31, 51, 61, 71
+FIRST, SHINGLE, SET, SKETCH = 11, 51, 61, 71
 #: Bits of a parity sketch; buckets in which features are counted.
 BITS, BUCKETS = 1024, 1 << 18
 SETS = (
-    "doc_id bigint, text1 bigint, text2 bigint, n bigint, key1 bigint, key2 bigint, features array<bigint>, sketch array<bigint>"
+    "doc_id bigint, text1 bigint, text2 bigint, n bigint, key1 bigint, key2 bigint, features array<bigint>, sketch array<bigint>, thin boolean"
 )
 
 
@@ -83,7 +83,7 @@ class Join:
         link; 0 where only equal sets can link."""
         ends = [start - 1 for start in self.starts()[1:]]
         most = [self.distance(2 * end) for end in ends]
-        return [(k // 2 + 1 + k // 16, 1 + k // 16) if k else (0, 0) for k in most] + [(0, 0)]
+        return [(k // 2 + 1 + k // 8, 1 + k // 8) if k else (0, 0) for k in most] + [(0, 0)]
 
 
 def shingle_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
@@ -99,9 +99,10 @@ def _sets(docs: DataFrame, how: Join) -> DataFrame:
     """Per row of ``docs`` its set, its size, key and sketch, and a ``number``; stored."""
 
     def run(batches: Iterator) -> Iterator:
-        from millrace.llm.part_enum import BITS, SET, SKETCH, _mix, shingle_hashes
+        from millrace.llm.part_enum import BITS, SET, SKETCH, _mix, is_thin, shingle_hashes
 
-        for batch in batches:
+        # A few texts at a time, so that what numpy holds beside a batch stays small.
+        for batch in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
             column = batch.column("words")
             flat = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).tolist()
@@ -130,8 +131,9 @@ def _sets(docs: DataFrame, how: Join) -> DataFrame:
                     *(pa.array(np.ascontiguousarray(key_columns[:, k])) for k in (0, 1)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
                     pa.ListArray.from_arrays(pa.array(places), pa.array(bits)),
+                    pa.array([is_thin(x, how) for x in sets], pa.bool_()),
                 ],
-                names=["doc_id", "text1", "text2", "n", "key1", "key2", "features", "sketch"],
+                names=["doc_id", "text1", "text2", "n", "key1", "key2", "features", "sketch", "thin"],
             )
 
     ship_package(docs.sparkSession)
@@ -179,23 +181,32 @@ def _bands(n: int, how: Join) -> list[int]:
     return [own, own + 1] if above else [own]
 
 
-def signatures(features: np.ndarray, how: Join) -> np.ndarray:
-    """The signatures of a set; none if only an equal set can link with it."""
-    found = []
+def signatures(features: np.ndarray, how: Join) -> tuple[np.ndarray, bool]:
+    """The signatures of a set, none if only an equal set can link with it, and whether it is too thin for its cut:
+    as many parts as agree with a set that links may have an empty projection, which is no signature."""
+    found, thin = [], False
     features = features.astype(np.uint64)
     for band in _bands(len(features), how):
         parts, alike = how.parts()[band]
         if not parts:
             continue
         hashes, empty = _projections(features, parts, how.cuts, FIRST)
-        kept = hashes[~empty]
-        # As many parts agree as ``alike``; with fewer that have an empty projection, one agrees without.
-        if empty.reshape(parts, how.cuts).any(axis=1).sum() >= alike:
-            others, _ = _projections(features, parts, 2, SECOND)
-            pairs = _mix(hashes[empty][:, None] ^ _mix(others, OTHER)[None, :], OTHER).ravel()
-            kept = np.concatenate([kept, pairs])
-        found.append(_mix(kept, 100 + band))
-    return np.unique(np.concatenate(found)).astype(np.int64) if found else np.zeros(0, np.int64)
+        thin = thin or bool(empty.reshape(parts, how.cuts).any(axis=1).sum() >= alike)
+        found.append(_mix(hashes[~empty], 100 + band))
+    return (np.unique(np.concatenate(found)).astype(np.int64) if found else np.zeros(0, np.int64)), thin
+
+
+def is_thin(features: np.ndarray, how: Join) -> bool:
+    """Whether a set is too thin for its cut, see `signatures`."""
+    for band in _bands(len(features), how):
+        parts, alike = how.parts()[band]
+        cells = parts * how.cuts
+        # A projection on all cells of a part but one is empty if the part has features in that cell only.
+        counts = np.bincount((_mix(features, FIRST) % np.uint64(max(cells, 1))).astype(np.int64), minlength=cells)
+        counts = counts.reshape(parts, how.cuts) if parts else counts
+        if parts and (counts.sum(axis=1)[:, None] == counts).any(axis=1).sum() >= alike:
+            return True
+    return False
 
 
 def with_signatures(sets: DataFrame, how: Join) -> DataFrame:
@@ -208,7 +219,7 @@ def with_signatures(sets: DataFrame, how: Join) -> DataFrame:
             cids, column = batch.column("cid").to_numpy(), batch.column("features")
             # A few sets at a time, so what goes back is no larger than what came.
             for first in range(0, batch.num_rows, 200):
-                lists = [signatures(x.values.to_numpy(zero_copy_only=False), how) for x in column[first : first + 200]]
+                lists = [signatures(x.values.to_numpy(zero_copy_only=False), how)[0] for x in column[first : first + 200]]
                 repeated = np.repeat(cids[first : first + 200], [len(x) for x in lists])
                 flat = np.concatenate([np.zeros(0, np.int64), *lists])
                 yield pa.RecordBatch.from_arrays([pa.array(repeated), pa.array(flat)], names=["cid", "signature"])
@@ -250,9 +261,10 @@ def _classes(sets: DataFrame) -> DataFrame:
 def _to_pivots(dealt: DataFrame) -> DataFrame:
     """Pairs of a class ``x`` and the pivot ``p`` of a signature that it has, and whether ``more`` classes have one
     such signature."""
+    # The filters that the join implies, so that both uses read one exchange; signatures are the most rows there are.
+    dealt = dealt.where("signature is not null and cid is not null").repartition("signature")
     groups = dealt.groupBy("signature").agg(F.min("cid").alias("p"), F.count("*").alias("size"))
     pivots = groups.where("size > 1").select("signature", "p", (F.col("size") > 2).alias("more"))
-    # Dealt out at any size; a signature that very many have is split there.
     met = dealt.join(pivots.hint("merge"), "signature").where("cid <> p")
     return met.groupBy(F.col("cid").alias("x"), "p").agg(F.max("more").alias("more"))
 
@@ -281,7 +293,7 @@ def _links(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
     """Those of ``pairs`` that link, by sizes, sketches and then the exact size of their overlap."""
     close = _stored(_close(pairs, sets.select("cid", "n", "sketch"), how), "part-enum-close")
     met = close.select(F.col("x").alias("cid")).union(close.select("p")).distinct()
-    wanted = _stored(sets.select("cid", "features").join(_small(met, how), "cid", "left_semi"), "part-enum-features")
+    wanted = sets.select("cid", "features").join(_small(met, how), "cid", "left_semi")
     x = wanted.select(F.col("cid").alias("x"), F.col("features").alias("fx"))
     p = wanted.select(F.col("cid").alias("p"), F.col("features").alias("fp"))
     sizes = (F.size("fx") + F.size("fp")).cast("bigint")
@@ -332,7 +344,7 @@ def _firsts(sets: DataFrame, how: Join) -> DataFrame:
         from millrace.llm.part_enum import BUCKETS, largest_partners
 
         table = counts.value
-        for batch in batches:
+        for batch in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
             found = []
             for cid, n, column in zip(batch.column("cid").to_pylist(), batch.column("n").to_pylist(), batch.column("features")):
                 features = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
@@ -376,15 +388,15 @@ def _grouped(docs: DataFrame, how: Join) -> DataFrame:
     sets = _sets(docs, how)
     classes = _stored(_classes(sets), "part-enum-classes")
     numbers = _small(classes.select("number", "cid"), how)
-    whole = sets.select("number", "n", "features", "sketch").join(numbers, "number").drop("number")
-    dealt = _stored(with_signatures(whole, how), "part-enum-signatures")
-    edges = _stored(_to_pivots(dealt), "part-enum-edges")
+    whole = sets.select("number", "n", "features", "sketch", "thin").join(numbers, "number").drop("number")
+    edges = _stored(_to_pivots(with_signatures(whole, how)), "part-enum-edges")
     links = _named(_links(edges, whole, how))
     groups = components(links)
-    among = _unsure(edges, groups, how)
+    thin = whole.where("thin").select("cid")
+    among = _stored(_unsure(edges, groups, how).union(thin).distinct(), "part-enum-among")
     if among.isEmpty():
         return _labelled(sets, classes, groups)
-    late = _stored(whole.join(_small(among, how), "cid", "left_semi"), "part-enum-unsure")
+    late = whole.join(_small(among, how), "cid", "left_semi")
     firsts = _firsts(late, how)
     # Pivots again join most of what belongs together, and only what is still apart meets pair by pair.
     for nth in range(how.late_rounds + 1):
@@ -414,7 +426,7 @@ def _unsure(edges: DataFrame, groups: DataFrame, how: Join) -> DataFrame:
     shared = _stored(shared, "part-enum-shared")
     spans = shared.groupBy("p").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     pivots = _small(_stored(spans.select("p"), "part-enum-unsure-pivots"), how)
-    return _stored(shared.join(pivots, "p", "left_semi").select("cid").distinct(), "part-enum-among")
+    return shared.join(pivots, "p", "left_semi").select("cid")
 
 
 def _labelled(sets: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:

@@ -229,7 +229,9 @@ def test_sets_that_link_share_a_signature_and_a_first_feature(shingle, percent):
         both, either = len(np.intersect1d(x, y)), len(np.union1d(x, y))
         if both < either and 100 * both >= percent * either:
             linked += 1
-            assert set(part_enum.signatures(x, how).tolist()) & set(part_enum.signatures(y, how).tolist())
+            (sx, thin_x), (sy, thin_y) = part_enum.signatures(x, how), part_enum.signatures(y, how)
+            assert (thin_x, thin_y) == (part_enum.is_thin(x, how), part_enum.is_thin(y, how))
+            assert thin_x and thin_y or set(sx.tolist()) & set(sy.tolist())
             first, other = (dict(zip(np.sort(s).tolist(), part_enum.largest_partners(len(s), how).tolist())) for s in (x, y))
             assert any(other.get(f, 0) >= len(x) and most >= len(y) for f, most in first.items())
     assert linked > 500
