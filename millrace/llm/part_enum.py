@@ -83,7 +83,7 @@ class Join:
         link; 0 where only equal sets can link."""
         ends = [start - 1 for start in self.starts()[1:]]
         most = [self.distance(2 * end) for end in ends]
-        return [(k // 2 + 1 + k // 8, 1 + k // 8) if k else (0, 0) for k in most] + [(0, 0)]
+        return [(k // 2 + 1 + k // 16, 1 + k // 16) if k else (0, 0) for k in most] + [(0, 0)]
 
 
 def shingle_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
@@ -453,6 +453,15 @@ def one_of_each(docs: DataFrame, how: Join = Join()) -> DataFrame:
     smallest ``doc_id``, and of texts that share it, or have none, the one of the smallest hash. Of rows that
     repeat a ``doc_id`` with the same text one stays; empty texts stay."""
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text1", "text2")
-    others = _grouped(docs, how).where(F.col("chosen").isNotNull() & ~own.eqNullSafe(F.col("chosen")))
+    gone = F.col("chosen").isNotNull() & ~own.eqNullSafe(F.col("chosen"))
+    keys = ["doc_id", "text1", "text2"]
+    texts = _grouped(docs, how).select(*keys, gone.alias("gone")).groupBy(*keys).agg(F.max("gone").alias("gone"), F.count("*").alias("rows"))
+    # Only rows that stand more than once are dealt out, not the whole table.
+    special = _stored(texts.where("gone or rows > 1"), "part-enum-special")
+    repeated = _small(special.where("not gone").select(*[F.col(c).alias(f"_{c}") for c in keys]), how)
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    rows = docs.select(row.alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), *text_key())
+    same = F.col("_id").eqNullSafe(F.col("_doc_id")) & (F.col("text1") == F.col("_text1")) & (F.col("text2") == F.col("_text2"))
     nth = F.row_number().over(Window.partitionBy("_id", "text1", "text2").orderBy("_id"))
-    return without_texts(docs, others).withColumn("_nth", nth).where("_nth = 1").select("_row.*")
+    one = rows.join(repeated, same, "left_semi").withColumn("_nth", nth).where("_nth = 1").select("_row.*")
+    return without_texts(docs, special).select("_row.*").unionByName(one)
