@@ -1,7 +1,7 @@
 """Grouping operators over stages, edges and named values.
 
-Lists are built per group. Where a group can be large (a busy chain in an event table), ask
-for distinct values: those are combined before the shuffle and bounded by the value domain.
+Lists are made of counted values, so a group with many rows of few values (a busy chain in an event table) is
+combined before the shuffle; the list itself, repeats included, is one value of one row.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.keyed import free_name
 from millrace.operators.reshape import column
 
 
@@ -22,9 +23,22 @@ def row_count(df: DataFrame) -> DataFrame:
 def group_to_list(
     df: DataFrame, by: Sequence[str], value: str, name: str, distinct: bool = False
 ) -> DataFrame:
-    """Per group the sorted list of its values; repeats stay unless ``distinct``."""
-    collect = F.collect_set if distinct else F.collect_list
-    return df.groupBy(*map(column, by)).agg(F.array_sort(collect(column(value))).alias(name))
+    """Per group the sorted list of its values; repeats stay unless ``distinct``. NULL values are left out.
+
+    Values are counted before they become lists, so what one task holds of a group grows with its different
+    values: repeats meet as a number, combined before the shuffle, and are written out in the sorted list.
+    """
+    keys, count, runs = list(map(column, by)), free_name("_count", df), free_name("_runs", df)
+    # A group of NULL values only has an empty list: a run of none of them stands for it.
+    times = F.count(column(value))
+    counted = df.groupBy(*keys, column(value).alias(runs)).agg(times.alias(count))
+    run = F.when(column(runs).isNotNull(), F.struct(column(runs).alias("value"), column(count).alias("times")))
+    sorted_runs = F.array_sort(F.collect_list(run))
+    if distinct:
+        values = F.transform(sorted_runs, lambda r: r["value"])
+    else:
+        values = F.flatten(F.transform(sorted_runs, lambda r: F.array_repeat(r["value"], r["times"].cast("int"))))
+    return counted.groupBy(*keys).agg(values.alias(name))
 
 
 def last_value(df: DataFrame, keys: Sequence[str], pos: str) -> DataFrame:

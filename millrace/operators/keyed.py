@@ -42,11 +42,11 @@ def keep_one(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[Column] = ()
     ]
     order = [*tiebreak, *rest] or [F.lit(1)]
     ranked = F.row_number().over(Window.partitionBy(*map(column, keys)).orderBy(*order))
-    rank = _free("_rn", df)
+    rank = free_name("_rn", df)
     return df.withColumn(rank, ranked).where(column(rank) == 1).drop(rank)
 
 
-def _free(name: str, *frames: DataFrame) -> str:
+def free_name(name: str, *frames: DataFrame) -> str:
     """``name``, lengthened until no column of ``frames`` begins with it in any case."""
     taken = [c.lower() for frame in frames for c in frame.columns]
     while any(c.startswith(name.lower()) for c in taken):
@@ -188,7 +188,7 @@ def _union(first: DataFrame, *others: DataFrame | None) -> DataFrame:
 def _take_staged(
     target: DataFrame, staged: DataFrame, keys: Sequence[str], null_safe: bool
 ) -> DataFrame:
-    hit, prefix = _free("_hit", target), _free("_staged_", target)
+    hit, prefix = free_name("_hit", target), free_name("_staged_", target)
     side = staged.select(
         *[column(c).alias(prefix + c) for c in target.columns], F.lit(True).alias(hit)
     )
@@ -218,13 +218,13 @@ def _hash_join(
     values can have different hashes, is joined by the keys alone.
     """
     if prefix is None:
-        prefix = _free("_staged_", left)
+        prefix = free_name("_staged_", left)
         right = right.select(*[column(c).alias(prefix + c) for c in right.columns])
     types = [_compared_in(left, k, right, prefix + k) for k in keys]
     hashes = []
     condition = F.lit(True)
     if all(map(_hash_follows_equality, types)):
-        hashes = [_free("_left_key_hash", left, right), _free("_right_key_hash", left, right)]
+        hashes = [free_name("_left_key_hash", left, right), free_name("_right_key_hash", left, right)]
         names = (keys, [prefix + k for k in keys])
         left, right = (
             frame.withColumn(h, F.xxhash64(*[column(n).cast(t) for n, t in zip(listed, types)]))
