@@ -24,7 +24,9 @@ SPECIAL = "<|"
 CACHED_WORDS = 800_000
 #: Bits that mark words met once, by hash, and pre-tokens the library itself remembers.
 MET_BITS = 1 << 25
-LIBRARY_CACHE = 300_000
+LIBRARY_CACHE = 20_000
+#: Texts whose words a worker holds as lists at once.
+TEXTS = 1500
 #: Words that go to the library in one call, and what sets them apart there.
 JOINED_WORDS = 2000
 MARK = "\x01"
@@ -95,6 +97,9 @@ class Encoder:
         return [first, *[" " + word for word in rest]] if first else [" " + word for word in rest]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        return [ids for first in range(0, len(texts), TEXTS) for ids in self._some(texts[first : first + TEXTS])]
+
+    def _some(self, texts: list[str]) -> list[bytes]:
         split = [self._words(text) for text in texts]
         found: list[bytes | None] = [None] * len(split)
         whole = [i for i, parts in enumerate(split) if parts is None]
