@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,24 +25,27 @@ def column(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def flatten(df: DataFrame, sep: str = "_", emit_null_parents: bool = False) -> DataFrame:
+def flatten(
+    df: DataFrame, sep: str = "_", emit_null_parents: bool | Collection[tuple[str, ...]] = False
+) -> DataFrame:
     """Nested structs to flat columns, names joined by ``sep``; lists stay values.
 
     Only the schema is walked. ``emit_null_parents`` adds, for each nested struct, a bare
     column of NULLs under the parent's own name, as a record reader does that meets a
-    null parent.
+    null parent; given paths (those of `records.discover`), for these structs only.
     """
     flat: list[Column] = []
     names: list[str] = []
 
-    def walk(schema: StructType, value: Column | None, prefix: str) -> None:
+    def walk(schema: StructType, value: Column | None, prefix: str, above: tuple[str, ...] = ()) -> None:
         for field in schema.fields:
+            path = (*above, field.name)
             inner = column(field.name) if value is None else value.getField(field.name)
             name = f"{prefix}{sep}{field.name}" if prefix else field.name
             if isinstance(field.dataType, StructType):
-                if emit_null_parents and prefix:
+                if prefix if emit_null_parents is True else emit_null_parents and path in emit_null_parents:
                     add(F.lit(None).cast("string"), name)
-                walk(field.dataType, inner, name)
+                walk(field.dataType, inner, name, path)
             else:
                 add(inner, name)
 

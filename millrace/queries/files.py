@@ -153,6 +153,47 @@ def json_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.union_by_name(kept, quarantined.select("raw"))
 
 
+@query("""
+SELECT CAST(o_orderkey AS BIGINT) AS id, o_totalprice AS score, CAST(NULL AS VARCHAR) AS show_schedule,
+       CASE WHEN o_orderstatus <> 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END AS show_schedule_day,
+       CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS BIGINT) END AS show_schedule_slot_nr,
+       o_orderstatus AS show_status
+FROM orders""")
+def json_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read without a declared schema: two to a document, some with a null parent."""
+    path = work_path(spark, "discovered")
+    slot = F.struct(F.col("o_custkey").alias("nr"))
+    schedule = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), slot.alias("slot"))
+    show = F.struct(F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderstatus") != "F", schedule).alias("schedule"))
+    record = F.struct(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("score"), show.alias("show"))
+    texts = table(spark, sf_dir, "orders").select(
+        F.floor(F.col("o_orderkey") / 2).alias("document"), F.to_json(record, {"ignoreNullFields": "false"}).alias("text")
+    )
+    listed = texts.groupBy("document").agg(F.array_join(F.collect_list("text"), ",").alias("texts"))
+    sinks.write_text(listed.select(F.concat(F.lit("["), "texts", F.lit("]")).alias("list")), "list", path)
+    found = records.discover(spark, path)
+    return r.flatten(records.scan_json(spark, path, found.schema), emit_null_parents=found.null_parents)
+
+
+@query("""
+SELECT CAST(c_custkey AS BIGINT) AS id, c_acctbal AS balance, CAST(NULL AS INTEGER) AS pos, CAST(NULL AS VARCHAR) AS raw
+FROM customer WHERE c_custkey % 10 <> 3
+UNION ALL SELECT NULL, NULL, CAST((c_custkey - 1) % 100 AS INTEGER),
+  '{"id":' || c_custkey || ',"balance":"owes ' || c_mktsegment || '"}' FROM customer WHERE c_custkey % 10 = 3""")
+def json_document_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are lists of 100 records: only the records that do not fit are put aside."""
+    path = work_path(spark, "documents")
+    customers = table(spark, sf_dir, "customer").withColumn("id", F.col("c_custkey").cast("bigint"))
+    good = F.to_json(F.struct("id", F.col("c_acctbal").alias("balance")))
+    bad = F.to_json(F.struct("id", F.concat(F.lit("owes "), "c_mktsegment").alias("balance")))
+    texts = customers.select("id", F.when(F.col("id") % 10 == 3, bad).otherwise(good).alias("text"))
+    pairs = F.sort_array(F.collect_list(F.struct("id", "text")))
+    listed = texts.groupBy(F.floor((F.col("id") - 1) / 100)).agg(F.array_join(pairs["text"], ", ").alias("texts"))
+    sinks.write_text(listed.select(F.concat(F.lit("["), "texts", F.lit("]")).alias("list")), "list", path)
+    kept, quarantined = records.scan_records_gated(spark, path, "id bigint, balance double")
+    return r.union_by_name(kept, quarantined.select("pos", "raw"))
+
+
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def staging_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stage replaced by a new load; a load without rows leaves it as it is."""

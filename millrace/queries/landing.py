@@ -12,7 +12,7 @@ from millrace.queries.keyed import KEYS, split_orders, tiebreak
 from millrace.queries.registry import query, table
 from millrace.session import work_path
 from millrace.sources.sinks import write_text
-from millrace.streaming.landing import landed_files, upsert_landed, upsert_landed_buckets, upsert_landed_partitions
+from millrace.streaming.landing import Consumed, landed_files, upsert_landed, upsert_landed_buckets, upsert_landed_partitions
 
 _ROWS = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"
 
@@ -97,6 +97,20 @@ def landing_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.csv(f"{done.removesuffix('/done')}/in")
 
 
+@query(f"SELECT * FROM ({_ROWS}) AS t")
+def landing_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files are moved by the run that loads them: all rows are in the archive, none in the landing folder."""
+    base, name = work_path(spark, "landing"), f"millrace_landed_{uuid.uuid4().hex[:8]}"
+    for rows in split_orders(spark, sf_dir):
+        rows.write.mode("append").option("header", True).csv(f"{base}/in")
+        upsert_landed(
+            landed_files(spark, f"{base}/in", rows.schema), name, KEYS, f"{base}/checkpoint", tiebreak(),
+            folder=f"{base}/versions", consumed=Consumed(f"{base}/in", "archive", f"{base}/done"),
+        )
+    read = spark.read.option("header", True).schema(rows.schema)
+    return read.csv(f"{base}/done").unionByName(read.csv(f"{base}/in"))
+
+
 _SHOW = """
 SELECT CAST(p_size AS VARCHAR) || '.5' AS score, CAST(p_partkey AS VARCHAR) AS show_id,
        unnest(string_split(p_name, ' ')) AS show_genres, {name} AS show_name,

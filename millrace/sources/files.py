@@ -18,8 +18,12 @@ def file_listing(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame
 
 def file_path() -> Column:
     """Path of the file a scanned row comes from, as the file system spells it."""
-    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return F.url_decode(encoded).alias("path")
+    return url_path("_metadata.file_path").alias("path")
+
+
+def url_path(name: str) -> Column:
+    """A column's paths with their escapes decoded."""
+    return F.url_decode(F.replace(F.col(name), F.lit("+"), F.lit("%2B")))
 
 
 def source_files(spark: SparkSession, folder: str, glob: str = "*.py") -> DataFrame:

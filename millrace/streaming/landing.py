@@ -6,12 +6,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.operators.keyed import keep_one, replace_by_key, upsert
 from millrace.plans.buckets import upsert_buckets
 from millrace.plans.partitions import upsert_partitions
 from millrace.plans.steps import Step, run_steps
+from millrace.sources.files import file_listing, url_path
 from millrace.sources.sinks import KEPT, current, properties_of, publish
 
 
@@ -28,7 +30,8 @@ def landed_files(
     """Stream over files in ``folder``.
 
     ``after`` says what becomes of a file once its batch is done: ``off`` leaves it, ``archive``
-    moves it below ``archive``, ``delete`` removes it. Either happens one batch later.
+    moves it below ``archive``, ``delete`` removes it. Either happens one batch later; the loads'
+    ``consumed`` does it in the same run.
     """
     settings = {"cleanSource": after, "pathGlobFilter": f"*.{form}", **options}
     if after == "archive":
@@ -52,6 +55,7 @@ def upsert_landed(
     unique_target: bool = False,
     steps: Sequence[Step] = (),
     folder: str | None = None,
+    consumed: Consumed | None = None,
 ) -> None:
     """Upsert all files that are there now into ``table``, then stop.
 
@@ -59,7 +63,7 @@ def upsert_landed(
     that went into it, so a batch that is run again after a failure is left out if it was published: also rows
     with a NULL key are inserted once. Where batches disagree, the last one wins. ``unique_target`` states that
     the table has one row per key, which holds if only these runs write it. Another writer's version in between
-    raises `sinks.Conflict`; the next run takes the batch again.
+    raises `sinks.Conflict`; the next run takes the batch again. ``consumed`` clears the landing folder when done.
     """
 
     def load(rows: DataFrame, batch: Batch) -> None:
@@ -74,7 +78,7 @@ def upsert_landed(
             merged = keep_one(rows, keys, tiebreak)
         publish(merged, table, folder=folder, base=base, properties=batch.properties())
 
-    _run_available(stream, load, checkpoint, steps)
+    _run_available(stream, load, checkpoint, steps, consumed)
 
 
 def upsert_landed_buckets(
@@ -88,6 +92,7 @@ def upsert_landed_buckets(
     unique_target: bool = False,
     buckets: int = 256,
     steps: Sequence[Step] = (),
+    consumed: Consumed | None = None,
 ) -> None:
     """As `upsert_landed`, into a table of `buckets.upsert_buckets`: a batch rewrites the buckets it has rows for."""
 
@@ -97,7 +102,7 @@ def upsert_landed_buckets(
                 rows, table, keys, folder, tiebreak, null_safe, unique_target, buckets, properties=batch.properties()
             )
 
-    _run_available(stream, load, checkpoint, steps)
+    _run_available(stream, load, checkpoint, steps, consumed)
 
 
 def upsert_landed_partitions(
@@ -110,6 +115,7 @@ def upsert_landed_partitions(
     null_safe: bool = False,
     unique_target: bool = False,
     steps: Sequence[Step] = (),
+    consumed: Consumed | None = None,
 ) -> None:
     """As `upsert_landed`, into a folder partitioned by key columns.
 
@@ -123,7 +129,76 @@ def upsert_landed_partitions(
             rows.sparkSession, path, rows, keys, partitions, tiebreak, null_safe, unique_target
         )
 
-    _run_available(stream, load, checkpoint, steps)
+    _run_available(stream, load, checkpoint, steps, consumed)
+
+
+@dataclass(frozen=True)
+class Consumed:
+    """What becomes of the files in ``folder`` that a run has loaded: ``after`` is ``archive`` (moved into the
+    folder ``archive``) or ``delete``. ``glob``: the stream's files."""
+
+    folder: str
+    after: str = "archive"
+    archive: str | None = None
+    glob: str = "*.csv"
+
+    def __post_init__(self) -> None:
+        if self.after not in ("archive", "delete"):
+            raise ValueError(f"after={self.after!r} is neither 'archive' nor 'delete'")
+        if self.after == "archive" and self.archive is None:
+            raise ValueError("after='archive' needs an archive folder")
+
+
+def consumed_files(spark: SparkSession, checkpoint: str, consumed: Consumed) -> DataFrame:
+    """``path`` and ``timestamp`` of the files still in the folder that batches of ``checkpoint`` have committed.
+
+    The checkpoint notes the path and the time of each file of a batch before the batch runs. A file that has
+    landed since under the name of one loaded before has another time and is not among them.
+    """
+    noted = spark.read.text(f"{checkpoint}/sources/0").select(
+        F.from_json("value", "path string, timestamp bigint, batchId bigint").alias("file")
+    )
+    done = file_listing(spark, f"{checkpoint}/commits").agg(
+        F.max(F.regexp_extract("path", "/([0-9]+)$", 1).try_cast("bigint")).alias("last")
+    )
+    # A scheme without a host is written in two ways.
+    path = F.regexp_replace(url_path("file.path"), "^([^:/]+):///", "$1:/")
+    loaded = noted.select(path.alias("path"), "file.timestamp", "file.batchId")
+    loaded = loaded.join(done, F.col("batchId") <= F.col("last")).select("path", "timestamp").distinct()
+    there = file_listing(spark, consumed.folder, consumed.glob).select(
+        "path", F.unix_millis("modificationTime").alias("timestamp")
+    )
+    return there.join(loaded, ["path", "timestamp"], "left_semi")
+
+
+def clear_consumed(spark: SparkSession, checkpoint: str, consumed: Consumed) -> int:
+    """Moves or deletes `consumed_files`, and says how many.
+
+    Paths are found by a join and pass the driver one partition at a time; each takes one call of the file
+    system and no data moves. A run that was stopped in between is made up by the next one. A name that the
+    archive has already gets the file's time before it.
+    """
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    path_of = jvm.org.apache.hadoop.fs.Path
+    if consumed.after == "archive":
+        target = path_of(consumed.archive)
+        target.getFileSystem(conf).mkdirs(target)
+    n = 0
+    for row in consumed_files(spark, checkpoint, consumed).toLocalIterator():
+        source = path_of(row["path"])
+        system = source.getFileSystem(conf)
+        if consumed.after == "delete":
+            done = system.delete(source, False)
+        else:
+            moved = path_of(consumed.archive, source.getName())
+            if system.exists(moved):
+                moved = path_of(consumed.archive, f"{row['timestamp']}-{source.getName()}")
+            done = system.rename(source, moved)
+        if not done:
+            raise OSError(f"could not {consumed.after} {row['path']}")
+        n += 1
+    return n
 
 
 @dataclass(frozen=True)
@@ -147,7 +222,11 @@ class Batch:
 
 
 def _run_available(
-    stream: DataFrame, load: Callable[[DataFrame, Batch], None], checkpoint: str, steps: Sequence[Step]
+    stream: DataFrame,
+    load: Callable[[DataFrame, Batch], None],
+    checkpoint: str,
+    steps: Sequence[Step],
+    consumed: Consumed | None = None,
 ) -> None:
     def take(batch: DataFrame, batch_id: int) -> None:
         # The id that the checkpoint holds, not that of the run.
@@ -166,3 +245,5 @@ def _run_available(
         .start()
     )
     query.awaitTermination()
+    if consumed is not None:
+        clear_consumed(stream.sparkSession, checkpoint, consumed)

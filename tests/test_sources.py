@@ -1,17 +1,21 @@
 """Sources, sinks, publishing, the show load and the incremental loads."""
 
 import json
+import os
 from collections import Counter
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.operators import keyed as k
+from millrace.operators import reshape
 from millrace.plans import shows
 from millrace.plans.partitions import upsert_partitions
 from millrace.session import shared_dir
 from millrace.sources import csv, files, records, sinks
+from millrace.streaming import landing
 from millrace.streaming.landing import landed_files, upsert_landed, upsert_landed_partitions
 
 
@@ -250,3 +254,76 @@ def test_archive_needs_a_folder(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_each_record_of_a_document_is_judged(spark, tmp_path):
+    items = [{"id": i, "v": "x"} for i in range(1000)]
+    items[3], items[500], items[999] = {"id": "three"}, [{"id": 7}], None
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps(items, indent=1))
+    (tmp_path / "in" / "b.json").write_text('{"id": 1000}')
+    (tmp_path / "in" / "c.json").write_text('[{"id": 1},')
+    (tmp_path / "in" / "d.json").write_text(" \n")
+    good, bad = records.scan_records_gated(spark, str(tmp_path / "in"), "id bigint, v string", multi_line=True)
+    assert sorted(r.id for r in good.select("id").collect()) == [i for i in range(1001) if i not in (3, 500, 999)]
+    found = {(r.path.rsplit("/", 1)[1], r.pos, r.raw, r.salvaged) for r in bad.collect()}
+    assert found == {
+        ("a.json", 3, '{"id":"three"}', "{}"), ("a.json", 500, '[{"id":7}]', None), ("a.json", 999, "null", None),
+        ("c.json", None, '[{"id": 1},', None),
+    }
+    assert good.count() == 998 and bad.count() == 4
+
+
+def test_schema_and_null_parents_are_found(spark, tmp_path):
+    lines = [
+        {"a b": {"x": 1, "`q.r": None}, "l": [1, 2], "n": None, "both": 1, "twice": {"in": {"y": 1}}},
+        [{"a b": {"x": 2.5, "`q.r": {"z": "s"}}, "both": "s"}, {"a b": {}, "twice": {"in": None}}],
+        [],
+        "no record",
+    ]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join([*map(json.dumps, lines), "{broken", ""]))
+    found = records.discover(spark, str(tmp_path / "in"))
+    assert found.null_parents == {("a b", "`q.r"), ("twice", "in")}
+    flat = reshape.flatten(records.scan_json(spark, str(tmp_path / "in"), found.schema), ".", found.null_parents)
+    assert dict(flat.dtypes) == {
+        "a b.`q.r": "string", "a b.`q.r.z": "string", "a b.x": "double", "both": "string", "l": "array<bigint>",
+        "n": "string", "twice.in": "string", "twice.in.y": "bigint",
+    }
+    assert {r["both"] for r in flat.collect()} == {"1", "s", None}
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.json").write_text("7\n")
+    assert records.discover(spark, str(tmp_path / "none")) == records.Discovered(StructType(), frozenset())
+
+
+@pytest.mark.parametrize("after", ["archive", "delete"])
+def test_no_consumed_file_stays(spark, tmp_path, monkeypatch, after):
+    folder, done = tmp_path / "in +%20x", tmp_path / "done"
+    where = landing.Consumed(str(folder), after, str(done))
+
+    def run():
+        stream = landed_files(spark, str(folder), SCHEMA)
+        upsert_landed(stream, f"gone_{after}", ["id", "day"], str(tmp_path / "ck"), folder=str(tmp_path / "v"), consumed=where)
+
+    land_csv(folder, "0 +%41", BATCHES[0])
+    land_csv(folder, "empty", [])
+    run()
+    assert not list(folder.glob("*.csv"))
+    # stopped after the batch was published and before its files were moved; the next run makes up for it
+    land_csv(folder, "1", BATCHES[1])
+    with monkeypatch.context() as broken:
+        broken.setattr(landing, "clear_consumed", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError, match="stopped"):
+            run()
+    assert [p.name for p in folder.glob("*.csv")] == ["1.csv"]
+    land_csv(folder, "2", BATCHES[2])
+    run()
+    assert not list(folder.glob("*.csv"))
+    assert spark.table(f"gone_{after}").count() == 3
+    # a file that landed under the name of one loaded before is not taken for it
+    land_csv(folder, "2", [(9, "d9", "new")])
+    os.utime(folder / "2.csv", (2e9, 2e9))
+    assert landing.clear_consumed(spark, str(tmp_path / "ck"), where) == 0
+    assert [p.name for p in folder.glob("*.csv")] == ["2.csv"]
+    if after == "archive":
+        assert sorted(p.name for p in done.glob("*.csv")) == ["0 +%41.csv", "1.csv", "2.csv", "empty.csv"]
