@@ -4,8 +4,9 @@ A page becomes a tree of elements. Each block of text gives points for its lengt
 and, less, to its grandparent; an element's points are cut by its link density, the share of its text that
 stands in links. The best element is the main container; siblings of it that score near it, or are plain
 paragraphs of prose, are kept beside it. Elements that seldom hold the article (menus, headers and footers of
-the page, sidebars, forms, and whatever class, id or role is a word for an advert, a notice or comments) are
-read only if most of the page's prose, the text outside links, stands in them; scripts and the like never.
+the page, sidebars, forms, and whatever has a class, id or role with a word for an advert, a notice or comments
+in it, as in ``cookie-notice`` but not in ``no-comments``) are read only if most of the page's prose, the text
+outside links, stands in them; scripts and the like never.
 
 Text of one block has its white space, also that of line breaks, turned into single spaces, and blocks stand
 one to a line in page order. Character references are decoded. Nothing is shortened or left out beyond that.
@@ -19,7 +20,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator, Set
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -39,7 +41,7 @@ MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 BLANK = re.compile(r"\s+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Their content is no markup.
+#: Their content is no markup; it ends where their name stands in an end tag, in letters of any case.
 RAW = frozenset("script style textarea title noscript iframe xmp template svg math".split())
 #: Never part of the article.
 NEVER = RAW | frozenset("head button select option object canvas audio video".split())
@@ -65,6 +67,10 @@ UNLIKELY = frozenset(
     "popup promo related respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 LIKELY = frozenset("article body content entry main post story text".split())
+#: Parts of a class, id or role; a word after one of ``NEGATED`` says what else the page has.
+PART = re.compile(r"[-_:]+|(?<=[a-z])(?=[A-Z])")
+NEGATED = frozenset("has no not with without".split())
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.IGNORECASE | re.ASCII) for name in RAW}
 
 
 @dataclass(frozen=True)
@@ -78,24 +84,43 @@ class Scoring:
     sibling: float = 0.2
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     tag: str
     parent: Node | None
-    marks: frozenset[str] = frozenset()
+    #: Whether a class, id or role says that it is not the article.
+    marked: bool = False
     children: list[Node | str] = field(default_factory=list)
     points: float = 0.0
     chars: int = 0
     linked: int = 0
     #: Whether most of the page's prose stands in it.
     most: bool = False
+    #: The next element above that is no inline one, and whether one above is an article.
+    block_parent: Node | None = field(init=False, default=None)
+    in_article: bool = field(init=False, default=False)
 
+    def __post_init__(self) -> None:
+        above = self.parent
+        if above is not None:
+            self.block_parent = above.block_parent if above.tag in INLINE else above
+            self.in_article = above.in_article or above.tag in ("article", "main")
 
-def _marks(attributes: str) -> frozenset[str]:
+
+def _marked(attributes: str) -> bool:
     if "=" not in attributes:
-        return frozenset()
-    found = MARKS.findall(attributes)
-    return frozenset(w for groups in found for w in "".join(groups).lower().split())
+        return False
+    tokens = [token for groups in MARKS.findall(attributes) for token in "".join(groups).split()]
+    return not any(token.lower() in LIKELY for token in tokens) and any(map(_unlikely_name, tokens))
+
+
+def _unlikely_name(token: str) -> bool:
+    if token.lower() in UNLIKELY:
+        return True
+    parts = [part.lower() for part in PART.split(token)]
+    found = {part for before, part in zip(["", *parts], parts) if part in UNLIKELY and before not in NEGATED}
+    # The header of an article or a post holds its headline.
+    return bool(found - {"header"}) or bool(found) and not LIKELY.intersection(parts)
 
 
 def _unlikely(node: Node) -> bool:
@@ -106,14 +131,18 @@ def _unlikely(node: Node) -> bool:
     if node.tag in DROPPED:
         return True
     if node.tag == "header":
-        return not any(n.tag in ("article", "main") for n in _ancestors(node))
-    return bool(node.marks & UNLIKELY) and not node.marks & LIKELY and node.tag not in ("html", "body", "article", "main")
+        return not node.in_article
+    return node.marked and node.tag not in ("html", "body", "article", "main")
 
 
-def _ancestors(node: Node) -> Iterator[Node]:
-    while node.parent is not None:
-        node = node.parent
-        yield node
+def _in_order(root: Node) -> list[Node]:
+    """All elements, each after those it stands in."""
+    found, left = [], [root]
+    while left:
+        node = left.pop()
+        found.append(node)
+        left.extend(child for child in reversed(node.children) if not isinstance(child, str))
+    return found
 
 
 def _mark_most(root: Node) -> None:
@@ -142,8 +171,9 @@ def _mark_most(root: Node) -> None:
 def tree(source: str) -> Node:
     """The elements of a page; text nodes are decoded strings."""
     root = here = Node("", None)
+    # Open elements by name: what is not open is not looked for.
+    open_names: Counter[str] = Counter([""])
     at = 0
-    lowered = None
     while at < len(source):
         begin = source.find("<", at)
         if begin < 0:
@@ -167,46 +197,54 @@ def tree(source: str) -> Node:
             continue
         name = name.lower()
         if token[1] or token[4]:
-            here = _close(here, name)
+            if open_names[name]:
+                here = _up(here, _nearest(here, {name}).parent, open_names)
             continue
         attributes = token[3] or token[6] or ""
         if name in VOID:
             here.children.append(" ")
             continue
-        here = _implied(here, name)
-        node = Node(name, here, _marks(attributes))
+        here = _up(here, _implied(here, name, open_names), open_names)
+        node = Node(name, here, _marked(attributes))
         here.children.append(node)
+        if name in ("svg", "math") and attributes.rstrip().endswith("/"):
+            continue
         if name in RAW:
-            lowered = lowered if lowered is not None else source.lower() if len(source.lower()) == len(source) else source
-            end = lowered.find(f"</{name}", at)
-            at = len(source) if end < 0 else end
-        if not attributes.rstrip().endswith("/") or name not in ("svg", "math"):
-            here = node
+            end = RAW_END[name].search(source, at)
+            at = end.start() if end else len(source)
+        here = node
+        open_names[name] += 1
     return root
 
 
-def _close(here: Node, name: str) -> Node:
+def _up(here: Node, to: Node, open_names: Counter[str]) -> Node:
+    """Closes the elements from ``here`` up to ``to``, which stays open."""
+    while here is not to:
+        open_names[here.tag] -= 1
+        here = here.parent
+    return to
+
+
+def _nearest(here: Node, names: Set[str], within: Set[str] | None = None, until: Set[str] = frozenset()) -> Node | None:
+    """The element of one of the ``names`` around ``here``; it is looked for through elements ``within`` only,
+    and not beyond those of ``until``."""
     node = here
-    while node.parent is not None and node.tag != name:
+    while node.parent is not None and node.tag not in names:
+        if node.tag in until or within is not None and node.tag not in within:
+            return None
         node = node.parent
-    return node.parent if node.parent is not None else here
+    return node if node.tag in names else None
 
 
-def _implied(here: Node, name: str) -> Node:
+def _implied(here: Node, name: str, open_names: Counter[str]) -> Node:
     """Where an element of this name goes, after the ends it implies."""
-    if name in CLOSES_P:
-        node = here
-        while node.parent is not None and node.tag in INLINE:
-            node = node.parent
-        if node.tag == "p":
-            here = node.parent
+    if name in CLOSES_P and open_names["p"]:
+        paragraph = _nearest(here, {"p"}, within=INLINE)
+        here = paragraph.parent if paragraph else here
     ends = CLOSES.get(name)
-    if ends:
-        node = here
-        while node.parent is not None and node.tag not in ends and node.tag not in SCOPE:
-            node = node.parent
-        if node.tag in ends:
-            here = node.parent
+    if ends and any(open_names[end] for end in ends):
+        open_one = _nearest(here, ends, until=SCOPE)
+        here = open_one.parent if open_one else here
     return here
 
 
@@ -251,67 +289,77 @@ def _blocks(top: Node) -> list[tuple[Node, str, int]]:
     return found
 
 
-def _block_parent(node: Node) -> Node | None:
-    parent = node.parent
-    while parent is not None and parent.tag in INLINE:
-        parent = parent.parent
-    return parent
-
-
 def main_text(source: str, how: Scoring = Scoring()) -> str:
-    """The main text of one page."""
+    """The main text of one page, in time that grows with its length however deep its elements stand."""
     root = tree(source)
     _mark_most(root)
     blocks = _blocks(root)
+    nodes = _in_order(root)
     scored: dict[int, Node] = {}
     for owner, text, linked in blocks:
-        for node in (owner, *_ancestors(owner)):
-            node.chars += len(text)
-            node.linked += min(linked, len(text))
+        owner.chars += len(text)
+        owner.linked += min(linked, len(text))
         if len(text) < how.min_chars:
             continue
         points = 1 + text.count(",") + min(len(text) // how.per_chars, how.most_points)
-        parent = _block_parent(owner) if owner.tag not in ("td", "div", "article", "section", "main", "body") else owner
+        parent = owner.block_parent if owner.tag not in ("td", "div", "article", "section", "main", "body") else owner
         share = 1.0
         for _ in range(2):
             if parent is None:
                 break
             parent.points += points * share
             scored[id(parent)] = parent
-            parent, share = _block_parent(parent), share / 2
+            parent, share = parent.block_parent, share / 2
     if not scored:
         return "\n".join(text for _, text, linked in blocks if linked * 2 <= len(text))
+    for node in reversed(nodes[1:]):
+        node.parent.chars += node.chars
+        node.parent.linked += node.linked
     value = lambda n: n.points * (1 - n.linked / max(1, n.chars)) * (1.25 if n.tag in ("article", "main") else 1)
     best = max(scored.values(), key=value)
     # An article that holds the container is the whole of it.
-    for node in _ancestors(best):
-        if node.tag in ("article", "main"):
-            best = node
+    around = best.parent
+    while around is not None:
+        if around.tag in ("article", "main"):
+            best = around
             break
-    kept = {id(best)}
-    limit = value(best) * how.sibling
-    texts: dict[int, list[tuple[str, int]]] = {}
+        around = around.parent
+    kept = {id(best)} | _kept_siblings(best, blocks, nodes, scored, value, how)
+    for node in nodes[1:]:
+        if id(node.parent) in kept:
+            kept.add(id(node))
+    return "\n".join(text for owner, text, _ in blocks if id(owner) in kept)
+
+
+def _kept_siblings(
+    best: Node, blocks: list, nodes: list[Node], scored: dict[int, Node], value: Callable[[Node], float], how: Scoring
+) -> set[int]:
+    """Siblings of the best element that score near it, are paragraphs of prose, or articles beside an article."""
     around = best.parent
-    if around is not None:
-        for owner, text, linked in blocks:
-            node = owner
-            while node is not None and node.parent is not around:
-                node = node.parent
-            if node is not None:
-                texts.setdefault(id(node), []).append((text, linked))
-        for node in around.children:
-            if isinstance(node, str) or node is best:
-                continue
-            own = texts.get(id(node), [])
-            prose = node.tag == "p" and any(len(t) >= how.min_chars and linked * 4 < len(t) for t, linked in own)
-            near = id(node) in scored and value(node) >= limit
-            if prose or near or (node.tag == "article" and best.tag == "article" and not _unlikely(node)):
-                kept.add(id(node))
-    lines = []
-    for owner, text, _ in blocks:
-        if id(owner) in kept or any(id(n) in kept for n in _ancestors(owner)):
-            lines.append(text)
-    return "\n".join(lines)
+    if around is None:
+        return set()
+    paragraphs: dict[int, int] = {}
+    for node in nodes[1:]:
+        if node.parent is around and node.tag == "p":
+            paragraphs[id(node)] = id(node)
+        elif id(node.parent) in paragraphs:
+            paragraphs[id(node)] = paragraphs[id(node.parent)]
+    prose = {
+        paragraphs[id(owner)]
+        for owner, text, linked in blocks
+        if id(owner) in paragraphs and len(text) >= how.min_chars and linked * 4 < len(text)
+    }
+    limit = value(best) * how.sibling
+    return {
+        id(node)
+        for node in around.children
+        if not isinstance(node, str)
+        and (
+            id(node) in prose
+            or id(node) in scored and value(node) >= limit
+            or node.tag == "article" and best.tag == "article" and not _unlikely(node)
+        )
+    }
 
 
 def extract(pages: DataFrame, how: Scoring = Scoring()) -> DataFrame:

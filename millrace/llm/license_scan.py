@@ -9,8 +9,8 @@ at their positions word for word, the template's label holds.
 Next to that stand the base places: each place where the words of a base phrase follow one another.
 
 Texts are lower-cased A-Z and split into words of ASCII letters and digits and all beyond ASCII. A null or
-empty text has no words, no places and empty labels. Repeated rows each get a row. Other columns are not
-read. An empty table gives no rows. Templates are a parameter; their size bounds the literals.
+empty text has no words, no places and empty labels. Repeated rows each get a row. A very long text takes time
+in proportion to its words, also where all of them are licence words. Other columns are not read. An empty table gives no rows. Templates are a parameter; their size bounds the literals.
 """
 
 from __future__ import annotations
@@ -157,6 +157,17 @@ def _base_places(hits: Column) -> Column:
     return F.concat(*[places(phrase.split(), label) for phrase, label in BASE.items()])
 
 
+def _coded(template: Column, start: Column) -> Column:
+    """A template and where it would begin as one number; the place may be before the text."""
+    return F.shiftleft(template.cast("bigint"), 33) + start.cast("bigint") + F.lit(1 << 32)
+
+
+def _decoded(code: Column) -> Column:
+    template = F.shiftright(code, 33)
+    start = code - F.shiftleft(template, 33) - F.lit(1 << 32)
+    return F.struct(template.cast("int").alias("template"), start.cast("int").alias("start"))
+
+
 def scan(docs: DataFrame, how: Scan = Scan()) -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``,
     ``labels`` and ``score``, the largest share of a template that holds (0 where none does)."""
@@ -172,11 +183,12 @@ def scan(docs: DataFrame, how: Scan = Scan()) -> DataFrame:
             "_hits",
             lambda i: F.transform(
                 F.filter(postings, lambda p: p["word"] == _at(i)),
-                lambda p: F.struct(p["template"].alias("template"), (i - p["at"]).alias("start")),
+                lambda p: _coded(p["template"], i - p["at"]),
             ),
         )
     )
-    df = df.withColumn("_starts", F.array_distinct(starts))
+    # Numbers are made distinct by a hash set, structs by comparing all pairs.
+    df = df.withColumn("_starts", F.transform(F.array_distinct(starts), _decoded))
 
     def weighed(s: Column) -> Column:
         places = F.get(templates, s["template"])["places"]
