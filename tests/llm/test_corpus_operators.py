@@ -1,5 +1,6 @@
 """Each corpus operator on hard rows: against brute force, an exact round trip or held-out accuracy."""
 
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -326,6 +327,44 @@ def test_containment_equals_brute_force(spark, hard_docs, hard_rows, no_docs):
     assert decontamination.contaminations(hard_docs, table.limit(0)).count() == 0
 
 
+def test_texts_and_items_that_share_an_id_are_not_put_together(spark):
+    item, other = prose(900, 40).split(" "), prose(901, 40).split(" ")
+    halves = [(None, " ".join(item[:22])), (None, " ".join(item[18:])), (5, " ".join(item[:22])), (5, " ".join(item[18:]))]
+    whole = [(5, prose(902, 50) + " " + " ".join(item)), (None, " ".join(item)), (None, " ".join(item)), (6, " ".join(other))]
+    docs = spark.createDataFrame(halves + whole, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), (1, " ".join(other)), (1, " ".join(other))], "item_id long, text string")
+    found = decontamination.contaminations(docs, items).collect()
+    assert sorted((r.doc_id or 0, r.item_id, r.containment) for r in found) == [(0, 1, 1.0), (5, 1, 1.0), (6, 1, 1.0)]
+    assert Counter(map(tuple, decontamination.clean(docs, items).collect())) == Counter(halves)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_sketches_miss_no_item(spark, percent):
+    how = decontamination.Containment(percent=percent)
+    items = {n: prose(1000 + n, n) for n in (5, 6, 9, 13, 20, 36, 70, 140, 300)}
+    docs = {}
+    for n, text in items.items():
+        listed = text.split(" ")
+        for lost in range(0, 12):
+            cut = int(len(listed) * (100 - percent) / 100) + lost - 6
+            if 0 <= cut < len(listed):
+                docs[len(docs)] = " ".join([prose(len(docs), 30), *listed[cut:], prose(len(docs) + 500, 30)])
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = decontamination.contaminations(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), table, how)
+    wanted = set()
+    for doc, text in docs.items():
+        for item, words in items.items():
+            parts = brute.shingles(words, 5, brute.PLAIN_WORD)
+            if 100 * len(parts & brute.shingles(text, 5, brute.PLAIN_WORD)) >= percent * len(parts):
+                wanted.add((doc, item))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == wanted and len(wanted) > 10
+    sizes = decontamination.index(table, how).groupBy("item_id").agg(
+        F.max("size_part").alias("part"), F.max("need_sketched").alias("need"), F.sum(F.col("sketched").cast("int")).alias("n"), F.max("n_item").alias("of")
+    ).collect()
+    assert all(r.part == r["of"].bit_length() and 1 <= r.need <= r.n <= r["of"] for r in sizes)
+    assert percent == 50 or any(r.n < r["of"] for r in sizes)
+
+
 def test_licence_places_equal_brute_force(spark, hard_docs, hard_rows, no_docs):
     rows = license_scan.scan(hard_docs).collect()
     found = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows)
@@ -334,6 +373,45 @@ def test_licence_places_equal_brute_force(spark, hard_docs, hard_rows, no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
 
+def test_licence_labels_equal_plain_search(spark):
+    """Every place of every template, tried one by one."""
+    rng = np.random.default_rng(3)
+    notices = [license_scan._split(t.notice) for t in license_scan.TEMPLATES]
+    texts = {}
+    for i in range(120):
+        listed = prose(i, 20).split(" ")
+        for k in rng.integers(0, len(notices), 2):
+            part = list(notices[k][rng.integers(0, 3) :])
+            if rng.random() < 0.5:
+                part[rng.integers(0, len(part))] = "changed"
+            at = rng.integers(0, len(listed) + 1)
+            listed[at:at] = part
+        texts[i] = " ".join(listed)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    how = license_scan.Scan()
+    index = license_scan._index(how, license_scan.weights(docs, how))
+    for row in license_scan.scan(docs, how).collect():
+        listed = license_scan._split(texts[row.doc_id])
+        at = lambda i: listed[i] if 0 <= i < len(listed) else None
+        labels, best = set(filter(None, brute.licence_places(texts[row.doc_id])[4].split(","))), 0.0
+        for template in index:
+            for start in range(-40, len(listed)):
+                share = sum(x for w, i, x in template["places"] if at(start + i) == w)
+                phrases = all(all(at(start + i + k) == w for k, w in enumerate(p)) for i, p in template["phrases"])
+                if share >= how.share and phrases:
+                    labels.add(template["label"])
+                    best = max(best, min(share, 1.0))
+        assert row.labels == ",".join(sorted(labels)) and row.score == pytest.approx(best)
+
+
+def test_a_text_of_licence_words_takes_linear_time(spark):
+    text = "license apache mit public general version 2 the cc by " * 6400
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.monotonic()
+    assert license_scan.scan(docs).first().n_words == 64_000
+    assert time.monotonic() - start < 20
+
+
 def test_licence_templates(spark):
     texts = {
         1: "Licensed under CC BY-NC 4.0.",
@@ -456,6 +534,42 @@ def test_wrappers_of_the_page_are_read(opened):
     assert html_text.main_text(page).split("\n") == [LONG.format(i)[3:-4] for i in range(4)]
 
 
+@pytest.mark.parametrize(
+    "mark",
+    "comment-list reader-comments site-footer cookie-notice ad-slot sidebar-left related-posts main_nav siteFooter "
+    "share-buttons newsletter-signup page-header post-footer article-comments breadcrumb-trail top-banner ad".split(),
+)
+def test_names_of_what_is_not_the_article(mark):
+    article = "".join(LONG.format(i) for i in range(5))
+    lines = [LONG.format(i)[3:-4] for i in range(5)]
+    extra = f"<div class='x {mark}'>{LONG.format(9)}</div>"
+    assert html_text.main_text(f"<body><div>{article}</div>{extra}</body>").split("\n") == lines
+    assert html_text.main_text(f"<body><article>{article}{extra}</article></body>").split("\n") == lines
+
+
+@pytest.mark.parametrize("mark", "no-comments has-sidebar with_ads advice header-free-post entry-header article__header content-wide roads".split())
+def test_names_that_only_look_like_it(mark):
+    page = f"<article><div class={mark}>{LONG.format(0)}</div>{LONG.format(1)}{LONG.format(2)}</article>"
+    assert html_text.main_text(page).count("\n") == 2
+
+
+def test_raw_elements_end_in_any_case():
+    page = "<body><p>\u0130 " + LONG[3:] + "<SCRIPT>var a = '<p>no</p></scripted>';</Script >" + LONG.format(1) + "<style>p{}</STYLE>" + LONG.format(2)
+    text = html_text.main_text(page)
+    assert "no" not in text.split() and text.count("\n") == 2 and "number 2" in text
+
+
+def test_deep_pages_take_linear_time():
+    def seconds(n):
+        pages = ["<div>" + LONG.format(1), "<b>", "</x><li></div>" + LONG.format(2), "<span><p>x</p>"]
+        start = time.process_time()
+        for part in pages:
+            html_text.main_text("<b>" * n + part * n)
+        return time.process_time() - start
+
+    assert seconds(20_000) < 16 * max(seconds(2_500), 0.05)
+
+
 def test_extract_edges(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (3, "u", ""), (None, "u", "<p>x" + "y" * 10**6)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
