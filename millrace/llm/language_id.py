@@ -4,16 +4,17 @@ Each word has a score per language, the sum of its n-grams' log probabilities; l
 word's script are no candidates. The best path over a text's words pays a penalty for each change of
 language; runs of one language on it are the text's spans. A text's language is that of most letters.
 
-N-gram counts are learned from a bounded sample of labelled rows, drawn per language by a hash of the id, so
-that every language that has a row is learned, at every size of the table. Prediction covers all rows and whole texts.
+N-gram counts are learned from a bounded sample of labelled rows, drawn per language by a hash of id and text
+(rows equal in both are learned from once), so that every language that has a row is learned, at every size of the table. Prediction covers all rows and whole texts.
 
-A null text, or one without a letter, is ``und`` with score 0 and no spans; so is every text where nothing
+A null text, or one without a letter (numerals such as one half are none), is ``und`` with score 0 and no spans; so is every text where nothing
 could be learned. Repeated rows get a row each. Other columns are not read, an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +26,9 @@ from millrace.llm.ship import ship_package
 
 SCHEMA = "doc_id bigint, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
 COUNTS = "lang string, bucket int, n bigint"
-WORD = re.compile(r"[^\W\d_]+")
+#: Characters that a regular expression counts to words and that are neither letters nor digits, such as one half.
+NUMERALS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
 #: First code points of script ranges: Latin, Greek, Cyrillic, Armenian, Hebrew, Arabic, Indic, Thai,
 #: other, Hangul, other, kana, Han, Hangul, other.
 RANGES = np.array(
@@ -104,9 +107,7 @@ def fit(labelled: DataFrame, how: Fit = Fit()) -> Model:
     """Learns from ``labelled`` (``doc_id``, ``text``, ``lang``)."""
     ship_package(labelled.sparkSession)
     known = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
-    # Rows without an id go by their text.
-    hashed = F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit(3))).otherwise(F.xxhash64("doc_id", F.lit(3)))
-    known = known.withColumn("hash", hashed)
+    known = known.withColumn("hash", F.xxhash64("doc_id", "text", F.lit(3)))
     by_lang = known.groupBy("lang").agg(F.count("*").alias("total"), F.min("hash").alias("least")).collect()
     quota = _quota([r["total"] for r in by_lang], how)
     totals = labelled.sparkSession.createDataFrame(
@@ -114,7 +115,8 @@ def fit(labelled: DataFrame, how: Fit = Fit()) -> Model:
     )
     # The least hash is always in, so a language of few different ids is not missed.
     drawn = (F.pmod("hash", "total") < quota) | (F.col("hash") == F.col("least"))
-    sample = known.join(F.broadcast(totals), "lang").where(drawn).select("doc_id", "text", "lang")
+    sample = known.join(F.broadcast(totals), "lang").where(drawn)
+    sample = sample.groupBy("lang", "hash").agg(F.first("text").alias("text"))
 
     def count(batches: Iterator) -> Iterator:
         from millrace.llm.arrow import batch_of

@@ -6,7 +6,8 @@ regression over the rules drops most of them and weighs the rest. Scoring is the
 surviving rules as one Spark expression, without Python.
 
 Nulls, empty and blank texts have statistics of 0 and are scored like any other. Rows that share a
-``doc_id`` are scored each by its own text; of several labels for one id the largest counts. With no
+``doc_id`` are scored each by its own text, and learned from once each if they differ. Very long texts are read
+whole. Of several labels for one id the largest counts. With no
 labelled rows every score is 0.5, with labels of one kind it is their share (0 or 1). Of the input only
 ``doc_id`` and ``text`` are read, other columns may have any name.
 """
@@ -29,8 +30,8 @@ Condition = tuple[str, bool, float]
 
 @dataclass(frozen=True)
 class Fit:
-    """``max_rows``: labelled rows a fit reads at most, about, chosen by a hash of their id; the fit's
-    cost is bounded by it and the score still covers all rows. ``trees``, ``depth``: the forest.
+    """``max_rows``: labelled rows a fit reads at most, about, chosen by a hash of their id, and where ids have
+    more than one row, of id and text; the fit's cost is bounded by it and the score still covers all rows. ``trees``, ``depth``: the forest.
     ``penalty``: of the lasso. ``seed``: of the forest."""
 
     max_rows: int = 20_000
@@ -105,18 +106,29 @@ def _sampled(labels: DataFrame, how: Fit) -> DataFrame:
     return labels.where(F.pmod(F.xxhash64("doc_id", F.lit(how.seed)), F.lit(total)) < how.max_rows)
 
 
+def drawn(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> DataFrame:
+    """The rows a fit reads: ``doc_id``, the statistics and ``label``; rows equal in all of it once."""
+    known = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
+    few = F.broadcast(_sampled(known, how).withColumnRenamed("doc_id", "_labelled"))
+    same = F.col("doc_id") == F.col("_labelled")
+    texts = docs.select("doc_id", "text").join(few.select("_labelled"), same).drop("_labelled")
+    # An id can have any number of rows; only ids are read for this.
+    total = docs.select("doc_id").join(few.select("_labelled"), same).count()
+    if total > how.max_rows:
+        hashed = F.xxhash64("doc_id", "text", F.lit(how.seed))
+        texts = texts.where(F.pmod(hashed, F.lit(total)) < how.max_rows)
+    stats = with_statistics(texts).select("doc_id", *STATISTICS)
+    return stats.join(few, same).drop("_labelled").distinct()
+
+
 def fit(docs: DataFrame, labels: DataFrame, how: Fit = Fit()) -> Ensemble:
     """Fits on the rows of ``labels`` (``doc_id``, ``label`` 0 or 1) that ``docs`` has a text for."""
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
     spark: SparkSession = docs.sparkSession
-    known = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    few = F.broadcast(_sampled(known, how).withColumnRenamed("doc_id", "_labelled"))
-    texts = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("_labelled"))
     # At most about max_rows rows of a dozen numbers.
-    stats = with_statistics(texts).select("doc_id", *STATISTICS)
-    rows = stats.join(few, F.col("doc_id") == F.col("_labelled")).drop("_labelled").toPandas()
+    rows = drawn(docs, labels, how).toPandas()
     rows = rows.sort_values(["doc_id", *STATISTICS], kind="stable")
     y = rows["label"].to_numpy(dtype=float)
     if not len(y) or y.min() == y.max():

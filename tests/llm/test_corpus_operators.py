@@ -1,5 +1,6 @@
 """Each corpus operator on hard rows: against brute force, an exact round trip or held-out accuracy."""
 
+import re
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.llm import decontamination, fixity, html_text, language_id, license_scan, packing
 from millrace.llm import part_enum, quality_rules, rule_ensemble, token_store
 from millrace.llm.components import components
+from millrace.llm.text import CLASSES
 from millrace.session import work_path
 
 SF = "/root/testdata/sf0.001"
@@ -96,6 +98,48 @@ def test_rule_ensemble_edges(spark, hard_docs, hard_rows, no_docs):
     assert rule_ensemble.good(hard_docs, empty).columns == hard_docs.columns
 
 
+def test_the_fit_reads_a_bounded_number_of_rows(spark):
+    texts = [(7, prose(i, 30 + i % 50)) for i in range(2000)] + [(8, prose(1, 40))] * 3000
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, label int")
+    n = rule_ensemble.drawn(docs, labels, rule_ensemble.Fit(max_rows=50)).count()
+    assert 0 < n < 100
+    assert rule_ensemble.drawn(docs, labels).count() <= 2001
+
+
+def test_compiled_rules_equal_plain_ones(spark, hard_docs):
+    rules = [(1.5, (("n_words", True, 50.0), ("share_symbol", False, 0.1))), (-2.0, (("distinct", False, 0.9),)), (0.25, ())]
+    ensemble = rule_ensemble.Ensemble(0.5, rules)
+    stats = rule_ensemble.with_statistics(hard_docs)
+    for row in stats.select("*", ensemble.score().alias("found")).collect():
+        holds = lambda c: row[c[0]] > c[2] if c[1] else row[c[0]] <= c[2]
+        total = 0.5 + sum(w for w, conditions in rules if all(map(holds, conditions)))
+        assert row.found == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+def test_statistics_equal_plain_counts(spark, hard_docs, hard_rows):
+    def plain(text):
+        found = brute.BLANK_WORD.findall(text)
+        chars = max(1, len(text))
+        classes, left = [], text
+        for chars_of in CLASSES.values():
+            kept = re.sub(chars_of, "", left)
+            classes.append((len(left) - len(kept)) / chars)
+            left = kept
+        lines = [x for x in text.split("\n") if x]
+        blank = classes[list(CLASSES).index("blank")]
+        n = max(1, len(found))
+        repeats = 1 - len(set(lines)) / max(1, len(lines))
+        return [*classes, len(left) / chars, (chars - blank * chars) / n, len(found), len(set(found)) / n, repeats]
+
+    names = rule_ensemble.STATISTICS
+    rows = rule_ensemble.with_statistics(hard_docs).select("_row.text", *names).collect()
+    assert len(rows) == len(hard_rows)
+    for row in rows:
+        if row.text:
+            assert [row[n] for n in names] == pytest.approx(plain(row.text)), row.text[:50]
+
+
 def test_rules_come_from_tree_paths():
     text = "x\n  If (feature 0 <= 0.5)\n   If (feature 1 <= 2.0)\n    Predict: 0.0\n   Else (feature 1 > 2.0)\n    Predict: 1.0\n  Else (feature 0 > 0.5)\n   Predict: 1.0\n"
     left = ("a", False, 0.5)
@@ -451,6 +495,15 @@ def test_language_spans_and_edges(spark, hard_docs, hard_rows, no_docs):
     assert {r.lang_pred for r in language_id.predict(hard_docs, nothing).collect()} == {"und"}
 
 
+def test_numerals_are_no_letters(spark):
+    texts = ["½", "²", "①", "Ⅷ", "12 34", "_", "٣", "a½b", None, "½ word"]
+    known = spark.createDataFrame([(1, "some words to learn from", "en")], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.lang_pred, len(r.spans)) for r in language_id.predict(docs, language_id.fit(known)).collect()}
+    assert [found[i][0] for i in range(len(texts))] == ["und"] * 7 + ["en", "und", "en"]
+    assert language_id.WORD.findall("a½b été ⅷx") == ["a", "b", "été", "x"]
+
+
 def test_every_language_is_learned(spark):
     """More languages than fit a byte, one of them with most rows, at a small bound of rows."""
     import random
