@@ -14,7 +14,6 @@ could be learned. Repeated rows get a row each. Other columns are not read, an e
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,9 +25,7 @@ from millrace.llm.ship import ship_package
 
 SCHEMA = "doc_id bigint, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
 COUNTS = "lang string, bucket int, n bigint"
-#: Characters that a regular expression counts to words and that are neither letters nor digits, such as one half.
-NUMERALS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
+WORD = re.compile(r"[^\W\d_]+")
 #: First code points of script ranges: Latin, Greek, Cyrillic, Armenian, Hebrew, Arabic, Indic, Thai,
 #: other, Hangul, other, kana, Han, Hangul, other.
 RANGES = np.array(
@@ -62,6 +59,14 @@ class Model:
     switch: float
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters. A pattern's words may hold numerals such as one half, which are rare and are no letters."""
+    found = WORD.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for word in found for w in "".join(c if c.isalpha() else " " for c in word).split()]
+
+
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams of the words, each with a mark at both ends, and the word of each."""
     codes = np.frombuffer("".join(f"\0{w}\0" for w in words).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
@@ -120,12 +125,12 @@ def fit(labelled: DataFrame, how: Fit = Fit()) -> Model:
 
     def count(batches: Iterator) -> Iterator:
         from millrace.llm.arrow import batch_of
-        from millrace.llm.language_id import BUCKETS, COUNTS, RANGES, WORD, grams, scripts_of
+        from millrace.llm.language_id import BUCKETS, COUNTS, RANGES, grams, scripts_of, words_of
 
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                found = WORD.findall(text.lower())
+                found = words_of(text.lower())
                 if not found:
                     continue
                 counts = sums.setdefault(lang, np.zeros(BUCKETS + len(RANGES), dtype=np.int64))
@@ -236,12 +241,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator) -> Iterator:
         from millrace.llm.arrow import batch_of
-        from millrace.llm.language_id import SCHEMA, WORD, Labeller, Model, summed
+        from millrace.llm.language_id import SCHEMA, Labeller, Model, summed, words_of
 
         known = Model(*shared.value)
         labeller = Labeller(known)
         for batch in batches:
-            texts = [WORD.findall(x.lower()) if x else [] for x in batch.column("text").to_pylist()]
+            texts = [words_of(x.lower()) if x else [] for x in batch.column("text").to_pylist()]
             if not known.languages:
                 texts = [[] for _ in texts]
             paths = labeller.label(texts)

@@ -501,7 +501,7 @@ def test_numerals_are_no_letters(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: (r.lang_pred, len(r.spans)) for r in language_id.predict(docs, language_id.fit(known)).collect()}
     assert [found[i][0] for i in range(len(texts))] == ["und"] * 7 + ["en", "und", "en"]
-    assert language_id.WORD.findall("a½b été ⅷx") == ["a", "b", "été", "x"]
+    assert language_id.words_of("a½b été ⅷx") == ["a", "b", "été", "x"]
 
 
 def test_every_language_is_learned(spark):
