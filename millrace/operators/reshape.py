@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -121,6 +122,34 @@ def explode_lists(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+@dataclass(frozen=True)
+class FanOut:
+    """Rows before and after a step that makes several of one, and the most that one row became."""
+
+    rows_in: int
+    rows_out: int
+    largest: int
+
+
+def observed_lists(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[], FanOut]]:
+    """As `explode_lists`, and what gives its `FanOut` after the first action on the result.
+
+    The numbers are summed in the tasks of that action, without another scan. It must read all rows, as a
+    write does; until it has ended the call waits.
+    """
+    observation = Observation()
+    became = F.lit(1).cast("bigint")
+    for name in _resolved(df, names):
+        became = became * F.greatest(F.coalesce(F.size(column(name)), F.lit(0)), F.lit(1))
+    seen = df.observe(
+        observation,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.coalesce(F.sum(became), F.lit(0)).alias("rows_out"),
+        F.coalesce(F.max(became), F.lit(0)).alias("largest"),
+    )
+    return explode_lists(seen, *names), lambda: FanOut(**observation.get)
+
+
 def _resolved(df: DataFrame, names: Sequence[str]) -> list[str]:
     """The columns' names as ``df`` spells them."""
     return [name if name in df.columns else _spelled(df, name) for name in names]

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.operators.keyed import replace_by_key, upsert
-from millrace.operators.reshape import align, all_strings, cast_strings, explode_lists, flatten
+from millrace.operators.reshape import FanOut, align, all_strings, cast_strings, explode_lists, flatten, observed_lists
 from millrace.plans.steps import run_steps
 from millrace.sources.records import scan_json_gated
-from millrace.sources.sinks import current, publish, replace_stage_if_any
+from millrace.sources.sinks import current, publish, replace_stage_if
 
 # The table's columns and its key.
 COLUMNS = (
@@ -60,6 +62,21 @@ def stage_shows(records: DataFrame) -> DataFrame:
     )
 
 
+def _observed_stage(records: DataFrame) -> tuple[DataFrame, Callable[[], FanOut]]:
+    exploded, counts = observed_lists(flatten(records), "show_genres", "show_schedule_days")
+    return align(cast_strings(exploded), all_strings(COLUMNS)), counts
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """``version``: what was published, None if nothing was. ``counts``: records read, rows staged, and the most
+    rows that one record became. ``quarantined``: unreadable records, None if they were not asked for."""
+
+    version: str | None
+    counts: FanOut
+    quarantined: int | None
+
+
 def load_shows(
     spark: SparkSession,
     landing: str,
@@ -76,15 +93,33 @@ def load_shows(
     nor the table changes. Unreadable records are appended to ``quarantine``. ``unique_target``
     states that the table has one row per key, which holds if only this load writes it.
     """
+    return load_shows_counted(spark, landing, table, tiebreak, null_safe, unique_target, quarantine, folder).version
+
+
+def load_shows_counted(
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    tiebreak: Sequence[Column] = (),
+    null_safe: bool = False,
+    unique_target: bool = False,
+    quarantine: str | None = None,
+    folder: str | None = None,
+) -> Loaded:
+    """As `load_shows`, with the rows of each step, counted while the stage is written."""
     good, bad = scan_json_gated(spark, landing, RECORD)
+    quarantined = None
     if quarantine is not None:
-        bad.write.mode("append").parquet(quarantine)
+        put_aside = Observation()
+        bad.observe(put_aside, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine)
+        quarantined = put_aside.get["n"]
     stage = f"{table}_stage"
-    if not replace_stage_if_any(stage_shows(good), stage, folder):
-        return None
+    staged, counts = _observed_stage(good)
+    if not replace_stage_if(staged, stage, lambda: counts().rows_out > 0, folder):
+        return Loaded(None, counts(), quarantined)
     base = current(spark, table)
     if base is None:
         base = publish(spark.createDataFrame([], all_strings(COLUMNS)), table, folder=folder, base=None)
     merge = replace_by_key if unique_target else upsert
     merged = merge(spark.table(base), spark.table(stage), KEYS, tiebreak, null_safe)
-    return publish(merged, table, folder=folder, base=base)
+    return Loaded(publish(merged, table, folder=folder, base=base), counts(), quarantined)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.plans.shows import load_shows
+from millrace.plans.shows import Loaded, load_shows_counted
 from millrace.queries.keyed import KEYS, split_orders, tiebreak
 from millrace.queries.registry import query, table
 from millrace.session import work_path
@@ -125,6 +125,32 @@ SELECT * EXCLUDE (day, p_size), unnest([day, 'any']) AS show_schedule_days FROM
 UNION ALL SELECT * EXCLUDE (day, p_size), NULL FROM shows WHERE p_size <= 5""")
 def show_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested records landed as JSON, staged, upserted; a second load renames some of them."""
+    name, _ = _load_twice(spark, sf_dir)
+    return spark.table(name).select(
+        "score", "show_id", "show_genres", "show_name", "show_network_officialsite",
+        "show__links_self_href", "show_web_channel", "show_schedule_days",
+    )
+
+
+_BECAME = "len(string_split(p_name, ' ')) * CASE WHEN p_size > 5 THEN 2 ELSE 1 END"
+
+
+@query(f"""
+SELECT 1::BIGINT AS nth, count(*) AS rows_in, sum({_BECAME})::BIGINT AS rows_out, max({_BECAME})::BIGINT AS largest, 0::BIGINT AS quarantined FROM part
+UNION ALL SELECT 2, count(*), coalesce(sum({_BECAME}), 0)::BIGINT, coalesce(max({_BECAME}), 0)::BIGINT, 0 FROM part WHERE p_type = 'LARGE'""")
+def show_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of both loads, counted as their stages were written."""
+    _, loads = _load_twice(spark, sf_dir)
+    rows = [
+        (nth, load.counts.rows_in, load.counts.rows_out, load.counts.largest, load.quarantined)
+        for nth, load in enumerate(loads, 1)
+    ]
+    return spark.createDataFrame(rows, "nth bigint, rows_in bigint, rows_out bigint, largest bigint, quarantined bigint")
+
+
+def _load_twice(spark: SparkSession, sf_dir: str) -> tuple[str, list[Loaded]]:
+    """The table, and what the two loads say."""
+    loads = []
     base, name = work_path(spark, "shows"), f"millrace_shows_{uuid.uuid4().hex[:8]}"
     parts = table(spark, sf_dir, "part")
     text = F.lit(None).cast("string")
@@ -143,8 +169,9 @@ def show_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         record = F.struct((F.col("p_size") + F.lit(0.5)).alias("score"), show.alias("show"))
         write_text(rows.select(F.to_json(record).alias("line")), "line", f"{base}/in{nth}")
-        load_shows(spark, f"{base}/in{nth}", name, null_safe=True, folder=f"{base}/tables")
-    return spark.table(name).select(
-        "score", "show_id", "show_genres", "show_name", "show_network_officialsite",
-        "show__links_self_href", "show_web_channel", "show_schedule_days",
-    )
+        loads.append(
+            load_shows_counted(
+                spark, f"{base}/in{nth}", name, null_safe=True, quarantine=f"{base}/bad", folder=f"{base}/tables"
+            )
+        )
+    return name, loads

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +60,19 @@ def replace_stage_if_any(df: DataFrame, table: str, folder: str | None = None) -
     return True
 
 
+def replace_stage_if(df: DataFrame, table: str, wanted: Callable[[], bool], folder: str | None = None) -> bool:
+    """Replace the staging table if ``wanted``, asked once all rows are written, says so; else leave it untouched.
+
+    With an observation of ``df`` behind ``wanted`` the rows are computed once, not once more to look for one.
+    """
+    version = write_version(df, table, folder)
+    if not wanted():
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {version}")
+        return False
+    publish_version(df.sparkSession, table, version, df.columns, keep=1)
+    return True
+
+
 class Conflict(RuntimeError):
     """Another writer has published since the version that a new one was made from."""
 
@@ -90,17 +103,36 @@ def publish(
     `current`. ``properties`` become properties of the table, and stay with later versions where their names
     begin with ``KEPT``.
     """
+    table = write_version(df, name, folder)
+    publish_version(df.sparkSession, name, table, df.columns, keep, base, properties)
+    return table
+
+
+def write_version(df: DataFrame, name: str, folder: str | None = None) -> str:
+    """Write ``df`` as a version of ``name`` that readers do not see yet."""
     table = new_version(df.sparkSession, name)
     writer = df.write.mode("errorifexists").format("parquet")
     if folder is not None:
         writer = writer.option("path", f"{folder}/{table}")
     writer.saveAsTable(table)
-    swap(df.sparkSession, name, table, df.columns, base, properties)
-    for old in old_versions(df.sparkSession, name, table, keep):
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {old}")
     return table
 
 
+def publish_version(
+    spark: SparkSession,
+    name: str,
+    table: str,
+    columns: Sequence[str],
+    keep: int = 2,
+    base: object = ANY,
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Let readers see a written version, and drop those from before the last ``keep``."""
+    swap(spark, name, table, columns, base, properties)
+    for old in old_versions(spark, name, table, keep):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
 def current(spark: SparkSession, name: str) -> str | None:
     """The version that ``name`` is now; None if nothing was published under it."""
     if not spark.catalog.tableExists(name):

@@ -327,3 +327,22 @@ def test_no_consumed_file_stays(spark, tmp_path, monkeypatch, after):
     assert [p.name for p in folder.glob("*.csv")] == ["2.csv"]
     if after == "archive":
         assert sorted(p.name for p in done.glob("*.csv")) == ["0 +%41.csv", "1.csv", "2.csv", "empty.csv"]
+
+
+def test_load_says_how_many_rows(spark, tmp_path):
+    records_of = [
+        {"score": 1.0, "show": {"id": 1, "genres": ["a", "b", "c"], "schedule": {"days": ["x", "y"]}}},
+        {"score": 1.0, "show": {"id": 2, "genres": [], "schedule": {"days": ["x"]}}},
+        {"score": 1.0, "show": {"id": 3, "genres": None}},
+    ]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join([*map(json.dumps, records_of), "broken", "{"]))
+    where = {"quarantine": str(tmp_path / "bad"), "folder": str(tmp_path / "t")}
+    loaded = shows.load_shows_counted(spark, str(tmp_path / "in"), "shows_n", **where)
+    assert loaded.counts == reshape.FanOut(3, 8, 6) and loaded.quarantined == 2
+    assert spark.table("shows_n").count() == spark.table("shows_n_stage").count() == 8
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.json").write_text("broken")
+    nothing = shows.load_shows_counted(spark, str(tmp_path / "none"), "shows_n", **where)
+    assert nothing == shows.Loaded(None, reshape.FanOut(0, 0, 0), 1)
+    assert spark.table("shows_n_stage").count() == 8 and sinks.current(spark, "shows_n") == loaded.version
