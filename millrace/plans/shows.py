@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.keyed import replace_by_key, upsert
-from millrace.operators.reshape import FanOut, align, all_strings, cast_strings, explode_lists, flatten, observed_lists
-from millrace.plans.steps import run_steps
+from millrace.operators.reshape import FanOut, align, all_strings, cast_strings, flatten, observed_lists
 from millrace.sources.records import scan_json_gated
 from millrace.sources.sinks import current, publish, replace_stage_if
 
@@ -51,18 +50,8 @@ RECORD = (
 )
 
 
-def stage_shows(records: DataFrame) -> DataFrame:
-    """Records as rows of the table: one per genre and schedule day, all text."""
-    return run_steps(
-        records,
-        flatten,
-        lambda df: explode_lists(df, "show_genres", "show_schedule_days"),
-        cast_strings,
-        lambda df: align(df, all_strings(COLUMNS)),
-    )
-
-
-def _observed_stage(records: DataFrame) -> tuple[DataFrame, Callable[[], FanOut]]:
+def stage_shows(records: DataFrame) -> tuple[DataFrame, Callable[[], FanOut]]:
+    """Records as rows of the table: one per genre and schedule day, all text. With `observed_lists`' counts."""
     exploded, counts = observed_lists(flatten(records), "show_genres", "show_schedule_days")
     return align(cast_strings(exploded), all_strings(COLUMNS)), counts
 
@@ -114,7 +103,7 @@ def load_shows_counted(
         bad.observe(put_aside, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine)
         quarantined = put_aside.get["n"]
     stage = f"{table}_stage"
-    staged, counts = _observed_stage(good)
+    staged, counts = stage_shows(good)
     if not replace_stage_if(staged, stage, lambda: counts().rows_out > 0, folder):
         return Loaded(None, counts(), quarantined)
     base = current(spark, table)
