@@ -13,33 +13,36 @@ SAMPLE = '''
 from datetime import datetime
 import requests
 
-api_url = "http://example.org/search?q=x"
-base_path = '/data/out/'
-
-default_args = {
-    'owner': 'someone',
-    'start_date': datetime(2024, 1, 1),
-    'retries': 1,
+station_url = "http://example.org/readings?since=1"
+out_dir = '/srv/weather/'
+settings = {
+    'team': 'climate',
+    'first_day': datetime(2023, 6, 1),
+    'tries': 3,
 }
 
-dag = DAG('sample', default_args=default_args, schedule_interval='@daily')
-
-def call_api():
-    response = requests.get(api_url)
-    if response.status_code == 200:
+def read_station_api():
+    answer = requests.get(station_url)
+    if answer.ok:
         print('Writing df to file system and catalogue table')
 
-def load_data():
-    base_path = '/data/other/'
-
-api_operator = PythonOperator(task_id='call_api_task', python_callable=call_api, dag=dag)
-load_data_dag = PythonOperator(task_id='load_data_task', python_callable=load_data, dag=dag)
-stg_trt_load = PostgresOperator(task_id='stg', sql="""
-  UPDATE t SET a = 'x';
-""", dag=dag)
-start_dummy = DummyOperator(task_id='start_dummy', dag=dag)
-end_dummy = DummyOperator(task_id='end_dummy', dag=dag)
-start_dummy >> api_operator  >> load_data_dag >> stg_trt_load >> end_dummy
+def daily_means():
+    out_dir = '/srv/means/'
+
+def warn():
+    return out_dir
+
+fetched = PythonOperator(task_id='fetch', python_callable=read_station_api)
+means = PythonOperator(task_id='means', python_callable=daily_means)
+trimmed = PostgresOperator(task_id='trim', sql="""
+  DELETE FROM readings WHERE celsius IS NULL;
+""")
+warned = PythonOperator(task_id='warn', python_callable=warn)
+finished = DummyOperator(task_id='finished')
+
+fetched >> [means, trimmed]
+means >> warned
+[trimmed, warned] >> finished
 '''
 
 
@@ -54,44 +57,41 @@ def edge_list(facts):
 
 def test_sample(spark):
     facts = facts_of(spark, SAMPLE)
-    assert [r.name for r in f.functions(facts).orderBy("pos").collect()] == ["call_api", "load_data"]
+    assert [r.name for r in f.functions(facts).orderBy("pos").collect()] == ["read_station_api", "daily_means", "warn"]
     last = g.last_value(f.assignments(facts), ["path", "name"], "pos").orderBy("first_pos").collect()
-    assert [r.name for r in last] == ["api_url", "base_path", "default_args"]
+    assert [r.name for r in last] == ["station_url", "out_dir", "settings"]
     values = {r.name: r.value for r in last}
-    assert values["base_path"] == "/data/other/"
-    assert json.loads(values["default_args"]) == {
-        "owner": "someone", "start_date": "datetime(2024, 1, 1)", "retries": 1,
-    }
+    assert values["out_dir"] == "/srv/means/"
+    assert json.loads(values["settings"]) == {"team": "climate", "first_day": "datetime(2023, 6, 1)", "tries": 3}
     tasks = [r.task for r in f.tasks(facts).orderBy("pos").collect()]
-    assert tasks == ["api_operator", "load_data_dag", "stg_trt_load", "start_dummy", "end_dummy"]
+    assert tasks == ["fetched", "means", "trimmed", "warned", "finished"]
     graph = w.task_graph(facts)
-    deps = {r.task: r.depends_on for r in graph.collect()}
+    deps = {r.task: sorted(r.depends_on) for r in graph.collect()}
     assert deps == {
-        "start_dummy": [], "api_operator": ["start_dummy"], "load_data_dag": ["api_operator"],
-        "stg_trt_load": ["load_data_dag"], "end_dummy": ["stg_trt_load"],
+        "fetched": [], "means": ["fetched"], "trimmed": ["fetched"], "warned": ["means"], "finished": ["trimmed", "warned"],
     }
     spec = json.loads(w.workflow_spec(w.task_records(graph), base="/jobs/").first().spec_json)
     assert (spec["name"], spec["max_concurrent_runs"]) == ("p0", 1)
     assert [task["task_key"] for task in spec["tasks"]] == tasks
     assert {task["run_if"] for task in spec["tasks"]} == {"ALL_SUCCESS"}
     assert [task["target"] for task in spec["tasks"]] == [
-        "/jobs/call_api", "/jobs/load_data", "/jobs/stg_trt_load.sql", "/jobs/print_hello.py", "/jobs/print_hello.py",
+        "/jobs/read_station_api", "/jobs/daily_means", "/jobs/trimmed.sql", "/jobs/warn", "/jobs/print_hello.py",
     ]
-    assert spec["tasks"][1]["depends_on"] == [{"task_key": "api_operator"}]
+    assert spec["tasks"][3]["depends_on"] == [{"task_key": "means"}]
     sql = w.sql_sources(w.task_records(graph)).collect()
-    assert [(r.task, r.sql) for r in sql] == [("stg_trt_load", "%sql\n\n  UPDATE t SET a = 'x';\n")]
+    assert [(r.task, r.sql) for r in sql] == [("trimmed", "%sql\n\n  DELETE FROM readings WHERE celsius IS NULL;\n")]
 
 
 def test_rendered_sources_run_as_python(spark):
     rendered = {r.name: r.rendered for r in w.rendered_sources(facts_of(spark, SAMPLE)).collect()}
-    assert set(rendered) == {"call_api", "load_data"}
+    assert set(rendered) == {"read_station_api", "daily_means", "warn"}
     for name, text in rendered.items():
         compile(text, name, "exec")
         assert text.endswith(f"\n{name}()")
-        assert "base_path = '/data/other/'\n" in text
-    assert w.HELPER in rendered["call_api"] and w.HELPER not in rendered["load_data"]
-    assert "saveAsTable(stage_table)" in rendered["call_api"]
-    assert "print('Writing df" not in rendered["call_api"]
+        assert "out_dir = '/srv/means/'\n" in text
+    assert w.HELPER in rendered["read_station_api"] and w.HELPER not in rendered["daily_means"]
+    assert "saveAsTable(stage_table)" in rendered["read_station_api"]
+    assert "print('Writing df" not in rendered["read_station_api"]
 
 
 @pytest.mark.parametrize(
@@ -204,8 +204,8 @@ def test_run_condition_table(spark):
 def test_convert_reads_stored_facts(spark, tmp_path):
     sources = spark.createDataFrame([("s.py", SAMPLE), ("bad.py", "def (")], "path string, source string")
     result = convert(sources, path=str(tmp_path / "facts"))
-    assert result.tasks.count() == 5 and result.edges.count() == 4
+    assert result.tasks.count() == 5 and result.edges.count() == 5
     assert result.specs.count() == 1 and result.errors.count() == 1
-    assert result.sources.count() == 2 and result.dangling.count() == 0
+    assert result.sources.count() == 3 and result.dangling.count() == 0
     shown = result.edges._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in shown and "PartitionFilters: [isnotnull(kind" in shown
