@@ -29,6 +29,11 @@ from pyspark.sql.types import (
 from millrace.operators.reshape import align, column
 
 
+#: Known to be more staged rows than that, they are not sent to every task: Spark decides by the size of files, of
+#: which rows that resemble each other fill very few.
+BROADCAST_ROWS = 50_000
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[Column] = ()) -> DataFrame:
     """One row per key (NULLs form a key too): the first in ``tiebreak`` order.
 
@@ -108,24 +113,27 @@ def upsert(
     keys: Sequence[str],
     tiebreak: Sequence[Column] = (),
     null_safe: bool = False,
+    staged_rows: int | None = None,
 ) -> DataFrame:
     """Next version of ``target``: matched rows updated, new keys inserted once.
 
     A full outer join would do both in one step, but cannot be split at a hot target key, nor
-    broadcast. See `replace_by_key` for a target with one row per key.
+    broadcast. See `replace_by_key` for a target with one row per key. ``staged_rows`` says how many
+    rows ``staging`` has, where that was counted; above ``BROADCAST_ROWS`` the joins shuffle both sides.
     """
+    many = _is_many(staged_rows)
     staging = align(staging, target.schema)
     staged = keep_one(staging, keys, tiebreak)
     if null_safe:
-        updated = _take_staged(target, staged, keys, True)
-        present = _present_keys(target, staging, keys, True)
-        return _union(updated, _hash_join(staged, present, keys, "left_anti", True))
+        updated = _take_staged(target, staged, keys, True, many)
+        present = _present_keys(target, staging, keys, True, many)
+        return _union(updated, _hash_join(staged, present, keys, "left_anti", True, many=many))
     # The same filter on both uses of the staged rows lets Spark reuse their exchange.
     staged, fresh_keyless = _split_null_keys(staged, keys)
     keyed, keyless = _split_null_keys(target, keys)
-    updated = _take_staged(keyed, staged, keys, False)
-    present = _present_keys(keyed, staging, keys, False)
-    fresh = staged.join(present, list(keys), "left_anti")
+    updated = _take_staged(keyed, staged, keys, False, many)
+    present = _present_keys(keyed, staging, keys, False, many)
+    fresh = staged.join(_shuffled(present, many), list(keys), "left_anti")
     return _union(updated, keyless, fresh, fresh_keyless)
 
 
@@ -135,21 +143,32 @@ def replace_by_key(
     keys: Sequence[str],
     tiebreak: Sequence[Column] = (),
     null_safe: bool = False,
+    staged_rows: int | None = None,
 ) -> DataFrame:
     """Upsert for a target with one row per key, such as a table that upserts built up.
 
     An update sets every column, so the result is the target rows whose key is not staged, plus
     the staged rows. The target is read once and meets the batch's keys only: batches of some
     million rows leave it unshuffled where Spark may broadcast that much key data. If the target
-    has a key twice, a staged row replaces all its rows by one.
+    has a key twice, a staged row replaces all its rows by one. ``staged_rows`` as in `upsert`.
     """
+    many = _is_many(staged_rows)
     staging = align(staging, target.schema)
     staged = keep_one(staging, keys, tiebreak)
     wanted = _key_set(staging, keys)
     if null_safe:
-        return _union(_hash_join(target, wanted, keys, "left_anti", True), staged)
+        return _union(_hash_join(target, wanted, keys, "left_anti", True, many=many), staged)
     keyed, keyless = _split_null_keys(target, keys)
-    return _union(_hash_join(keyed, wanted, keys, "left_anti", False), keyless, staged)
+    return _union(_hash_join(keyed, wanted, keys, "left_anti", False, many=many), keyless, staged)
+
+
+def _is_many(staged_rows: int | None) -> bool:
+    return staged_rows is not None and staged_rows > BROADCAST_ROWS
+
+
+def _shuffled(side: DataFrame, many: bool) -> DataFrame:
+    """``side`` of a join, which is not to be sent to every task if it has ``many`` rows."""
+    return side.hint("merge") if many else side
 
 
 def _key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -157,7 +176,7 @@ def _key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _present_keys(
-    target: DataFrame, staging: DataFrame, keys: Sequence[str], null_safe: bool
+    target: DataFrame, staging: DataFrame, keys: Sequence[str], null_safe: bool, many: bool = False
 ) -> DataFrame:
     """Distinct target keys that are staged. Reads the key columns only.
 
@@ -166,8 +185,8 @@ def _present_keys(
     """
     wanted, present = _key_set(staging, keys), _key_set(target, keys)
     if null_safe:
-        return _hash_join(present, wanted, keys, "left_semi", True)
-    return present.join(wanted, list(keys), "left_semi")
+        return _hash_join(present, wanted, keys, "left_semi", True, many=many)
+    return present.join(_shuffled(wanted, many), list(keys), "left_semi")
 
 
 def _split_null_keys(
@@ -186,13 +205,13 @@ def _union(first: DataFrame, *others: DataFrame | None) -> DataFrame:
 
 
 def _take_staged(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], null_safe: bool
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], null_safe: bool, many: bool = False
 ) -> DataFrame:
     hit, prefix = free_name("_hit", target), free_name("_staged_", target)
     side = staged.select(
         *[column(c).alias(prefix + c) for c in target.columns], F.lit(True).alias(hit)
     )
-    joined = _hash_join(target, side, keys, "left", null_safe, prefix=prefix)
+    joined = _hash_join(target, side, keys, "left", null_safe, prefix=prefix, many=many)
     return joined.select(
         *[
             F.when(column(hit), column(prefix + c)).otherwise(column(c)).alias(c)
@@ -208,6 +227,7 @@ def _hash_join(
     how: str,
     null_safe: bool,
     prefix: str | None = None,
+    many: bool = False,
 ) -> DataFrame:
     """Join on the keys and, ahead of them, on their hash.
 
@@ -236,7 +256,7 @@ def _hash_join(
             left[f"`{k}`"] == right[f"`{prefix}{k}`"]
         )
         condition = condition & same
-    return left.join(right, condition, how).drop(*hashes)
+    return left.join(_shuffled(right, many), condition, how).drop(*hashes)
 
 
 def _compared_in(left: DataFrame, lname: str, right: DataFrame, rname: str) -> DataType:

@@ -110,5 +110,5 @@ def load_shows_counted(
     if base is None:
         base = publish(spark.createDataFrame([], all_strings(COLUMNS)), table, folder=folder, base=None)
     merge = replace_by_key if unique_target else upsert
-    merged = merge(spark.table(base), spark.table(stage), KEYS, tiebreak, null_safe)
+    merged = merge(spark.table(base), spark.table(stage), KEYS, tiebreak, null_safe, counts().rows_out)
     return Loaded(publish(merged, table, folder=folder, base=base), counts(), quarantined)

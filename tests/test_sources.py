@@ -194,6 +194,26 @@ def test_show_load(spark, tmp_path):
     assert after.where("show_genres = 'Drama' and show_name is null").count() == 2
 
 
+@pytest.mark.parametrize("unique_target", [False, True])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_a_large_show_load_sends_no_rows_to_every_task(spark, tmp_path, monkeypatch, unique_target, null_safe):
+    """Rows that fill small files, as they resemble each other, are still many: no join collects them in the driver."""
+    score, show = F.lit(0.5).alias("score"), F.struct("id", F.array(F.lit("Drama")).alias("genres")).alias("show")
+    spark.range(60_000).select(F.to_json(F.struct(score, show)).alias("line")).write.text(str(tmp_path / "in"))
+    shown, publish = [], shows.publish
+
+    def publish_shown(df, *args, **options):
+        shown.append(df._jdf.queryExecution().executedPlan().toString())
+        return publish(df, *args, **options)
+
+    monkeypatch.setattr(shows, "publish", publish_shown)
+    name = f"shows_large_{null_safe}_{unique_target}".lower()
+    load = dict(null_safe=null_safe, unique_target=unique_target, folder=str(tmp_path / "tables"))
+    assert shows.load_shows(spark, str(tmp_path / "in"), name, **load)
+    assert "SortMergeJoin" in shown[-1] and "BroadcastHashJoin" not in shown[-1]
+    assert spark.table(name).count() == 60_000
+
+
 def test_show_load_without_a_readable_record(spark, tmp_path):
     land(tmp_path / "in", "a.json", SHOWS)
     folder = str(tmp_path / "tables")
