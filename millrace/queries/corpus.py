@@ -34,7 +34,7 @@ class Loader:
 start = DummyOperator(task_id='start', trigger_rule='none_failed')
 fetch = PythonOperator(task_id='fetch_task', python_callable=call_api, dag=dag, retries=%3$d)
 """
-_LOAD = "load_%1$s = PostgresOperator(task_id='load', sql=\"select '%2$s'\"\n    \"\\nfrom t\", depth=-%1$s)\n"
+_LOAD = ("load_", " = PostgresOperator(task_id='load', sql=\"select '", "'\"\n    \"\\nfrom t\", depth=-", ")\n")
 _TAIL = """alone = CustomOperator(task_id='alone', params={'size': %1$d, 'tags': ['a', 1]}, key=DATA_SETS['k'])
 end = DummyOperator(task_id='end', flag=True)
 """
@@ -43,7 +43,9 @@ _BROKEN = "Brand#13"
 
 def _source() -> Column:
     numbers = F.transform(F.sequence(F.lit(1), F.col("p_size")), lambda i: i.cast("string"))
-    loads = F.transform(numbers, lambda i: F.format_string(_LOAD, i, F.col("p_type")))
+    named, selects, depth, end = map(F.lit, _LOAD)
+    selects = F.concat(selects, F.coalesce("p_type", F.lit("null")), depth)
+    loads = F.transform(numbers, lambda i: F.concat(named, i, selects, i, end))
     names = F.transform(numbers, lambda i: F.concat(F.lit("load_"), i))
     listed = F.concat(F.lit("["), F.array_join(names, ", "), F.lit("]"))
     kind = F.col("p_type")
@@ -67,7 +69,7 @@ def _source() -> Column:
 
 def _length() -> Column:
     """About how long a source is, from its row alone."""
-    return F.lit(len(_HEAD) + len(_TAIL) + 60) + F.col("p_size") * (len(_LOAD) + 20)
+    return F.lit(len(_HEAD) + len(_TAIL) + 60) + F.col("p_size") * (sum(map(len, _LOAD)) + 32)
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
