@@ -52,10 +52,7 @@ HELPER_MARK = "api"
 IDLE_TARGET = "print_hello.py"
 
 
-_NODE = (
-    "array<struct<task:string,pos:int,operator:string,args:map<string,string>,"
-    "ups:array<string>,feeds:boolean>>"
-)
+_NODES = "array<struct<task:string,ups:array<string>,feeds:boolean>>"
 
 
 def task_graph(facts: DataFrame) -> DataFrame:
@@ -65,7 +62,6 @@ def task_graph(facts: DataFrame) -> DataFrame:
     ``operator`` is NULL for a name that only chains mention; the last assignment counts.
     A stage hands its task list whole to each task of the next stage, so no edge rows are made.
     """
-    own = F.array(_node(F.col("name"), F.col("pos"), F.col("value"), F.col("args")))
     linked = F.flatten(
         F.transform(
             stage_pairs(F.col("stages")),
@@ -75,44 +71,32 @@ def task_graph(facts: DataFrame) -> DataFrame:
             ),
         )
     )
-    nodes = F.when(F.col("kind") == "task", own.cast(_NODE)).otherwise(linked.cast(_NODE))
+    is_task = F.col("kind") == "task"
+    nodes = F.when(is_task, F.array(_node(F.col("name"))).cast(_NODES)).otherwise(linked.cast(_NODES))
+    # What only tasks have stays outside the nodes: a column that is not asked for is neither shuffled nor sorted.
+    own = [F.when(is_task, F.col(c)).alias(c) for c in ("pos", "value", "args")]
     return (
         facts.where(F.col("kind").isin("task", "chain"))
         .repartition("path")
-        .select("path", F.explode(nodes).alias("_node"))
-        .select("path", "_node.*")
+        .select("path", *own, F.explode(nodes).alias("_node"))
+        .select("path", "pos", "value", "args", "_node.*")
         .groupBy("path", "task")
         .agg(
             F.min("pos").alias("pos"),
-            F.max_by(F.struct("operator", "args"), "pos").alias("_last"),
+            F.max_by("value", "pos").alias("operator"),
+            F.max_by("args", "pos").alias("args"),
             F.array_sort(F.flatten(F.collect_list("ups"))).alias("depends_on"),
             (F.count("feeds") > 0).alias("in_chain"),
             F.coalesce(F.max("feeds"), F.lit(False)).alias("is_upstream"),
         )
-        .select(
-            "path", "task", "pos", "_last.operator", "_last.args",
-            "depends_on", "in_chain", "is_upstream",
-        )
+        .select("path", "task", "pos", "operator", "args", "depends_on", "in_chain", "is_upstream")
     )
 
 
-def _node(
-    task: Column,
-    pos: Column | None = None,
-    operator: Column | None = None,
-    args: Column | None = None,
-    ups: Column | None = None,
-    feeds: bool | None = None,
-) -> Column:
-    def typed(value: Column | None, kind: str) -> Column:
-        return F.lit(None).cast(kind) if value is None else value
-
+def _node(task: Column, ups: Column | None = None, feeds: bool | None = None) -> Column:
     return F.struct(
         task.alias("task"),
-        typed(pos, "int").alias("pos"),
-        typed(operator, "string").alias("operator"),
-        typed(args, "map<string,string>").alias("args"),
-        typed(ups, "array<string>").alias("ups"),
+        (F.lit(None).cast("array<string>") if ups is None else ups).alias("ups"),
         F.lit(feeds).cast("boolean").alias("feeds"),
     )
 
