@@ -27,15 +27,17 @@ class Converted:
     errors: DataFrame
 
 
-def convert(sources: DataFrame, base: str = "", path: str | None = None) -> Converted:
+def convert(sources: DataFrame, base: str = "", path: str | None = None, placed: bool = False) -> Converted:
     """All results from one parse of ``(path, source)``, dealt to tasks by the length of the files.
 
     The facts are written once, to ``path`` or below the shared folder, split by kind: every
     result then reads only the kinds it needs, and a lost executor does not repeat the parse.
+    Sources that are ``placed`` are parsed where they are, and their texts are not shuffled once more.
     """
     spark = sources.sparkSession
     place = path or work_path(spark, "facts")
-    f.facts(dealt(sources, "path", F.octet_length("source"))).write.mode("overwrite").partitionBy("kind").parquet(place)
+    rows = sources if placed else dealt(sources, "path", F.octet_length("source"))
+    f.facts(rows).write.mode("overwrite").partitionBy("kind").parquet(place)
     rows = spark.read.schema(f.FACT_SCHEMA).parquet(place)
     graph = w.task_graph(rows)
     records = w.task_records(graph)

@@ -244,7 +244,7 @@ FROM part WHERE p_brand <> 'Brand#13'
 UNION ALL SELECT 'parts/' || p_partkey || '.py', NULL, true FROM part WHERE p_brand = 'Brand#13'""")
 def convert_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole conversion, parsed once: tasks per spec, and the files that failed."""
-    result = convert(sources(spark, sf_dir))
+    result = convert(sources(spark, sf_dir), placed=True)
     spec = F.from_json("spec_json", StructType.fromDDL("tasks array<struct<task_key:string>>"))
     specs = result.specs.select(
         "path", F.size(spec["tasks"]).cast("bigint").alias("n_tasks"), F.lit(False).alias("is_broken")

@@ -209,3 +209,47 @@ def test_convert_reads_stored_facts(spark, tmp_path):
     assert result.sources.count() == 3 and result.dangling.count() == 0
     shown = result.edges._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in shown and "PartitionFilters: [isnotnull(kind" in shown
+
+
+def test_only_what_is_asked_for_is_rendered(monkeypatch):
+    """Tasks that are merely counted need no argument texts; statements that hold none are not walked."""
+    source = "x = 'a'\n" + "t = XOperator(a='text', b=name, c=[1])\nprint(t)\n" * 50 + "y = 'b'\n"
+    read, walked = [], []
+    argument, inner = f._argument, f._inner_statements
+    monkeypatch.setattr(f, "_argument", lambda node: read.append(node) or argument(node))
+    monkeypatch.setattr(f, "_inner_statements", lambda node: walked.append(node) or inner(node))
+    assert [fact[1:4] for fact in f._file_facts(source, frozenset({"assign"}), True)] == [(0, "x", "a"), (51, "y", "b")]
+    assert len(read) == 50 and len(walked) == 1  # of each task the list only
+    assert len(f._file_facts(source, frozenset({"task"}), True)) == 50
+    assert len(read) == 50 + 150 and len(walked) == 2
+
+
+def test_an_argument_that_json_cannot_hold_fails_the_file_for_every_kind(spark):
+    long = "0x" + "f" * 6000
+    for value in (long, f"[{long}]", f"{{'k': {long}}}"):
+        facts = facts_of(spark, f"t = XOperator(n={value})\nx = 'a'\n", kinds=["assign"])
+        assert [(r.kind, r.pos) for r in facts.collect()] == [("error", None)]
+
+
+def test_a_graph_without_arguments_does_not_move_them(spark, tmp_path):
+    place = str(tmp_path / "facts")
+    facts_of(spark, SAMPLE).write.parquet(place)
+    graph = w.task_graph(spark.read.schema(f.FACT_SCHEMA).parquet(place))
+    for rows in (w.task_records(graph).drop("args"), w.dangling_tasks(graph)):
+        scan = next(line for line in plan(rows).splitlines() if "FileScan" in line)
+        assert "args" not in scan.split("ReadSchema")[1]
+    assert "args" in plan(w.task_records(graph)).split("ReadSchema")[1]
+
+
+def test_placed_sources_are_parsed_where_they_are(spark, tmp_path, monkeypatch):
+    sources = spark.createDataFrame([("s.py", SAMPLE), ("bad.py", "def (")], "path string, source string")
+    shown, facts = [], f.facts
+    monkeypatch.setattr(f, "facts", lambda rows: shown.append(plan(rows)) or facts(rows))
+    for placed in (True, False):
+        result = convert(sources, path=str(tmp_path / str(placed)), placed=placed)
+        assert result.tasks.count() == 5 and result.errors.count() == 1
+    assert "Exchange" not in shown[0] and "Exchange" in shown[1]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
