@@ -4,12 +4,22 @@ The two vocabularies in use never merge across white space, so a text's ids are
 words one after another. Each distinct word goes through the library once per worker and is looked
 up from then on. Texts for which this does not hold by the letter (rare white space, spaces in a
 row, text like a special token) go through the library whole.
+
+Of a word the library's model merges the pre-tokens, each distinct one of a call once. Cutting a word into
+them by the vocabulary's pattern needs no more than to know letters and numbers, so words of characters that every
+version of Unicode knows alike are cut here. All other words, and all words of a vocabulary with another
+pattern, go through the library's own normalizer and pre-tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import unicodedata
+from collections.abc import Callable
+from functools import cache
+from itertools import chain, compress
 
 import numpy as np
 
@@ -31,9 +41,95 @@ TEXTS = 1500
 JOINED_WORDS = 2000
 MARK = "\x01"
 
+#: The pre-tokenizers whose patterns are written out here, with the normalizer that goes before them. ``L`` and ``N``
+#: stand for letters and numbers. A null byte, which no word has, is the end of a word.
+SUFFIXES = "'s|'t|'re|'ve|'m|'ll|'d"
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+PATTERNS = [
+    (
+        None,
+        BYTE_LEVEL | {"use_regex": True},
+        SUFFIXES + r"| ?[L]+| ?[N]+| ?[^\s\0LN]+|\s+(?![^\s\0])|\s+|\0",
+    ),
+    (
+        {
+            "type": "Sequence",
+            "normalizers": [
+                {"type": "NFC"},
+                {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                {"type": "Lowercase"},
+            ],
+        },
+        {
+            "type": "Sequence",
+            "pretokenizers": [
+                {
+                    "type": "Split",
+                    "pattern": {"Regex": SUFFIXES + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                    "behavior": "Removed",
+                    "invert": True,
+                },
+                BYTE_LEVEL | {"use_regex": False},
+            ],
+        },
+        SUFFIXES + r"|[L]+|[N]|[^\s\0LN]+|\0",
+    ),
+]
+
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
+@cache
+def _alphabet() -> tuple[str, str, str]:
+    """The letters, the numbers and all characters, as insides of a character class, that Unicode has had as
+    such since version 3.2. White space is that of words, see ``UNUSUAL``."""
+    kinds = []
+    for code in range(0x20, 0x110000):
+        kind = unicodedata.category(chr(code))[0]
+        stable = kind in "LNMPS" and unicodedata.ucd_3_2_0.category(chr(code))[0] == kind
+        kinds.append(kind if stable else "")
+
+    def ranges(wanted: str) -> str:
+        found, start = [], None
+        for code, kind in enumerate([*kinds, ""], 0x20):
+            inside = kind != "" and kind in wanted
+            if inside and start is None:
+                start = code
+            elif not inside and start is not None:
+                found.append(f"\\U{start:08x}-\\U{code - 1:08x}")
+                start = None
+        return "".join(found)
+
+    return ranges("L"), ranges("N"), r" \t\n\r" + ranges("LNMPS")
+
+
+@cache
+def _byte_chars() -> list[tuple[str, str]]:
+    """The bytes that another character stands for in a byte-level vocabulary, but the null byte, and that character."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(0x100) if byte not in printed]
+    return [(chr(byte), chr(0x100 + k)) for k, byte in enumerate(others) if byte]
+
+
+def cutter(path: str) -> tuple[Callable, Callable] | None:
+    """What cuts words, null bytes between them, into pre-tokens, and what says whether it may cut a word, for the vocabulary of a file; none
+    where its normalizer or pre-tokenizer is not one of ``PATTERNS``."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    for normalizer, pre_tokenizer, pattern in PATTERNS:
+        if made.get("normalizer") == normalizer and made.get("pre_tokenizer") == pre_tokenizer:
+            letters, numbers, known = _alphabet()
+            cut = re.compile(pattern.replace("L", letters).replace("N", numbers)).findall
+            plain = re.compile(f"[{known}]*").fullmatch
+            if normalizer is None:
+                return cut, lambda word: word.isascii() or plain(word)
+            # Words that the normalizer leaves as they are.
+            return cut, lambda word: word == word.lower() and (
+                word.isascii() or plain(word) and unicodedata.is_normalized("NFC", word)
+            )
+    return None
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
@@ -48,7 +144,8 @@ class Encoder:
         self.library.model._resize_cache(LIBRARY_CACHE)
         self.spaced = spaced
         self.known: dict[str, bytes] = {}
-        self.met = bytearray(MET_BITS // 8)
+        self.met = np.zeros(MET_BITS // 8, dtype=np.uint8)
+        self.model, self.cut = self.library.model, cutter(path)
         alone = self._whole([f" {MARK}" if spaced else MARK])[0]
         self.mark = np.frombuffer(alone, dtype="<u4").tolist()
 
@@ -57,6 +154,41 @@ class Encoder:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in encoded]
 
     def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of many words."""
+        if self.cut is None:
+            return self._joined(words)
+        cut, may = self.cut
+        plain = [w for w in words if may(w)]
+        found = self._merged(plain, cut) if plain else {}
+        if len(plain) < len(words):
+            found.update(self._joined([w for w in words if w not in found]))
+        return found
+
+    def _merged(self, words: list[str], cut: Callable) -> dict[str, bytes]:
+        """Ids of words from their pre-tokens, each of which the model merges once."""
+        places: dict[str, int] = {}
+        # Words end where a null byte is, which is a pre-token of its own, without ids.
+        order = [places.setdefault(part, len(places)) for part in cut("\0".join([*words, ""]))]
+        end = places.pop("\0", -1)
+        raw = "\0".join(places).encode().decode("latin-1")
+        for char, shown in _byte_chars():
+            raw = raw.replace(char, shown)
+        merge = self.model.tokenize
+        ids = [[token.id for token in merge(part)] for part in raw.split("\0")]
+        if end >= 0:
+            ids.insert(end, [])
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        begins = np.cumsum(sizes) - sizes
+        flat = np.fromiter(chain.from_iterable(ids), dtype="<u4", count=int(sizes.sum()))
+        # The ids of the parts in order.
+        at = np.array(order, dtype=np.int64)
+        ends = np.cumsum(sizes[at])
+        total = int(ends[-1]) if len(ends) else 0
+        whole = flat[np.repeat(begins[at] - ends + sizes[at], sizes[at]) + np.arange(total)].tobytes()
+        stops = (4 * ends[at == end]).tolist()
+        return {w: whole[a:b] for w, a, b in zip(words, [0, *stops], stops, strict=False)}
+
+    def _joined(self, words: list[str]) -> dict[str, bytes]:
         """Ids of many words in few calls: set apart by a character that no such word has."""
         apart = [w for w in words if self.spaced and w[:1] != " "]
         found = dict(zip(apart, self._whole(apart))) if apart else {}
@@ -73,28 +205,29 @@ class Encoder:
         return found
 
     def _remember(self, found: dict[str, bytes]) -> None:
-        """Keeps the words that an earlier call has met too."""
+        """Of words just added, keeps those that an earlier call has met too."""
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-            self.met = bytearray(MET_BITS // 8)
-        met, known = self.met, self.known
-        for word, ids in found.items():
-            place = hash(word) % MET_BITS
-            if met[place >> 3] >> (place & 7) & 1:
-                known[word] = ids
-            else:
-                met[place >> 3] |= 1 << (place & 7)
+            self.met[:] = 0
+            return
+        places = np.fromiter(map(hash, found), dtype=np.int64, count=len(found)) % MET_BITS
+        bits = np.left_shift(1, places & 7).astype(np.uint8)
+        once = (self.met[places >> 3] & bits) == 0
+        np.bitwise_or.at(self.met, places >> 3, bits)
+        for word in compress(found, once.tolist()):
+            del self.known[word]
 
     def _words(self, text: str) -> list[str] | None:
         if SPECIAL in text or (UNUSUAL_ASCII if text.isascii() else UNUSUAL).search(text):
             return None
         if not self.spaced:
-            # The vocabulary ignores case, character by character: not so for a capital sigma.
-            return (text if "\u03a3" in text else text.lower()).split()
+            # The vocabulary ignores case, character by character and in order: not so for a capital sigma, and a
+            # dotted capital I becomes two characters, which its normalizer would put in order with those after them.
+            return (text if "\u03a3" in text or "\u0130" in text else text.lower()).split()
         if "  " in text or text[-1:] == " ":
             return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + word for word in rest]] if first else [" " + word for word in rest]
+        found = text.replace(" ", "\0 ").split("\0")
+        return found if found[0] else found[1:]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [ids for first in range(0, len(texts), TEXTS) for ids in self._some(texts[first : first + TEXTS])]
@@ -106,12 +239,13 @@ class Encoder:
         if whole:
             for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
                 found[i] = ids
-        looked_up = [None if parts is None else list(map(self.known.get, parts)) for parts in split]
-        new = {w for parts, ids in zip(split, looked_up) if ids and None in ids for w, x in zip(parts, ids) if x is None}
-        fresh = self._encoded(sorted(new))
-        for i, (parts, ids) in enumerate(zip(split, looked_up)):
-            if ids is not None:
-                found[i] = b"".join([fresh[w] if x is None else x for w, x in zip(parts, ids)])
+        known = self.known
+        new = set().union(*[parts for parts in split if parts]).difference(known)
+        fresh = self._encoded(list(new))
+        known.update(fresh)
+        for i, parts in enumerate(split):
+            if parts is not None:
+                found[i] = b"".join(map(known.__getitem__, parts))
         self._remember(fresh)
         return found
 
