@@ -10,8 +10,9 @@ parts agree, and one of them has a projection that both sets have, unless both a
 an empty projection as agree.
 
 A signature's sets are not compared pair by pair: each is compared with the signature's pivot, the set with
-most copies. Most of those comparisons end early: by the two sizes, or by a parity sketch of 1024 bits, which
-differs in no more bits than the sets do in features. The rest is exact. That joins most groups. A pair can be
+most copies. Most of those comparisons end early: by the two sizes, or by a parity sketch, which differs in no
+more bits than the sets do in features. A sketch has 1024 bits or, for larger sets, as many as features: fewer
+would tell nothing where the distance allowed comes near them. The rest is exact. That joins most groups. A pair can be
 missing only if both sets are thin, or if it shares a signature, and so a pivot, with a third set, and the sets
 that share that pivot are not one group yet. Those go by the least parts there are, single features: of sets that link, the first few in
 any one order have one in common (`largest_partners`). The order is by how often a feature occurs among them, counted in a
@@ -20,7 +21,8 @@ meet. Of the sets that have a first feature in common each is compared with a pi
 pairs that still lie in different groups are, where sizes and places allow. No link between groups is lost.
 
 Equal sets are one class from the start, by a 128-bit sum of hashes of the set, and only classes are joined.
-Shingles are compared by a 64-bit hash. Sets are made once and stored.
+Shingles are compared by a 64-bit hash. Sets are made once and stored; what is stored on the way goes when the
+groups are stored.
 
 Null, empty and blank texts have no set and link with nothing. Rows that share a ``doc_id`` and differ in
 text are a document each, linked by its own text, and named by the same id. Repeated rows are kept.
@@ -30,7 +32,10 @@ Other columns are not read. An empty table gives no rows.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,17 +46,21 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components
 from millrace.llm.ship import ship_package
 from millrace.llm.text import lower_ascii, settled, text_key, without_texts, words
-from millrace.session import work_path
+from millrace.session import delete_path, work_path
 
 #: Seeds of the hashes that cut the feature domain, and of those of shingles, sets and sketches.
 FIRST, SHINGLE, SET, SKETCH = 11, 51, 61, 71
-#: Bits of a parity sketch; buckets in which features are counted.
-BITS, BUCKETS = 1024, 1 << 18
+#: Least and most bits of a parity sketch; buckets in which features are counted.
+BITS, MOST_BITS, BUCKETS = 1024, 1 << 16, 1 << 18
 SETS = (
     "doc_id bigint, text1 bigint, text2 bigint, n bigint, key1 bigint, key2 bigint, features array<bigint>, sketch array<bigint>, thin boolean"
 )
 
 
+#: The folder of `_scratch`.
+_WITHIN: ContextVar[str | None] = ContextVar("part-enum", default=None)
+
+
 @dataclass(frozen=True)
 class Join:
     """``shingle`` words make a feature; sets link from ``percent`` up. ``cuts`` is n2. Bands of set
@@ -99,7 +108,7 @@ def _sets(docs: DataFrame, how: Join) -> DataFrame:
     """Per row of ``docs`` its set, its size, key and sketch, and a ``number``; stored."""
 
     def run(batches: Iterator) -> Iterator:
-        from millrace.llm.part_enum import BITS, SET, SKETCH, _mix, is_thin, shingle_hashes
+        from millrace.llm.part_enum import SET, _mix, is_thin, shingle_hashes, sketch
 
         # A few texts at a time, so that what numpy holds beside a batch stays small.
         for batch in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
@@ -115,13 +124,11 @@ def _sets(docs: DataFrame, how: Join) -> DataFrame:
                 found = np.unique(found)
                 sets.append(found)
                 keys.append([_mix(found, SET + k).sum(dtype=np.uint64) for k in (0, 1)])
-                odd = np.bincount((_mix(found, SKETCH) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                sketches.append(sketch(found))
             sizes = np.array([len(x) for x in sets], dtype=np.int64)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
-            words_of = BITS // 64
-            places = (np.arange(len(sets) + 1) * words_of).astype(np.int32)
+            places = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
             bits = np.concatenate([np.zeros(0, np.int64), *sketches])
             key_columns = np.array(keys, dtype=np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -145,6 +152,13 @@ def _sets(docs: DataFrame, how: Join) -> DataFrame:
     return _stored(found, "part-enum-sets")
 
 
+def sketch(features: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set: a power of two of bits. Its halves laid over each other are the next shorter one."""
+    bits = min(MOST_BITS, max(BITS, 1 << max(len(features) - 1, 0).bit_length()))
+    odd = np.bincount((_mix(features, SKETCH) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _mix(x: np.ndarray | int, seed: int) -> np.ndarray:
     """A 64-bit hash of 64-bit values."""
     x = np.asarray(x, dtype=np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
@@ -229,13 +243,34 @@ def with_signatures(sets: DataFrame, how: Join) -> DataFrame:
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written below the shared folder and read again."""
+    """``df`` written below the shared folder, within that of `_scratch`, and read again."""
     spark: SparkSession = df.sparkSession
-    path = work_path(spark, name)
+    path = f"{within}/{name}-{uuid.uuid4().hex}" if (within := _WITHIN.get()) else work_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored beside the folder of `_scratch`, to stay."""
+    before = _WITHIN.set(None)
+    try:
+        return _stored(df, name)
+    finally:
+        _WITHIN.reset(before)
+
+
+@contextmanager
+def _scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stored meanwhile goes at the end."""
+    folder = work_path(spark, "part-enum")
+    before = _WITHIN.set(folder)
+    try:
+        yield
+    finally:
+        _WITHIN.reset(before)
+        delete_path(spark, folder)
+
+
 def _small(df: DataFrame, how: Join) -> DataFrame:
     """``df``, to be sent to every task if a count shows that it may be."""
     return F.broadcast(df) if df.limit(how.broadcast_rows + 1).count() <= how.broadcast_rows else df
@@ -279,26 +314,36 @@ def _near(sizes: Column, distance: Column, how: Join) -> Column:
     return distance * (100 + how.percent) <= sizes * (100 - how.percent)
 
 
+def _folded(bits: Column, other: Column) -> Column:
+    """A sketch as long as ``other``, if that is shorter: sizes that can link are less than twice each other."""
+    half = F.size(other)
+    folded = F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+    return F.when(F.size(bits) == 2 * half, folded).otherwise(bits)
+
+
 def _close(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
     """The ``pairs`` (``x`` and ``p``) that sizes and sketches allow to link."""
     sx = sets.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("sx"))
     sp = sets.select(F.col("cid").alias("p"), F.col("n").alias("np"), F.col("sketch").alias("sp"))
     both = pairs.select("x", "p").join(sx, "x").join(sp, "p").where(_possible("nx", "np", how))
+    folded = [_folded(F.col("sx"), F.col("sp")), _folded(F.col("sp"), F.col("sx"))]
+    both = both.select("x", "p", "nx", "np", *[settled(f).alias(name) for f, name in zip(folded, ("sx", "sp"))])
     differ = F.zip_with("sx", "sp", lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("bigint"))
     least = F.aggregate(differ, F.lit(0).cast("bigint"), lambda total, n: total + n)
-    return both.where(_near(F.col("nx") + F.col("np"), least, how)).select("x", "p")
+    # Unknown for sketches of other lengths, which only a low ``percent`` lets meet.
+    return both.where(F.coalesce(_near(F.col("nx") + F.col("np"), least, how), F.lit(True))).select("x", "p")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, how: Join) -> DataFrame:
     """Those of ``pairs`` that link, by sizes, sketches and then the exact size of their overlap."""
     close = _stored(_close(pairs, sets.select("cid", "n", "sketch"), how), "part-enum-close")
-    met = close.select(F.col("x").alias("cid")).union(close.select("p")).distinct()
-    wanted = sets.select("cid", "features").join(_small(met, how), "cid", "left_semi")
-    x = wanted.select(F.col("cid").alias("x"), F.col("features").alias("fx"))
-    p = wanted.select(F.col("cid").alias("p"), F.col("features").alias("fp"))
+    # The features of x are dealt out once, to those of p.
+    x = sets.select(F.col("cid").alias("x"), F.col("features").alias("fx")).join(_small(close, how), "x")
+    p = sets.select(F.col("cid").alias("p"), F.col("features").alias("fp"))
+    p = p.join(_small(close.select("p").distinct(), how), "p", "left_semi")
     sizes = (F.size("fx") + F.size("fp")).cast("bigint")
     distance = sizes - 2 * F.size(F.array_intersect("fx", "fp"))
-    return _stored(close.join(x, "x").join(p, "p").where(_near(sizes, distance, how)).select("x", "p"), "part-enum-links")
+    return _stored(x.join(p, "p").where(_near(sizes, distance, how)).select("x", "p"), "part-enum-links")
 
 
 def largest_partners(n: int, how: Join) -> np.ndarray:
@@ -361,10 +406,14 @@ def _firsts(sets: DataFrame, how: Join) -> DataFrame:
 
 
 def _apart(firsts: DataFrame, roots: DataFrame, how: Join) -> DataFrame:
-    """``firsts`` with the ``root`` of each set, where sets of several groups have the feature."""
-    rooted = firsts.join(_small(roots, how), "cid")
-    spans = rooted.groupBy("feature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return rooted.join(_small(_stored(spans.select("feature"), "part-enum-spans"), how), "feature")
+    """``firsts`` with the ``root`` of each set, where sets of several groups have the feature and some may link."""
+    rooted = firsts.join(_small(roots, how), "cid").where("feature is not null").repartition("feature")
+    # From all columns, so that both uses read one exchange.
+    least = [F.min(name).alias(f"least_{name}") for name in ("root", "cid", "n")]
+    largest = [F.max(name).alias(f"largest_{name}") for name in ("root", "cid", "most")]
+    spans = rooted.groupBy("feature").agg(*least, *largest)
+    spans = spans.where("least_root < largest_root and least_cid < largest_cid and least_n <= largest_most")
+    return rooted.join(spans.select("feature").hint("merge"), "feature")
 
 
 def _late_pivots(apart: DataFrame, nth: int) -> DataFrame:
@@ -400,8 +449,9 @@ def _grouped(docs: DataFrame, how: Join) -> DataFrame:
     firsts = _firsts(late, how)
     # Pivots again join most of what belongs together, and only what is still apart meets pair by pair.
     for nth in range(how.late_rounds + 1):
-        apart = _stored(_apart(firsts, _rooted(among, groups), how), "part-enum-apart")
-        pairs = _late_pivots(apart, nth) if nth < how.late_rounds else _meetings(apart, how)
+        # Groups only grow, so features that one group has are settled.
+        firsts = _stored(_apart(firsts.drop("root"), _rooted(among, groups), how), "part-enum-apart")
+        pairs = _late_pivots(firsts, nth) if nth < how.late_rounds else _meetings(firsts, how)
         found = _links(_stored(pairs, "part-enum-meetings"), late, how)
         if not found.isEmpty():
             links = links.union(_named(found))
@@ -445,7 +495,9 @@ def _labelled(sets: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
 def grouped(docs: DataFrame, how: Join = Join()) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest ``doc_id`` that
     links reach, its own included."""
-    return _grouped(docs, how).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    with _scratch(docs.sparkSession):
+        found = _grouped(docs, how).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        return _kept(found, "part-enum-groups")
 
 
 def one_of_each(docs: DataFrame, how: Join = Join()) -> DataFrame:
@@ -455,13 +507,15 @@ def one_of_each(docs: DataFrame, how: Join = Join()) -> DataFrame:
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text1", "text2")
     gone = F.col("chosen").isNotNull() & ~own.eqNullSafe(F.col("chosen"))
     keys = ["doc_id", "text1", "text2"]
-    texts = _grouped(docs, how).select(*keys, gone.alias("gone")).groupBy(*keys).agg(F.max("gone").alias("gone"), F.count("*").alias("rows"))
-    # Only rows that stand more than once are dealt out, not the whole table.
-    special = _stored(texts.where("gone or rows > 1"), "part-enum-special")
+    with _scratch(docs.sparkSession):
+        texts = _grouped(docs, how).select(*keys, gone.alias("gone")).groupBy(*keys)
+        texts = texts.agg(F.max("gone").alias("gone"), F.count("*").alias("rows"))
+        # Only rows that stand more than once are dealt out, not the whole table.
+        special = _kept(texts.where("gone or rows > 1"), "part-enum-special")
     repeated = _small(special.where("not gone").select(*[F.col(c).alias(f"_{c}") for c in keys]), how)
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
     rows = docs.select(row.alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), *text_key())
     same = F.col("_id").eqNullSafe(F.col("_doc_id")) & (F.col("text1") == F.col("_text1")) & (F.col("text2") == F.col("_text2"))
     nth = F.row_number().over(Window.partitionBy("_id", "text1", "text2").orderBy("_id"))
     one = rows.join(repeated, same, "left_semi").withColumn("_nth", nth).where("_nth = 1").select("_row.*")
-    return without_texts(docs, special).select("_row.*").unionByName(one)
+    return without_texts(docs, special, lambda texts: _small(texts, how)).select("_row.*").unionByName(one)

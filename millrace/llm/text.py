@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,15 +94,15 @@ def with_row(docs: DataFrame) -> DataFrame:
     return docs.select(row.alias("_row"), "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def without_texts(docs: DataFrame, others: DataFrame) -> DataFrame:
+def without_texts(docs: DataFrame, others: DataFrame, sent: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """The rows of ``docs``, with all their columns, but those whose ``doc_id`` and text (``text1``, ``text2``)
-    stand in ``others``. A null ``doc_id`` is a value like any other."""
+    stand in ``others``, which go through ``sent`` first. A null ``doc_id`` is a value like any other."""
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
     rows = docs.select(row.alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), *text_key())
     others = others.select(*[F.col(name).alias(f"_{name}") for name in ("doc_id", "text1", "text2")]).distinct()
     same = F.col("_id").eqNullSafe(F.col("_doc_id"))
     same = same & (F.col("text1") == F.col("_text1")) & (F.col("text2") == F.col("_text2"))
-    return rows.join(others, same, "left_anti")
+    return rows.join(sent(others), same, "left_anti")
 
 
 def kept_rows(judged: DataFrame, kept: Column) -> DataFrame:

@@ -44,3 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Takes away what a job has stored below its own ``work_path``."""
+    if f"{shared_dir(spark)}/millrace/" not in path:
+        raise ValueError(f"{path} is not a path of a job's own")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
