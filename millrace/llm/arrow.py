@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 TYPES = {
     "bigint": pa.int64(),
@@ -26,3 +28,18 @@ def batch_of(rows: Sequence[Sequence], schema: str) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [()] * len(fields)
     arrays = [pa.array(values, TYPES[kind]) for values, (_, kind) in zip(columns, fields)]
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
+
+
+@contextmanager
+def batches_of(spark: SparkSession, most_bytes: int) -> Iterator[None]:
+    """Jobs that run meanwhile send Python tasks batches that close once they hold ``most_bytes``."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most_bytes))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

@@ -89,14 +89,14 @@ def pack(docs: DataFrame, how: Packing) -> DataFrame:
         from millrace.llm.arrow import batch_of
         from millrace.llm.tokens import encoder
 
-        encode = encoder(how.path, how.spaced).encode
+        encoded = encoder(how.path, how.spaced).encoded
         end = how.end.to_bytes(4, "little")
         base = TaskContext.get().partitionId() << 40
         bins = Bins(how.length, how.open_bins)
         for batch in batches:
-            ids = [x + end for x in encode([x or "" for x in batch.column("text").to_pylist()])]
             found = []
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), ids):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded(batch.column("text"))):
+                raw = ids + end
                 for k, (start, size) in enumerate(pieces(len(raw) // 4, how.length)):
                     found.append((doc, k, start, size, zlib.crc32(raw[4 * start : 4 * (start + size)])))
             found.sort(key=lambda x: -x[3])

@@ -43,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.arrow import batches_of
 from millrace.llm.components import components
 from millrace.llm.ship import ship_package
 from millrace.llm.text import lower_ascii, settled, text_key, without_texts, words
@@ -52,6 +53,8 @@ from millrace.session import delete_path, work_path
 FIRST, SHINGLE, SET, SKETCH = 11, 51, 61, 71
 #: Least and most bits of a parity sketch; buckets in which features are counted.
 BITS, MOST_BITS, BUCKETS = 1024, 1 << 16, 1 << 18
+#: Bytes of words or features that a Python task gets at once. Executors hold several such batches for each task, outside their heap.
+BATCH_BYTES = 4 << 20
 SETS = (
     "doc_id bigint, text1 bigint, text2 bigint, n bigint, key1 bigint, key2 bigint, features array<bigint>, sketch array<bigint>, thin boolean"
 )
@@ -261,11 +264,12 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def _scratch(spark: SparkSession) -> Iterator[None]:
-    """What is stored meanwhile goes at the end."""
+    """What is stored meanwhile goes at the end; sets meet Python in small batches."""
     folder = work_path(spark, "part-enum")
     before = _WITHIN.set(folder)
     try:
-        yield
+        with batches_of(spark, BATCH_BYTES):
+            yield
     finally:
         _WITHIN.reset(before)
         delete_path(spark, folder)

@@ -141,15 +141,14 @@ def write_store(docs: DataFrame, folder: str, how: Store) -> None:
         from millrace.llm.arrow import batch_of
         from millrace.llm.tokens import encoder
 
-        encode = encoder(how.path, how.spaced).encode
+        encoded = encoder(how.path, how.spaced).encoded
         end = how.end.to_bytes(4, "little")
         part = TaskContext.get().partitionId()
         block = base = size = 0
         docs: list = []
         texts: list[bytes] = []
         for batch in batches:
-            ids = encode([x or "" for x in batch.column("text").to_pylist()])
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), ids):
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), encoded(batch.column("text"))):
                 docs.append(doc)
                 texts.append(raw + end)
                 size += len(texts[-1]) // 4

@@ -17,11 +17,13 @@ import json
 import os
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import chain, compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space and invisible characters other than space, tab, line feed and carriage return. A text with
 #: any of them, or with the opening of a special token, is encoded whole.
@@ -35,8 +37,8 @@ CACHED_WORDS = 800_000
 #: Bits that mark words met once, by hash, and pre-tokens the library itself remembers.
 MET_BITS = 1 << 25
 LIBRARY_CACHE = 20_000
-#: Texts whose words a worker holds as lists at once.
-TEXTS = 1500
+#: Bytes of the texts whose words a worker holds as lists at once, and one text more.
+HELD_BYTES = 1 << 20
 #: Words that go to the library in one call, and what sets them apart there.
 JOINED_WORDS = 2000
 MARK = "\x01"
@@ -230,7 +232,15 @@ class Encoder:
         return found if found[0] else found[1:]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [ids for first in range(0, len(texts), TEXTS) for ids in self._some(texts[first : first + TEXTS])]
+        return list(self.encoded(pa.array(texts, pa.string())))
+
+    def encoded(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text of a column, a null taken as empty. Few of a batch are held as words, or as ids, at once."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        places = np.cumsum(sizes, dtype=np.int64) // HELD_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(places)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield from self._some([x or "" for x in texts[a:b].to_pylist()])
 
     def _some(self, texts: list[str]) -> list[bytes]:
         split = [self._words(text) for text in texts]
